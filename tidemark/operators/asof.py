@@ -112,7 +112,7 @@ def intervals(points: DataFrame, keys: list[str], payload: list[str]) -> Interva
     df = materialise(
         points.select(*keys, F.col("seq").alias("lo"), F.lead("seq").over(w).alias("hi"), *payload)
     )
-    width = sum((F.coalesce(F.length(F.col(c).cast("binary")), F.lit(0)) for c in payload), F.lit(64))
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in payload), F.lit(64))
     rows, closed, span, size = df.agg(
         F.count("*"), F.count("hi"), F.coalesce(F.sum((F.col("hi") - F.col("lo")).cast("decimal(38,0)")), F.lit(0)),
         F.coalesce(F.sum(width), F.lit(0)),

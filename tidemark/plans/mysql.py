@@ -54,7 +54,8 @@ def decoded_rows(
     on_error: str = "fail", checksum_len: int = 0,
 ) -> DataFrame:
     state = state or log_state(capture, checksum_len)
-    packed = located_row_events(capture, state, tables, on_error, checksum_len).drop("table_id", "map_seq")
+    packets = "fail" if on_error == "fail" else "skip"
+    packed = located_row_events(capture, state, tables, packets, checksum_len).drop("table_id", "map_seq")
     return apply_on_error(decode_rows(packed), on_error)
 
 
