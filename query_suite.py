@@ -424,18 +424,15 @@ def charset_names(spark, sf):
        CASE source WHEN 'my_crm' THEN 'customer' ELSE 'orders' END AS "table",
        CASE source WHEN 'my_crm' THEN 1 ELSE k // 5000 * 100000 + 5 END AS map_seq FROM ev WHERE {OP} IS NOT NULL""")
 def asof_table_map(spark, sf):
-    capture = fixtures.binlog_capture(spark, sf)
-    maps = asof.table_map_intervals(binlog.table_maps(capture))
-    events = asof.with_table_map(binlog.row_events(capture), maps)
-    found = binlog.table_map_names(F.col("table_map"))
-    return events.select("source", "seq", "op", found["schema"].alias("schema"), found["table"].alias("table"), "map_seq")
+    capture, state = binlog_state(spark, sf)
+    events = asof.with_table_map(binlog.row_events(capture), binlog.named_maps(state.maps))
+    return events.select("source", "seq", "op", "schema", "table", "map_seq")
 
 
 @query("log_file_asof", f"WITH {BINLOG} SELECT source, seq, type AS event_type, log_file FROM ev")
 def log_file_asof(spark, sf):
-    capture = fixtures.binlog_capture(spark, sf)
-    files = asof.log_file_intervals(binlog.rotates(capture))
-    return asof.with_log_file(binlog.headers(capture), files).select("source", "seq", "event_type", "log_file")
+    capture, state = binlog_state(spark, sf)
+    return asof.with_log_file(binlog.headers(capture), state.files).select("source", "seq", "event_type", "log_file")
 
 
 @query("binlog_progress", f"""WITH {BINLOG} SELECT source, max(CASE WHEN type = 4 THEN log_file END) AS log_file, max_by(log_position, seq) AS log_position,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 # Bounds for sending intervals to every executor; beyond either, the join
 # shuffles on (keys, bucket) instead.
@@ -97,7 +97,6 @@ class Intervals:
     payload: list[str]
     rows: int
     closed: int
-    span: int
     bytes: int
 
     @property
@@ -106,18 +105,19 @@ class Intervals:
         return 3 * self.rows <= BROADCAST_ROWS and 3 * self.bytes <= BROADCAST_BYTES
 
 
-def intervals(points: DataFrame, keys: list[str], payload: list[str]) -> Intervals:
-    """Turn change points into intervals and measure them."""
+def intervals(points: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
+    """Change points as intervals ``keys, lo, hi, <payload>``, materialised."""
     w = Window.partitionBy(*keys).orderBy("seq")
-    df = materialise(
+    return materialise(
         points.select(*keys, F.col("seq").alias("lo"), F.lead("seq").over(w).alias("hi"), *payload)
     )
+
+
+def measured(df: DataFrame, keys: list[str], payload: list[str]) -> Intervals:
+    """Intervals with the sizes that decide how they are joined."""
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in payload), F.lit(64))
-    rows, closed, span, size = df.agg(
-        F.count("*"), F.count("hi"), F.coalesce(F.sum((F.col("hi") - F.col("lo")).cast("decimal(38,0)")), F.lit(0)),
-        F.coalesce(F.sum(width), F.lit(0)),
-    ).first()
-    return Intervals(df, keys, payload, int(rows), int(closed), int(span), int(size))
+    rows, closed, size = df.agg(F.count("*"), F.count("hi"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return Intervals(df, keys, payload, rows, closed, size)
 
 
 def _shift(span, count):
@@ -195,18 +195,22 @@ def asof_join(events: DataFrame, iv: Intervals, shuffle: bool | None = None) ->
     return joined.select("*", *[F.col(f"_state.{c}").alias(c) for c in iv.payload]).drop("_state")
 
 
-def table_map_intervals(table_maps: DataFrame) -> Intervals:
-    """When which table map was in force, per source and table id."""
-    states = table_maps.select("source", "table_id", "seq", F.col("body").alias("table_map"))
-    keys = ["source", "table_id"]
-    points = change_points(states, keys, "table_map").withColumn("map_seq", F.col("seq"))
-    return intervals(points, keys, ["table_map", "map_seq"])
+FILE_STATE = -1  # stands in for the table id on log file intervals
 
 
-def log_file_intervals(rotates: DataFrame) -> Intervals:
-    """Which binlog file a source was in, from its rotates alone."""
-    states = rotates.select("source", "seq", F.col("next_log_file").alias("log_file"))
-    return intervals(change_points(states, ["source"], "log_file"), ["source"], ["log_file"])
+def log_state_intervals(states: DataFrame) -> tuple[Intervals, Intervals]:
+    """Which table map was in force per source and table id, and which binlog
+    file per source. ``states`` holds both (see ``binlog.log_states``), so one
+    read of the capture serves the two."""
+    keys = ["source", "table_id"]
+    df = intervals(change_points(states, keys, "state"), keys, ["state"])
+    maps = df.filter(F.col("table_id") != FILE_STATE).select(
+        *keys, "lo", "hi", F.col("state").alias("table_map"), F.col("lo").alias("map_seq")
+    )
+    files = df.filter(F.col("table_id") == FILE_STATE).select(
+        "source", "lo", "hi", F.decode("state", "UTF-8").alias("log_file")
+    )
+    return measured(maps, keys, ["table_map", "map_seq"]), measured(files, ["source"], ["log_file"])
 
 
 def with_table_map(row_events: DataFrame, maps: Intervals, shuffle: bool | None = None) -> DataFrame:

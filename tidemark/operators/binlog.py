@@ -6,11 +6,13 @@ OK byte, a 19-byte little-endian header, and the event body.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import names
 from tidemark.functions.bytes import byte_is, int_le, length_encoded, slice_bytes, uint64_le, utf8
-from tidemark.operators.errors import apply_on_error
+from tidemark.operators.asof import FILE_STATE, Intervals
 
 BODY_AT = 21  # position of the body in the packet
 
@@ -24,7 +26,7 @@ def _packet_error(checksum_len: int) -> Column:
         .when(~byte_is(p, 1, 0x00), "not an event packet")
         .when(size < BODY_AT - 1 + checksum_len, "packet shorter than its header")
         .when(int_le(p, 11, 4) != size - 1, "packet cut short")
-        .when(names.event_name(int_le(p, 6, 1)).isNull(),
+        .when(int_le(p, 6, 1) >= len(names.EVENT_TYPES),
               F.concat(F.lit("unknown event type "), int_le(p, 6, 1).cast("string")))
     )
 
@@ -33,11 +35,6 @@ def _body(checksum_len: int) -> Column:
     return slice_bytes(F.col("packet"), BODY_AT, F.length("packet") - (BODY_AT - 1 + checksum_len))
 
 
-def of_type(capture: DataFrame, *types: int) -> DataFrame:
-    """Packets of the given event types, by comparing one byte."""
-    return capture.filter(_is_type(*types))
-
-
 def _is_type(*types: int) -> Column:
     return byte_is(F.col("packet"), 1, 0x00) & byte_is(F.col("packet"), 6, *types)
 
@@ -49,25 +46,45 @@ def packet_quarantine(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
     ).filter(F.col("error").isNotNull())
 
 
-def headers(capture: DataFrame, on_error: str = "fail", checksum_len: int = 0) -> DataFrame:
-    """Event header fields, the body and the checksum bytes."""
+def _fields(checksum_len: int) -> dict[str, Column]:
     p = F.col("packet")
-    error = _packet_error(checksum_len)
-    good = lambda value: F.when(F.col("error").isNull(), value)
-    decoded = capture.withColumn("error", error).select(
-        "source",
-        "seq",
-        good(int_le(p, 2, 4)).alias("timestamp"),
-        good(F.timestamp_seconds(int_le(p, 2, 4))).alias("event_time"),
-        good(int_le(p, 6, 1)).cast("int").alias("event_type"),
-        good(int_le(p, 7, 4)).alias("server_id"),
-        good(int_le(p, 15, 4)).alias("log_position"),
-        good(int_le(p, 19, 2)).cast("int").alias("flags"),
-        good(_body(checksum_len)).alias("body"),
-        good(slice_bytes(p, F.length(p) - checksum_len + 1, F.lit(checksum_len))).alias("checksum"),
-        "error",
-    )
-    return apply_on_error(decoded, on_error)
+    return {
+        "timestamp": int_le(p, 2, 4),
+        "event_time": F.timestamp_seconds(int_le(p, 2, 4)),
+        "event_type": int_le(p, 6, 1).cast("int"),
+        "server_id": int_le(p, 7, 4),
+        "log_position": int_le(p, 15, 4),
+        "flags": int_le(p, 19, 2).cast("int"),
+        "body": _body(checksum_len),
+        "checksum": slice_bytes(p, F.length(p) - checksum_len + 1, F.lit(checksum_len)),
+    }
+
+
+def headers(
+    capture: DataFrame, on_error: str = "fail", checksum_len: int = 0, types: list[int] | None = None
+) -> DataFrame:
+    """Event header fields, the body and the checksum bytes.
+
+    ``types`` keeps only these event types, told apart by one byte before
+    anything is decoded. With ``fail``, an unreadable packet stops the run
+    whatever its type; the check and the choice of types are one filter, as
+    stacked filters would each evaluate the check again.
+    """
+    error, fields = _packet_error(checksum_len), _fields(checksum_len)
+    wanted = F.lit(True) if types is None else _is_type(*types)
+    if on_error == "keep":
+        marked = capture.filter(wanted).withColumn("error", error)
+        usable = F.col("error").isNull()
+        columns = [F.when(usable, value).alias(name) for name, value in fields.items()]
+        return marked.select("source", "seq", *columns, "error")
+    if on_error == "skip":
+        readable = capture.filter(wanted & error.isNull())
+    elif on_error == "fail":
+        stop = F.raise_error(error).cast("boolean")
+        readable = capture.filter(F.when(error.isNull(), wanted).otherwise(stop))
+    else:
+        raise ValueError(f"on_error must be fail, skip or keep, not {on_error!r}")
+    return readable.select("source", "seq", *[value.alias(name) for name, value in fields.items()])
 
 
 def with_names(events: DataFrame) -> DataFrame:
@@ -88,7 +105,7 @@ def with_rotate_fields(events: DataFrame) -> DataFrame:
 
 
 def rotates(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
-    events = headers(of_type(capture, names.ROTATE), "skip", checksum_len)
+    events = headers(capture, "skip", checksum_len, [names.ROTATE])
     return with_rotate_fields(events).select(
         "source", "seq", "timestamp", "log_position", "next_log_position", "next_log_file"
     )
@@ -97,7 +114,7 @@ def rotates(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
 def format_descriptions(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
     """Binlog version, server version (50 null-padded bytes), creation time and
     header lengths."""
-    events = headers(of_type(capture, names.FORMAT_DESCRIPTION), "skip", checksum_len)
+    events = headers(capture, "skip", checksum_len, [names.FORMAT_DESCRIPTION])
     body = F.col("body")
     return events.filter(F.length(body) >= 57).select(
         "source",
@@ -111,7 +128,7 @@ def format_descriptions(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
 
 
 def xids(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
-    events = headers(of_type(capture, names.XID), "skip", checksum_len)
+    events = headers(capture, "skip", checksum_len, [names.XID])
     return events.filter(F.length("body") >= 8).select(
         "source", "seq", "log_position", uint64_le(F.col("body"), 1).alias("xid")
     )
@@ -121,7 +138,7 @@ def gtid_markers(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
     """Gtid and previous-gtids markers, whose body is dropped, and anonymous
     gtids, whose body is kept raw."""
     kinds = (names.GTID, names.ANONYMOUS_GTID, names.PREVIOUS_GTIDS)
-    events = headers(of_type(capture, *kinds), "skip", checksum_len)
+    events = headers(capture, "skip", checksum_len, list(kinds))
     return with_names(events).select(
         "source", "seq", "log_position", F.col("route").alias("marker"),
         F.when(F.col("event_type") == names.ANONYMOUS_GTID, F.col("body")).alias("body"),
@@ -145,10 +162,7 @@ def row_events(capture: DataFrame, on_error: str = "skip", checksum_len: int = 0
     """Row events with op and table id; the rows stay packed in ``body``.
 
     With ``fail``, any unreadable packet stops the run, whatever its type."""
-    wanted = _is_type(*names.ROW_EVENTS)
-    if on_error == "fail":
-        wanted = wanted | _packet_error(checksum_len).isNotNull()
-    events = headers(capture.filter(wanted), on_error, checksum_len)
+    events = headers(capture, on_error, checksum_len, names.ROW_EVENTS)
     return events.select(
         "source", "seq", "event_time", "log_position", "event_type",
         row_op(F.col("event_type")).alias("op"),
@@ -175,10 +189,17 @@ def row_event_headers(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
     )
 
 
-def table_maps(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
-    """Table map events: id plus the undecoded body."""
-    events = headers(of_type(capture, names.TABLE_MAP), "skip", checksum_len)
-    return events.select("source", "seq", table_id(F.col("body")).alias("table_id"), "body")
+def log_states(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
+    """What later events depend on, as ``source, table_id, seq, state``: table
+    map bodies, and under table id ``FILE_STATE`` the file names of rotates."""
+    events = headers(capture, "skip", checksum_len, [names.TABLE_MAP, names.ROTATE])
+    body, is_rotate = F.col("body"), F.col("event_type") == names.ROTATE
+    return events.select(
+        "source",
+        F.when(is_rotate, FILE_STATE).otherwise(table_id(body)).alias("table_id"),
+        "seq",
+        F.when(is_rotate, slice_bytes(body, 9, F.length(body) - 8)).otherwise(body).alias("state"),
+    )
 
 
 def table_map_names(body: Column) -> Column:
@@ -190,3 +211,11 @@ def table_map_names(body: Column) -> Column:
         utf8(slice_bytes(body, 10, schema_len)).alias("schema"),
         utf8(slice_bytes(body, table_at + table_len["width"], table_len["value"])).alias("table"),
     )
+
+
+def named_maps(maps: Intervals) -> Intervals:
+    """Table map intervals with ``schema`` and ``table``, read once per change
+    point instead of once per event."""
+    found = table_map_names(F.col("table_map"))
+    df = maps.df.withColumn("schema", found["schema"]).withColumn("table", found["table"])
+    return replace(maps, df=df, payload=[*maps.payload, "schema", "table"])

@@ -12,40 +12,41 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.functions.names import literal_map
 from tidemark.functions.positions import file_number
 from tidemark.functions.temporals import interval_from_text
-from tidemark.operators.rowcodec import COLUMNS, VALUE
 
 ROW_EVENT = ["source", "seq", "row_no", "op", "schema", "table", "columns", "identity", "cursor", "event_time"]
-CURSOR = "STRUCT<file: STRING, pos: BIGINT>"
 
-# PostgreSQL type names by row-event column type; the rest are strings.
+# Row-event column type by PostgreSQL type name without its
+# modifier and what follows it; the rest are strings.
 PG_SINK_TYPES = {
-    "I64": ["smallint", "integer", "bigint", "oid"],
-    "F64": ["real", "double precision"],
-    "Decimal": ["numeric"],
-    "Date": ["date"],
-    "Time": ["time without time zone", "time with time zone"],
-    "Timestamp": ["timestamp without time zone", "timestamp with time zone"],
-    "Json": ["json", "jsonb"],
-    "Bytes": ["bytea"],
+    "smallint": "I64", "integer": "I64", "bigint": "I64", "oid": "I64",
+    "real": "F64", "double precision": "F64",
+    "numeric": "Decimal",
+    "date": "Date",
+    "time": "Time", "time without time zone": "Time", "time with time zone": "Time",
+    "timestamp": "Timestamp", "timestamp without time zone": "Timestamp", "timestamp with time zone": "Timestamp",
+    "json": "Json", "jsonb": "Json",
+    "bytea": "Bytes",
 }
 
 
 def pg_sink_type(type_name: Column) -> Column:
-    """Row-event column type of a PostgreSQL type name, modifiers ignored."""
-    base = F.regexp_replace(type_name, r"\([^)]*\)", "")
-    chain = reduce(
-        lambda acc, kind: acc.when(base.isin(PG_SINK_TYPES[kind]), kind),
-        list(PG_SINK_TYPES)[1:],
-        F.when(base.isin(PG_SINK_TYPES["I64"]), "I64"),
-    )
-    return chain.otherwise("String")
+    """Row-event column type of a PostgreSQL type name; arrays are strings."""
+    base = F.when(~type_name.endswith("]"), F.substring_index(type_name, "(", 1))
+    return F.coalesce(F.try_element_at(literal_map(PG_SINK_TYPES), base), F.lit("String"))
 
 
 def _pg_columns(image: Column) -> Column:
+    """Two passes, so that a column's type is looked up once, not per field."""
+
+    def with_kind(c: Column) -> Column:
+        return F.struct(c["name"].alias("name"), c["type"].alias("type"), c["value"].alias("value"),
+                        pg_sink_type(c["type"]).alias("kind"))
+
     def column(c: Column) -> Column:
-        kind = pg_sink_type(c["type"])
+        kind = c["kind"]
         text = F.try_variant_get(c["value"], "$", "string")
         value = F.struct(
             F.lit(None).cast("decimal(20,0)").alias("u64"),
@@ -59,10 +60,10 @@ def _pg_columns(image: Column) -> Column:
             F.lit(None).cast("boolean").alias("is_nullable"),  # not in the message
             kind.alias("column_type"),
             c["type"].alias("type_name"),
-            value.cast(VALUE).alias("value"),
+            value.alias("value"),
         )
 
-    return F.transform(image, column)
+    return F.transform(F.transform(image, with_kind), column)
 
 
 def pg_row_events(decoded: DataFrame) -> DataFrame:
@@ -141,11 +142,13 @@ def typed_view(events: DataFrame, table: str, ddl: str, image: str = "columns")
     by_name = F.map_from_entries(
         F.transform(image, lambda c: F.struct(c["name"].alias("key"), c["value"].alias("value")))
     )
-    value = lambda name: F.try_element_at(F.col("_by_name"), F.lit(name))
-    return mine.withColumn("_by_name", by_name).select(
-        "source", "seq", "row_no", "op", "cursor", "event_time",
-        *[_as_type(value(f.name), f.dataType).alias(f.name) for f in wanted.fields],
+    keys = ["source", "seq", "row_no", "op", "cursor", "event_time"]
+    # Each step is a projection of its own: a value is looked up once, however
+    # many members its cast tries.
+    values = mine.withColumn("_by_name", by_name).select(
+        *keys, *[F.try_element_at("_by_name", F.lit(f.name)).alias(f"_{i}") for i, f in enumerate(wanted.fields)]
     )
+    return values.select(*keys, *[_as_type(F.col(f"_{i}"), f.dataType).alias(f.name) for i, f in enumerate(wanted.fields)])
 
 
 def event_order(cursor: Column) -> Column:

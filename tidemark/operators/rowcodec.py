@@ -386,7 +386,7 @@ def _op(event_type: int) -> str:
     return "update" if event_type in UPDATES else "delete" if event_type in DELETES else "insert"
 
 
-def _decode_batch(batch: pa.RecordBatch, keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _decode_batch(batch: pa.RecordBatch, keep: list[str], parsed: dict[bytes, TableMap]) -> Iterator[pa.RecordBatch]:
     body = batch.column("body")
     offsets = np.frombuffer(body.buffers()[1], np.int32)[body.offset : body.offset + len(body) + 1].astype(np.int64)
     raw = body.buffers()[2]
@@ -406,7 +406,7 @@ def _decode_batch(batch: pa.RecordBatch, keep: list[str]) -> Iterator[pa.RecordB
             yield _unusable(batch, keep, events, op, None, ["no table map before the row event"] * len(events))
             continue
         try:
-            table = parse_table_map(maps[which])
+            table = parsed.get(maps[which]) or parsed.setdefault(maps[which], parse_table_map(maps[which]))
         except ValueError as e:
             yield _unusable(batch, keep, events, op, None, [str(e)] * len(events))
             continue
@@ -446,7 +446,8 @@ def decode_rows(row_events: DataFrame) -> DataFrame:
     schema = schema.add("columns", images).add("identity", images).add("error", T.StringType())
 
     def decode(batches):
+        parsed = {}  # table maps seen by this task
         for batch in _merged(batches):
-            yield from _decode_batch(batch, keep)
+            yield from _decode_batch(batch, keep, parsed)
 
     return row_events.select(*keep, "event_type", "body", "table_map").mapInArrow(decode, schema)

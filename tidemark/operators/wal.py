@@ -37,6 +37,22 @@ def _message_error(m: Column) -> Column:
     )
 
 
+def _with_message(capture: DataFrame) -> DataFrame:
+    """Add the parsed message ``m`` and ``error``.
+
+    The one-element explode keeps filters on parsed fields above the parse:
+    pushed below it, each mention of a field would parse the message again.
+    Filters on the capture's own columns still reach the scan.
+    """
+    is_data = F.col("kind") == "w"
+    known = F.coalesce(F.col("kind").isin("w", "k", "t"), F.lit(False))
+    parsed = F.when(is_data, _parsed(F.col("message")))
+    m = F.col("m")
+    return capture.select("*", F.explode_outer(F.array(parsed)).alias("m")).withColumn(
+        "error", F.when(~known, "unknown frame").when(is_data, _message_error(m))
+    )
+
+
 def decode_wal(capture: DataFrame, on_error: str = "fail") -> DataFrame:
     """Capture rows with the parsed message spread out.
 
@@ -45,28 +61,22 @@ def decode_wal(capture: DataFrame, on_error: str = "fail") -> DataFrame:
     ``on_error``; ``keep`` adds an ``error`` column. Narrow throughout, so it
     runs the same on a stream.
     """
-    is_data = F.col("kind") == "w"
-    spread = capture.withColumn("m", F.when(is_data, _parsed(F.col("message"))))
-    known = F.coalesce(F.col("kind").isin("w", "k", "t"), F.lit(False))
-    decoded = spread.select(
+    decoded = _with_message(capture).select(
         "source", "seq", "kind", "start_lsn", "end_lsn", "clock_us",
         pg_clock(F.col("clock_us")).alias("event_time"),
         "must_reply", "timeline",
         *[F.col(f"m.{c}").alias(c) for c in ("action", "schema", "table", "columns", "identity",
                                               "transactional", "prefix", "content")],
         action_kind(F.col("m.action")).alias("action_kind"),
-        F.when(~known, "unknown frame").when(is_data, _message_error(F.col("m"))).alias("error"),
+        "error",
     )
     return apply_on_error(decoded, on_error)
 
 
 def wal_quarantine(capture: DataFrame) -> DataFrame:
     """Bad frames with their reason and the untouched message."""
-    is_data = F.col("kind") == "w"
-    known = F.coalesce(F.col("kind").isin("w", "k", "t"), F.lit(False))
     return (
-        capture.withColumn("m", F.when(is_data, _parsed(F.col("message"))))
-        .withColumn("error", F.when(~known, "unknown frame").when(is_data, _message_error(F.col("m"))))
+        _with_message(capture)
         .filter(F.col("error").isNotNull())
         .select("source", "seq", "kind", "start_lsn", "end_lsn", "error", "message")
     )

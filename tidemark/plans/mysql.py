@@ -7,7 +7,7 @@ broadcast lookups into the row decoder. Row events are never shuffled.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,10 +26,14 @@ class LogState:
 
 
 def log_state(capture: DataFrame, checksum_len: int = 0) -> LogState:
-    return LogState(
-        asof.table_map_intervals(binlog.table_maps(capture, checksum_len)),
-        asof.log_file_intervals(binlog.rotates(capture, checksum_len)),
-    )
+    return LogState(*asof.log_state_intervals(binlog.log_states(capture, checksum_len)))
+
+
+def _wanted_maps(maps: asof.Intervals, tables: list[str]) -> asof.Intervals:
+    """Table map intervals with a ``wanted`` flag, set once per change point."""
+    named = binlog.named_maps(maps)
+    flag = table_matches(F.col("schema"), F.col("table"), tables)
+    return replace(maps, df=named.df.withColumn("wanted", flag), payload=[*maps.payload, "wanted"])
 
 
 def located_row_events(
@@ -41,11 +45,12 @@ def located_row_events(
     Unwanted tables are dropped here, by the names in the table map, so their
     rows are never decoded; events without a table map stay for quarantine.
     """
-    events = asof.with_table_map(binlog.row_events(capture, on_error, checksum_len), state.maps)
+    events = binlog.row_events(capture, on_error, checksum_len)
     if tables:
-        names = binlog.table_map_names(F.col("table_map"))
-        wanted = table_matches(names["schema"], names["table"], tables)
-        events = events.filter(F.col("table_map").isNull() | wanted)
+        events = asof.with_table_map(events, _wanted_maps(state.maps, tables))
+        events = events.filter(F.col("table_map").isNull() | F.col("wanted")).drop("wanted")
+    else:
+        events = asof.with_table_map(events, state.maps)
     return asof.with_log_file(events, state.files)
 
 
