@@ -33,8 +33,9 @@ def parse_lsn(text: Column) -> Column:
 
 
 def format_lsn(lsn: Column) -> Column:
-    high = F.shiftrightunsigned(lsn, 32)
-    low = lsn.bitwiseAND(F.lit(0xFFFFFFFF))
+    wide = lsn.cast("bigint")
+    high = F.shiftrightunsigned(wide, 32)
+    low = wide.bitwiseAND(F.lit(0xFFFFFFFF))
     return F.concat_ws("/", F.hex(high), F.hex(low))
 
 

@@ -213,6 +213,15 @@ def log_state_intervals(states: DataFrame) -> tuple[Intervals, Intervals]:
     return measured(maps, keys, ["table_map", "map_seq"]), measured(files, ["source"], ["log_file"])
 
 
+def open_states(maps: Intervals, files: Intervals) -> DataFrame:
+    """The states still in force, in the shape of ``states`` above."""
+    now = maps.df.filter("hi IS NULL").select("source", "table_id", F.col("lo").alias("seq"), F.col("table_map").alias("state"))
+    file = files.df.filter("hi IS NULL").select(
+        "source", F.lit(FILE_STATE).cast("bigint").alias("table_id"), F.col("lo").alias("seq"), F.encode("log_file", "UTF-8").alias("state")
+    )
+    return now.unionByName(file)
+
+
 def with_table_map(row_events: DataFrame, maps: Intervals, shuffle: bool | None = None) -> DataFrame:
     """Row events with the table map body in force; null goes to quarantine."""
     return asof_join(row_events, maps, shuffle)

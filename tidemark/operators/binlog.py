@@ -196,7 +196,7 @@ def log_states(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
     body, is_rotate = F.col("body"), F.col("event_type") == names.ROTATE
     return events.select(
         "source",
-        F.when(is_rotate, FILE_STATE).otherwise(table_id(body)).alias("table_id"),
+        F.when(is_rotate, F.lit(FILE_STATE).cast("bigint")).otherwise(table_id(body)).alias("table_id"),
         "seq",
         F.when(is_rotate, slice_bytes(body, 9, F.length(body) - 8)).otherwise(body).alias("state"),
     )
