@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import capture_fixtures as fx
+import query_suite as suite
 from tests.helpers import as_dict, capture, deletes, inserts, table_map, updates
 from tidemark.operators import envelope, tablemap
 from tidemark.plans import mysql
@@ -93,6 +94,18 @@ def test_temporals(spark):
     assert flat[2].t == -datetime.timedelta(hours=838, minutes=59, seconds=59) and flat[0].y == 1999
 
 
+@pytest.mark.parametrize("image", ["columns", "identity"])
+def test_table_rows_equal_the_typed_view(spark, sf, image):
+    c = fx.binlog_capture(spark, sf, bad=True).cache()
+    state = mysql.log_state(c)
+    for table, ddl in (("shop.orders", suite.ORDER_DDL + ", absent INT"), ("crm.customer", suite.CUSTOMER_DDL)):
+        events = mysql.row_events(c, state, on_error="skip")
+        slow = envelope.typed_view(events, table, ddl, image)
+        fast = mysql.table_rows(c, table, ddl, image, state, on_error="skip")
+        assert slow.schema.simpleString() == fast.schema.simpleString()
+        assert sorted(map(str, slow.collect())) == sorted(map(str, fast.collect()))
+
+
 def test_strings_that_are_not_utf8(spark):
     columns = [("p", "char(2)", True), ("q", "varchar(300)", True)]
     found = [as_dict(e["columns"]) for e in events_of(
@@ -206,10 +219,10 @@ def test_workers_need_no_copy_of_the_package(spark, tmp_path):
     from tidemark.operators import rowcodec
 
     def decode(batches):
-        for batch in rowcodec_merged(batches):
-            yield from rowcodec_decode(batch, [], {})
+        for batch in merged(batches):
+            yield from decode_batch(batch, [], layout, {})
 
-    rowcodec_merged, rowcodec_decode = rowcodec._merged, rowcodec._decode_batch
+    merged, decode_batch, layout = rowcodec._merged, rowcodec._decode_batch, rowcodec._Flat(["x"], "columns")
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     for i, fn in enumerate([decode, tablemap._parse_batches]):
         (tmp_path / f"{i}.pkl").write_bytes(cloudpickle.dumps(fn))

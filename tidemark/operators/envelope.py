@@ -79,10 +79,13 @@ def pg_row_events(decoded: DataFrame) -> DataFrame:
     )
 
 
+def with_cursor(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("cursor", F.struct(F.col("log_file").alias("file"), F.col("log_position").alias("pos")))
+
+
 def mysql_row_events(rows: DataFrame) -> DataFrame:
     """Decoded binlog rows in the shared schema."""
-    cursor = F.struct(F.col("log_file").alias("file"), F.col("log_position").alias("pos"))
-    return rows.select(*[cursor.alias("cursor") if c == "cursor" else F.col(c) for c in ROW_EVENT])
+    return with_cursor(rows).select(*ROW_EVENT)
 
 
 def unify(*events: DataFrame) -> DataFrame:
@@ -142,13 +145,21 @@ def typed_view(events: DataFrame, table: str, ddl: str, image: str = "columns")
     by_name = F.map_from_entries(
         F.transform(image, lambda c: F.struct(c["name"].alias("key"), c["value"].alias("value")))
     )
-    keys = ["source", "seq", "row_no", "op", "cursor", "event_time"]
     # Each step is a projection of its own: a value is looked up once, however
     # many members its cast tries.
     values = mine.withColumn("_by_name", by_name).select(
-        *keys, *[F.try_element_at("_by_name", F.lit(f.name)).alias(f"_{i}") for i, f in enumerate(wanted.fields)]
+        *_VIEW_KEYS, *[F.try_element_at("_by_name", F.lit(f.name)).alias(f"_{i}") for i, f in enumerate(wanted.fields)]
     )
-    return values.select(*keys, *[_as_type(F.col(f"_{i}"), f.dataType).alias(f.name) for i, f in enumerate(wanted.fields)])
+    return typed_columns(values, wanted)
+
+
+_VIEW_KEYS = ["source", "seq", "row_no", "op", "cursor", "event_time"]
+
+
+def typed_columns(values: DataFrame, wanted: T.StructType) -> DataFrame:
+    """Values ``_0, _1, ...`` cast to the wanted types under their names."""
+    casts = [_as_type(F.col(f"_{i}"), f.dataType).alias(f.name) for i, f in enumerate(wanted.fields)]
+    return values.select(*_VIEW_KEYS, *casts)
 
 
 def event_order(cursor: Column) -> Column:

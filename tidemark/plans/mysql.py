@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.operators import asof, binlog
-from tidemark.operators.envelope import mysql_row_events, table_matches
+from tidemark.operators.envelope import mysql_row_events, table_matches, typed_columns, with_cursor
 from tidemark.operators.errors import apply_on_error, quarantine
-from tidemark.operators.rowcodec import decode_rows
+from tidemark.operators.rowcodec import decode_columns, decode_rows
 
 
 @dataclass
@@ -64,6 +64,21 @@ def decoded_rows(
     return apply_on_error(decode_rows(packed), on_error)
 
 
+def table_rows(
+    capture: DataFrame, table: str, ddl: str, image: str = "columns", state: LogState | None = None,
+    on_error: str = "fail", checksum_len: int = 0,
+) -> DataFrame:
+    """One table's rows with flat typed columns: ``typed_view`` of its row
+    events, without building the row events."""
+    if on_error not in ("fail", "skip"):
+        raise ValueError("on_error must be fail or skip")
+    state = state or log_state(capture, checksum_len)
+    wanted = T.StructType.fromDDL(ddl)
+    packed = located_row_events(capture, state, [table], on_error, checksum_len).drop("table_id", "map_seq")
+    rows = apply_on_error(decode_columns(packed, wanted.names, image), on_error)
+    return typed_columns(with_cursor(rows), wanted)
+
+
 def quarantined(
     capture: DataFrame, state: LogState | None = None, tables: list[str] | None = None, checksum_len: int = 0
 ) -> DataFrame:
