@@ -146,10 +146,16 @@ def latest_cursor(spark, sf):
     )
 
 
-@query("until_cursor", f"WITH {WAL} SELECT source, seq FROM f WHERE source <> 'pg_orders' OR COALESCE(start_lsn, end_lsn) <= 16777216 + 1024 * 900")
+@query("until_cursor", f"""WITH {WAL} SELECT source, seq FROM f WHERE source <> 'pg_orders' OR COALESCE(start_lsn, end_lsn) <= 16777216 + 1024 * 900
+       UNION ALL SELECT source, seq FROM (WITH {BINLOG} SELECT * FROM ev)
+       WHERE source <> 'my_orders' OR (log_file = 'binlog.000000' AND log_position <= 400500)""")
 def until_cursor(spark, sf):
     target = 16777216 + 1024 * 900
-    return progress.wal_until(fixtures.wal_capture(spark, sf), {"pg_orders": target}).select("source", "seq")
+    frames = progress.wal_until(fixtures.wal_capture(spark, sf), {"pg_orders": target}).select("source", "seq")
+    capture, state = binlog_state(spark, sf)
+    events = asof.with_log_file(binlog.headers(capture), state.files)
+    packets = progress.until_binlog_cursor(events, {"my_orders": ("binlog.000000", 400500)})
+    return frames.unionByName(packets.select("source", "seq"))
 
 
 # --- PostgreSQL ----------------------------------------------------------------
@@ -612,6 +618,20 @@ def row_events_only(spark, sf):
     return unified(spark, sf).groupBy("source", "op").agg(F.count("*").alias("n"))
 
 
+@query("mysql_table_rows", f"""{ORDER_ROWS} SELECT seq, op, {ORDER_FLAT.format("CASE op WHEN 'update' THEN 'X' ELSE o_orderstatus END AS o_orderstatus")}
+       FROM r WHERE op <> 'delete'""")
+def mysql_table_rows(spark, sf):
+    rows = mysql.table_rows(fixtures.binlog_capture(spark, sf), "shop.orders", ORDER_DDL)
+    return rows.select("seq", "op", "o_orderkey", "o_custkey", "o_orderstatus", F.col("total").cast("string").alias("total"), "o_orderpriority")
+
+
+@query("pg_table_rows", f"""WITH {WAL}, c AS (SELECT seq, source, action, k FROM f) SELECT c.seq, o.o_custkey, {MONEY} AS total,
+       CASE c.action WHEN 'U' THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM c JOIN o USING (k) WHERE c.source = 'pg_orders' AND c.action IN ('I', 'U')""")
+def pg_table_rows(spark, sf):
+    rows = postgres.table_rows(fixtures.wal_capture(spark, sf), "public.orders", "o_custkey BIGINT, total DECIMAL(15,2), o_orderstatus STRING")
+    return rows.select("seq", "o_custkey", F.col("total").cast("string").alias("total"), "o_orderstatus")
+
+
 @query("typed_view", f"""WITH {ORDERS} SELECT k AS o_orderkey, o_custkey, o_orderstatus, {MONEY} AS total, {STAMP.format('t')} AS o_orderdate,
        CASE WHEN k % 11 <> 0 THEN o_orderpriority END AS o_orderpriority FROM o""")
 def typed_view(spark, sf):

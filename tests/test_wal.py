@@ -148,3 +148,13 @@ def test_clock(spark):
     df = spark.createDataFrame([(0,), (-1,), (86_400_000_001,)], "us BIGINT")
     found = [r[0] for r in df.select(pos.pg_clock(F.col("us"))).collect()]
     assert found == [datetime.datetime(2000, 1, 1), datetime.datetime(1999, 12, 31, 23, 59, 59, 999999), datetime.datetime(2000, 1, 2, 0, 0, 0, 1)]
+
+
+def test_table_rows_equal_the_typed_view(spark, sf):
+    capture = fx.wal_capture(spark, sf, bad=True)
+    ddl = "o_orderkey BIGINT, o_custkey INT, o_orderstatus STRING, total DECIMAL(15,2), o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING, absent DATE"
+    for image in ("columns", "identity"):
+        slow = envelope.typed_view(postgres.row_events(capture, on_error="skip"), "public.orders", ddl, image)
+        fast = postgres.table_rows(capture, "public.orders", ddl, image, on_error="skip")
+        assert slow.schema.simpleString() == fast.schema.simpleString()
+        assert sorted(map(str, slow.collect())) == sorted(map(str, fast.collect()))

@@ -47,13 +47,13 @@ def _pg_columns(image: Column) -> Column:
 
     def column(c: Column) -> Column:
         kind = c["kind"]
-        text = F.try_variant_get(c["value"], "$", "string")
+        text = c["value"].cast("string")
         value = F.struct(
             F.lit(None).cast("decimal(20,0)").alias("u64"),
-            F.when(kind == "I64", F.try_variant_get(c["value"], "$", "bigint")).alias("i64"),
-            F.when(kind == "F64", F.try_variant_get(c["value"], "$", "double")).alias("f64"),
+            F.when(kind == "I64", c["value"].cast("bigint")).alias("i64"),
+            F.when(kind == "F64", c["value"].cast("double")).alias("f64"),
             F.when(~kind.isin("I64", "F64", "Bytes"), text).alias("str"),
-            F.when(kind == "Bytes", F.unhex(F.regexp_replace(text, r"^\\x", ""))).alias("bytes"),
+            F.when(kind == "Bytes", _unhex(text)).alias("bytes"),
         )
         return F.struct(
             c["name"].alias("name"),
@@ -66,19 +66,41 @@ def _pg_columns(image: Column) -> Column:
     return F.transform(F.transform(image, with_kind), column)
 
 
-def pg_row_events(decoded: DataFrame) -> DataFrame:
+def pg_text_value(cell: Column) -> Column:
+    """A change's value (``type, value``) with everything but bytea as text."""
+    text = cell["value"].cast("string")
+    is_bytes = cell["type"] == "bytea"
+    none = lambda kind: F.lit(None).cast(kind)
+    return F.struct(
+        none("decimal(20,0)").alias("u64"), none("bigint").alias("i64"), none("double").alias("f64"),
+        F.when(~is_bytes, text).alias("str"), F.when(is_bytes, _unhex(text)).alias("bytes"),
+    )
+
+
+def _unhex(text: Column) -> Column:
+    return F.unhex(F.regexp_replace(text, r"^\\x", ""))
+
+
+def pg_event_rows(decoded: DataFrame) -> DataFrame:
     """Inserts, updates and deletes among decoded WAL messages; messages,
     truncates, transaction marks, keepalives and timeline rows give nothing."""
-    action = F.col("action")
-    return decoded.filter(action.isin("I", "U", "D")).select(
+    return decoded.filter(F.col("action").isin("I", "U", "D")).select(
         "source", "seq", F.lit(0).alias("row_no"), F.col("action_kind").alias("op"), "schema", "table",
-        F.when(action != "D", _pg_columns(F.col("columns"))).alias("columns"),
-        F.when(action != "I", _pg_columns(F.col("identity"))).alias("identity"),
+        "columns", "identity",
         F.struct(F.lit(None).cast("string").alias("file"), F.col("start_lsn").alias("pos")).alias("cursor"),
         "event_time",
     )
 
 
+def pg_row_events(decoded: DataFrame) -> DataFrame:
+    """Decoded WAL messages in the shared schema."""
+    rows = pg_event_rows(decoded)
+    return rows.withColumns({
+        "columns": F.when(F.col("op") != "delete", _pg_columns(F.col("columns"))),
+        "identity": F.when(F.col("op") != "insert", _pg_columns(F.col("identity"))),
+    })
+
+
 def with_cursor(rows: DataFrame) -> DataFrame:
     return rows.withColumn("cursor", F.struct(F.col("log_file").alias("file"), F.col("log_position").alias("pos")))
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.names import DELETES, ROTATE, TABLE_MAP, UPDATES, XID
-from tidemark.functions.positions import binlog_order
+from tidemark.functions.positions import binlog_order, file_number
 
 
 def _any(conditions):
@@ -74,18 +74,34 @@ def after_binlog_cursor(events: DataFrame, files: DataFrame, cursors: dict[str,
     """
     keep = []
     for source, (log_file, position) in cursors.items():
-        target = binlog_order(F.lit(log_file), F.lit(position))
         mine = files.filter(F.col("source") == source)
-        first = mine.filter(
-            binlog_order(F.col("log_file"), F.lit(0))["file_no"] >= target["file_no"]
-        ).agg(F.min("lo")).first()[0]
+        later = file_number(F.col("log_file")) >= file_number(F.lit(log_file))
+        first = mine.filter(later).agg(F.min("lo")).first()[0]
         if first is None:
             continue
-        reached = binlog_order(F.col("log_file"), F.col("log_position").cast("int")) > target
+        reached = _event_end() > _target(log_file, position)
         keep.append((F.col("source") == source) & (F.col("seq") >= first) & reached)
     return events.filter(_any(keep) | ~F.col("source").isin(list(cursors)))
 
 
+def until_binlog_cursor(events: DataFrame, targets: dict[str, tuple[str, int]]) -> DataFrame:
+    """Events up to and including ``(file, position)`` per source; ``events``
+    carry ``log_file``."""
+    keep = [
+        (F.col("source") == source) & (_event_end() <= _target(log_file, position))
+        for source, (log_file, position) in targets.items()
+    ]
+    return events.filter(_any(keep) | ~F.col("source").isin(list(targets)))
+
+
+def _event_end():
+    return binlog_order(F.col("log_file"), F.col("log_position"))
+
+
+def _target(log_file: str, position: int):
+    return binlog_order(F.lit(log_file), F.lit(position).cast("bigint"))
+
+
 def _advances():
     return ~F.col("event_type").isin([TABLE_MAP] + UPDATES + DELETES)
 

@@ -444,9 +444,11 @@ def _decode_batch(
     maps = coded.dictionary.to_pylist()
     code = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
     types = batch.column("event_type").to_numpy(zero_copy_only=False)
+    # 0 insert, 1 update, 2 delete; events of one layout decode together.
+    shape = np.isin(types, UPDATES) + 2 * np.isin(types, DELETES) + 3 * np.isin(types, WITH_EXTRAS)
     chunk = (offsets[:-1] - offsets[0]) // CHUNK_BYTES
-    order = np.lexsort((types, code, chunk))
-    key = np.stack([chunk, code, types], axis=1)[order]
+    order = np.lexsort((shape, code, chunk))
+    key = np.stack([chunk, code, shape], axis=1)[order]
     cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
     for events in np.split(order, cuts):
         event_type, which = int(types[events[0]]), int(code[events[0]])

@@ -86,5 +86,5 @@ def column_changes(decoded: DataFrame, image: str = "columns") -> DataFrame:
     """One row per column of an image: name, type name and value as text."""
     keep = ["source", "seq", "action_kind", "schema", "table"]
     return decoded.select(*keep, F.inline(image)).select(
-        *keep, "name", "type", F.try_variant_get("value", "$", "string").alias("value")
+        *keep, "name", "type", F.col("value").cast("string").alias("value")
     )
