@@ -64,6 +64,7 @@ def main() -> None:
         "mysql_decode": lambda: consume(mysql.decoded_rows(packets, state)),
         "mysql_row_events": lambda: consume(mysql.row_events(packets, state)),
         "mysql_typed_view": lambda: consume(my_table()),
+        "mysql_table_rows": lambda: consume(mysql.table_rows(packets, "shop.orders", suite.ORDER_DDL, state=state)),
         "unified_events": lambda: consume(envelope.unify(postgres.row_events(frames), mysql.row_events(packets, state))),
         "kafka_payload": lambda: consume(envelope.kafka_payload(mysql.row_events(packets, state))),
     }
