@@ -63,4 +63,5 @@ def length_encoded(data: Column, pos) -> Column:
 
 
 def utf8(data: Column) -> Column:
-    return F.decode(data, "UTF-8")
+    """The bytes as text; null where they are not UTF-8."""
+    return F.try_validate_utf8(data.cast("string"))

@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.functions.bytes import utf8
+
 # Bounds for sending intervals to every executor; beyond either, the join
 # shuffles on (keys, bucket) instead.
 BROADCAST_BYTES = 64 << 20
@@ -208,7 +210,7 @@ def log_state_intervals(states: DataFrame) -> tuple[Intervals, Intervals]:
         *keys, "lo", "hi", F.col("state").alias("table_map"), F.col("lo").alias("map_seq")
     )
     files = df.filter(F.col("table_id") == FILE_STATE).select(
-        "source", "lo", "hi", F.decode("state", "UTF-8").alias("log_file")
+        "source", "lo", "hi", utf8(F.col("state")).alias("log_file")
     )
     return measured(maps, keys, ["table_map", "map_seq"]), measured(files, ["source"], ["log_file"])
 

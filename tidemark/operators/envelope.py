@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.functions.bytes import utf8
 from tidemark.functions.names import literal_map
 from tidemark.functions.positions import file_number
 from tidemark.functions.temporals import interval_from_text
@@ -140,7 +141,7 @@ def _as_type(value: Column, to: T.DataType) -> Column:
     number = lambda name: F.coalesce(value["i64"].cast(name), value["u64"].cast(name), value["f64"].cast(name), value["str"].cast(name))
     name = to.simpleString()
     if isinstance(to, T.StringType):
-        return F.coalesce(value["str"], F.try_validate_utf8(value["bytes"].cast("string")), value["i64"].cast(name),
+        return F.coalesce(value["str"], utf8(value["bytes"]), value["i64"].cast(name),
                           value["u64"].cast(name), value["f64"].cast(name))
     if isinstance(to, T.BinaryType):
         return F.coalesce(value["bytes"], value["str"].cast("binary"))

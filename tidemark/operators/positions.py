@@ -14,23 +14,26 @@ def _any(conditions):
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+def _frames_where(capture: DataFrame, bounds: dict[str, int], compare) -> DataFrame:
+    """Frames whose start (end, where a frame has no start) compares to their
+    source's bound; sources without a bound are kept whole. Only comparisons a
+    parquet scan can take over."""
+    start, end = F.col("start_lsn"), F.col("end_lsn")
+    mine = [
+        (F.col("source") == source) & (compare(start, lsn) | (start.isNull() & compare(end, lsn)))
+        for source, lsn in bounds.items()
+    ]
+    return capture.filter(_any(mine) | ~F.col("source").isin(list(bounds)))
+
+
 def wal_resume(capture: DataFrame, cursors: dict[str, int]) -> DataFrame:
-    """Frames from each source's first unhandled LSN on; sources without a
-    cursor are read whole. Plain comparisons, so they reach the scan."""
-    at = F.coalesce(F.col("start_lsn"), F.col("end_lsn"))
-    return capture.filter(
-        _any([(F.col("source") == s) & (at >= lsn) for s, lsn in cursors.items()])
-        | ~F.col("source").isin(list(cursors))
-    )
+    """Frames from each source's first unhandled LSN on."""
+    return _frames_where(capture, cursors, lambda at, lsn: at >= lsn)
 
 
 def wal_until(capture: DataFrame, targets: dict[str, int]) -> DataFrame:
     """Frames up to and including each source's target LSN."""
-    at = F.coalesce(F.col("start_lsn"), F.col("end_lsn"))
-    return capture.filter(
-        _any([(F.col("source") == s) & (at <= lsn) for s, lsn in targets.items()])
-        | ~F.col("source").isin(list(targets))
-    )
+    return _frames_where(capture, targets, lambda at, lsn: at <= lsn)
 
 
 def latest_wal_cursor(capture: DataFrame) -> DataFrame:
