@@ -72,7 +72,6 @@ def test_size_check_picks_the_shuffled_join(spark, monkeypatch):
 def test_row_events_are_not_shuffled(spark, sf):
     import capture_fixtures as fx
     from tidemark.plans import mysql
-    from tidemark.operators import binlog
 
     capture = fx.binlog_capture(spark, sf)
     packets = capture.select("source", "seq", "packet")

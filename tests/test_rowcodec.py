@@ -4,7 +4,6 @@ from decimal import Decimal
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import capture_fixtures as fx
 import query_suite as suite

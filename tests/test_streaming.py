@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import capture_fixtures as fx
-from tests.helpers import capture, inserts, table_map
-from tidemark.operators import envelope, wal
+from tests.helpers import capture, inserts
+from tidemark.operators import wal
 from tidemark.plans import mysql, postgres
 from tidemark.sources import captures
 from tidemark.streaming import jobs, sinks
