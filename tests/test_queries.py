@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import query_suite
 
 
 @pytest.fixture(scope="module")
@@ -21,10 +22,11 @@ def ordered(rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(query_suite.QUERIES) == set(query_suite.ORACLES)
+    assert set(query_suite.QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(query_suite.QUERIES))
 def test_query(spark, sf, oracle, name):
     df = entry.queries()[name](spark, sf)
     cursor = oracle.execute(entry.oracle_sql()[name])
