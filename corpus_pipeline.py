@@ -1,15 +1,76 @@
-"""Documents to packed training sequences, stage by stage."""
+"""Documents to packed training sequences, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) with the columns of `documents` and, but for
+the last, returns the same columns; what it returns is written and read again as
+the next one's documents.
+"""
 
 from __future__ import annotations
 
 import sys
+import uuid
 from pathlib import Path
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-STAGES: list = []
+from tidemark.llm import decontamination, jaccard, pii, quality  # noqa: E402
+from tidemark.llm.common import table  # noqa: E402
+from tidemark.llm.queries import packed  # noqa: E402
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of alike documents stays."""
+    return jaccard.keep_first(docs, jaccard.join(docs))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is masked; n_chars follows the text."""
+    masked = pii.redact(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and their places in sequences."""
+    return packed(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("PII", personal_data),
+    ("best-fit packing", best_fit_packing),
+]
+
+# The stages learn, verify and pack in ways SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; between stages the rows go through Parquet in the
+    folder that `spark.checkpoint.dir` names."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        import tempfile
+
+        folder = tempfile.mkdtemp(prefix="pipeline-")
+    place = f"{folder}/pipeline-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{place}/{number}")
+        docs = spark.read.parquet(f"{place}/{number}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,8 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import packing, pii, sharding
-from tidemark.llm.common import table
+from tidemark.llm import (
+    ann,
+    decontamination,
+    jaccard,
+    langid,
+    packing,
+    pii,
+    quality,
+    sharding,
+    token_counts,
+    toxicity,
+)
+from tidemark.llm.common import fold, table
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -28,6 +39,53 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = (fold("doc_id", toxicity.FOLDS) == toxicity.HELD_OUT_FOLD).alias("held_out")
+    predicted = (F.col("score") >= toxicity.TOXIC_SCORE).cast("int").alias("predicted")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", predicted)
+
+
+def derived_edits(docs: DataFrame) -> DataFrame:
+    """Three edits of each text, taken from the text itself: twenty letters a
+    third of the way in put in upper case, the first dozen copied to the middle, and
+    fifteen letters removed two thirds of the way in."""
+    text = F.coalesce("text", F.lit(""))
+    n = F.length(text)
+
+    def edit(start: Column, end: Column, new: Column) -> Column:
+        return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), new.alias("text"))
+
+    third, half = F.floor(n / 3), F.floor(n / 2)
+    return docs.withColumn(
+        "edits",
+        F.array(
+            edit(third, third + 20, F.upper(F.substr(text, third + 1, F.lit(20)))),
+            edit(half, half, F.substr(text, F.lit(1), F.lit(12))),
+            edit(2 * third, 2 * third + 15, F.lit("")),
+        ),
+    )
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = derived_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return token_counts.recount(docs, tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs)
+    held_out = (fold("doc_id", langid.FOLDS) == langid.HELD_OUT_FOLD).alias("held_out")
+    return langid.predict(docs.drop("lang"), model).select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -35,9 +93,11 @@ def _joined(spans: Column) -> Column:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs).drop("text")
-    count = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE
-    ]
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    count = [of(k) for k in pii.BASE]
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
     return found.select(
         "doc_id",
@@ -47,6 +107,22 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = (fold("doc_id", quality.FOLDS) == quality.HELD_OUT_FOLD).alias("held_out")
+    predicted = (F.col("score") >= quality.KEEP_SCORE).cast("int").alias("predicted")
+    return quality.score(docs, model).select("doc_id", held_out, "score", predicted)
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -62,7 +138,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_ann": op2_ann,
+    "op3_toxicity": op3_toxicity,
+    "op4_token_counts": op4_token_counts,
+    "op5_language_id": op5_language_id,
     "op6_pii": op6_pii,
+    "op7_decontamination": op7_decontamination,
+    "op8_quality": op8_quality,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
 }
 
