@@ -27,7 +27,7 @@ _PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?:password|token|secret|api_key)\x20?[=:]\x20?[\x22']?[0-9A-Za-z_-]{8,64})",
 }
-_OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 # Cheap tests that a text holds anything worth a pattern.
 _HINTS = {
     "email": r"@[A-Za-z0-9-]+\.",
