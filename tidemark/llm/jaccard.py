@@ -90,9 +90,9 @@ def _sketch(docs: DataFrame, trees: int, depth: int) -> DataFrame:
     return with_text_columns(keyed, "text", fields, make).drop("text")
 
 
-def _verify(nodes: list[bytes], weights: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, tree: int, similarity):
-    """Links of each member of two blocks and its local component's least node.
-    Pairs inside a block count only if both blocks are the same (all sides 0)."""
+def _verify(nodes: list[bytes], weights: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, across: bool, tree: int, similarity):
+    """Links of each member and its local component's least node: of all pairs of
+    one block, or `across` two blocks, told apart by side."""
     m = len(nodes)
     size = np.array([len(s) for s in sets])
     if m == 2:
@@ -118,7 +118,7 @@ def _verify(nodes: list[bytes], weights: np.ndarray, labels: np.ndarray, sets: l
     union = size[:, None] + size[None, :] - common
     linked = common * down >= union * up
     np.fill_diagonal(linked, False)
-    if sides.any():
+    if across:
         linked &= sides[:, None] != sides[None, :]
     low, high = np.nonzero(np.triu(linked))
     links = np.zeros(m, dtype=np.int64)
@@ -153,7 +153,7 @@ def _verified(rows: DataFrame, similarity) -> DataFrame:
         labels = np.array(t.column("labels").chunk(0).flatten()).reshape(len(nodes), -1)
         touched, links, root = _verify(
             nodes, t.column("weight").to_numpy(), labels, [np.frombuffer(r, "<u8") for r in raw],
-            t.column("side").to_numpy(), t.column("tree")[0].as_py(), similarity,
+            t.column("side").to_numpy(), t.column("lo")[0] != t.column("hi")[0], t.column("tree")[0].as_py(), similarity,
         )
         out.extend((nodes[i], int(links[i]), nodes[root[i]]) for i in touched)
 
