@@ -227,3 +227,38 @@ def test_workers_need_no_copy_of_the_package(spark, tmp_path):
         (tmp_path / f"{i}.pkl").write_bytes(cloudpickle.dumps(fn))
         code = f"import pickle; list(pickle.load(open('{tmp_path}/{i}.pkl', 'rb'))(iter([])))"
         subprocess.run([sys.executable, "-c", code], cwd="/", check=True, timeout=120)
+
+
+def test_large_arrow_offsets(spark):
+    columns = [("id", "int", False), ("s", "varchar(300)", True)]
+    c = capture(spark, table_map(columns), *[inserts(columns, [i, "x" * i]) for i in range(5)])
+    for large in ("true", "false"):
+        spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", large)
+        try:
+            found = [as_dict(e["columns"]) for e in mysql.row_events(c, on_error="skip").orderBy("seq").collect()]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
+        assert found == [{"id": i, "s": "x" * i} for i in range(5)]
+
+
+def test_binary_columns_are_bytes_in_every_row(spark):
+    columns = [("p", "char(2)", True), ("q", "varchar(300)", True), ("t", "text", True)]
+    rows = [[b"\xff\xfe", b"ok", b"x"], [b"ok", None, b"y"]]
+    found = [as_dict(e["columns"]) for e in events_of(spark, table_map(columns, charset=63), inserts(columns, *rows))]
+    assert found == [{"p": b"\xff\xfe", "q": b"ok", "t": b"x"}, {"p": b"ok", "q": None, "t": b"y"}]
+    overrides = fx.lenc(33) + fx.lenc(1) + fx.lenc(63)  # only the second of the character columns
+    extra = bytes([2]) + fx.lenc(len(overrides)) + overrides
+    found = [as_dict(e["columns"]) for e in events_of(spark, table_map(columns, extra=extra), inserts(columns, ["ok", b"ok", b"x"]))]
+    assert found == [{"p": "ok", "q": b"ok", "t": b"x"}]
+
+
+def test_many_tables_and_long_events_decode_alike(spark):
+    columns = [("id", "int", False), ("s", "varchar(300)", True), ("d", "decimal(12,3)", True)]
+    rng = random.Random(4)
+    rows = [[i, None if rng.random() < 0.3 else "é" * rng.randrange(120), rng.randrange(10**9)] for i in range(300)]
+    maps = [table_map(columns, table_id=t, table=f"t{t}") for t in range(40)]
+    single = [inserts(columns, r, table_id=i % 40) for i, r in enumerate(rows)]
+    one = events_of(spark, table_map(columns), inserts(columns, *rows))
+    many = events_of(spark, *maps, *single)
+    assert [as_dict(e["columns"]) for e in one] == [as_dict(e["columns"]) for e in many]
+    assert [e.row_no for e in one] == list(range(300)) and [e.table for e in many] == [f"t{i % 40}" for i in range(300)]

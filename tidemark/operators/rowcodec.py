@@ -2,14 +2,16 @@
 
 A row body is a run of values whose lengths are only known by reading it, so
 built-in expressions cannot split it. The decoder takes Arrow batches and
-works column by column over all events of a batch that share a table map:
-every step is a numpy operation on whole vectors of read positions, and Python
-loops only over columns and over the k-th row of each event.
+works over all events of a batch whose tables have the same columns. One walk
+over null bitmaps and length prefixes finds where each row starts; then every
+step is a numpy operation on whole vectors of read positions, column by column,
+so neither many tables nor long events cost more per row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -125,6 +127,7 @@ def _time_text(data, at, col):
 
 
 _TEXT = {"decimal": _decimal_text, "date": _date_text, "datetime": _datetime_text, "time": _time_text}
+_PREFIXED = ("string", "blob", "json")
 _FIXED_BYTES = {"date": 3, "datetime": 8, "time": 3, "year": 1, "timestamp": 4}
 
 
@@ -160,10 +163,11 @@ class _Image:
 
 
 class _Group:
-    """Events of one operation and one table map out of one chunk."""
+    """Events of one operation and one list of columns out of one chunk, their
+    bytes gathered next to each other."""
 
-    def __init__(self, data: np.ndarray, pos: np.ndarray, end: np.ndarray, table: TableMap):
-        self.data, self.pos, self.end, self.table = data, pos, end, table
+    def __init__(self, data: np.ndarray, pos: np.ndarray, end: np.ndarray, columns: tuple[ColumnDef, ...]):
+        self.data, self.pos, self.end, self.columns = data, pos, end, columns
         self.scratch, self.scratch_at = [], len(data)
         self.error = np.full(len(pos), None, object)
 
@@ -174,7 +178,7 @@ class _Group:
     def open(self, extras: bool, images: int) -> None:
         """Read the event header; leaves ``pos`` at the first row."""
         events = np.arange(len(self.pos))
-        width = (len(self.table.columns) + 7) // 8
+        width = (len(self.columns) + 7) // 8
         self._skip(events, 8)
         if extras:
             ok = self._fitting(events, 2)
@@ -185,8 +189,8 @@ class _Group:
             sel = ok[first == mark] if mark else ok[first < 0xFC]
             sel = self._fitting(sel, size)
             count = _uint(self.data, self.pos[sel] + (size > 1), max(size - 1, 1)).astype(np.int64)
-            self.fail(sel[count != len(self.table.columns)], COUNT)
-            self._skip(sel[count == len(self.table.columns)], size)
+            self.fail(sel[count != len(self.columns)], COUNT)
+            self._skip(sel[count == len(self.columns)], size)
         self.fail(ok[first == 0xFF], COUNT)
         for _ in range(images):
             ok = self._fitting(self._good(), width)
@@ -211,47 +215,79 @@ class _Group:
 
     def _bitmap(self, at: np.ndarray, width: int) -> np.ndarray:
         raw = self.data[at[:, None] + np.arange(width)]
-        return np.unpackbits(raw, axis=1, bitorder="little")[:, : len(self.table.columns)].astype(bool)
-
-    def read_row(self, events: np.ndarray) -> _Image:
-        """One row of each event; advances their positions."""
-        columns, data = self.table.columns, self.data
-        image = _Image(len(events), len(columns))
-        width = (len(columns) + 7) // 8
-        pos, end = self.pos[events], self.end[events]
-        alive = pos + width <= end
-        pos = np.where(alive, pos, 0)
-        if alive.any():
-            nulls = self._bitmap(np.where(alive, pos, 0), width) if len(data) >= width else np.ones_like(image.null)
-            image.null = nulls & np.array([c.is_nullable for c in columns])
+        return np.unpackbits(raw, axis=1, bitorder="little")[:, : len(self.columns)].astype(bool)
+
+    def _steps(self, bitmap: int) -> list[tuple[int, int]]:
+        """How to pass a row with these nulls: fixed bytes, then the size of a
+        length prefix (0 at the end)."""
+        steps, fixed = [], 0
+        for j, col in enumerate(self.columns):
+            if col.is_nullable and bitmap >> j & 1:
+                continue
+            if col.definition in _PREFIXED:
+                steps.append((fixed, col.pack_length))
+                fixed = 0
+            else:
+                fixed += self._width(col)
+        return [*steps, (fixed, 0)]
+
+    def row_starts(self, images: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Event, number within it and start of every image of every whole row.
+        Events whose last row is cut fail as a whole."""
+        raw = self.data.tobytes()
+        width = (len(self.columns) + 7) // 8
+        plans: dict[bytes, list[tuple[int, int]]] = {}
+        events, counts, starts, cut = [], [], [], []
+        for event in self._good().tolist():
+            at, end = int(self.pos[event]), int(self.end[event])
+            before = len(starts)
+            while at < end and width:
+                starts.append(at)
+                bits = raw[at : at + width]
+                plan = plans.get(bits)
+                if plan is None:
+                    plan = plans[bits] = self._steps(int.from_bytes(bits, "little"))
+                at += width
+                for fixed, prefix in plan:
+                    at += fixed
+                    if prefix:
+                        # a prefix beyond the event reads a stranger's bytes, but
+                        # only moves further past the end
+                        at += prefix + int.from_bytes(raw[at : at + prefix], "little")
+            if at != end or (len(starts) - before) % images:
+                del starts[before:]
+                cut.append(event)
+            else:
+                events.append(event)
+                counts.append(len(starts) - before)
+        if cut:
+            self.fail(np.array(cut), CUT)
+        counts = np.array(counts, np.int64)
+        number = np.arange(len(starts)) - np.repeat(np.cumsum(counts) - counts, counts)
+        return np.repeat(np.array(events, np.int64), counts), number, np.array(starts, np.int64)
+
+    def read(self, pos: np.ndarray) -> _Image:
+        """The images that start at ``pos``, column by column."""
+        image = _Image(len(pos), len(self.columns))
+        width = (len(self.columns) + 7) // 8
+        image.null = self._bitmap(pos, width) & np.array([c.is_nullable for c in self.columns], bool)
         pos = pos + width
-        for j, col in enumerate(columns):
-            rows = np.flatnonzero(alive & ~image.null[:, j])
-            at = pos[rows]
-            lengths = col.definition in ("string", "blob", "json")
-            size = col.pack_length if lengths else self._width(col)
-            fits = at + size <= end[rows]
-            if lengths and len(at):
-                read = np.zeros(len(at), np.int64)
-                read[fits] = _uint(data, at[fits], size).astype(np.int64)
-                at = at + size
-                fits &= at + read <= end[rows]
-                size = read
-            if not fits.all():
-                alive[rows[~fits]] = False
-                rows, at = rows[fits], at[fits]
-                size = size[fits] if lengths else size
+        for j, col in enumerate(self.columns):
+            rows = np.flatnonzero(~image.null[:, j])
             if not len(rows):
                 continue
-            if lengths:
+            at = pos[rows]
+            if col.definition in _PREFIXED:
+                size = _uint(self.data, at, col.pack_length).astype(np.int64)
+                at = at + col.pack_length
                 image.start[rows, j], image.size[rows, j] = at, size
-            elif col.definition in _TEXT:
-                self._add_text(image, rows, j, *_TEXT[col.definition](data, at, col))
             else:
-                image.bits[rows, j] = _number_bits(data, at, col)
+                size = self._width(col)
+                if col.definition in _TEXT:
+                    self._add_text(image, rows, j, *_TEXT[col.definition](self.data, at, col))
+                else:
+                    image.bits[rows, j] = _number_bits(self.data, at, col)
             pos[rows] = at + size
-        self.pos[events] = pos
-        self.fail(events[~alive], CUT)
         return image
 
     @staticmethod
@@ -267,15 +303,6 @@ class _Group:
         self.scratch.append(text.ravel())
         self.scratch_at += text.size
 
-    def rows(self, images: int):
-        """All rows: event index, row number and the images of each."""
-        found, active, k = [], np.flatnonzero(self.pos < self.end), 0
-        while len(active):
-            found.append((active, np.full(len(active), k, np.int32), [self.read_row(active) for _ in range(images)]))
-            active = active[self.pos[active] < self.end[active]]
-            k += 1
-        return found
-
 
 def _bitmap_buffer(valid: np.ndarray) -> pa.Buffer:
     return pa.py_buffer(np.packbits(valid, bitorder="little"))
@@ -293,10 +320,15 @@ def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray, valid: np.nda
 
 
 def _utf8_or_bytes(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The values as strings, and which of them are not UTF-8."""
+    """The values as strings, and which of them are not UTF-8. Only stretches
+    that hold such a value are looked at one by one."""
     try:
         return text.cast(pa.string()), np.zeros(len(text), bool)
     except pa.ArrowInvalid:
+        if len(text) > 512:
+            half = len(text) // 2
+            (a, x), (b, y) = _utf8_or_bytes(text[:half]), _utf8_or_bytes(text[half:])
+            return pa.concat_arrays([a, b]), np.concatenate([x, y])
         broken = np.zeros(len(text), bool)
         values = text.to_pylist()
         for i, v in enumerate(values):
@@ -323,23 +355,24 @@ def _values(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray) ->
     i64 = pa.Array.from_buffers(pa.int64(), len(bits), [_bitmap_buffer(cells(kinds == "I64")), pa.py_buffer(bits)])
     f64 = pa.Array.from_buffers(pa.float64(), len(bits), [_bitmap_buffer(cells(kinds == "F64")), pa.py_buffer(bits)])
     start, size = image.start.ravel(), image.size.ravel()
-    is_text = np.isin(kinds, ["String", "Decimal", "Date", "Time"])
+    binary = np.array([c.is_binary for c in columns], bool)
+    is_text = np.isin(kinds, ["String", "Decimal", "Date", "Time"]) & ~binary
     text, broken = _utf8_or_bytes(_slices(data, start, size, cells(is_text)))
-    raw = _slices(data, start, size, cells(np.isin(kinds, ["Bytes", "Json"])) | broken)
+    raw = _slices(data, start, size, cells(np.isin(kinds, ["Bytes", "Json"]) | binary) | broken)
     return pa.StructArray.from_arrays([u64, i64, f64, text, raw], fields=list(_VALUE))
 
 
-def _columns_array(table: TableMap, image: _Image, data: np.ndarray) -> pa.Array:
+def _columns_array(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray) -> pa.Array:
     """List of column structs per row."""
     rows, count = image.null.shape
     tile = pa.array(np.tile(np.arange(count, dtype=np.int32), rows))
     fixed = [
-        pa.array([c.name for c in table.columns], pa.string()),
-        pa.array([c.is_nullable for c in table.columns], pa.bool_()),
-        pa.array([SINK_TYPES[c.definition] for c in table.columns], pa.string()),
-        pa.array([c.type_name for c in table.columns], pa.string()),
+        pa.array([c.name for c in columns], pa.string()),
+        pa.array([c.is_nullable for c in columns], pa.bool_()),
+        pa.array([SINK_TYPES[c.definition] for c in columns], pa.string()),
+        pa.array([c.type_name for c in columns], pa.string()),
     ]
-    arrays = [a.take(tile) for a in fixed] + [_values(table.columns, image, data)]
+    arrays = [a.take(tile) for a in fixed] + [_values(columns, image, data)]
     cols = pa.StructArray.from_arrays(arrays, fields=list(_COL))
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * count), cols)
 
@@ -353,8 +386,8 @@ class _Envelope:
     def wants(self, op: str) -> bool:
         return True
 
-    def arrays(self, op: str, table: TableMap, images: list[_Image], data: np.ndarray) -> list[pa.Array]:
-        built = [_columns_array(table, image, data) for image in images]
+    def arrays(self, op: str, columns: tuple[ColumnDef, ...], images: list[_Image], data: np.ndarray) -> list[pa.Array]:
+        built = [_columns_array(columns, image, data) for image in images]
         nothing = pa.nulls(len(images[0].null), self.types[0])
         return [built[-1] if op != "delete" else nothing, built[0] if op != "insert" else nothing]
 
@@ -370,102 +403,121 @@ class _Flat:
     def wants(self, op: str) -> bool:
         return op != ("delete" if self.image == "columns" else "insert")
 
-    def arrays(self, op: str, table: TableMap, images: list[_Image], data: np.ndarray) -> list[pa.Array]:
+    def arrays(self, op: str, columns: tuple[ColumnDef, ...], images: list[_Image], data: np.ndarray) -> list[pa.Array]:
         image = images[-1] if self.image == "columns" else images[0]
-        at = {c.name: j for j, c in enumerate(table.columns)}
+        at = {c.name: j for j, c in enumerate(columns)}
         rows = len(image.null)
         return [
-            _values((table.columns[at[n]],), image.column(at[n]), data) if n in at else pa.nulls(rows, _VALUE)
+            _values((columns[at[n]],), image.column(at[n]), data) if n in at else pa.nulls(rows, _VALUE)
             for n in self.wanted
         ]
 
 
-def _concat(parts: list[_Image], keep: np.ndarray) -> _Image:
-    image = _Image(0, 0)
-    for name in ("null", "bits", "start", "size"):
-        setattr(image, name, np.concatenate([getattr(p, name) for p in parts])[keep])
-    return image
-
-
-def _result(batch, keep, layout, events, row_no, op, table, arrays, error) -> pa.RecordBatch:
-    n = len(events)
-    same = lambda v: pa.array([v], pa.string()).take(pa.array(np.zeros(n, np.int32)))
-    columns = [batch.column(k).take(pa.array(events)) for k in keep] + [
-        pa.array(row_no, pa.int32()), same(op), same(table and table.schema), same(table and table.table),
-        *arrays, pa.array(error, pa.string()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=[*keep, "row_no", "op", "schema", "table", *layout.names, "error"])
-
-
-def _unusable(batch, keep, layout, events, op, table, why) -> pa.RecordBatch:
-    n = len(events)
-    nothing = [pa.nulls(n, t) for t in layout.types]
-    return _result(batch, keep, layout, events, np.zeros(n, np.int32), op, table, nothing, why)
-
-
-def _decode_group(batch, keep, layout, data, pos, end, events, op, extras, table) -> Iterator[pa.RecordBatch]:
-    unknown = [f"{c.name} ({c.type_name})" for c in table.columns if c.definition is None]
+@dataclass
+class _Events:
+    """Rows of a batch that decode together, with the names of their tables."""
+
+    batch: pa.RecordBatch
+    keep: list[str]
+    layout: _Envelope | _Flat
+    rows: np.ndarray
+    op: str
+    schemas: pa.Array
+    tables: pa.Array
+
+    def result(self, which: np.ndarray, row_no, arrays, error) -> pa.RecordBatch:
+        at = pa.array(which)
+        rows = pa.array(self.rows[which])
+        columns = [self.batch.column(k).take(rows) for k in self.keep] + [
+            pa.array(row_no, pa.int32()), pa.nulls(len(which), pa.string()).fill_null(self.op),
+            self.schemas.take(at), self.tables.take(at), *arrays, pa.array(error, pa.string()),
+        ]
+        names = [*self.keep, "row_no", "op", "schema", "table", *self.layout.names, "error"]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def unusable(self, which: np.ndarray, why: list[str]) -> pa.RecordBatch:
+        n = len(which)
+        return self.result(which, np.zeros(n, np.int32), [pa.nulls(n, t) for t in self.layout.types], why)
+
+
+def _decode_group(group: _Group, events: _Events, extras: bool) -> Iterator[pa.RecordBatch]:
+    every = np.arange(len(events.rows))
+    unknown = [f"{c.name} ({c.type_name})" for c in group.columns if c.definition is None]
     if unknown:
-        why = ["unsupported column type: " + ", ".join(unknown)] * len(events)
-        yield _unusable(batch, keep, layout, events, op, table, why)
+        yield events.unusable(every, ["unsupported column type: " + ", ".join(unknown)] * len(every))
         return
-    images = 2 if op == "update" else 1
-    group = _Group(data, pos, end, table)
+    images = 2 if events.op == "update" else 1
     group.open(extras, images)
-    found = group.rows(images)
+    of_event, number, starts = group.row_starts(images)
     bad = np.flatnonzero(group.error != None)  # noqa: E711
     if len(bad):
-        yield _unusable(batch, keep, layout, events[bad], op, table, group.error[bad].tolist())
-    if not found or not layout.wants(op):
-        return
-    of_event = np.concatenate([f[0] for f in found])
-    good = np.flatnonzero(group.error[of_event] == None)  # noqa: E711
-    if not len(good):
+        yield events.unusable(bad, group.error[bad].tolist())
+    if not len(starts) or not events.layout.wants(events.op):
         return
-    row_no = np.concatenate([f[1] for f in found])[good]
-    text = np.concatenate([data, *group.scratch])
-    whole = [_concat([f[2][i] for f in found], good) for i in range(images)]
-    arrays = layout.arrays(op, table, whole, text)
-    yield _result(batch, keep, layout, events[of_event[good]], row_no, op, table, arrays, pa.nulls(len(good), pa.string()))
+    whole = [group.read(starts[i::images]) for i in range(images)]
+    text = np.concatenate([group.data, *group.scratch]) if group.scratch else group.data
+    arrays = events.layout.arrays(events.op, group.columns, whole, text)
+    rows = of_event[::images]
+    yield events.result(rows, number[::images] // images, arrays, pa.nulls(len(rows), pa.string()))
 
 
 def _op(event_type: int) -> str:
     return "update" if event_type in UPDATES else "delete" if event_type in DELETES else "insert"
 
 
-def _decode_batch(
-    batch: pa.RecordBatch, keep: list[str], layout: _Envelope | _Flat, parsed: dict[bytes, TableMap]
-) -> Iterator[pa.RecordBatch]:
-    body = batch.column("body")
-    offsets = np.frombuffer(body.buffers()[1], np.int32)[body.offset : body.offset + len(body) + 1].astype(np.int64)
+def _body_bytes(body: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column and the offsets of its values, whichever
+    width of offsets the session asks of Arrow."""
+    wide = pa.types.is_large_binary(body.type)
+    offsets = np.frombuffer(body.buffers()[1], np.int64 if wide else np.int32)
     raw = body.buffers()[2]
     whole = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+    return whole, offsets[body.offset : body.offset + len(body) + 1].astype(np.int64)
+
+
+def _parsed(body: bytes, parsed: dict[bytes, TableMap | str]) -> TableMap | str:
+    """A table map, or why it cannot be read; each distinct body once per task."""
+    if body not in parsed:
+        try:
+            parsed[body] = parse_table_map(body)
+        except ValueError as e:
+            parsed[body] = str(e)
+    return parsed[body]
+
+
+def _decode_batch(
+    batch: pa.RecordBatch, keep: list[str], layout: _Envelope | _Flat, parsed: dict[bytes, TableMap | str]
+) -> Iterator[pa.RecordBatch]:
+    whole, offsets = _body_bytes(batch.column("body"))
     coded = batch.column("table_map").dictionary_encode()
-    maps = coded.dictionary.to_pylist()
+    maps = [_parsed(m, parsed) for m in coded.dictionary.to_pylist()]
+    named = [m if isinstance(m, TableMap) else None for m in maps]
     code = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    # tables with equal columns decode together; what cannot be read, by reason
+    alike: dict[object, int] = {}
+    kinds = [alike.setdefault(m.columns if isinstance(m, TableMap) else m, len(alike)) for m in maps]
+    kind = np.array([*kinds, -1], np.int64)[code]
     types = batch.column("event_type").to_numpy(zero_copy_only=False)
-    # 0 insert, 1 update, 2 delete; events of one layout decode together.
+    # 0 insert, 1 update, 2 delete; events of one shape decode together.
     shape = np.isin(types, UPDATES) + 2 * np.isin(types, DELETES) + 3 * np.isin(types, WITH_EXTRAS)
     chunk = (offsets[:-1] - offsets[0]) // CHUNK_BYTES
-    order = np.lexsort((shape, code, chunk))
-    key = np.stack([chunk, code, shape], axis=1)[order]
+    order = np.lexsort((shape, kind, chunk))
+    key = np.stack([chunk, kind, shape], axis=1)[order]
     cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-    for events in np.split(order, cuts):
-        event_type, which = int(types[events[0]]), int(code[events[0]])
-        op = _op(event_type)
-        if which < 0:
-            yield _unusable(batch, keep, layout, events, op, None, ["no table map before the row event"] * len(events))
-            continue
-        try:
-            table = parsed.get(maps[which]) or parsed.setdefault(maps[which], parse_table_map(maps[which]))
-        except ValueError as e:
-            yield _unusable(batch, keep, layout, events, op, None, [str(e)] * len(events))
+    schemas = pa.array([*(m and m.schema for m in named), None], pa.string())
+    tables = pa.array([*(m and m.table for m in named), None], pa.string())
+    for rows in np.split(order, cuts) if len(order) else ():
+        event_type, which = int(types[rows[0]]), int(code[rows[0]])
+        at = pa.array(np.where(code[rows] < 0, len(maps), code[rows]))
+        events = _Events(batch, keep, layout, rows, _op(event_type), schemas.take(at), tables.take(at))
+        table = maps[which] if which >= 0 else "no table map before the row event"
+        if isinstance(table, str):
+            yield events.unusable(np.arange(len(rows)), [table] * len(rows))
             continue
-        low, high = offsets[events].min(), offsets[events + 1].max()
-        yield from _decode_group(
-            batch, keep, layout, whole[low:high], offsets[events] - low, offsets[events + 1] - low,
-            events, op, event_type in WITH_EXTRAS, table,
-        )
+        size = offsets[rows + 1] - offsets[rows]
+        ends = np.cumsum(size)
+        data = whole[np.repeat(offsets[rows] - (ends - size), size) + np.arange(ends[-1])]
+        yield from _decode_group(_Group(data, ends - size, ends, table.columns), events, event_type in WITH_EXTRAS)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
