@@ -93,7 +93,8 @@ def wal_capture(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataFram
     ]
     if bad:
         frames += [(416, "w", k % 997 == 0, F.lit("{bad")), (420, "w", k % 499 == 0, F.lit('{"action":"Z"}')),
-                   (424, "w", k % 251 == 0, F.lit('{"action":"I","schema":"public","table":"orders"}'))]
+                   (424, "w", k % 251 == 0, F.lit('{"action":"I","schema":"public","table":"orders"}')),
+                   (428, "w", k % 307 == 0, _message("I", "public.orders", [key, ("total", "numeric(60,2)", F.lit("1" * 45 + ".25"))]))]
     base = F.lit(16777216) + 1024 * k
     entries = F.filter(F.array(*[
         F.when(when, F.struct(F.lit(kind).alias("kind"), F.lit(offset).alias("offset"), message.alias("message")))
@@ -155,9 +156,15 @@ def packet(event_type: int, body: bytes, timestamp: int = 0, position: int = 0,
 
 
 def rotate(file: str, position: int = 4) -> bytes:
+    """Sent ahead of a file; it has no position of its own."""
     return packet(ROTATE, struct.pack("<Q", position) + file.encode(), flags=32)
 
 
+def last_rotate(file: str, stamp: int, at: int) -> bytes:
+    """Ends a file and names the next."""
+    return packet(ROTATE, struct.pack("<Q", 4) + file.encode(), stamp, at)
+
+
 def format_description(created: int) -> bytes:
     body = struct.pack("<H50sIB", 4, b"8.0.36-fixture", created, 19) + bytes(range(38))
     return packet(FORMAT, body, created)
@@ -293,7 +300,7 @@ def _order_packets(r, bad: bool) -> Iterator[tuple[int, bytes]]:
     columns = ORDERS_B if number % 2 else ORDERS_A
     version = {1: 1, 2: 0}.get(k % 4, 2)
     if place == 0:
-        yield 0, rotate(file_name(number))
+        yield 0, rotate(file_name(number), 4 + (number % 2 << 32))
         yield 1, format_description(stamp)
         yield 2, packet(35, b"\0" * 8, stamp, at(2))
     marker = (33, b"\0" * 25) if k % 2 == 0 else (34, struct.pack("<Q", k))
@@ -321,6 +328,8 @@ def _order_packets(r, bad: bool) -> Iterator[tuple[int, bytes]]:
         yield 9, packet(TABLE_MAP, table, stamp, at(9))
         yield 10, packet(ROW_TYPES["D"][version], rows_body(100, version, columns, [row]), stamp, at(10))
     yield 11, packet(XID, struct.pack("<Q", k), stamp, at(11))
+    if place == ORDERS_PER_FILE - 1:
+        yield 18, last_rotate(file_name(number + 1), stamp, at(18))
     if bad and k % 997 == 0:
         yield 12, packet(XID, struct.pack("<Q", k), stamp, at(12))[:-3]
     if bad and k % 499 == 0:

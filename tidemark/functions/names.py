@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Binlog event types by code, 0 to 35.
+# Binlog event types by code, 0 to 42.
 EVENT_TYPES = """
 UNKNOWN_EVENT START_EVENT_V3 QUERY_EVENT STOP_EVENT ROTATE_EVENT INTVAR_EVENT
 LOAD_EVENT SLAVE_EVENT CREATE_FILE_EVENT APPEND_BLOCK_EVENT EXEC_LOAD_EVENT
@@ -17,6 +17,9 @@ UPDATE_ROWS_EVENTV0 DELETE_ROWS_EVENTV0 WRITE_ROWS_EVENTV1
 UPDATE_ROWS_EVENTV1 DELETE_ROWS_EVENTV1 INCIDENT_EVENT HEARTBEAT_EVENT
 IGNORABLE_EVENT ROWS_QUERY_EVENT WRITE_ROWS_EVENTV2 UPDATE_ROWS_EVENTV2
 DELETE_ROWS_EVENTV2 GTID_EVENT ANONYMOUS_GTID_EVENT PREVIOUS_GTIDS_EVENT
+TRANSACTION_CONTEXT_EVENT VIEW_CHANGE_EVENT XA_PREPARE_LOG_EVENT
+PARTIAL_UPDATE_ROWS_EVENT TRANSACTION_PAYLOAD_EVENT HEARTBEAT_LOG_EVENT_V2
+GTID_TAGGED_LOG_EVENT
 """.split()
 
 # Character set id, name, default collation.

@@ -15,8 +15,8 @@ def pg_clock(clock_us: Column) -> Column:
 
 def parse_wal_cursor(text: Column) -> Column:
     """``<timeline>/<hex lsn>`` as ``struct(tid, lsn)``; null if malformed."""
-    ok = text.rlike(r"^-?[0-9]{1,3}/[0-9A-Fa-f]{1,16}$")
-    tid = F.split_part(text, F.lit("/"), F.lit(1)).try_cast("tinyint")
+    ok = text.rlike(r"^-?[0-9]{1,10}/[0-9A-Fa-f]{1,16}$")
+    tid = F.split_part(text, F.lit("/"), F.lit(1)).try_cast("int")
     lsn = F.conv(F.split_part(text, F.lit("/"), F.lit(2)), 16, -10).cast("bigint")
     return F.when(ok & tid.isNotNull(), F.struct(tid.alias("tid"), lsn.alias("lsn")))
 
@@ -41,11 +41,11 @@ def format_lsn(lsn: Column) -> Column:
 
 def parse_binlog_cursor(text: Column) -> Column:
     """``<file>/<position>`` as ``struct(log_file, log_position)``; null if malformed."""
-    ok = text.rlike(r"^[^/]*/[0-9]{1,10}$")
+    ok = text.rlike(r"^[^/]*/[0-9]{1,19}$")
     file = F.split_part(text, F.lit("/"), F.lit(1))
     position = F.split_part(text, F.lit("/"), F.lit(2)).try_cast("bigint")
     return F.when(
-        ok & (position < (1 << 32)),
+        ok & position.isNotNull(),
         F.struct(file.alias("log_file"), position.alias("log_position")),
     )
 

@@ -27,18 +27,14 @@ SHUFFLE_SPLIT = 64
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the session names. Only a local
-    session, as in tests, may fall back to a temporary folder."""
+    """Reliable checkpoint in the folder the session names; without one, kept by
+    the executors and computed again if one is lost."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="tidemark-")
+            return df.persist()
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 

@@ -95,11 +95,11 @@ def with_names(events: DataFrame) -> DataFrame:
 
 
 def with_rotate_fields(events: DataFrame) -> DataFrame:
-    """Add ``next_log_position`` (32 bits are kept) and ``next_log_file``; null
-    on every event that is not a rotate."""
+    """Add ``next_log_position`` and ``next_log_file``; null on every event that
+    is not a rotate."""
     is_rotate = F.col("event_type") == names.ROTATE
     body = F.col("body")
-    return events.withColumn("next_log_position", F.when(is_rotate, int_le(body, 1, 4))).withColumn(
+    return events.withColumn("next_log_position", F.when(is_rotate, int_le(body, 1, 8))).withColumn(
         "next_log_file", F.when(is_rotate, utf8(slice_bytes(body, 9, F.length(body) - 8)))
     )
 
@@ -191,13 +191,17 @@ def row_event_headers(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
 
 def log_states(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
     """What later events depend on, as ``source, table_id, seq, state``: table
-    map bodies, and under table id ``FILE_STATE`` the file names of rotates."""
+    map bodies, and under table id ``FILE_STATE`` the file names of rotates.
+
+    A rotate with a position of its own ends its file and still belongs to it, so
+    the next file starts one after it; one without is sent ahead of a file."""
     events = headers(capture, "skip", checksum_len, [names.TABLE_MAP, names.ROTATE])
     body, is_rotate = F.col("body"), F.col("event_type") == names.ROTATE
+    ends_file = is_rotate & (F.col("log_position") > 0)
     return events.select(
         "source",
         F.when(is_rotate, F.lit(FILE_STATE).cast("bigint")).otherwise(table_id(body)).alias("table_id"),
-        "seq",
+        (F.col("seq") + ends_file.cast("bigint")).alias("seq"),
         F.when(is_rotate, slice_bytes(body, 9, F.length(body) - 8)).otherwise(body).alias("state"),
     )
 

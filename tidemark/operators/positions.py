@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.names import DELETES, ROTATE, TABLE_MAP, UPDATES, XID
 from tidemark.functions.positions import binlog_order, file_number
+from tidemark.operators import binlog
+
+# seq read back from the end of a source at first.
+TAIL = 1 << 12
 
 
 def _any(conditions):
@@ -67,29 +71,52 @@ def wal_timeline(capture: DataFrame, initial_tid: int = 1) -> DataFrame:
     )
 
 
-def after_binlog_cursor(events: DataFrame, files: DataFrame, cursors: dict[str, tuple[str, int]]) -> DataFrame:
-    """Events past ``(file, position)`` per source.
+def _seq_bounds(files: DataFrame, cursors: dict[str, tuple[str, int]], compare) -> dict[str, int]:
+    """Per named source, the first ``seq`` of the file intervals whose number
+    compares to the cursor's; one small aggregate over all of them."""
+    mine = [
+        F.when((F.col("source") == source) & compare(file_number(F.col("log_file")), file_number(F.lit(log_file))), True)
+        for source, (log_file, _) in cursors.items()
+    ]
+    if not mine:
+        return {}
+    found = files.filter(F.coalesce(*mine, F.lit(False))).groupBy("source").agg(F.min("lo").alias("lo")).collect()
+    return {r["source"]: r["lo"] for r in found}
 
-    ``events`` carry ``log_file`` (see ``with_log_file``) and ``files`` are the
-    materialised file intervals. A header position is the event's end, so the
-    comparison is strict. The first interval that can qualify bounds ``seq``
-    as a literal, which lets the scan skip everything older.
-    """
-    keep = []
-    for source, (log_file, position) in cursors.items():
-        mine = files.filter(F.col("source") == source)
-        later = file_number(F.col("log_file")) >= file_number(F.lit(log_file))
-        first = mine.filter(later).agg(F.min("lo")).first()[0]
-        if first is None:
-            continue
-        reached = _event_end() > _target(log_file, position)
-        keep.append((F.col("source") == source) & (F.col("seq") >= first) & reached)
+
+def packets_after(capture: DataFrame, files: DataFrame, cursors: dict[str, tuple[str, int]]) -> DataFrame:
+    """Packets of each source from the start of its cursor's file on, by ``seq``
+    bounds that a scan takes over. ``files`` are the materialised file intervals;
+    ``after_binlog_cursor`` then compares positions."""
+    bounds = _seq_bounds(files, cursors, lambda number, target: number >= target)
+    mine = [(F.col("source") == source) & (F.col("seq") >= lo) for source, lo in bounds.items()]
+    return capture.filter(_any(mine) | ~F.col("source").isin(list(cursors)))
+
+
+def packets_until(capture: DataFrame, files: DataFrame, targets: dict[str, tuple[str, int]]) -> DataFrame:
+    """Packets of each source up to the end of its target's file, likewise."""
+    bounds = _seq_bounds(files, targets, lambda number, target: number > target)
+    mine = [
+        (F.col("source") == source) & (F.col("seq") < bounds[source]) if source in bounds else F.col("source") == source
+        for source in targets
+    ]
+    return capture.filter(_any(mine) | ~F.col("source").isin(list(targets)))
+
+
+def after_binlog_cursor(events: DataFrame, cursors: dict[str, tuple[str, int]]) -> DataFrame:
+    """Events past ``(file, position)`` per source; ``events`` carry ``log_file``
+    (see ``with_log_file``). A header position is the event's end, so the
+    comparison is strict. ``packets_after`` keeps older packets from being read."""
+    keep = [
+        (F.col("source") == source) & (_event_end() > _target(log_file, position))
+        for source, (log_file, position) in cursors.items()
+    ]
     return events.filter(_any(keep) | ~F.col("source").isin(list(cursors)))
 
 
 def until_binlog_cursor(events: DataFrame, targets: dict[str, tuple[str, int]]) -> DataFrame:
     """Events up to and including ``(file, position)`` per source; ``events``
-    carry ``log_file``."""
+    carry ``log_file``. ``packets_until`` keeps later packets from being read."""
     keep = [
         (F.col("source") == source) & (_event_end() <= _target(log_file, position))
         for source, (log_file, position) in targets.items()
@@ -129,11 +156,28 @@ def binlog_progress(events: DataFrame) -> DataFrame:
     )
 
 
-def latest_binlog_cursor(events: DataFrame) -> DataFrame:
-    """File and end position of the last event of each source."""
-    rotates = F.col("event_type") == ROTATE
-    position = F.when(rotates, F.col("next_log_position")).otherwise(F.col("log_position"))
-    return events.groupBy("source").agg(
-        F.max_by("next_log_file", F.when(rotates, F.col("seq"))).alias("log_file"),
-        F.max_by(position, "seq").alias("log_position"),
-    )
+def latest_binlog_cursor(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
+    """File and end position of the last event of each source.
+
+    The ends of the sources come from two narrow columns. Only their tails are
+    then read, further back where a tail holds no rotate to name the file.
+    """
+    ends = capture.groupBy("source").agg(F.min("seq").alias("first"), F.max("seq").alias("last")).collect()
+    found = None
+    reach, open_ends = TAIL, {r["source"]: (r["first"], r["last"]) for r in ends if r["last"] is not None}
+    while open_ends:
+        tails = [(F.col("source") == s) & (F.col("seq") > last - reach) for s, (_, last) in open_ends.items()]
+        events = binlog.with_rotate_fields(binlog.headers(capture.filter(_any(tails)), "skip", checksum_len))
+        rotates = F.col("event_type") == ROTATE
+        position = F.when(rotates, F.col("next_log_position")).otherwise(F.col("log_position"))
+        rows = events.groupBy("source").agg(
+            F.max_by("next_log_file", F.when(rotates, F.col("seq"))).alias("log_file"),
+            F.max_by(position, "seq").alias("log_position"),
+        ).collect()
+        # a source is done once its file is known or all of it was read
+        whole = {s for s, (first, last) in open_ends.items() if first > last - reach}
+        done = [tuple(r) for r in rows if r["log_file"] is not None or r["source"] in whole]
+        found = [*(found or []), *done]
+        open_ends = {s: e for s, e in open_ends.items() if s not in whole and s not in {d[0] for d in done}}
+        reach *= 16
+    return capture.sparkSession.createDataFrame(found or [], "source STRING, log_file STRING, log_position BIGINT")

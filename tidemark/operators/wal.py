@@ -9,7 +9,8 @@ from tidemark.functions.positions import pg_clock
 from tidemark.operators.errors import apply_on_error
 
 _COLUMNS = "ARRAY<STRUCT<name: STRING, type: STRING, value: VARIANT>>"
-# VARIANT keeps numbers exact: STRING would print them through a double.
+# VARIANT keeps numbers of up to 38 digits exact and rounds longer ones to a
+# double, which no shorter one becomes; those are set aside.
 MESSAGE = (
     f"action STRING, `schema` STRING, `table` STRING, columns {_COLUMNS}, identity {_COLUMNS}, "
     "transactional BOOLEAN, prefix STRING, content STRING, malformed STRING"
@@ -25,6 +26,10 @@ def _message_error(m: Column) -> Column:
     action = m["action"]
     missing = lambda *names: F.greatest(*[m[n].isNull() for n in names])
     unnamed = lambda c: F.exists(F.coalesce(m[c], F.array()), lambda x: x["name"].isNull() | x["type"].isNull())
+    rounded = lambda c: F.exists(
+        F.coalesce(m[c], F.array()),
+        lambda x: x["type"].startswith("numeric") & (F.schema_of_variant(x["value"]) == "DOUBLE"),
+    )
     return (
         F.when(m.isNull() | m["malformed"].isNotNull(), "malformed JSON")
         .when(action.isNull(), "missing action")
@@ -34,6 +39,7 @@ def _message_error(m: Column) -> Column:
         .when(action.isin("U", "D") & m["identity"].isNull(), "missing identity")
         .when((action == "M") & missing("transactional", "prefix", "content"), "missing message fields")
         .when(unnamed("columns") | unnamed("identity"), "column without name or type")
+        .when(rounded("columns") | rounded("identity"), "numeric of more than 38 digits")
     )
 
 
