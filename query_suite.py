@@ -470,6 +470,31 @@ def asof_table_map(spark, sf):
     return events.select("source", "seq", "op", "schema", "table", "map_seq")
 
 
+@query("asof_large_state", f"""WITH {ORDERS}, s AS (SELECT 'dense' AS source, o_custkey AS table_id, k * 3 AS seq, o_orderstatus AS v FROM o
+       UNION ALL SELECT 'wide', o_custkey, k * 3000000000, o_orderpriority FROM o),
+       e AS (SELECT source, table_id, seq + u.d AS seq FROM s, (VALUES (0), (1)) u(d)
+       UNION ALL SELECT source, table_id, 0 FROM s GROUP BY ALL HAVING min(seq) > 0)
+       SELECT e.source, e.table_id, e.seq, s.v AS state FROM e ASOF LEFT JOIN s
+       ON e.source = s.source AND e.table_id = s.table_id AND e.seq >= s.seq""")
+def asof_large_state(spark, sf):
+    """As many keys as customers, many intervals each, over two scales of seq: the
+    join that shuffles."""
+    orders = fixtures.orders(spark, sf)
+
+    def states(source, scale, state):
+        return orders.select(
+            F.lit(source).alias("source"), F.col("o_custkey").alias("table_id"),
+            (F.col("k") * scale).alias("seq"), F.encode(state, "UTF-8").alias("state"),
+        )
+
+    both = states("dense", 3, "o_orderstatus").unionByName(states("wide", 3_000_000_000, "o_orderpriority"))
+    keys = ["source", "table_id"]
+    iv = asof.measured(asof.intervals(asof.change_points(both, keys, "state"), keys, ["state"]), keys, ["state"])
+    events = both.select(*keys, F.explode(F.array("seq", F.col("seq") + 1)).alias("seq"))
+    early = both.groupBy(*keys).agg(F.min("seq").alias("first")).filter("first > 0").select(*keys, F.lit(0).cast("bigint").alias("seq"))
+    return asof.asof_join(events.unionByName(early), iv, shuffle=True).withColumn("state", F.col("state").cast("string"))
+
+
 @query("log_file_asof", f"WITH {BINLOG} SELECT source, seq, type AS event_type, log_file FROM ev")
 def log_file_asof(spark, sf):
     capture, state = binlog_state(spark, sf)

@@ -66,7 +66,17 @@ def test_size_check_picks_the_shuffled_join(spark, monkeypatch):
     assert iv.fits_broadcast
     monkeypatch.setattr(asof, "BROADCAST_ROWS", 10)
     assert not iv.fits_broadcast
-    assert asof.asof_join(left, iv).filter(F.col("state").isNotNull()).count() > 0
+    plain, shuffled = (asof.asof_join(left, iv, s) for s in (False, None))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, shuffled.collect()))
+    assert "BroadcastExchange" not in shuffled._jdf.queryExecution().optimizedPlan().toString()
+    # a dense source next to one with far larger positions: buckets fit each
+    rows = [("s", 1, q, bytes([q % 251])) for q in range(1, 1001)] + [("t", 1, q * 10**12, bytes([q % 251])) for q in range(1, 1001)]
+    two = spark.createDataFrame(rows, "source STRING, table_id BIGINT, seq BIGINT, state BINARY")
+    wide = asof.measured(asof.intervals(two, keys, ["state"]), keys, ["state"])
+    assert wide.past.groupBy(*keys, "_bucket").count().agg(F.max("count")).first()[0] <= 4
+    assert wide.past.count() <= 3 * len(rows)
+    at = two.select("source", "table_id", F.col("seq"), F.col("state").alias("own"))
+    assert asof.asof_join(at, wide, True).filter("own = state").count() == len(rows)
 
 
 def test_row_events_are_not_shuffled(spark, sf):

@@ -7,7 +7,8 @@ between change points without being sorted or windowed.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -21,9 +22,12 @@ BROADCAST_ROWS = 500_000
 # log2 of the seq ranges over which repeats are collapsed, smallest first.
 COLLAPSE_BITS = (20, 32)
 
-# Buckets per interval, on average, in the shuffled join: enough to spread one
-# hot key over many tasks.
-SHUFFLE_SPLIT = 64
+# Buckets without intervals over which a shuffled join spreads settled events.
+SPREAD = 4096
+
+# Stands for a payload kept apart from its intervals.
+DIGEST = "_digest"
+TABLE_ID_BYTES = 6
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -75,10 +79,8 @@ def change_points(states: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
     mixed = marked.filter("_mixed").select(*keys, "_b").distinct()
     points = marked.filter("NOT _mixed").select(*keys, "seq", value)
-    mixed_count = mixed.count()
-    if mixed_count:
-        wanted = F.broadcast(mixed) if mixed_count <= BROADCAST_ROWS else mixed
-        again = states.withColumn("_b", _bucket(bits)).join(wanted, keys + ["_b"], "left_semi")
+    if not mixed.isEmpty():
+        again = states.withColumn("_b", _bucket(bits)).join(mixed, keys + ["_b"], "left_semi")
         points = points.unionByName(_drop_repeats(again.drop("_b"), keys, value, _bucket(bits)))
     for bits in COLLAPSE_BITS[1:]:
         points = _drop_repeats(points, keys, value, _bucket(bits))
@@ -88,7 +90,11 @@ def change_points(states: DataFrame, keys: list[str], value: str) -> DataFrame:
 @dataclass
 class Intervals:
     """Materialised intervals ``keys, lo, hi, <payload>``; ``hi`` is null on the
-    open last one. The sizes are measured and decide how they are joined."""
+    open last one. The sizes are measured and decide how they are joined.
+
+    A large payload is kept once per distinct value: the intervals then carry its
+    ``DIGEST`` and ``values`` leads from that to the ``value_columns``.
+    """
 
     df: DataFrame
     keys: list[str]
@@ -96,12 +102,58 @@ class Intervals:
     rows: int
     closed: int
     bytes: int
+    values: DataFrame | None = None
+    value_columns: tuple[str, ...] = ()
+    value_rows: int = 0
+    value_bytes: int = 0
 
     @property
     def fits_broadcast(self) -> bool:
         # Two copies of a closed interval can span a bucket border.
         return 3 * self.rows <= BROADCAST_ROWS and 3 * self.bytes <= BROADCAST_BYTES
 
+    @property
+    def values_fit_broadcast(self) -> bool:
+        return self.value_rows <= BROADCAST_ROWS and self.value_bytes <= BROADCAST_BYTES
+
+    @property
+    def columns(self) -> list[str]:
+        """What the as-of join adds."""
+        return [*self.value_columns, *(c for c in self.payload if c != DIGEST)]
+
+    def whole(self) -> DataFrame:
+        """The intervals with their values in place of digests."""
+        if self.values is None:
+            return self.df
+        hint = F.broadcast if self.values_fit_broadcast else lambda df: df
+        return self.df.join(hint(self.values), DIGEST, "left").drop(DIGEST)
+
+    @cached_property
+    def tails(self) -> DataFrame:
+        """Per key its open interval, and the bits to drop from ``seq`` so that a
+        bucket is about as wide as the key's mean closed interval."""
+        span = F.sum((F.col("hi") - F.col("lo")).cast("double"))
+        ratio = F.greatest(F.lit(1.0), span / F.greatest(F.count("hi"), F.lit(1)))
+        return materialise(
+            self.df.groupBy(*self.keys).agg(
+                F.max("lo").alias("_open"),
+                F.max_by(F.struct(*self.payload), "lo").alias("_tail"),
+                F.coalesce(F.ceil(F.log2(ratio)).cast("int"), F.lit(0)).alias("_shift"),
+            )
+        )
+
+    @cached_property
+    def past(self) -> DataFrame:
+        """The closed intervals, once per bucket they touch: about two buckets
+        each on average, as a key's buckets are as many as its intervals."""
+        shr = lambda c: F.expr(f"shiftright({c}, _shift)")
+        closed = self.df.filter("hi IS NOT NULL").join(self.tails.select(*self.keys, "_shift"), self.keys)
+        return materialise(
+            closed.withColumn("_bucket", F.explode(F.sequence(shr("lo"), shr("hi - 1")))).select(
+                *self.keys, "_bucket", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.struct(*self.payload).alias("_past")
+            )
+        )
+
 
 def intervals(points: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
     """Change points as intervals ``keys, lo, hi, <payload>``, materialised."""
@@ -111,86 +163,56 @@ def intervals(points: DataFrame, keys: list[str], payload: list[str]) -> DataFra
     )
 
 
+def _width(columns: list[str]):
+    return sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns), F.lit(64))
+
+
 def measured(df: DataFrame, keys: list[str], payload: list[str]) -> Intervals:
     """Intervals with the sizes that decide how they are joined."""
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in payload), F.lit(64))
-    rows, closed, size = df.agg(F.count("*"), F.count("hi"), F.coalesce(F.sum(width), F.lit(0))).first()
+    rows, closed, size = df.agg(F.count("*"), F.count("hi"), F.coalesce(F.sum(_width(payload)), F.lit(0))).first()
     return Intervals(df, keys, payload, rows, closed, size)
 
 
-def _shift(span, count):
-    """Bits to drop from seq so that buckets are about as wide as an interval."""
-    ratio = F.greatest(F.lit(1.0), span.cast("double") / F.greatest(count, F.lit(1)))
-    return F.ceil(F.log2(ratio)).cast("int")
+def with_values(iv: Intervals, values: DataFrame) -> Intervals:
+    """Intervals of digests with the values they stand for, measured."""
+    columns = [c for c in values.columns if c != DIGEST]
+    rows, size = values.agg(F.count("*"), F.coalesce(F.sum(_width(columns)), F.lit(0))).first()
+    return replace(iv, values=values, value_columns=tuple(columns), value_rows=rows, value_bytes=size)
 
 
-def _by_bucket(closed: DataFrame, shift, keys: list[str]) -> DataFrame:
-    """One row per bucket an interval touches."""
-    shr = lambda c: F.expr(f"shiftright({c}, _shift)")
-    return closed.withColumn("_shift", shift).withColumn(
-        "_bucket", F.explode(F.sequence(shr("lo"), shr("hi - 1")))
-    )
-
+def _found(events: DataFrame, iv: Intervals, shuffle: bool) -> DataFrame:
+    """Events with ``_state``, the payload in force. One lookup finds a key's open
+    interval; events before it do a second one in the bucket of their seq, whose
+    width is set per key, so neither a dense key nor a long one is scanned through.
 
-def _broadcast_asof(events: DataFrame, iv: Intervals) -> DataFrame:
-    """No shuffle. One lookup finds a key's open interval; events before it do
-    a second one in the bucket of their seq, whose width is set per key from
-    the mean interval, so a key with many intervals is not scanned through."""
-    struct = F.struct(*iv.payload)
-    tails = (
-        iv.df.groupBy(*iv.keys)
-        .agg(
-            F.max("lo").alias("_open"),
-            F.max_by(struct, "lo").alias("_tail"),
-            F.count("hi").alias("_closed"),
-            F.sum((F.col("hi") - F.col("lo")).cast("double")).alias("_span"),
-        )
-        .select(*iv.keys, "_open", "_tail", _shift(F.col("_span"), F.col("_closed")).alias("_shift"))
-    )
-    tails = tails.withColumn("_shift", F.coalesce("_shift", F.lit(0)))
-    out = events.join(F.broadcast(tails), iv.keys, "left")
-    found = F.when(F.col("seq") >= F.col("_open"), F.col("_tail"))
+    Both lookups are broadcast, or else both shuffle. A shuffled bucket holds
+    a few intervals' events, and events that the first lookup settled are spread
+    over buckets that match nothing.
+    """
+    hint = (lambda df: df) if shuffle else F.broadcast
+    out = events.join(hint(iv.tails), iv.keys, "left")
+    settled = F.col("_open").isNull() | (F.col("seq") >= F.col("_open"))
+    state = F.when(F.col("seq") >= F.col("_open"), F.col("_tail"))
     if not iv.closed:
-        return out.withColumn("_state", found).drop("_open", "_tail", "_shift")
-    closed = iv.df.filter("hi IS NOT NULL").join(tails.select(*iv.keys, "_shift"), iv.keys)
-    closed = _by_bucket(closed, F.col("_shift"), iv.keys).select(
-        *iv.keys, "_bucket", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), struct.alias("_past")
-    )
-    out = out.withColumn("_bucket", F.expr("IF(seq < _open, shiftright(seq, _shift), NULL)"))
-    e, c = out.alias("e"), F.broadcast(closed).alias("c")
-    match = [F.col(f"e.{k}") == F.col(f"c.{k}") for k in iv.keys + ["_bucket"]]
-    out = e.join(c, [*match, F.col("e.seq") >= F.col("c._lo"), F.col("e.seq") < F.col("c._hi")], "left")
-    return out.select(
-        "e.*", F.coalesce(F.when(F.col("e.seq") >= F.col("e._open"), F.col("e._tail")), F.col("c._past")).alias("_state")
-    ).drop("_open", "_tail", "_shift", "_bucket")
-
-
-def _shuffled_asof(events: DataFrame, iv: Intervals) -> DataFrame:
-    """For intervals too large to broadcast: an equi-join on keys and seq
-    bucket, so a hot key is spread over its buckets."""
-    last = events.agg(F.max("seq")).first()[0] or 0
-    ends = F.coalesce(F.col("hi"), F.greatest(F.lit(last), F.col("lo")) + 1)
-    closed = iv.df.select(*iv.keys, "lo", ends.alias("hi"), *iv.payload)
-    span = closed.agg(F.sum((F.col("hi") - F.col("lo")).cast("double"))).first()[0]
-    width = max(1.0, (span or 0) / (max(iv.rows, 1) * SHUFFLE_SPLIT))
-    shift = max(0, int(width).bit_length() - 1)
-    closed = _by_bucket(closed, F.lit(shift), iv.keys).select(
-        *iv.keys, "_bucket", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
-        F.struct(*iv.payload).alias("_state"),
-    )
-    out = events.withColumn("_bucket", F.shiftright("seq", shift))
-    e, c = out.alias("e"), closed.alias("c")
+        return out.withColumn("_state", state).drop("_open", "_tail", "_shift")
+    nowhere = -1 - F.pmod(F.xxhash64("seq"), F.lit(SPREAD)) if shuffle else F.lit(None).cast("bigint")
+    out = out.withColumn("_bucket", F.when(settled, nowhere).otherwise(F.expr("shiftright(seq, _shift)")))
+    e, c = out.alias("e"), hint(iv.past).alias("c")
     match = [F.col(f"e.{k}") == F.col(f"c.{k}") for k in iv.keys + ["_bucket"]]
     joined = e.join(c, [*match, F.col("e.seq") >= F.col("c._lo"), F.col("e.seq") < F.col("c._hi")], "left")
-    return joined.select("e.*", "c._state").drop("_bucket")
+    found = F.coalesce(F.when(F.col("e.seq") >= F.col("e._open"), F.col("e._tail")), F.col("c._past"))
+    return joined.select("e.*", found.alias("_state")).drop("_open", "_tail", "_shift", "_bucket")
 
 
 def asof_join(events: DataFrame, iv: Intervals, shuffle: bool | None = None) -> DataFrame:
-    """Left as-of join on ``iv.keys`` and ``seq``: adds the payload columns,
-    null where no state came before. ``shuffle`` overrides the measured choice."""
+    """Left as-of join on ``iv.keys`` and ``seq``: adds ``iv.columns``, null where
+    no state came before. ``shuffle`` overrides the measured choice."""
     use_shuffle = not iv.fits_broadcast if shuffle is None else shuffle
-    joined = _shuffled_asof(events, iv) if use_shuffle else _broadcast_asof(events, iv)
-    return joined.select("*", *[F.col(f"_state.{c}").alias(c) for c in iv.payload]).drop("_state")
+    joined = _found(events, iv, use_shuffle).select("*", *[F.col(f"_state.{c}").alias(c) for c in iv.payload]).drop("_state")
+    if iv.values is None:
+        return joined
+    values = F.broadcast(iv.values) if iv.values_fit_broadcast else iv.values
+    return joined.join(values, DIGEST, "left").select(*events.columns, *iv.columns)
 
 
 FILE_STATE = -1  # stands in for the table id on log file intervals
@@ -198,22 +220,26 @@ FILE_STATE = -1  # stands in for the table id on log file intervals
 
 def log_state_intervals(states: DataFrame) -> tuple[Intervals, Intervals]:
     """Which table map was in force per source and table id, and which binlog
-    file per source. ``states`` holds both (see ``binlog.log_states``), so one
-    read of the capture serves the two."""
+    file per source. ``states`` holds both (see ``binlog.log_states``).
+
+    Table maps go by a digest of what follows their table id, as a server repeats
+    a map before each statement and gives a reopened table a new id. Their bodies
+    are kept once per digest.
+    """
     keys = ["source", "table_id"]
-    df = intervals(change_points(states, keys, "state"), keys, ["state"])
-    maps = df.filter(F.col("table_id") != FILE_STATE).select(
-        *keys, "lo", "hi", F.col("state").alias("table_map"), F.col("lo").alias("map_seq")
-    )
-    files = df.filter(F.col("table_id") == FILE_STATE).select(
-        "source", "lo", "hi", utf8(F.col("state")).alias("log_file")
-    )
-    return measured(maps, keys, ["table_map", "map_seq"]), measured(files, ["source"], ["log_file"])
+    is_file = F.col("table_id") == FILE_STATE
+    digest = F.unhex(F.md5(F.substring("state", TABLE_ID_BYTES + 1, 1 << 30)))
+    points = change_points(states.withColumn("state", F.when(is_file, F.col("state")).otherwise(digest)), keys, "state")
+    df = intervals(points, keys, ["state"])
+    bodies = materialise(states.filter(~is_file).groupBy(digest.alias(DIGEST)).agg(F.min("state").alias("table_map")))
+    maps = df.filter(~is_file).select(*keys, "lo", "hi", F.col("state").alias(DIGEST), F.col("lo").alias("map_seq"))
+    files = df.filter(is_file).select("source", "lo", "hi", utf8(F.col("state")).alias("log_file"))
+    return with_values(measured(maps, keys, [DIGEST, "map_seq"]), bodies), measured(files, ["source"], ["log_file"])
 
 
 def open_states(maps: Intervals, files: Intervals) -> DataFrame:
     """The states still in force, in the shape of ``states`` above."""
-    now = maps.df.filter("hi IS NULL").select("source", "table_id", F.col("lo").alias("seq"), F.col("table_map").alias("state"))
+    now = maps.whole().filter("hi IS NULL").select("source", "table_id", F.col("lo").alias("seq"), F.col("table_map").alias("state"))
     file = files.df.filter("hi IS NULL").select(
         "source", F.lit(FILE_STATE).cast("bigint").alias("table_id"), F.col("lo").alias("seq"), F.encode("log_file", "UTF-8").alias("state")
     )

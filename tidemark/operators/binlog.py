@@ -218,8 +218,10 @@ def table_map_names(body: Column) -> Column:
 
 
 def named_maps(maps: Intervals) -> Intervals:
-    """Table map intervals with ``schema`` and ``table``, read once per change
-    point instead of once per event."""
+    """Table map intervals with ``schema`` and ``table``, read once per distinct
+    map instead of once per event."""
     found = table_map_names(F.col("table_map"))
-    df = maps.df.withColumn("schema", found["schema"]).withColumn("table", found["table"])
-    return replace(maps, df=df, payload=[*maps.payload, "schema", "table"])
+    values = maps.values.withColumn("schema", found["schema"]).withColumn("table", found["table"])
+    # the names are part of the map, so twice its size is a bound
+    columns = (*maps.value_columns, "schema", "table")
+    return replace(maps, values=values, value_columns=columns, value_bytes=2 * maps.value_bytes)

@@ -30,10 +30,10 @@ def log_state(capture: DataFrame, checksum_len: int = 0) -> LogState:
 
 
 def _wanted_maps(maps: asof.Intervals, tables: list[str]) -> asof.Intervals:
-    """Table map intervals with a ``wanted`` flag, set once per change point."""
-    named = binlog.named_maps(maps)
+    """Table map intervals with a ``wanted`` flag, set once per distinct map."""
     flag = table_matches(F.col("schema"), F.col("table"), tables)
-    return replace(maps, df=named.df.withColumn("wanted", flag), payload=[*maps.payload, "wanted"])
+    values = binlog.named_maps(maps).values.withColumn("wanted", flag).drop("schema", "table")
+    return replace(maps, values=values, value_columns=(*maps.value_columns, "wanted"))
 
 
 def located_row_events(
