@@ -714,12 +714,16 @@ def packet_quarantine(spark, sf):
     return mysql.quarantined(fixtures.binlog_capture(spark, sf, bad=True)).select("seq", "error")
 
 
-@query("kafka_payload", f"""{MY_EVENTS}, {PG_EVENTS}, a AS (SELECT source, seq, row_no, op, s, tb, n FROM m UNION ALL SELECT source, seq, row_no, op, s, tb, n FROM pg)
-       SELECT '{{"schema":"' || s || '","table":"' || tb || '"}}' AS key, source, CAST(seq AS VARCHAR) AS seq, CAST(row_no AS VARCHAR) AS row_no, op,
+@query("kafka_payload", f"""{MY_EVENTS}, {PG_EVENTS}, a AS (SELECT source, seq, row_no, op, s, tb, k FROM m
+       UNION ALL SELECT source, seq, row_no, op, s, tb, CASE s WHEN 'crm' THEN (seq - 4096) // 64 ELSE (seq - 16777216) // 1024 END FROM pg)
+       SELECT '{{"schema":"' || s || '","table":"' || tb || '","key":["' || k || '"]}}' AS key, source, CAST(seq AS VARCHAR) AS seq, CAST(row_no AS VARCHAR) AS row_no, op,
        CASE WHEN op <> 'delete' THEN CASE s WHEN 'crm' THEN 'c_custkey' ELSE 'o_orderkey' END END AS first_column FROM a""")
 def kafka_payload(spark, sf):
     field = lambda path: F.get_json_object("value", path)
-    return envelope.kafka_payload(unified(spark, sf)).select(
+    _, state = binlog_state(spark, sf)
+    keys = tablemap.primary_keys(tablemap.schema_catalog(state.maps))
+    keys = keys.union(spark.createDataFrame([("public", "orders", ["o_orderkey"])], keys.schema))
+    return envelope.kafka_payload(unified(spark, sf), keys).select(
         "key", field("$.source").alias("source"), field("$.seq").alias("seq"), field("$.row_no").alias("row_no"),
         field("$.op").alias("op"), field("$.columns[0].name").alias("first_column"),
     )

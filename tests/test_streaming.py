@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import capture_fixtures as fx
-from tests.helpers import capture, inserts
+from tests.helpers import capture, inserts, table_map
 from tidemark.operators import wal
 from tidemark.plans import mysql, postgres
 from tidemark.sources import captures
@@ -59,6 +59,26 @@ def test_mysql_stream_equals_batch(spark, sf, tmp_path):
     assert event.table == "orders" and event.cursor.file == "binlog.000000"
 
 
+def test_carried_state_stays_level(spark, tmp_path):
+    """Each file opens ten tables under new ids; only the open file's are carried."""
+    columns = [("id", "int", False)]
+    seq = 0
+    for number in range(6):
+        packets = [fx.rotate(f"bin.{number:06d}")]
+        for t in range(10):
+            table_id = number * 10 + t
+            packets += [table_map(columns, table_id, f"t{t}"), inserts(columns, [number], table_id=table_id)]
+        packets.append(fx.last_rotate(f"bin.{number + 1:06d}", 1, 900))
+        capture(spark, *packets, start=seq).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        seq += len(packets)
+    stream = captures.read_binlog_capture(spark, f"{tmp_path}/in", streaming=True, maxFilesPerTrigger=1)
+    finish(jobs.run_mysql(stream, f"{tmp_path}/out", f"{tmp_path}/cp", available_now=True))
+    sizes = spark.read.parquet(f"{tmp_path}/out/state").groupBy("batch_id").count().collect()
+    assert len(sizes) == 6 and max(r["count"] for r in sizes) <= 11
+    events = spark.read.parquet(f"{tmp_path}/out/events")
+    assert events.count() == 60 and events.select("cursor.file").distinct().count() == 6
+
+
 def test_row_event_before_its_table_map_is_set_aside(spark, tmp_path):
     columns = [("id", "int", False)]
     capture(spark, inserts(columns, [1])).write.parquet(f"{tmp_path}/in")
@@ -97,3 +117,9 @@ def test_batch_sinks(spark, sf, tmp_path):
     sinks.write_payload(events, "json", path=f"{tmp_path}/payload")
     row = spark.read.json(f"{tmp_path}/payload").first()
     assert set(json.loads(row.key)) == {"schema", "table"} and json.loads(row.value)["op"]
+    keys = spark.createDataFrame([("public", "orders", ["o_orderkey"])], "schema string, table string, key_columns array<string>")
+    sinks.write_payload(events, "json", keys, path=f"{tmp_path}/keyed")
+    found = [json.loads(r.key) for r in spark.read.json(f"{tmp_path}/keyed").collect()]
+    assert {"key" in f for f in found if f["table"] == "orders"} == {True}
+    assert len({str(f) for f in found if f["table"] == "orders"}) > 10
+    assert {"key" in f for f in found if f["table"] == "customer"} == {False}

@@ -238,8 +238,16 @@ def log_state_intervals(states: DataFrame) -> tuple[Intervals, Intervals]:
 
 
 def open_states(maps: Intervals, files: Intervals) -> DataFrame:
-    """The states still in force, in the shape of ``states`` above."""
-    now = maps.whole().filter("hi IS NULL").select("source", "table_id", F.col("lo").alias("seq"), F.col("table_map").alias("state"))
+    """The states still in force, in the shape of ``states`` above, without table
+    maps from before the open file of their source."""
+    opened = files.df.filter("hi IS NULL").select("source", F.col("lo").alias("_opened"))
+    now = (
+        maps.whole()
+        .filter("hi IS NULL")
+        .join(opened, "source", "left")
+        .filter(F.col("_opened").isNull() | (F.col("lo") >= F.col("_opened")))
+        .select("source", "table_id", F.col("lo").alias("seq"), F.col("table_map").alias("state"))
+    )
     file = files.df.filter("hi IS NULL").select(
         "source", F.lit(FILE_STATE).cast("bigint").alias("table_id"), F.col("lo").alias("seq"), F.encode("log_file", "UTF-8").alias("state")
     )

@@ -16,6 +16,7 @@ from tidemark.functions.bytes import utf8
 from tidemark.functions.names import literal_map
 from tidemark.functions.positions import file_number
 from tidemark.functions.temporals import interval_from_text
+from tidemark.operators.asof import BROADCAST_ROWS
 
 ROW_EVENT = ["source", "seq", "row_no", "op", "schema", "table", "columns", "identity", "cursor", "event_time"]
 
@@ -190,10 +191,30 @@ def event_order(cursor: Column) -> Column:
     return F.struct(file_number(cursor["file"]), cursor["pos"])
 
 
-def kafka_payload(events: DataFrame) -> DataFrame:
-    """``key`` and ``value`` as a Kafka sink takes them: events of one table
-    share a key, the value is the whole row event as JSON."""
-    return events.select(
-        F.to_json(F.struct("schema", "table")).alias("key"),
-        F.to_json(F.struct(*ROW_EVENT)).alias("value"),
+def _value_text(value: Column) -> Column:
+    return F.coalesce(
+        value["str"], value["i64"].cast("string"), value["u64"].cast("string"), value["f64"].cast("string"), F.hex(value["bytes"])
+    )
+
+
+def kafka_payload(events: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """``key`` and ``value`` as a Kafka sink takes them; the value is the whole
+    row event as JSON.
+
+    ``keys`` (``schema, table, key_columns``, one row per table, see
+    ``tablemap.primary_keys``) puts the row's key values into the key, so that a
+    hot table spreads over partitions and one row's events stay in order. An update
+    goes by the key it had before. Tables without a key go by their name.
+    """
+    key = ["schema", "table"]
+    if keys is None:
+        return events.select(F.to_json(F.struct(*key)).alias("key"), F.to_json(F.struct(*ROW_EVENT)).alias("value"))
+    small = keys.select(*key, "key_columns").limit(BROADCAST_ROWS + 1)
+    hint = F.broadcast if small.count() <= BROADCAST_ROWS else lambda df: df
+    image = F.coalesce("identity", "columns")
+    of = lambda name: _value_text(F.get(F.filter(image, lambda c: c["name"] == name), F.lit(0))["value"])
+    named = events.join(hint(keys.select(*key, "key_columns")), key, "left")
+    with_key = named.withColumn("key_columns", F.transform("key_columns", of)).withColumnRenamed("key_columns", "_key")
+    return with_key.select(
+        F.to_json(F.struct(*key, F.col("_key").alias("key"))).alias("key"), F.to_json(F.struct(*ROW_EVENT)).alias("value")
     )

@@ -59,6 +59,11 @@ def _with_message(capture: DataFrame) -> DataFrame:
     )
 
 
+def parsed_frames(capture: DataFrame) -> DataFrame:
+    """Frames with their parsed message, to be decoded and set aside from one parse."""
+    return _with_message(capture)
+
+
 def decode_wal(capture: DataFrame, on_error: str = "fail") -> DataFrame:
     """Capture rows with the parsed message spread out.
 
@@ -67,7 +72,12 @@ def decode_wal(capture: DataFrame, on_error: str = "fail") -> DataFrame:
     ``on_error``; ``keep`` adds an ``error`` column. Narrow throughout, so it
     runs the same on a stream.
     """
-    decoded = _with_message(capture).select(
+    return decoded_frames(_with_message(capture), on_error)
+
+
+def decoded_frames(parsed: DataFrame, on_error: str = "fail") -> DataFrame:
+    """``decode_wal`` of ``parsed_frames``."""
+    decoded = parsed.select(
         "source", "seq", "kind", "start_lsn", "end_lsn", "clock_us",
         pg_clock(F.col("clock_us")).alias("event_time"),
         "must_reply", "timeline",
@@ -81,10 +91,13 @@ def decode_wal(capture: DataFrame, on_error: str = "fail") -> DataFrame:
 
 def wal_quarantine(capture: DataFrame) -> DataFrame:
     """Bad frames with their reason and the untouched message."""
-    return (
-        _with_message(capture)
-        .filter(F.col("error").isNotNull())
-        .select("source", "seq", "kind", "start_lsn", "end_lsn", "error", "message")
+    return quarantined_frames(_with_message(capture))
+
+
+def quarantined_frames(parsed: DataFrame) -> DataFrame:
+    """``wal_quarantine`` of ``parsed_frames``."""
+    return parsed.filter(F.col("error").isNotNull()).select(
+        "source", "seq", "kind", "start_lsn", "end_lsn", "error", "message"
     )
 
 

@@ -12,6 +12,9 @@ once:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,6 +31,16 @@ def _save(df: DataFrame, out: str, kind: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{out}/{kind}/batch_id={batch_id}")
 
 
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Keeps a batch's rows for its several outputs, and lets go whatever happens."""
+    df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool, every: str) -> StreamingQuery:
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return (
@@ -42,13 +55,12 @@ def run_postgres(
     """WAL frames to row events. ``available_now`` stops when caught up."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        decoded = wal.decode_wal(batch, "keep")
-        events = pg_row_events(apply_on_error(decoded, "skip"))
-        _save(filter_tables(events, tables) if tables else events, out, "events", batch_id)
-        _save(wal.wal_quarantine(batch), out, "quarantine", batch_id)
-        _save(positions.wal_progress(decoded), out, "progress", batch_id)
-        batch.unpersist()
+        with _kept(wal.parsed_frames(batch)) as parsed:
+            decoded = wal.decoded_frames(parsed, "keep")
+            events = pg_row_events(apply_on_error(decoded, "skip"))
+            _save(filter_tables(events, tables) if tables else events, out, "events", batch_id)
+            _save(wal.quarantined_frames(parsed), out, "quarantine", batch_id)
+            _save(positions.wal_progress(decoded), out, "progress", batch_id)
 
     return _start(frames, handle, checkpoint, available_now, every)
 
@@ -61,30 +73,33 @@ def run_mysql(
 
     The table maps and files in force at the end of a batch are saved and read
     by the next one, where they take part as ordinary earlier states; no key is
-    ever handled by a single task. Batches must arrive in ``seq`` order per
+    ever handled by a single task. A server repeats a table's map in every file
+    before its rows, so maps older than the open file are not carried and the
+    state does not grow. Batches must arrive in ``seq`` order per
     source: a row event older than the carried state finds no table map and
     goes to quarantine.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        with _kept(batch):
+            decode(batch, batch_id)
+
+    def decode(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
         states = binlog.log_states(batch, checksum_len)
         if batch_id:
             before = spark.read.schema(STATE).parquet(f"{out}/state/batch_id={batch_id - 1}")
             states = states.unionByName(before)
         state = mysql.LogState(*asof.log_state_intervals(states))
         _save(asof.open_states(state.maps, state.files), out, "state", batch_id)
-        rows = mysql.decoded_rows(batch, state, tables, "keep", checksum_len).persist()
-        _save(mysql_row_events(apply_on_error(rows, "skip")), out, "events", batch_id)
-        bad_rows = quarantine(rows).select("source", "seq", "error")
-        bad_packets = binlog.packet_quarantine(batch, checksum_len).drop("packet")
-        _save(bad_packets.unionByName(bad_rows), out, "quarantine", batch_id)
+        with _kept(mysql.decoded_rows(batch, state, tables, "keep", checksum_len)) as rows:
+            _save(mysql_row_events(apply_on_error(rows, "skip")), out, "events", batch_id)
+            bad_rows = quarantine(rows).select("source", "seq", "error")
+            bad_packets = binlog.packet_quarantine(batch, checksum_len).drop("packet")
+            _save(bad_packets.unionByName(bad_rows), out, "quarantine", batch_id)
         heads = binlog.with_rotate_fields(binlog.headers(batch, "skip", checksum_len))
         files = state.files.df.filter("hi IS NULL").select("source", F.col("log_file").alias("open_file"))
         progress = positions.binlog_progress(heads).join(files, "source", "left")
         _save(progress.withColumn("log_file", F.col("open_file")).drop("open_file"), out, "progress", batch_id)
-        rows.unpersist()
-        batch.unpersist()
 
     return _start(packets, handle, checkpoint, available_now, every)

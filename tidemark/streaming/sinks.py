@@ -22,7 +22,7 @@ def write_events(events: DataFrame, path: str, fmt: str = "parquet") -> None:
     events.write.partitionBy("schema", "table").format(fmt).save(path)
 
 
-def write_payload(events: DataFrame, fmt: str = "kafka", **options) -> None:
-    """Batch row events as key and value. ``kafka`` needs Spark's Kafka package
+def write_payload(events: DataFrame, fmt: str = "kafka", keys: DataFrame | None = None, **options) -> None:
+    """Batch row events as key and value (see ``kafka_payload``). ``kafka`` needs Spark's Kafka package
     on the class path; any file format takes the same two columns."""
-    kafka_payload(events).write.format(fmt).options(**options).save()
+    kafka_payload(events, keys).write.format(fmt).options(**options).save()
