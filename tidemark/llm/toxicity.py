@@ -9,6 +9,7 @@ beside words of reporting it weighs less than in plain text.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,6 +33,8 @@ STEM_LETTERS = range(4, 11)
 LEAST_SHARE = 0.004  # of the toxic documents that a term must be in
 LEAST_DOCS = 4
 PRECISION = 0.8
+# How unlikely a term's share of toxic documents must be by chance.
+CHANCE = 1e-6
 ONE_EDIT, TWO_EDITS = 5, 9  # letters from which a whole word may hold so many edits
 WINDOW = 6
 QUOTED, REPORTED = 0.4, 0.6
@@ -151,13 +154,12 @@ class Automaton:
 
 @dataclass
 class Model:
-    terms: list[Term]
+    """The automaton is built once, on the driver, and travels as tables."""
+
+    automaton: Automaton
     base: float = 0.1  # of texts without a hit
     weights: dict[tuple[int, int, int], float] = field(default_factory=dict)
 
-    def automaton(self) -> Automaton:
-        return Automaton(self.terms)
-
 
 def _words(texts: pa.Array) -> tuple[pa.Array, list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Raw words of all texts, distinct cleaned words, the index of each word in
@@ -220,61 +222,69 @@ def _terms_of(words: list[str]) -> set[str]:
     return {*stems, *(s + "#" for s, n in stems.items() if n > 1), *(w + "$" for w in words)}
 
 
+def _names(part: pa.RecordBatch) -> Iterator[tuple[set[str], int]]:
+    """The terms of each text, as `_terms_of` names them, and the least hash of
+    its words, which copies and near copies mostly share."""
+    _, distinct, index, owner, _ = _words(pc.fill_null(part.column(0), ""))
+    hashed = [zlib.crc32(w.encode()) for w in distinct]
+    cuts = np.searchsorted(owner, np.arange(len(part) + 1))
+    for i in range(len(part)):
+        words = np.unique(index[cuts[i] : cuts[i + 1]])
+        held = _terms_of([distinct[w] for w in words if 4 <= len(distinct[w]) <= 40])
+        yield held, min((hashed[w] for w in words), default=0)
+
+
 def _counted(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    """term, y, docs: how many documents of each label hold a term as `_terms_of`
-    names it. Counted per batch before the shuffle."""
+    """term, docs: how many documents hold a term, copies and near copies of one
+    counted once. Their words all go together and would look like marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in slices(batch.column(0)):
-                part = batch.slice(start, stop - start)
-                _, distinct, index, owner, _ = _words(pc.fill_null(part.column(0), ""))
-                y = part.column(1).to_numpy(zero_copy_only=False)
-                count: dict[tuple[str, float], int] = {}
-                cuts = np.searchsorted(owner, np.arange(len(part) + 1))
-                for i in range(len(part)):
-                    words = [distinct[w] for w in np.unique(index[cuts[i] : cuts[i + 1]])]
-                    seen = _terms_of([w for w in words if 4 <= len(w) <= 40])
-                    for t in seen if wanted is None else seen & wanted:
-                        count[t, y[i]] = count.get((t, y[i]), 0) + 1
-                if count:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k[0] for k in count]), pa.array([float(k[1]) for k in count]), pa.array(list(count.values()), pa.int64())],
-                        names=["term", "y", "docs"],
-                    )
-
-    parts = rows.select("text", "y").mapInArrow(run, "term string, y double, docs bigint")
-    return parts.groupBy("term", "y").agg(F.sum("docs").alias("docs"))
+                found = {
+                    (t, key)
+                    for held, key in _names(batch.slice(start, stop - start))
+                    for t in (held if wanted is None else held & wanted)
+                }
+                terms, keys = zip(*found) if found else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(keys, pa.int64())], names=["term", "key"])
+
+    pairs = rows.select("text").mapInArrow(run, "term string, key bigint").distinct()
+    return pairs.groupBy("term").agg(F.count("*").alias("docs"))
 
 
 def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> list[Term]:
     """Terms that mark toxic documents: of nested ones the longest that still
     covers the shorter one's documents, as a whole word where it is one."""
-    least = max(LEAST_DOCS, LEAST_SHARE * toxic)
+    least, base = max(LEAST_DOCS, LEAST_SHARE * toxic), toxic / (toxic + clean)
 
     def good(t: str) -> bool:
         one, none = counts[t]
-        odds = ((one + 0.5) / (toxic + 1)) / ((none + 0.5) / (clean + 1))
-        return one >= least and one / (one + none) >= PRECISION and odds > 20
+        share = one / (one + none)
+        if one < least or share < PRECISION or share <= base:
+            return False
+        # Chernoff's bound on finding such a share among so many documents
+        gain = share * np.log(share / base) + (1 - share) * np.log((1 - share or 1) / (1 - base))
+        return (one + none) * gain >= -np.log(CHANCE)
 
     # a stem counts through one word or, if only that tells, through several
-    best: dict[str, int] = {}
+    most: dict[str, int] = {}
     for t in counts:
         if good(t):
             name = t.rstrip("#")
-            best[name] = max(best.get(name, 0), counts[t][0])
-    names = sorted(best, key=lambda t: (len(t), t))
-    roots: list[str] = []
+            most[name] = max(most.get(name, 0), counts[t][0])
+    roots: set[str] = set()
     chosen: list[tuple[int, Term]] = []
-    for t in names:
-        if any(t.startswith(r) for r in roots):
+    by_length = sorted(most, key=lambda t: (len(t), t))
+    for t in by_length:
+        if any(t[:n] in roots for n in range(1, len(t) + 1)):
             continue
-        roots.append(t.rstrip("$"))
+        roots.add(t.rstrip("$"))
         longest = t
-        for q in names:
-            if q.startswith(t) and best[q] >= 0.9 * best[t] and len(q) > len(longest):
+        for q in by_length:
+            if q.startswith(t) and most[q] >= 0.9 * most[t] and len(q) > len(longest):
                 longest = q
-        chosen.append((best[t], Term(longest.rstrip("$"), not longest.endswith("$"))))
+        chosen.append((most[t], Term(longest.rstrip("$"), not longest.endswith("$"))))
     chosen.sort(key=lambda c: (-c[0], c[1].text))
     return [t for _, t in chosen[:LEXICON]]
 
@@ -300,16 +310,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = F
     )
     ones = {r["term"]: r["docs"] for r in common}
     zeros = {r["term"]: r["docs"] for r in _counted(choosing.where("y = 0"), frozenset(ones)).collect()}  # as many at most
-    model = Model(choose_terms({t: (n, zeros.get(t, 0)) for t, n in ones.items()}, toxic, clean))
+    model = Model(Automaton(choose_terms({t: (n, zeros.get(t, 0)) for t, n in ones.items()}, toxic, clean)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = model.automaton()
         for batch in batches:
             keys = []
             for start, stop in slices(batch.column(0)):
                 part = batch.slice(start, stop - start)
                 y = part.column(1).to_numpy(zero_copy_only=False)
-                for i, found in enumerate(hits(pc.fill_null(part.column(0), ""), automaton)):
+                for i, found in enumerate(hits(pc.fill_null(part.column(0), ""), model.automaton)):
                     keys += [(*k, float(y[i])) for k in found] or [(-1, -1, -1, float(y[i]))]
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array([k[i] for k in keys], pa.int32()) for i in range(3)), pa.array([k[3] for k in keys], pa.float64())],
@@ -342,11 +351,10 @@ def score(docs: DataFrame, model: Model | None, out: str = "score") -> DataFrame
     def make():
         if model is None:
             return lambda texts: [np.zeros(len(texts))]
-        automaton = model.automaton()
 
         def run(texts: pa.Array) -> list:
             result = np.empty(len(texts))
-            for i, found in enumerate(hits(texts, automaton)):
+            for i, found in enumerate(hits(texts, model.automaton)):
                 left = 1.0 - model.base
                 for key, context in found.items():
                     left *= 1.0 - context * model.weights.get(key, PRIOR[key[1]])
