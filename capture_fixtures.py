@@ -186,8 +186,8 @@ TYPES = {
     "date": (10, b"", None), "datetime": (12, b"", None), "time": (11, b"", None), "year": (13, b"", None),
     "timestamp": (7, b"", None), "bit64": (16, b"\0\x08", None), "text": (252, b"\2", None), "blob1": (252, b"\1", None),
     "blob3": (252, b"\3", None), "blob4": (252, b"\4", None), "json": (245, b"\4", None),
-    "enum": (254, b"\xf7\1", None), "datetime2": (18, b"\0", None), "timestamp2": (17, b"\0", None),
-    "geometry": (255, b"\4", None),
+    "enum": (254, b"\xf7\1", None), "enum2": (254, b"\xf7\2", None), "set": (254, b"\xf8\1", None), "geometry": (255, b"\4", None),
+    "null": (6, b"", None),
 }
 
 
@@ -200,9 +200,32 @@ def column_type(name: str):
     if name.startswith("char"):
         size = int(name[5:-1])
         return 254, bytes([0xFE ^ (size >> 4 & 0x30), size & 0xFF]), None
+    if name.startswith(("datetime2(", "timestamp2(", "time2(")):
+        kind, scale = name[:-1].split("(")
+        return {"timestamp2": 17, "datetime2": 18, "time2": 19}[kind], bytes([int(scale)]), None
     return TYPES[name]
 
 
+def fraction_bytes(micros: int, scale: int) -> bytes:
+    size = (scale + 1) // 2
+    return (micros // 10 ** (6 - 2 * size)).to_bytes(size, "big")
+
+
+def datetime2_bytes(t, scale: int) -> bytes:
+    packed = (t.year * 13 + t.month) << 22 | t.day << 17 | t.hour << 12 | t.minute << 6 | t.second
+    return (packed + (1 << 39)).to_bytes(5, "big") + fraction_bytes(t.microsecond, scale)
+
+
+def timestamp2_bytes(seconds: int, micros: int, scale: int) -> bytes:
+    return seconds.to_bytes(4, "big") + fraction_bytes(micros, scale)
+
+
+def time2_bytes(negative: bool, hours: int, minutes: int, seconds: int, micros: int, scale: int) -> bytes:
+    size = (scale + 1) // 2
+    packed = (hours << 12 | minutes << 6 | seconds) << 8 * size | int.from_bytes(fraction_bytes(micros, scale), "big")
+    return ((-packed if negative else packed) + (1 << 23 + 8 * size)).to_bytes(3 + size, "big")
+
+
 def table_map_body(table_id: int, schema: str, table: str, columns, key=(0,), full: bool = True, charset: int = 255, extra: bytes = b"") -> bytes:
     """``columns``: (name, type, nullable)."""
     kinds = [column_type(t) for _, t, _ in columns]
@@ -239,13 +262,17 @@ def decimal_bytes(digits: int, precision: int, scale: int) -> bytes:
 
 def value_bytes(kind: str, v) -> bytes:
     code, meta, unsigned = column_type(kind)
+    if isinstance(v, bytes) and code in (17, 18, 19):
+        return v
+    if kind.startswith(("enum", "set")):
+        return v.to_bytes(meta[1], "little")
     if kind.startswith("decimal"):
         return decimal_bytes(v, meta[0], meta[1])
     if kind.startswith(("varchar", "char")):
         raw = v if isinstance(v, bytes) else v.encode()
         limit = int(kind[kind.index("(") + 1 : -1])
         return len(raw).to_bytes(2 if limit > 255 else 1, "little") + raw
-    if code in (252, 245):
+    if code in (252, 245, 255):
         raw = v if isinstance(v, bytes) else v.encode()
         return len(raw).to_bytes(meta[0], "little") + raw
     if kind == "float":

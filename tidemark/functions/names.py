@@ -78,6 +78,7 @@ SINK_TYPES = {
     "u64": "U64", "i64": "I64", "f64": "F64", "decimal": "Decimal",
     "json": "Json", "string": "String", "blob": "Bytes",
     "date": "Date", "datetime": "Date", "year": "U64", "time": "Time", "timestamp": "Timestamp",
+    "datetime2": "Date", "time2": "Time", "timestamp2": "Timestamp", "enum": "String", "set": "String",
 }
 
 EVENT_CODE = {name: code for code, name in enumerate(EVENT_TYPES)}

@@ -82,8 +82,8 @@ def to_timestamp(seconds: Column) -> Column:
 
 
 def interval_from_text(text: Column) -> Column:
-    """``[-]hhh:mm:ss`` as an interval."""
-    part = lambda n: F.regexp_extract(text, r"^-?(\d+):(\d+):(\d+)$", n)
+    """``[-]hhh:mm:ss[.ffffff]`` as an interval."""
+    part = lambda n: F.regexp_extract(text, r"^-?(\d+):(\d+):(\d+(?:\.\d+)?)$", n)
     size = F.make_dt_interval(
         F.lit(0), part(1).cast("int"), part(2).cast("int"), part(3).cast("decimal(18,6)")
     )

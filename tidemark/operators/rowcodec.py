@@ -126,8 +126,76 @@ def _time_text(data, at, col):
     return text, start
 
 
-_TEXT = {"decimal": _decimal_text, "date": _date_text, "datetime": _datetime_text, "time": _time_text}
+def _fraction_bytes(col: ColumnDef) -> int:
+    return (col.scale + 1) // 2
+
+
+def _put_fraction(text: np.ndarray, at: int, fraction: np.ndarray, col: ColumnDef) -> None:
+    """``.`` and the fraction, which is stored as whole bytes of two digits."""
+    if col.scale:
+        text[:, at] = ord(".")
+        _put_digits(text, at + 1, fraction // 10 ** (2 * _fraction_bytes(col) - col.scale), col.scale)
+
+
+def _template(rows: int, text: str, col: ColumnDef, tail: str = "") -> np.ndarray:
+    """Rows of ``text``, room for a fraction and ``tail``."""
+    whole = text + "0" * (1 + col.scale if col.scale else 0) + tail
+    return np.tile(np.frombuffer(whole.encode(), np.uint8), (rows, 1))
+
+
+def _datetime2_text(data, at, col):
+    packed = _uint(data, at, 5, big=True).astype(np.int64) - (1 << 39)
+    months = packed >> 22
+    text = _template(len(at), "0000-00-00 00:00:00", col)
+    parts = ((0, months // 13, 4), (5, months % 13, 2), (8, packed >> 17 & 31, 2),
+             (11, packed >> 12 & 31, 2), (14, packed >> 6 & 63, 2), (17, packed & 63, 2))
+    for place, part, digits in parts:
+        _put_digits(text, place, part, digits)
+    _put_fraction(text, 19, _uint(data, at + 5, _fraction_bytes(col), big=True).astype(np.int64), col)
+    return text, np.zeros(len(at), np.int64)
+
+
+def _time2_text(data, at, col):
+    extra = _fraction_bytes(col)
+    packed = _uint(data, at, 3 + extra, big=True).astype(np.int64) - (1 << 23 + 8 * extra)
+    size = np.abs(packed)
+    whole = size >> 8 * extra
+    text = _template(len(at), "-000:00:00", col)
+    for place, part, digits in ((1, whole >> 12 & 0x3FF, 3), (5, whole >> 6 & 63, 2), (8, whole & 63, 2)):
+        _put_digits(text, place, part, digits)
+    _put_fraction(text, 10, size & (1 << 8 * extra) - 1, col)
+    start = 1 + (text[:, 1] == 48).astype(np.int64) - (packed < 0)
+    text[np.flatnonzero(packed < 0), start[packed < 0]] = ord("-")
+    return text, start
+
+
+def _timestamp2_text(data, at, col):
+    """Server time is UTC, and says so."""
+    seconds = _uint(data, at, 4, big=True).astype(np.int64)
+    plain = np.datetime_as_string(seconds.astype("datetime64[s]"))
+    text = _template(len(at), "0000-00-00 00:00:00", col, "+00:00")
+    text[:, :19] = np.char.encode(np.char.replace(plain, "T", " "), "ascii").view(np.uint8).reshape(len(at), -1)
+    _put_fraction(text, 19, _uint(data, at + 4, _fraction_bytes(col), big=True).astype(np.int64), col)
+    return text, np.zeros(len(at), np.int64)
+
+
+def _enum_name(index: int, col: ColumnDef) -> str:
+    """0 is the empty value of a failed insert."""
+    if not index or not col.values:
+        return str(index) if index else ""
+    return col.values[index - 1] if index <= len(col.values) else str(index)
+
+
+def _set_names(mask: int, col: ColumnDef) -> str:
+    if not col.values:
+        return str(mask)
+    return ",".join(v for i, v in enumerate(col.values) if mask >> i & 1)
+
+
+_NAMED = {"enum": _enum_name, "set": _set_names}
+_TEXT = {"datetime2": _datetime2_text, "time2": _time2_text, "timestamp2": _timestamp2_text, "decimal": _decimal_text, "date": _date_text, "datetime": _datetime_text, "time": _time_text}
 _PREFIXED = ("string", "blob", "json")
+_FRACTIONAL = {"datetime2": 5, "timestamp2": 4, "time2": 3}  # bytes before the fraction
 _FIXED_BYTES = {"date": 3, "datetime": 8, "time": 3, "year": 1, "timestamp": 4}
 
 
@@ -283,7 +351,9 @@ class _Group:
                 image.start[rows, j], image.size[rows, j] = at, size
             else:
                 size = self._width(col)
-                if col.definition in _TEXT:
+                if col.definition in _NAMED:
+                    self._add_named(image, rows, j, _uint(self.data, at, size), col)
+                elif col.definition in _TEXT:
                     self._add_text(image, rows, j, *_TEXT[col.definition](self.data, at, col))
                 else:
                     image.bits[rows, j] = _number_bits(self.data, at, col)
@@ -294,8 +364,19 @@ class _Group:
     def _width(col: ColumnDef) -> int:
         if col.definition == "decimal":
             return _decimal_width(col)
+        if col.definition in _FRACTIONAL:
+            return _FRACTIONAL[col.definition] + _fraction_bytes(col)
         return _FIXED_BYTES.get(col.definition) or col.pack_length
 
+    def _add_named(self, image: _Image, rows, j: int, raw: np.ndarray, col: ColumnDef) -> None:
+        distinct, which = np.unique(raw, return_inverse=True)
+        names = [_NAMED[col.definition](int(v), col).encode() for v in distinct]
+        size = np.array([len(n) for n in names], np.int64)
+        image.start[rows, j] = self.scratch_at + (np.cumsum(size) - size)[which]
+        image.size[rows, j] = size[which]
+        self.scratch.append(np.frombuffer(b"".join(names), np.uint8))
+        self.scratch_at += int(size.sum())
+
     def _add_text(self, image: _Image, rows, j: int, text: np.ndarray, start: np.ndarray) -> None:
         step = text.shape[1]
         image.start[rows, j] = self.scratch_at + np.arange(len(rows)) * step + start
@@ -348,7 +429,8 @@ def _values(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray) ->
         return (present & mask).ravel()
 
     bits = np.ascontiguousarray(image.bits).ravel()
-    is_u64 = (kinds == "U64") | (kinds == "Timestamp")
+    stamped = np.array([c.definition == "timestamp2" for c in columns])
+    is_u64 = (kinds == "U64") | (kinds == "Timestamp") & ~stamped
     wide = np.zeros((len(bits), 2), np.uint64)
     wide[:, 0] = bits
     u64 = pa.Array.from_buffers(_U64, len(bits), [_bitmap_buffer(cells(is_u64)), pa.py_buffer(wide)])
@@ -356,7 +438,7 @@ def _values(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray) ->
     f64 = pa.Array.from_buffers(pa.float64(), len(bits), [_bitmap_buffer(cells(kinds == "F64")), pa.py_buffer(bits)])
     start, size = image.start.ravel(), image.size.ravel()
     binary = np.array([c.is_binary for c in columns], bool)
-    is_text = np.isin(kinds, ["String", "Decimal", "Date", "Time"]) & ~binary
+    is_text = (np.isin(kinds, ["String", "Decimal", "Date", "Time"]) | stamped) & ~binary
     text, broken = _utf8_or_bytes(_slices(data, start, size, cells(is_text)))
     raw = _slices(data, start, size, cells(np.isin(kinds, ["Bytes", "Json"]) | binary) | broken)
     return pa.StructArray.from_arrays([u64, i64, f64, text, raw], fields=list(_VALUE))
