@@ -58,6 +58,11 @@ def main() -> None:
     frames = captures.read_wal_capture(spark, f"{folder}/wal")
     packets = captures.read_binlog_capture(spark, f"{folder}/binlog")
     state = mysql.log_state(packets)
+    shapes = {}
+    for shape in fixtures.SHAPES:
+        fixtures.shape_capture(spark, sf, shape).repartitionByRange(parts, "seq").write.parquet(f"{folder}/{shape}")
+        shaped = captures.read_binlog_capture(spark, f"{folder}/{shape}")
+        shapes[shape] = (shaped, mysql.log_state(shaped))
 
     def my_table():
         return envelope.typed_view(mysql.row_events(packets, state, ["shop.orders"]), "shop.orders", suite.ORDER_DDL)
@@ -81,6 +86,9 @@ def main() -> None:
         "unified_events": lambda: consume(envelope.unify(postgres.row_events(frames), mysql.row_events(packets, state))),
         "kafka_payload": lambda: consume(envelope.kafka_payload(mysql.row_events(packets, state))),
     }
+    # the same rows in shapes that a decoder may find hard
+    for shape, (shaped, its) in shapes.items():
+        runs[f"decode_{shape}"] = lambda shaped=shaped, its=its: consume(mysql.decoded_rows(shaped, its))
     counts = {"wal_frames": frames.count(), "binlog_packets": packets.count(),
               "row_events": binlog.row_events(packets).agg(F.count("*")).first()[0]}
     consume(my_table())  # warm up code generation and the Python workers

@@ -404,3 +404,44 @@ def binlog_capture(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataF
         F.array_sort(F.collect_list(F.struct(*c.columns))).alias("rows")
     )
     return o.mapInPandas(order_batches, schema).unionByName(groups.mapInPandas(customer_batches, schema))
+
+
+SHAPE_COLUMNS = [
+    ("k", "bigint", False), ("name", "varchar(50)", True), ("cust", "bigint", True), ("total", "decimal(12,2)", True),
+    ("status", "varchar(20)", True),
+]
+SHAPES = {"plain": (1, 1, False), "many_tables": (1000, 1, False), "long_events": (1, 20_000, False), "binary_keys": (1, 1, True)}
+
+
+def shape_capture(spark: SparkSession, sf_dir: str, shape: str) -> DataFrame:
+    """Every order inserted once, by tables, rows per event and kind of key: the
+    same rows in shapes that a decoder may find hard."""
+    tables, per_event, binary = SHAPES[shape]
+    columns = [("k", "char(16)", False), *SHAPE_COLUMNS[1:]] if binary else SHAPE_COLUMNS
+
+    def body(pdf):
+        found = []
+        for seq, rows in pdf.groupby("event", sort=False):
+            table_id = int(seq) % tables
+            key = (lambda k: (int(k) * 0x9E3779B97F4A7C15F39CC0605CEDC835 & (1 << 128) - 1).to_bytes(16, "big")) if binary else int
+            images = [
+                row_bytes(columns, [key(r.k), f"order {r.k}", int(r.o_custkey), int(r.cents), r.o_orderstatus]) for r in rows.itertuples()
+            ]
+            found.append((2 * int(seq) + tables * 2, packet(30, rows_body(table_id, 2, columns, images))))
+        return found
+
+    def batches(it):
+        for pdf in it:
+            found = body(pdf)
+            yield pd.DataFrame({"source": shape, "seq": [s for s, _ in found], "packet": [p for _, p in found]})
+
+    schema = "source STRING, seq BIGINT, packet BINARY"
+    rows = orders(spark, sf_dir).select("k", "o_custkey", "cents", "o_orderstatus", F.expr(f"k div {per_event}").alias("event"))
+    if per_event > 1:
+        events = rows.groupBy("event").applyInPandas(lambda pdf: next(batches([pdf])), schema)
+    else:
+        events = rows.mapInPandas(batches, schema)
+    charsets = lenc(255) + lenc(0) + lenc(63)  # the first character column is binary
+    extra = bytes([2]) + lenc(len(charsets)) + charsets if binary else b""
+    maps = [(shape, i, packet(TABLE_MAP, table_map_body(i, "db", f"t{i}", columns, extra=extra))) for i in range(tables)]
+    return events.unionByName(spark.createDataFrame(maps, schema))

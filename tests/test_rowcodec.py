@@ -300,3 +300,10 @@ def test_enum_set_and_geometry(spark):
     ]
     unnamed = events_of(spark, table_map(columns), inserts(columns, *rows))
     assert [as_dict(e["columns"])["e"] for e in unnamed] == ["1", "2", None]
+
+
+@pytest.mark.parametrize("shape", list(fx.SHAPES))
+def test_bench_shapes_hold_the_same_rows(spark, sf, shape):
+    rows = mysql.row_events(fx.shape_capture(spark, sf, shape)).collect()
+    assert len(rows) == 1500 and len({r.table for r in rows}) == fx.SHAPES[shape][0]
+    assert {as_dict(r["columns"])["name"] for r in rows} == {f"order {k}" for k in range(1500)}
