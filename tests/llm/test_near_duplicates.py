@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidemark.llm import jaccard
+from tidemark.llm import jaccard, queries
 from tidemark.llm.components import connected
 from tidemark.llm.shingles import shingle_sets
 
@@ -88,6 +88,18 @@ def test_real_documents(spark):
     assert kept == sorted({c for c, _ in expected.values()})
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_sql_gives_the_same(spark, sf):
+    import duckdb
+
+    folder = f"/root/testdata/{sf}"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    expected = con.execute(queries.ORACLES["op9_jaccard_join"]).fetchall()
+    found = [tuple(r) for r in queries.op9_jaccard_join(spark, folder).collect()]
+    assert sorted(found) == sorted(expected) and expected
+
+
 def test_awkward_rows(spark, documents, awkward):
     rows = awkward + [(11, ""), (12, "one two three"), (13, "One, two THREE!"), (14, "..."), (15, "..."), (16, None)]
     docs = documents(rows)

@@ -149,4 +149,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+# All pairs that share a shingle, and components by transitive closure.
+ORACLES: dict[str, str] = {
+    "op9_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT DISTINCT doc_id, text FROM documents WHERE doc_id IS NOT NULL),
+w AS (SELECT doc_id, text, coalesce(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+'), []) AS w FROM d),
+s AS (SELECT doc_id, text, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM w),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS c, any_value(a.n + b.n) AS n
+      FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT i, j FROM p WHERE 10 * c >= 8 * (n - c)
+      UNION ALL SELECT a.doc_id, b.doc_id FROM s a JOIN s b ON a.text = b.text AND a.doc_id <> b.doc_id WHERE len(a.s) = 0),
+r AS (SELECT doc_id, doc_id AS root FROM s UNION SELECT l.j, r.root FROM r JOIN l ON l.i = r.doc_id),
+k AS (SELECT i, count(*) AS n FROM l GROUP BY i)
+SELECT doc_id, min(root) AS class_id, coalesce(any_value(k.n), 0) AS n_links FROM r LEFT JOIN k ON r.doc_id = k.i GROUP BY doc_id""",
+}
