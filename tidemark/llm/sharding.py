@@ -1,8 +1,8 @@
 """Shards of near equal bytes by k-d tree partitioning over row metadata.
 
 DataFrame operations only. A node of the tree that is to become `s` shards is
-cut at the weighted quantile s // 2 / s of its widest metadata dimension, so
-that all leaves reach the target bytes. All nodes of a level are cut in the same
+cut at the weighted quantile s // 2 / s of its widest metadata dimension, the
+longest side of its box, so that all leaves reach the target bytes. All nodes of a level are cut in the same
 jobs: bytes per (node, bin) are summed before the shuffle, and the bin that holds
 the quantile is refined until its bytes no longer matter.
 """
@@ -28,18 +28,37 @@ VALUE_BITS = 31
 
 @dataclass
 class Node:
-    """A node of the tree: how many shards it becomes, the first of them, and
-    once it is cut its dimension, cut and halves."""
+    """A node of the tree: how many shards it becomes, the first of them, its
+    bytes and its box, and once it is cut its dimension, cut and halves."""
 
     shards: int
     first: int
-    dimension: int | None = None
+    bytes: int
+    box: list[tuple[int, int]]
+    dimension: int = 0
     low: int = 0
     high: int = 0
     wanted: int = 0
+    left: int = 0
     cut: int | None = None
     halves: tuple[Node, Node] | None = None
 
+    def aim(self) -> None:
+        """Look for the cut along the widest side of the box."""
+        self.dimension = max(range(len(self.box)), key=lambda d: self.box[d][1] - self.box[d][0])
+        self.low, self.high = self.box[self.dimension]
+        self.wanted, self.left = self.bytes * (self.shards // 2) // self.shards, 0
+
+    def split(self) -> None:
+        half, d = self.shards // 2, self.dimension
+        below, above = list(self.box), list(self.box)
+        below[d] = (self.box[d][0], max(self.box[d][0], self.cut - 1))
+        above[d] = (min(self.box[d][1], self.cut), self.box[d][1])
+        self.halves = (
+            Node(half, self.first, self.left, below),
+            Node(self.shards - half, self.first + half, self.bytes - self.left, above),
+        )
+
 
 def _coordinate(value, low, high, row):
     """`value` scaled to VALUE_BITS between low and high, then TIE_BITS of the
@@ -112,18 +131,19 @@ def _cut_level(rows: DataFrame, nodes: dict[int, Node], keys: list[str], toleran
         hits = {r["at"]: r for r in hit.collect()}  # one row per open node
         for i, node in list(open_nodes.items()):
             if i not in hits:
-                node.cut = node.high + 1
+                node.cut, node.left = node.high + 1, node.bytes
             else:
                 r = hits[i]
                 before = r["upto"] - r["bytes"]
                 low = node.low + r["bin"] * width[i]
                 gap = node.wanted - before
                 if gap <= tolerance:
-                    node.cut = low
+                    node.cut, node.left = low, node.left + before
                 elif r["bytes"] - gap <= tolerance or width[i] == 1:
-                    node.cut = low + width[i]
+                    node.cut, node.left = low + width[i], node.left + r["upto"]
                 else:
                     node.wanted -= before
+                    node.left += before
                     node.low, node.high = low, min(node.high, low + width[i] - 1)
                     continue
             del open_nodes[i]
@@ -152,37 +172,16 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     keys = [f"k_{n}" for n in names]
     rows = saved(rows.select("doc_id", "size", "text_crc32", *keys))
     tolerance = int(extent["bytes"] / shards * TOLERANCE)
-    root = Node(shards, 0)
+    root = Node(shards, 0, extent["bytes"], [(0, (2**VALUE_BITS << TIE_BITS) - 1)] * len(keys))
     while any(n.shards > 1 for n in _leaves(root)):
         leaves = _leaves(root)
         number = {id(n): i for i, n in enumerate(leaves)}
         level = rows.select("size", *keys, _tree(root, keys, lambda n: number[id(n)]).alias("node"))
-        # the widest dimension of a node is the one whose values lie furthest apart
-        spread = {
-            r["node"]: r
-            for r in level.groupBy("node")
-            .agg(
-                F.sum("size").alias("bytes"),
-                *[F.min(k).alias(f"lo_{k}") for k in keys],
-                *[F.max(k).alias(f"hi_{k}") for k in keys],
-            )
-            .collect()  # at most one row per shard
-        }
-        wide = {}
-        for i, n in enumerate(leaves):
-            if n.shards == 1:
-                continue
-            n.dimension, n.cut = 0, 0
-            if r := spread.get(i):
-                n.dimension = max(range(len(keys)), key=lambda d: r[f"hi_{keys[d]}"] - r[f"lo_{keys[d]}"])
-                n.low, n.high = r[f"lo_{keys[n.dimension]}"], r[f"hi_{keys[n.dimension]}"]
-                n.wanted = r["bytes"] * (n.shards // 2) // n.shards
-                wide[i] = n
-        if wide:
-            _cut_level(level, wide, keys, tolerance)
-        for n in leaves:
-            if n.shards > 1:
-                half = n.shards // 2
-                n.halves = (Node(half, n.first), Node(n.shards - half, n.first + half))
+        wide = {i: n for i, n in enumerate(leaves) if n.shards > 1}
+        for n in wide.values():
+            n.aim()
+        _cut_level(level, wide, keys, tolerance)
+        for n in wide.values():
+            n.split()
     sharded = rows.select("doc_id", "size", "text_crc32", _tree(root, keys, lambda n: n.first).alias("shard"))
     return gapless_rank(saved(sharded), ["shard"], "slot")
