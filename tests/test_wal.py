@@ -135,10 +135,10 @@ def test_cursors(spark):
     assert rows == [(1, 0x16B3748), (-1, -1), (300, 1), None, None, None, None]
     back = df.limit(1).select(pos.format_wal_cursor(F.lit(1), F.lit(0x16B3748).cast("bigint")), pos.format_lsn(F.lit(0x16_0B374D)), pos.parse_lsn(F.lit("16/B374D848")))
     assert tuple(back.first()) == ("1/16B3748", "0/160B374D", 0x16_B374D848)
-    texts = ["bin.000007/4", "bin.000007/4294967296", "bin.000007", "bin/x"]
+    texts = ["bin.000007/4", "bin.000007/4294967296", "bin.000007/99999999999999999999", "bin.000007", "bin/x"]
     df = spark.createDataFrame([(t,) for t in texts], "t STRING")
     rows = [r[0] and tuple(r[0]) for r in df.select(pos.parse_binlog_cursor(F.col("t"))).collect()]
-    assert rows == [("bin.000007", 4), None, None, None]
+    assert rows == [("bin.000007", 4), ("bin.000007", 1 << 32), None, None, None]
 
 
 def test_progress_and_timeline(spark):
