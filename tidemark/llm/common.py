@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -13,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
 # Text handled at once inside a task; a longer text is handled alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+# Text that Spark hands to a worker at once.
+MOST_BATCH_BYTES = 8 << 20
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +44,15 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """`df`, with the session's Arrow batches bounded by MOST_BATCH_BYTES, as ten
+    thousand long texts in one batch would fill a worker."""
+    conf = df.sparkSession.conf
+    if int(re.sub(r"\D", "", conf.get(BATCH_BYTES)) or 0) > MOST_BATCH_BYTES:
+        conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
+    return df
+
+
 def fold(column: str, folds: int):
     """Fold of an id: crc32 of its decimal text, modulo the number of folds."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))
@@ -66,8 +79,9 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 
 def with_text_columns(
-    docs: DataFrame, text: str, fields: list[StructField], make: Callable[[], Callable[[pa.Array], list[pa.Array]]]
-) -> DataFrame:
+    docs: DataFrame, text: str, fields: list[StructField], make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
+    slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
     """All columns of `docs` and new ones computed from its text column.
 
     `make` is called once per task and gives a function from a slice of texts
@@ -81,13 +95,14 @@ def with_text_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            for start, stop in slices(batch.column(text)):
+            for start, stop in slices(batch.column(text), slice_bytes):
                 part = batch.slice(start, stop - start)
                 texts = pc.fill_null(part.column(text), "")
                 made = [pa.array(a).cast(t) for a, t in zip(fn(texts), types)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *names])
+            pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *fields]))
+    return bounded_batches(docs).mapInArrow(run, StructType([*docs.schema.fields, *fields]))
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

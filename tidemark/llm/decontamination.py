@@ -25,6 +25,8 @@ EDIT_RATE = 0.06
 PART_LETTERS = 8 << 20
 FILTER_BITS = 22
 HITS_AT_ONCE = 1 << 20
+# A letter takes some eighty bytes while its q-grams are made.
+SLICE_BYTES = 1 << 20
 
 _GAP, _END = np.uint32(32), np.uint32(1)
 _LOW = 0x3000
@@ -251,7 +253,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, out: str = "matches") ->
 
             return run
 
-        found = with_text_columns(found, "text", [StructField(name, ArrayType(span))], make)
+        found = with_text_columns(found, "text", [StructField(name, ArrayType(span))], make, SLICE_BYTES)
     return found.withColumn(out, F.concat(*columns)).drop(*columns)
 
 

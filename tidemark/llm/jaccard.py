@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from tidemark.llm.common import saved, slices, with_text_columns
+from tidemark.llm.common import bounded_batches, saved, slices, with_text_columns
 from tidemark.llm.components import connected
 from tidemark.llm.shingles import mixed, shingle_sets
 
@@ -251,7 +251,8 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, trees: int =
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(sets, pa.binary())], names=["node", "weight", "labels", "shingles"])
 
     sets = (
-        docs.withColumn("text_key", text_key(F.col("text")))
+        bounded_batches(docs)
+        .withColumn("text_key", text_key(F.col("text")))
         .join(wanted, ["doc_id", "text_key"])
         .select("text", "node", "weight", "labels")
         .mapInArrow(add_sets, "node binary, weight bigint, labels array<bigint>, shingles binary")

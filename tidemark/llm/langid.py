@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
-from tidemark.llm.common import fold, text_bytes, with_text_columns
+from tidemark.llm.common import bounded_batches, fold, text_bytes, with_text_columns
 
 FOLDS, HELD_OUT_FOLD = 3, 1
 UNDETERMINED = "und"
@@ -187,7 +187,8 @@ def fit(docs: DataFrame, limit: int = FIT_ROWS) -> Model | None:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
-        sample.select("text", "lang", "doc_id")
+        bounded_batches(sample)
+        .select("text", "lang", "doc_id")
         .mapInArrow(run, f"lang string, doc_id {kind}, used array<int>, count array<float>")
         .toArrow()  # bounded: rows per language and buckets per row
     )

@@ -20,13 +20,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import gapless_rank, per_worker, saved, slices
+from tidemark.llm.common import MOST_BATCH_BYTES, bounded_batches, gapless_rank, per_worker, saved, slices
 
 SEQUENCE_TOKENS = 2048
 SEPARATOR_ID = 0
 NNLS_STEPS = 150
 # Word pieces whose ids one worker remembers.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 200_000
 
 # Printable ASCII and Latin-1 letters: here lower case, normal form and the
 # letter class are the same for the tokenizer and for Arrow.
@@ -114,7 +114,7 @@ def tokenize(docs: DataFrame, tokenizer: str, sequence_tokens: int = SEQUENCE_TO
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = per_worker(("word ids", tokenizer), lambda: WordIds(tokenizer))
         for batch in batches:
-            for begin, stop in slices(batch.column(1)):
+            for begin, stop in slices(batch.column(1), MOST_BATCH_BYTES):
                 part = batch.slice(begin, stop - begin)
                 ids, offsets = encode(pc.fill_null(part.column(1), ""))
                 n = len(part)
@@ -141,9 +141,10 @@ def tokenize(docs: DataFrame, tokenizer: str, sequence_tokens: int = SEQUENCE_TO
                     ],
                     names=["doc_id", "piece", "start", "length", "ids"],
                 )
+            pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary"
     )
 

@@ -13,12 +13,12 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import per_worker, slices
+from tidemark.llm.common import bounded_batches, per_worker, slices
 
 LEAF_PIECES = 64
 # The split looks at most so many letters past a pre-token's end.
 LOOK_AHEAD = 3
-CACHE_PIECES = 500_000
+CACHE_PIECES = 200_000
 
 
 class PieceCounts(dict):
@@ -185,7 +185,7 @@ def recount(docs: DataFrame, ranks_file: str, pattern: str, edits: str = "edits"
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", edits).mapInArrow(
+    return bounded_batches(docs).select("doc_id", "text", edits).mapInArrow(
         run,
         f"doc_id {kind}, n_tokens bigint, n_edits bigint, n_tokens_after bigint, n_pieces bigint, n_encoded bigint",
     )

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from tidemark.llm.common import saved, slices, with_text_columns
+from tidemark.llm.common import bounded_batches, saved, slices, with_text_columns
 from tidemark.llm.quality import training_rows
 
 FOLDS, HELD_OUT_FOLD = 5, 0
@@ -291,7 +291,7 @@ def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) ->
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = FIT_ROWS) -> Model | None:
     """The model, or None if there are no toxic or no clean labelled documents."""
-    rows = saved(training_rows(docs, labels, label, FOLDS, HELD_OUT_FOLD, limit).select("text", "y", "hash"))
+    rows = saved(training_rows(bounded_batches(docs), labels, label, FOLDS, HELD_OUT_FOLD, limit).select("text", "y", "hash"))
     # terms are chosen on one part and weighed on the other, so that chance finds lose
     apart = F.pmod("hash", F.lit(5)) < 2
     choosing = rows.where(~apart).select("text", "y")
