@@ -29,10 +29,11 @@ def test_recall(spark, sf):
     assert hits >= 0.95 * total
 
 
-def test_pruning_keeps_recall(spark, monkeypatch):
+@pytest.mark.parametrize("noise", [0.5, 20.0])  # clear clusters, and none
+def test_pruning_keeps_recall(spark, monkeypatch, noise):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(40, 24))
-    x = (centres[rng.integers(0, 40, 6000)] + 0.5 * rng.normal(size=(6000, 24))).astype(np.float32)
+    x = (centres[rng.integers(0, 40, 6000)] + noise * rng.normal(size=(6000, 24))).astype(np.float32)
     monkeypatch.setattr(ann, "LIST_ROWS", 40)
     monkeypatch.setattr(ann, "BLOCK_ROWS", 30)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")

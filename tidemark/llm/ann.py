@@ -26,11 +26,12 @@ LIST_ROWS = 256
 MAX_LISTS = 4096
 BLOCK_ROWS = 4096
 LINKS = 16
-BEAM = 64
 REPLICAS = 6
 REPLICA_RATIO = 1.15
-PROBE_RATIO = 1.6
-PROBES = 40
+# The probe ratio is set so that this part of the true neighbours of so many
+# queries, found by brute force over all vectors, lies in the lists they read.
+RECALL = 0.97
+MEASURED_QUERIES = 64
 
 
 @dataclass
@@ -42,6 +43,8 @@ class Index:
     entries: np.ndarray
     longest: float
     sizes: np.ndarray | None = None
+    ratio: float = 1.0
+    beam: int = 1
 
 
 def _split(points: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -148,15 +151,30 @@ def _replicas(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _probes(index: Index, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, list) pairs: lists within the distance ratio, and always enough
     to hold k vectors counted once per possible replica."""
-    ids, far = nearest_lists(index, points, max(BEAM, PROBES))
+    ids, far = nearest_lists(index, points, index.beam)
     held = np.where(ids >= 0, index.sizes[ids], 0)
     before = np.cumsum(held, axis=1) - held
-    keep = (far <= far[:, :1] * PROBE_RATIO**2 + 1e-12) & (np.arange(ids.shape[1]) < PROBES)
+    keep = far <= far[:, :1] * index.ratio**2 + 1e-12
     keep = (keep | (before < k * REPLICAS)) & (ids >= 0)
     query, place = np.nonzero(keep)
     return query, ids[query, place]
 
 
+def _set_ratio(index: Index, points: np.ndarray, lists: dict[tuple[int, int], list[int]], k: int) -> None:
+    """The ratio of distances up to which queries read lists, from the lists that
+    hold the true neighbours: (query, neighbour) -> lists. The beam is as wide
+    as the queries need at that ratio."""
+    far = ((points**2).sum(axis=1)[:, None] + (index.centroids**2).sum(axis=1) - 2 * points @ index.centroids.T).clip(min=0)
+    ratio = np.sqrt(far / np.maximum(far.min(axis=1, keepdims=True), 1e-30))
+    needed = np.sort([ratio[q, held].min() for (q, _), held in lists.items()])
+    if len(needed):
+        index.ratio = float(needed[min(len(needed) - 1, int(np.ceil(RECALL * len(needed))))]) * (1 + 1e-9)
+    read = (ratio <= index.ratio).sum(axis=1).max(initial=1)
+    # lists enough for k neighbours even if each stands in all of its replicas
+    least = np.searchsorted(np.cumsum(np.sort(index.sizes)), k * REPLICAS) + 1
+    index.beam = int(min(len(index.centroids), max(32, 1.25 * read, least)))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -242,10 +260,37 @@ def search(
     )
     sizes = {r["list"]: r["count"] for r in postings.groupBy("list").count().collect()}  # at most MAX_LISTS
     index.sizes = np.array([sizes.get(i, 0) for i in range(len(index.centroids))])
-    filled = spark.sparkContext.broadcast(dict(vars(index)))
-
     queries = good.where(is_query)
     asked = saved(queries.groupBy("embedding").agg(F.min("vec_id").alias("asked")))
+    some = asked.orderBy(F.xxhash64("asked"), "asked").limit(MEASURED_QUERIES).toArrow()
+    if some.num_rows:
+        probe = _matrix(some.column("embedding"))
+        own = some.column("asked").to_pylist()
+
+        def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if len(batch):
+                    scores = probe @ _matrix(batch.column(1)).T
+                    top = np.argsort(-scores, axis=1, kind="stable")[:, : k + 1]
+                    query = np.repeat(np.arange(len(probe)), top.shape[1])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(query), batch.column(0).take(pa.array(top.ravel())), pa.array(scores[query, top.ravel()])],
+                        names=["query", "first", "score"],
+                    )
+
+        by_score = Window.partitionBy("query").orderBy(F.desc("score"), "first")
+        true = (  # at most k + 1 rows for each measured query
+            distinct.select(F.col("ids")[0].alias("first"), "embedding")
+            .mapInArrow(nearest, f"query bigint, first {distinct.schema['ids'].dataType.elementType.simpleString()}, score double")
+            .withColumn("_n", F.row_number().over(by_score))
+            .where(F.col("_n") <= k + 1)
+        )
+        lists: dict[tuple[int, int], list[int]] = {}
+        for r in postings.select("list", F.col("ids")[0].alias("first")).join(F.broadcast(true), "first").collect():
+            if r["first"] != own[r["query"]]:
+                lists.setdefault((r["query"], r["first"]), []).append(r["list"])
+        _set_ratio(index, aimed(probe), lists, k + 1)
+    filled = spark.sparkContext.broadcast(dict(vars(index)))
     probes = saved(
         asked.select("asked", "embedding").mapInArrow(
             spread(lambda x: _probes(Index(**filled.value), x, k + 1), aimed), f"list int, asked bigint, embedding {kind}"
