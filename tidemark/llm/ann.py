@@ -22,7 +22,7 @@ from tidemark.llm.common import saved
 NEIGHBOURS = 20
 # The clustering sees at most so many vectors; every vector is indexed.
 SAMPLE_ROWS = 20_000
-LIST_ROWS = 256
+LIST_ROWS = 1024
 MAX_LISTS = 4096
 BLOCK_ROWS = 4096
 LINKS = 16
@@ -317,8 +317,12 @@ def search(
         .drop("blocks", "turns")
     )
 
+    hit = pa.struct([("far", pa.float64()), ("vec_id", pa.int64())])
+
     def score(entries: pa.Table, wanted: pa.Table) -> pa.Table:
-        schema = pa.schema([("asked", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+        """One row for each query of a block: its nearest there, as (score with
+        its sign turned, vec_id), so that they sort nearest first."""
+        schema = pa.schema([("asked", pa.int64()), ("hits", pa.list_(hit))])
         if not len(entries) or not len(wanted):
             return schema.empty_table()
         x, q = _matrix(entries.column("embedding")), _matrix(wanted.column("embedding"))
@@ -326,38 +330,37 @@ def search(
         counts = np.diff(ids.offsets.to_numpy())
         flat = ids.flatten().to_numpy()
         owner = np.repeat(np.arange(len(x)), counts)
-        asked_ids = wanted.column("asked").to_numpy()
-        found = []
+        far, vec, cuts = [], [], [0]
         for start in range(0, len(q), 256):
-            scores = q[start : start + 256] @ x.T
+            part = q[start : start + 256]
+            scores = part @ x.T
             near = min(k + 1, len(x))
-            # the (k+1)-th best vector bounds what can count; ties stay in
+            # the (k+1)-th best vector bounds what can count; near ties stay in
             least = -np.partition(-scores, near - 1, axis=1)[:, near - 1]
-            for i, row in enumerate(scores):
-                chosen = np.flatnonzero((row >= least[i])[owner])
-                s, v = row[owner[chosen]], flat[chosen]
-                top = np.lexsort((v, -s))[: k + 1]
-                found.append((np.full(len(top), asked_ids[start + i]), v[top], s[top]))
-        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], schema=schema)
+            for one, row, low in zip(part, scores, least - 1e-9 * longest**2):
+                chosen = np.flatnonzero((row >= low)[owner])
+                # summed alike whatever block a vector is read in
+                s, v = -(x[owner[chosen]] * one).sum(axis=1), flat[chosen]
+                top = np.lexsort((v, s))[: k + 1]
+                far.append(s[top])
+                vec.append(v[top])
+                cuts.append(cuts[-1] + len(top))
+        pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(far)), pa.array(np.concatenate(vec))], fields=list(hit))
+        hits = pa.ListArray.from_arrays(pa.array(np.array(cuts, dtype=np.int32)), pairs)
+        return pa.Table.from_arrays([wanted.column("asked").combine_chunks(), hits], schema=schema)
 
     scored = left.groupBy("list", "block", "turn").cogroup(right.groupBy("list", "block", "turn"))
-    best = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
+    # a query gathers k + 1 hits from each block it reads; copies of a vector in
+    # several lists come out the same
     hits = (
-        scored.applyInArrow(score, "asked bigint, vec_id bigint, score double")
-        .groupBy("asked", "vec_id")
-        .agg(F.max("score").alias("score"))
-        .withColumn("_n", F.row_number().over(best))
-        .where(F.col("_n") <= k + 1)
+        scored.applyInArrow(score, "asked bigint, hits array<struct<far: double, vec_id: bigint>>")
         .groupBy("asked")
-        .agg(F.collect_list(F.struct("score", "vec_id")).alias("hits"))
-    )
-    order = F.array_sort(
-        F.filter("hits", lambda h: h["vec_id"] != F.col("query_id")),
-        lambda a, b: F.when(a["score"] > b["score"], -1)
-        .when(a["score"] < b["score"], 1)
-        .when(a["vec_id"] < b["vec_id"], -1)
-        .otherwise(1),
+        .agg(F.flatten(F.collect_list("hits")).alias("hits"))
+        # a vector stands in REPLICAS lists at most, so this many hold k + 1 vectors
+        .select("asked", F.slice(F.sort_array("hits"), 1, (k + 1) * REPLICAS).alias("hits"))
+        .select("asked", F.slice(F.array_distinct("hits"), 1, k + 1).alias("hits"))
     )
+    order = F.filter("hits", lambda h: h["vec_id"] != F.col("query_id"))
     return (
         queries.select(F.col("vec_id").alias("query_id"), "embedding")
         .join(asked, "embedding")
@@ -367,6 +370,6 @@ def search(
             F.col("query_id").cast("bigint"),
             (F.col("at") + 1).alias("rank"),
             F.col("hit.vec_id").cast("bigint").alias("vec_id"),
-            F.col("hit.score").alias("score"),
+            (-F.col("hit.far")).alias("score"),
         )
     )
