@@ -119,6 +119,23 @@ def test_automaton_against_edit_distance():
         assert (e, n) == (min(options) if options else (-1, -1))
 
 
+def test_documents_that_share_a_word_count_apart(spark):
+    def text(i, mark):
+        return f"0 - aaaaa {mark} " + " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + j)}x" for j in range(30))
+
+    rows = [(i, text(i, "badword" if i < 40 else "fine"), float(i < 40)) for i in range(120)]
+    rows += [(200 + i, text(0, "badword") + f" more{i}", 1.0) for i in range(9)]  # near copies of one text
+    classed = toxicity.with_class(spark.createDataFrame(rows, "hash bigint, text string, y double")).cache()
+    assert classed.count() == len(rows) and classed.select("class").distinct().count() == 120
+    docs = {r.term: r.docs for r in toxicity._counted(classed.where("y = 1"), None).collect()}
+    assert docs["badword$"] == 40 and docs["aaaaa$"] == 40
+    assert {r.term: r.docs for r in toxicity._counted(classed.where("y = 0"), frozenset(["aaaaa$"])).collect()} == {"aaaaa$": 80}
+    split = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], int(r[2])) for r in rows], "doc_id bigint, toxic int")
+    model = toxicity.fit(split, labels)
+    assert [t.text for t in model.automaton.terms] == ["badword"]
+
+
 def test_quotation_weighs_less():
     machine = toxicity.Automaton([toxicity.Term("idiot", False)])
     texts = pa.array(["you are an idiot now", 'a sign read "silly idiot here" today', "he said idiot once", "", "an idioot", 'an idiot and "idiot"'])

@@ -9,7 +9,6 @@ beside words of reporting it weighs less than in plain text.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField
 
+from tidemark.llm import jaccard
 from tidemark.llm.common import bounded_batches, saved, slices, with_text_columns
 from tidemark.llm.quality import training_rows
 
@@ -222,16 +222,21 @@ def _terms_of(words: list[str]) -> set[str]:
     return {*stems, *(s + "#" for s, n in stems.items() if n > 1), *(w + "$" for w in words)}
 
 
-def _names(part: pa.RecordBatch) -> Iterator[tuple[set[str], int]]:
-    """The terms of each text, as `_terms_of` names them, and the least hash of
-    its words, which copies and near copies mostly share."""
+def _names(part: pa.RecordBatch) -> Iterator[set[str]]:
+    """The terms of each text, as `_terms_of` names them."""
     _, distinct, index, owner, _ = _words(pc.fill_null(part.column(0), ""))
-    hashed = [zlib.crc32(w.encode()) for w in distinct]
     cuts = np.searchsorted(owner, np.arange(len(part) + 1))
     for i in range(len(part)):
         words = np.unique(index[cuts[i] : cuts[i + 1]])
-        held = _terms_of([distinct[w] for w in words if 4 <= len(distinct[w]) <= 40])
-        yield held, min((hashed[w] for w in words), default=0)
+        yield _terms_of([distinct[w] for w in words if 4 <= len(distinct[w]) <= 40])
+
+
+def with_class(rows: DataFrame) -> DataFrame:
+    """`rows` of text, y and hash with class: the same number for copies and near
+    copies of one text, as the Jaccard join finds them by their whole shingle sets."""
+    rows = rows.withColumn("_unit", F.xxhash64("hash", "text"))
+    classes = jaccard.join(rows.select(F.col("_unit").alias("doc_id"), "text"))
+    return rows.join(classes.select(F.col("doc_id").alias("_unit"), F.col("class_id").alias("class")).distinct(), "_unit").drop("_unit")
 
 
 def _counted(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
@@ -241,15 +246,16 @@ def _counted(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in slices(batch.column(0)):
+                part = batch.slice(start, stop - start)
                 found = {
                     (t, key)
-                    for held, key in _names(batch.slice(start, stop - start))
+                    for held, key in zip(_names(part), part.column(1).to_pylist())
                     for t in (held if wanted is None else held & wanted)
                 }
                 terms, keys = zip(*found) if found else ((), ())
-                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(keys, pa.int64())], names=["term", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(keys, pa.int64())], names=["term", "class"])
 
-    pairs = rows.select("text").mapInArrow(run, "term string, key bigint").distinct()
+    pairs = rows.select("text", "class").mapInArrow(run, "term string, class bigint").distinct()
     return pairs.groupBy("term").agg(F.count("*").alias("docs"))
 
 
@@ -294,9 +300,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = F
     rows = saved(training_rows(bounded_batches(docs), labels, label, FOLDS, HELD_OUT_FOLD, limit).select("text", "y", "hash"))
     # terms are chosen on one part and weighed on the other, so that chance finds lose
     apart = F.pmod("hash", F.lit(5)) < 2
-    choosing = rows.where(~apart).select("text", "y")
+    choosing = saved(with_class(rows.where(~apart)).select("text", "y", "class"))
     weighing = rows.where(apart).select("text", "y")
-    classes = {r["y"]: r["count"] for r in choosing.groupBy("y").count().collect()}  # two rows
+    classes = {r["y"]: r["n"] for r in choosing.groupBy("y").agg(F.count_distinct("class").alias("n")).collect()}  # two rows
     toxic, clean = classes.get(1.0, 0), classes.get(0.0, 0)
     if not toxic or not clean:
         return None
