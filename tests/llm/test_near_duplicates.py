@@ -1,10 +1,12 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, queries
 from tidemark.llm.components import connected
@@ -78,6 +80,46 @@ def test_join_matches_all_pairs(spark, documents, monkeypatch, seed, block):
     assert found == brute(rows)
 
 
+def test_many_short_texts_of_one_template(spark, documents, monkeypatch):
+    largest = []
+
+    def measured(rows, similarity):
+        largest.append(rows.groupBy("tree", "label", "lo", "hi").count().agg(F.max("count")).first()[0])
+        return verified(rows, similarity)
+
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", measured)
+    monkeypatch.setattr(jaccard, "BLOCK_MEMBERS", 500)
+    n = 20_000
+    rows = [(i, f"error 404 not found on server {i}") for i in range(n)]
+    rows += [(n + i, f"alert the disk of host {i} is full now please call someone who can look after the big machine in the cellar") for i in range(3)]
+    rows += [(n + 10 + i, f"Error 404, not found on server {i}") for i in range(5)]
+    joined = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.join(documents(rows)).collect()}
+    assert len(joined) == len(rows) and largest[0] <= 2 * 500 * 1.3
+    assert all(joined[i] == (i, 0) for i in range(5, n + 3))
+    assert all(joined[i] == joined[n + 10 + i] == (i, 1) for i in range(5))
+
+
+def test_verify_needs_little_memory():
+    m = 5000
+    sets = [np.array(sorted({1, 2, 3, 4, 5, 6, 7, 8, 9, 100 + i // 2})[: 9 + (i % 100 < 2)], dtype=np.uint64) if i % 2 else np.array([10**6 + i, 1, 2], np.uint64) for i in range(m)]
+    nodes = [b"%06d" % i for i in range(m)]
+    rng = np.random.default_rng(0)
+    labels, weights = rng.integers(0, 9, (m, 16)), np.ones(m, np.int64)
+    labels[:, 0] = 1
+    for across in (False, True):
+        sides = np.arange(m) // 2 % 2 if across else np.zeros(m, np.int64)
+        tracemalloc.start()
+        touched, links, root = jaccard._verify(nodes, weights, labels, sets, sides, across, 0, (8, 10))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 350e6  # one matrix of floats and one of flags
+        odd = np.arange(1, m, 2)
+        assert list(touched) == list(odd) and set(root[odd]) == {1}
+        same = [np.sum(sides[odd] == s) for s in sides[odd]]
+        assert list(links[odd]) == [len(odd) - k if across else len(odd) - 1 for k in same]
+
+
 def test_real_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

@@ -6,7 +6,7 @@ path until documents at the threshold meet in some tree with the target recall.
 Documents that meet are verified exactly on their shingle sets.
 
 Equal shingle sets are one class. A group that shares a prefix is cut into
-blocks by its bytes; each pair of blocks is verified as matrix products in one
+blocks by its bytes and members; each pair of blocks is verified as matrix products in one
 task, which returns counts and local components, never pairs. A pair counts in
 the first tree where it meets.
 """
@@ -30,6 +30,9 @@ RECALL = 0.999
 TREES = 16
 LONGEST_PREFIX = 8
 BLOCK_BYTES = 2 << 20
+# A pair of blocks is a matrix of at most about this number squared, whatever the texts' length.
+BLOCK_MEMBERS = 4000
+TILE_CELLS = 1 << 18  # cells compared at once
 
 
 def prefix_length(similarity: float, trees: int = TREES, longest: int = LONGEST_PREFIX, recall: float = RECALL) -> int:
@@ -95,10 +98,12 @@ def _verify(nodes: list[bytes], weights: np.ndarray, labels: np.ndarray, sets: l
     one block, or `across` two blocks, told apart by side."""
     m = len(nodes)
     size = np.array([len(s) for s in sets])
+    left = np.flatnonzero(sides == 0) if across else np.arange(m)
+    right = np.flatnonzero(sides == 1) if across else left
+    common = np.zeros((len(left), len(right)), dtype=np.float32)
     if m == 2:
-        common = np.zeros((2, 2), dtype=np.float32)
-        common[0, 1] = common[1, 0] = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-    else:
+        common[:] = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+    elif common.size:
         flat, owner = np.concatenate(sets), np.repeat(np.arange(m), size)
         values, column, count = np.unique(flat, return_inverse=True, return_counts=True)
         shared = count[column] > 1
@@ -106,38 +111,48 @@ def _verify(nodes: list[bytes], weights: np.ndarray, labels: np.ndarray, sets: l
         column, owner = number[column[shared]], owner[shared]
         order = np.argsort(column, kind="stable")
         column, owner = column[order], owner[order]
-        common = np.zeros((m, m), dtype=np.float32)
         step = max(256, (8 << 20) // (4 * m))
         total = int(column[-1]) + 1 if len(column) else 0
         cuts = np.searchsorted(column, np.arange(0, total + step, step))
+        rows = max(1, TILE_CELLS // len(right))
         for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
             part = np.zeros((m, min(step, total - i * step)), dtype=np.float32)
             part[owner[lo:hi], column[lo:hi] - i * step] = 1
-            common += part @ part.T
+            other = part[right].T
+            for start in range(0, len(left), rows):
+                common[start : start + rows] += part[left[start : start + rows]] @ other
     up, down = similarity
-    union = size[:, None] + size[None, :] - common
-    linked = common * down >= union * up
-    np.fill_diagonal(linked, False)
-    if across:
-        linked &= sides[:, None] != sides[None, :]
-    low, high = np.nonzero(np.triu(linked))
-    links = np.zeros(m, dtype=np.int64)
-    for start in range(0, len(low), 1 << 18):
-        a, b = low[start : start + (1 << 18)], high[start : start + (1 << 18)]
+    tile = max(1, TILE_CELLS // max(1, len(right)))
+    linked = np.zeros(common.shape, dtype=bool)
+    for start in range(0, len(left), tile):
+        at, some = left[start : start + tile], common[start : start + tile]
+        union = size[at][:, None] + size[right][None, :] - some
+        linked[start : start + tile] = some * down >= union * up
+        if not across:
+            linked[start : start + tile] &= at[:, None] < right[None, :]
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for start in range(0, len(left), tile):
+            a, b = np.nonzero(linked[start : start + tile])
+            if len(a):
+                yield left[start + a], right[b]
+
+    links, met = np.zeros(m, dtype=np.int64), np.zeros(m, dtype=bool)
+    for a, b in pairs():
+        met[a] = met[b] = True
         first = (labels[a] == labels[b]).argmax(axis=1) == tree
         np.add.at(links, a[first], weights[b[first]])
         np.add.at(links, b[first], weights[a[first]])
     by_name = np.argsort(np.array(nodes, dtype=object), kind="stable")
     least = np.empty(m, dtype=np.int64)
     least[by_name] = np.arange(m)
-    while len(low):
+    before = None
+    while before is None or (least != before).any():
         before = least.copy()
-        np.minimum.at(least, low, before[high])
-        np.minimum.at(least, high, before[low])
-        if (least == before).all():
-            break
-    touched = np.unique(np.concatenate([low, high]))
-    return touched, links, by_name[least]
+        for a, b in pairs():
+            np.minimum.at(least, a, least[b])
+            np.minimum.at(least, b, least[a])
+    return np.flatnonzero(met), links, by_name[least]
 
 
 def _verified(rows: DataFrame, similarity) -> DataFrame:
@@ -232,8 +247,9 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, trees: int =
         .where("n > 1")
     )
     # the same members often meet in several trees: the first will do
-    groups = groups.groupBy("n", "x", "y").agg(F.min(F.struct("tree", "label", "total")).alias("g")).select("g.*")
-    blocks = F.ceil(F.col("total") * 8 / BLOCK_BYTES).cast("int")
+    groups = groups.groupBy("n", "x", "y").agg(F.min(F.struct("tree", "label", "total")).alias("g")).select("n", "g.*")
+    # short texts have few bytes and many members
+    blocks = F.ceil(F.greatest(F.col("total") * 8 / BLOCK_BYTES, F.col("n") / BLOCK_MEMBERS)).cast("int")
     taken = saved(
         met.join(groups, ["tree", "label"])
         .withColumn("blocks", blocks)
