@@ -119,6 +119,15 @@ def test_automaton_against_edit_distance():
         assert (e, n) == (min(options) if options else (-1, -1))
 
 
+def test_automaton_reads_other_scripts():
+    terms = [toxicity.Term("мерзавец", False), toxicity.Term("дурак", True), toxicity.Term("ηλίθιος", False), toxicity.Term("बेवकूफ", False)]
+    words = ["мерзавец", "мерзовец", "мерзавц", "мерзовиц", "дураками", "дурка", "ηλίθιος", "ηλίθιο", "बेवकूफ", "слово", "idiot", "𠀀𠀁"]
+    found, edits = toxicity.Automaton(terms).run(words)
+    assert list(found) == [0, 0, 0, -1, 1, -1, 2, 2, 3, -1, -1, -1]
+    assert list(edits) == [0, 1, 1, -1, 0, -1, 0, 1, 0, -1, -1, -1]
+    assert list(toxicity.Automaton([]).run(["a", "д"])[0]) == [-1, -1]
+
+
 def test_documents_that_share_a_word_count_apart(spark):
     def text(i, mark):
         return f"0 - aaaaa {mark} " + " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + j)}x" for j in range(30))

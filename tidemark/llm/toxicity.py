@@ -137,10 +137,9 @@ class Automaton:
         state = np.zeros(len(words), dtype=np.int32)
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        lookup = np.zeros(0x250, dtype=np.int32)
+        lookup = np.zeros(max(self.letters, default=0) + 1, dtype=np.int32)
         for code, number in self.letters.items():
-            if code < len(lookup):
-                lookup[code] = number
+            lookup[code] = number
         letters = np.where(codes < len(lookup), lookup[np.minimum(codes, len(lookup) - 1)], 0)
         starts = np.cumsum(lengths) - lengths
         live = np.flatnonzero(lengths > 0)
