@@ -154,6 +154,14 @@ def test_awkward_rows(spark, documents, awkward):
     assert jaccard.join(docs.limit(0)).count() == 0
 
 
+def test_an_id_on_several_texts(spark, documents):
+    one, other, third = ("a b c d e f g h", "q r s t u v w x y", "k l m n o p")
+    rows = [(1, one), (1, other), (1, None), (2, one), (3, other), (3, third), (4, third), (1, one)]
+    docs = documents(rows)
+    kept = [(r.doc_id, r.text) for r in jaccard.keep_first(docs, jaccard.join(docs)).collect()]
+    assert sorted(kept, key=str) == sorted([(1, one), (1, other), (1, None), (3, third)], key=str)
+
+
 def test_prefix_length_reaches_the_recall():
     depth = jaccard.prefix_length(0.8)
     assert 1 - (1 - 0.8**depth) ** jaccard.TREES >= jaccard.RECALL > 1 - (1 - 0.8 ** (depth + 1)) ** jaccard.TREES

@@ -202,11 +202,13 @@ def _verified(rows: DataFrame, similarity) -> DataFrame:
 
 
 def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, trees: int = TREES, recall: float = RECALL) -> DataFrame:
-    """One row per distinct (doc_id, text): doc_id, text_key, class_id, n_links.
+    """One row per distinct (doc_id, text): doc_id, text_key, class_id, class_key,
+    n_links.
 
     n_links counts the other documents with a Jaccard similarity of five-word
     shingles of at least `similarity`, equal ones included; class_id is the least
-    doc_id of the component these links make. Texts with equal shingle sets are
+    doc_id of the component these links make, class_key the text_key it stands
+    on there, as one doc_id may stand on texts of several classes. Texts with equal shingle sets are
     alike; texts without words only equal each other, byte for byte; a null text
     links to nothing. Repeated rows are one document; rows with a null doc_id are
     left out; other columns are left aside; an empty table gives no rows.
@@ -290,15 +292,15 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, trees: int =
     found = saved(_verified(rows, similarity))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    named = classes.select("node", "weight", F.col("rep.doc_id").alias("first")).join(roots, "node", "left")
+    named = classes.select("node", "weight", "rep").join(roots, "node", "left")
     grouped = named.withColumn("root", F.coalesce("root", "node"))
-    least = grouped.groupBy("root").agg(F.min("first").alias("class_id"))
+    least = grouped.groupBy("root").agg(F.min("rep").alias("class"))
     final = (
         grouped.join(least, "root")
         .join(links, "node", "left")
-        .select("node", "class_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        .select("node", F.col("class.doc_id").alias("class_id"), F.col("class.text_key").alias("class_key"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     )
-    return members.select("doc_id", "text_key", "node").join(final, "node").select("doc_id", "text_key", "class_id", "n_links")
+    return members.select("doc_id", "text_key", "node").join(final, "node").select("doc_id", "text_key", "class_id", "class_key", "n_links")
 
 
 def keep_first(docs: DataFrame, joined: DataFrame) -> DataFrame:
@@ -310,11 +312,8 @@ def keep_first(docs: DataFrame, joined: DataFrame) -> DataFrame:
 
     key, number = free_name(docs, "_text_key"), free_name(docs, "_number")
     first = Window.partitionBy("doc_id", key).orderBy(F.lit(1))
-    stay = (
-        joined.where(F.col("doc_id") == F.col("class_id"))
-        .groupBy("doc_id")
-        .agg(F.min(F.struct(F.col("text_key").isNull(), F.col("text_key"))).alias("k"))
-        .select(F.col("doc_id").alias("_stay_id"), F.coalesce("k.text_key", F.lit(b"")).alias("_stay_key"))
+    stay = joined.where((F.col("doc_id") == F.col("class_id")) & F.col("text_key").eqNullSafe(F.col("class_key"))).select(
+        F.col("doc_id").alias("_stay_id"), F.coalesce("text_key", F.lit(b"")).alias("_stay_key")
     )
     keyed = docs.where("doc_id is not null").withColumn(key, F.coalesce(text_key(F.col("text")), F.lit(b"")))
     one = keyed.withColumn(number, F.row_number().over(first)).where(F.col(number) == 1).drop(number)
