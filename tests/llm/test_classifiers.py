@@ -119,6 +119,19 @@ def test_automaton_against_edit_distance():
         assert (e, n) == (min(options) if options else (-1, -1))
 
 
+def test_every_telling_term_is_kept(spark):
+    names = ["".join(chr(97 + (i * k) % 26) for k in (1, 3, 5, 7)) + f"{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    ones = spark.createDataFrame([*((n + "$", 30) for n in names), ("rare$", 3), ("both$", 30), ("most$", 30)], "term string, docs bigint")
+    zeros = spark.createDataFrame([("both$", 60), ("most$", 2), ("clean$", 9)], "term string, docs bigint")
+    found = {r.term: r.docs for r in toxicity.telling(ones, zeros, 500, 5000).collect()}
+    assert found == {**{n + "$": 30 for n in names}, "most$": 30}
+    terms = toxicity.choose_terms(found)
+    assert sorted(t.text for t in terms) == sorted([*names, "most"])
+    lexicon = toxicity.Lexicon(terms)
+    number, edits = lexicon.run([t.text for t in terms] + ["zzzzzzzzzz"])
+    assert list(number) == [*range(len(terms)), -1] and set(edits[:-1]) == {0}
+
+
 def test_automaton_reads_other_scripts():
     terms = [toxicity.Term("мерзавец", False), toxicity.Term("дурак", True), toxicity.Term("ηλίθιος", False), toxicity.Term("बेवकूफ", False)]
     words = ["мерзавец", "мерзовец", "мерзавц", "мерзовиц", "дураками", "дурка", "ηλίθιος", "ηλίθιο", "बेवकूफ", "слово", "idiot", "𠀀𠀁"]

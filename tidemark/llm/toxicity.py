@@ -9,6 +9,7 @@ beside words of reporting it weighs less than in plain text.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,11 +25,8 @@ from tidemark.llm.quality import training_rows
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 TOXIC_SCORE = 0.5
-# At most so many labelled documents are used to fit, so many terms considered
-# and so many kept.
-FIT_ROWS = 20_000
-CANDIDATES = 20_000
-LEXICON = 200
+FIT_ROWS = 20_000  # labelled documents used to fit, at most
+PART_TERMS = 200  # in one automaton; a larger lexicon takes several
 STEM_LETTERS = range(4, 11)
 LEAST_SHARE = 0.004  # of the toxic documents that a term must be in
 LEAST_DOCS = 4
@@ -151,11 +149,30 @@ class Automaton:
         return self.term[state], self.edits[state]
 
 
+class Lexicon:
+    """Any number of terms: automata of PART_TERMS each, whose states would
+    multiply in a single one. A word goes to the term with the fewest edits, the
+    first of these."""
+
+    def __init__(self, terms: list[Term]):
+        self.terms = terms
+        self.parts = [Automaton(terms[i : i + PART_TERMS]) for i in range(0, len(terms), PART_TERMS)]
+
+    def run(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Term number and edits of each word, -1 where none matches."""
+        term, edits = np.full(len(words), -1, dtype=np.int32), np.full(len(words), -1, dtype=np.int32)
+        for number, part in enumerate(self.parts):
+            t, e = part.run(words)
+            better = (t >= 0) & ((term < 0) | (e < edits))
+            term[better], edits[better] = t[better] + number * PART_TERMS, e[better]
+        return term, edits
+
+
 @dataclass
 class Model:
-    """The automaton is built once, on the driver, and travels as tables."""
+    """The automata are built once, on the driver, and travel as tables."""
 
-    automaton: Automaton
+    automaton: Lexicon
     base: float = 0.1  # of texts without a hit
     weights: dict[tuple[int, int, int], float] = field(default_factory=dict)
 
@@ -197,7 +214,7 @@ def _context(raw: pa.DictionaryArray, at: int, low: int, high: int) -> float:
 Hits = dict[tuple[int, int, int], float]
 
 
-def hits(texts: pa.Array, automaton: Automaton) -> list[Hits]:
+def hits(texts: pa.Array, automaton: Automaton | Lexicon) -> list[Hits]:
     """Per text, the terms found as (term, edits, distinct words up to MANY),
     each with its strongest context."""
     raw, distinct, index, owner, offsets = _words(texts)
@@ -238,7 +255,7 @@ def with_class(rows: DataFrame) -> DataFrame:
     return rows.join(classes.select(F.col("doc_id").alias("_unit"), F.col("class_id").alias("class")).distinct(), "_unit").drop("_unit")
 
 
-def _counted(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
+def _counted(rows: DataFrame, wanted: frozenset[str] | None = None) -> DataFrame:
     """term, docs: how many documents hold a term, copies and near copies of one
     counted once. Their words all go together and would look like marks."""
 
@@ -258,40 +275,47 @@ def _counted(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
     return pairs.groupBy("term").agg(F.count("*").alias("docs"))
 
 
-def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> list[Term]:
-    """Terms that mark toxic documents: of nested ones the longest that still
-    covers the shorter one's documents, as a whole word where it is one."""
-    least, base = max(LEAST_DOCS, LEAST_SHARE * toxic), toxic / (toxic + clean)
+def telling(ones: DataFrame, zeros: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """term, docs: the toxic documents of each term that marks such documents, from
+    the (term, docs) of both labels."""
+    base = toxic / (toxic + clean)
+    one, none = F.col("docs"), F.coalesce("_none", F.lit(0))
+    share = one / (one + none)
+    # Chernoff's bound on finding such a share among so many documents
+    rest = F.when(none > 0, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
+    gain = (one + none) * (share * F.log(share / base) + rest)
+    return (
+        ones.where(one >= max(LEAST_DOCS, LEAST_SHARE * toxic))
+        .join(zeros.select("term", F.col("docs").alias("_none")), "term", "left")
+        .where((share >= PRECISION) & (share > base) & (gain >= float(-np.log(CHANCE))))
+        .select("term", "docs")
+    )
 
-    def good(t: str) -> bool:
-        one, none = counts[t]
-        share = one / (one + none)
-        if one < least or share < PRECISION or share <= base:
-            return False
-        # Chernoff's bound on finding such a share among so many documents
-        gain = share * np.log(share / base) + (1 - share) * np.log((1 - share or 1) / (1 - base))
-        return (one + none) * gain >= -np.log(CHANCE)
 
+def choose_terms(counts: dict[str, int]) -> list[Term]:
+    """Of nested terms the longest that still covers the shorter one's documents,
+    as a whole word where it is one."""
     # a stem counts through one word or, if only that tells, through several
     most: dict[str, int] = {}
     for t in counts:
-        if good(t):
-            name = t.rstrip("#")
-            most[name] = max(most.get(name, 0), counts[t][0])
+        name = t.rstrip("#")
+        most[name] = max(most.get(name, 0), counts[t])
     roots: set[str] = set()
     chosen: list[tuple[int, Term]] = []
-    by_length = sorted(most, key=lambda t: (len(t), t))
-    for t in by_length:
+    by_name = sorted(most)
+    for t in sorted(most, key=lambda t: (len(t), t)):
         if any(t[:n] in roots for n in range(1, len(t) + 1)):
             continue
         roots.add(t.rstrip("$"))
         longest = t
-        for q in by_length:
-            if q.startswith(t) and most[q] >= 0.9 * most[t] and len(q) > len(longest):
+        for q in by_name[bisect_left(by_name, t) :]:
+            if not q.startswith(t):
+                break
+            if most[q] >= 0.9 * most[t] and len(q) > len(longest):
                 longest = q
         chosen.append((most[t], Term(longest.rstrip("$"), not longest.endswith("$"))))
     chosen.sort(key=lambda c: (-c[0], c[1].text))
-    return [t for _, t in chosen[:LEXICON]]
+    return [t for _, t in chosen]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = FIT_ROWS) -> Model | None:
@@ -305,17 +329,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = F
     toxic, clean = classes.get(1.0, 0), classes.get(0.0, 0)
     if not toxic or not clean:
         return None
-    least = max(LEAST_DOCS, LEAST_SHARE * toxic)
-    common = (
-        _counted(choosing.where("y = 1"), None)
-        .where(F.col("docs") >= least)
-        .orderBy(F.desc("docs"), "term")
-        .limit(CANDIDATES)
-        .collect()
-    )
-    ones = {r["term"]: r["docs"] for r in common}
-    zeros = {r["term"]: r["docs"] for r in _counted(choosing.where("y = 0"), frozenset(ones)).collect()}  # as many at most
-    model = Model(Automaton(choose_terms({t: (n, zeros.get(t, 0)) for t, n in ones.items()}, toxic, clean)))
+    ones = saved(_counted(choosing.where("y = 1")).where(F.col("docs") >= max(LEAST_DOCS, LEAST_SHARE * toxic)))
+    # a filter for the clean side: as each is in LEAST_SHARE of the toxic texts, no
+    # more than the terms of 1 / LEAST_SHARE mean texts, whatever the rows
+    wanted = frozenset(r["term"] for r in ones.select("term").collect())
+    found = telling(ones, _counted(choosing.where("y = 0"), wanted), toxic, clean).collect()  # terms that pass
+    model = Model(Lexicon(choose_terms({r["term"]: r["docs"] for r in found})))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
