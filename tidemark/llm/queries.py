@@ -12,14 +12,17 @@ from tidemark.llm import (
     decontamination,
     jaccard,
     langid,
+    negatives,
     packing,
     pii,
     quality,
     sharding,
     token_counts,
+    topk,
     toxicity,
 )
 from tidemark.llm.common import fold, table
+from tidemark.llm.vectors import finite, floored
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -136,6 +139,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(finite(F.col("embedding")))
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = rows.select("vec_id", turned.cast("bigint").alias("label"), floored(F.col("embedding"), 256).alias("vector"))
+    return negatives.mine(whole, F.col("vec_id") % 100 == 0)
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(topk.sparse(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_ann": op2_ann,
@@ -147,9 +161,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_exact_topk": op12_exact_topk,
 }
 
-# All pairs that share a shingle, and components by transitive closure.
+# op9: all pairs that share a shingle, and components by transitive closure.
+# op11, op12: all scores, then windows over them.
 ORACLES: dict[str, str] = {
     "op9_jaccard_join": r"""
 WITH RECURSIVE d AS (SELECT DISTINCT doc_id, text FROM documents WHERE doc_id IS NOT NULL),
@@ -164,4 +181,27 @@ l AS (SELECT i, j FROM p WHERE 10 * c >= 8 * (n - c)
 r AS (SELECT doc_id, doc_id AS root FROM s UNION SELECT l.j, r.root FROM r JOIN l ON l.i = r.doc_id),
 k AS (SELECT i, count(*) AS n FROM l GROUP BY i)
 SELECT doc_id, min(root) AS class_id, coalesce(any_value(k.n), 0) AS n_links FROM r LEFT JOIN k ON r.doc_id = k.i GROUP BY doc_id""",
+    "op11_hard_negatives": r"""
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+             CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) <= 5""",
+    "op12_exact_topk": r"""
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id,
+             CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INT) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10""",
 }
