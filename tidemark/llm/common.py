@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,13 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder that `spark.checkpoint.dir` names.
-
-    Rows and their order inside a partition are fixed afterwards. Only a local
-    session may go without the setting; it gets a temporary folder.
-    """
-    spark = df.sparkSession
+def _set_checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that `spark.checkpoint.dir` names. Only a local session may go
+    without the setting; it gets a temporary folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,9 +38,24 @@ def saved(df: DataFrame) -> DataFrame:
 
             folder = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: rows and their order inside a partition are fixed
+    afterwards."""
+    _set_checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written as Parquet beside the checkpoints and read again: smaller than
+    a checkpoint, but rows come in any order."""
+    place = f"{_set_checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def bounded_batches(df: DataFrame) -> DataFrame:
     """`df`, with the session's Arrow batches bounded by MOST_BATCH_BYTES, as ten
     thousand long texts in one batch would fill a worker."""

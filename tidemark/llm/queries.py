@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
+    alignment,
     ann,
     decontamination,
     jaccard,
@@ -150,6 +151,11 @@ def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(topk.sparse(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_ann": op2_ann,
@@ -163,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_exact_topk": op12_exact_topk,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 # op9: all pairs that share a shingle, and components by transitive closure.
