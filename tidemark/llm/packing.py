@@ -11,7 +11,7 @@ rank up in it.
 
 from __future__ import annotations
 
-from array import array
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +25,9 @@ from tidemark.llm.common import MOST_BATCH_BYTES, bounded_batches, gapless_rank,
 SEQUENCE_TOKENS = 2048
 SEPARATOR_ID = 0
 NNLS_STEPS = 150
-# Word pieces whose ids one worker remembers.
+# Word pieces that the tokenizer reads as one string.
+PIECES_AT_ONCE = 2000
+# Word pieces whose ids one worker remembers: so many of late, as many before them.
 CACHE_PIECES = 200_000
 
 # Printable ASCII and Latin-1 letters: here lower case, normal form and the
@@ -46,8 +48,10 @@ class WordIds:
     """Token ids of whole texts, word by word.
 
     The tokenizer never merges across white space, so a text's ids are its
-    words' ids in a row. Distinct words of a slice are split into pieces, and
-    each distinct piece is encoded once as long as the worker remembers it.
+    words' ids in a row. Distinct words of a slice are split into pieces, and each
+    distinct piece is encoded once, if the worker does not remember it. Pieces go to
+    the tokenizer many at a time, a line each; a token that ends a word ends its
+    piece.
     """
 
     def __init__(self, path: str):
@@ -57,17 +61,35 @@ class WordIds:
         # For pieces that are already lower case and split.
         self.inner = Tokenizer.from_file(path)
         self.inner.normalizer = None
-        self.inner.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces: dict[str, bytes] = {}
+        self.inner.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.inner.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.late: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        lines = ["\n".join(pieces[i : i + PIECES_AT_ONCE]) for i in range(0, len(pieces), PIECES_AT_ONCE)]
+        ids = [np.array(e.ids, dtype="<u4") for e in self.inner.encode_batch_fast(lines, add_special_tokens=False)]
+        flat = np.concatenate(ids) if ids else np.empty(0, "<u4")
+        ends = np.flatnonzero(self.ends_word[flat]) + 1
+        if len(ends) != len(pieces):
+            raise ValueError("the tokenizer does not end each word with a token of its own")
+        raw, cuts = flat.tobytes(), (ends * 4).tolist()
+        return [raw[i:j] for i, j in zip([0, *cuts], cuts)]
 
     def _piece_ids(self, pieces: list[str]) -> list[bytes]:
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces = {}
-        known = self.pieces
-        new = [p for p in pieces if p not in known]
-        for piece, encoding in zip(new, self.inner.encode_batch_fast(new, add_special_tokens=False)):
-            known[piece] = array("I", encoding.ids).tobytes()
-        return [known[p] for p in pieces]
+        if len(self.late) > CACHE_PIECES:
+            self.before, self.late = self.late, {}
+        late, before = self.late, self.before
+        runs = [late.get(p) or before.get(p) for p in pieces]
+        new = [i for i, run in enumerate(runs) if run is None]
+        for i, run in zip(new, self._encoded([pieces[i] for i in new])):
+            runs[i] = run
+        late.update(zip(pieces, runs))
+        return runs
 
     def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words in a row, and how many each has."""
@@ -91,20 +113,27 @@ class WordIds:
         flat = np.concatenate([flat, np.array([i for ids in other for i in ids], dtype="<u4")])
         return _gather(flat, starts, counts)[0], counts
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and the n + 1 offsets of the texts in them."""
+    def __call__(self, texts: pa.Array, after: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and the n + 1 offsets of the texts in them; `after`
+        is an id that follows each text."""
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
         flat, lengths = self._word_ids(words.dictionary)
         index = words.indices.to_numpy(zero_copy_only=False)
-        ids, ends = _gather(flat, (np.cumsum(lengths) - lengths)[index], lengths[index])
         word_offsets = split.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
-        return ids, np.concatenate([[0], ends])[word_offsets - word_offsets[0]]
+        word_offsets -= word_offsets[0]
+        if after is not None:
+            index = np.insert(index, word_offsets[1:], len(lengths))
+            word_offsets += np.arange(len(word_offsets))
+            flat, lengths = np.append(flat, np.array([after], "<u4")), np.append(lengths, 1)
+        ids, ends = _gather(flat, (np.cumsum(lengths) - lengths)[index], lengths[index])
+        return ids, np.concatenate([[0], ends])[word_offsets]
 
 
-def tokenize(docs: DataFrame, tokenizer: str, sequence_tokens: int = SEQUENCE_TOKENS) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str, sequence_tokens: int = SEQUENCE_TOKENS, checksum: bool = False) -> DataFrame:
     """Pieces of at most `sequence_tokens` ids: doc_id, piece, start, length and
-    ids as little-endian unsigned 32-bit numbers.
+    ids as little-endian unsigned 32-bit numbers, or `ids_crc32`, their checksum,
+    in place of them.
 
     A null text counts as empty: its one piece is the separator alone. Rows that
     repeat each give their own pieces; a null doc_id stays null. An empty table
@@ -116,11 +145,8 @@ def tokenize(docs: DataFrame, tokenizer: str, sequence_tokens: int = SEQUENCE_TO
         for batch in batches:
             for begin, stop in slices(batch.column(1), MOST_BATCH_BYTES):
                 part = batch.slice(begin, stop - begin)
-                ids, offsets = encode(pc.fill_null(part.column(1), ""))
+                ids, offsets = encode(pc.fill_null(part.column(1), ""), SEPARATOR_ID)
                 n = len(part)
-                # one separator after each text
-                ids = np.insert(ids, offsets[1:], SEPARATOR_ID).astype("<u4")
-                offsets = offsets + np.arange(n + 1)
                 sizes = np.diff(offsets)
                 pieces = -(-sizes // sequence_tokens)
                 doc = np.repeat(np.arange(n), pieces)
@@ -128,24 +154,28 @@ def tokenize(docs: DataFrame, tokenizer: str, sequence_tokens: int = SEQUENCE_TO
                 start = piece * sequence_tokens
                 length = np.minimum(sizes[doc] - start, sequence_tokens)
                 cuts = np.concatenate([[0], np.cumsum(length)]) * 4
-                raw = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), len(doc), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(ids.tobytes())]
-                )
+                raw = ids.astype("<u4", copy=False).tobytes()
+                if checksum:
+                    view, ends = memoryview(raw), cuts.tolist()
+                    last = pa.array([zlib.crc32(view[a:b]) for a, b in zip(ends, ends[1:])], pa.int64())
+                else:
+                    buffers = [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(raw)]
+                    last = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), buffers).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array(doc)),
                         pa.array(piece.astype(np.int32)),
                         pa.array(start),
                         pa.array(length),
-                        raw.cast(pa.binary()),
+                        last,
                     ],
-                    names=["doc_id", "piece", "start", "length", "ids"],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32" if checksum else "ids"],
                 )
             pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return bounded_batches(docs).select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary"
+        run, f"doc_id {kind}, piece int, start bigint, length bigint, {'ids_crc32 bigint' if checksum else 'ids binary'}"
     )
 
 

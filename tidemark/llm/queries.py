@@ -34,9 +34,8 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 
 def packed(docs: DataFrame) -> DataFrame:
     """Documents to packed pieces, ids replaced by their checksum."""
-    pieces = packing.tokenize(docs, tokenizer_file())
-    slim = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.pack(slim).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    pieces = packing.tokenize(docs, tokenizer_file(), checksum=True)
+    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
