@@ -27,9 +27,71 @@ def test_shards_are_near_equal(spark, sf):
     assert sorted((r.doc_id, r["size"], r.text_crc32) for r in rows) == expected
 
 
+def plain_tree(items, shards, first=0):
+    """items: (coordinates, bytes) by text; the shard of each."""
+    if shards == 1 or not items:
+        return {t: first for t in items}
+    spread = [max(c[d] for c, _ in items.values()) // 2**30 - min(c[d] for c, _ in items.values()) // 2**30 for d in range(4)]
+    d = spread.index(max(spread))
+    at = {}
+    for c, size in items.values():
+        at[c[d]] = at.get(c[d], 0) + size
+    wanted, upto, cut = sum(at.values()) * (shards // 2) // shards, 0, None
+    for place in sorted(at):
+        if upto + at[place] >= wanted:
+            cut = place + (2 * (wanted - upto) >= at[place] or not upto)
+            break
+        upto += at[place]
+    left = {t: i for t, i in items.items() if i[0][d] < cut}
+    right = {t: i for t, i in items.items() if i[0][d] >= cut}
+    return plain_tree(left, shards // 2, first) | plain_tree(right, shards - shards // 2, first + shards // 2)
+
+
+def test_shards_are_those_of_a_plain_tree(spark, sf, monkeypatch):
+    monkeypatch.setattr(sharding, "TOLERANCE", 0)
+    monkeypatch.setattr(sharding, "BINS", 16)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source")
+    copies = docs.limit(20).withColumns({"doc_id": F.col("doc_id") + 1000, "source": F.lit("elsewhere"), "lang": F.lit(None).cast("string")})
+    docs = docs.union(copies)
+    made = sharding.coordinates(docs).collect()
+    dimensions = ["d_id", "d_size", "d_source", "d_lang"]
+    low = {d: min(r[d] for r in made) for d in dimensions}
+    high = {d: max(r[d] for r in made) for d in dimensions}
+    items = {}
+    for r in made:
+        items.setdefault((r.t_one, r.t_two), []).append(r)
+    ties = spark.createDataFrame(list(items), "a bigint, b bigint").select("a", "b", F.xxhash64("a", "b", F.lit(0).cast("bigint")).alias("t")).collect()
+    tie = {(r.a, r.b): r.t % 2**30 for r in ties}
+    place = lambda v, d: int((v - low[d]) * (float(2**31 - 1) / float(high[d] - low[d]))) if high[d] > low[d] else 0
+    plain = {
+        key: ([(place(min(r[d] for r in group), d) << 30) + tie[key] for d in dimensions], sum(r["size"] for r in group))
+        for key, group in items.items()
+    }
+    want = plain_tree(plain, 6)
+    found = {r.doc_id: r.shard for r in sharding.shard(docs, 6).collect()}
+    assert found == {r.doc_id: want[r.t_one, r.t_two] for r in made}
+    assert len(set(want.values())) == 6
+
+
+def test_equal_texts_stay_together(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "HOT_ROWS", 50)
+    rows = [(i, f"text {i % 90}", "en" if i % 2 else "de", f"s{i % 5}") for i in range(900)]
+    rows += [(1000 + i, "hot " * 40, "en", "s") for i in range(600)]  # more than a shard
+    rows += [(2000 + i, "warm " * 8, "fr", f"s{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    shard_of = {r.doc_id: (r.shard, r["size"]) for r in sharding.shard(docs, 8).collect()}
+    homes = {}
+    for doc, text, *_ in rows:
+        homes.setdefault(text, set()).add(shard_of[doc][0])
+    assert all(len(h) == 1 for text, h in homes.items() if not text.startswith("hot"))
+    assert len(homes["hot " * 40]) > 3
+    sizes = [sum(size for s, size in shard_of.values() if s == i) for i in range(8)]
+    assert max(sizes) < 1.3 * min(sizes)
+
+
 def test_many_rows_balance(spark):
     docs = spark.range(20_000).select(
-        F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.rand(3) * 200).cast("int")).alias("text"),
+        F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("x"), (F.rand(3) * 200).cast("int")), F.col("id").cast("string")).alias("text"),
         F.when(F.col("id") % 3 == 0, "a").alias("source"), F.lit(None).cast("string").alias("lang"),
     )
     rows = sharding.shard(docs, 7).groupBy("shard").agg(F.sum("size").alias("b"), F.max("slot").alias("m"), F.count("*").alias("n")).collect()
