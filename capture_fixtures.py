@@ -7,6 +7,8 @@ the tables.
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
 import struct
 import sys
 from collections.abc import Iterator
@@ -260,6 +262,79 @@ def decimal_bytes(digits: int, precision: int, scale: int) -> bytes:
     return bytes(out)
 
 
+def _json_length(n: int) -> bytes:
+    out = bytearray()
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    return bytes([*out, n])
+
+
+def _json_moment(v) -> bytes:
+    """Dates, times and times of day as JSON packs them; a timedelta may be negative."""
+    if isinstance(v, dt.timedelta):
+        micros = abs(v) // dt.timedelta(microseconds=1)
+        hours, rest = divmod(micros, 3600 * 10**6)
+        minutes, rest = divmod(rest, 60 * 10**6)
+        packed = (hours << 12 | minutes << 6 | rest // 10**6) << 24 | rest % 10**6
+        return struct.pack("<q", -packed if v < dt.timedelta(0) else packed)
+    day = ((v.year * 13 + v.month) << 5 | v.day) << 17
+    if isinstance(v, dt.datetime):
+        return struct.pack("<q", (day | v.hour << 12 | v.minute << 6 | v.second) << 24 | v.microsecond)
+    return struct.pack("<q", day << 24)
+
+
+def json_value(v, wide: bool = False) -> tuple[int, bytes]:
+    """Type code and body of a value in MySQL's binary JSON; ``wide`` uses the
+    large form of objects and arrays."""
+    if v is None or isinstance(v, bool):
+        return 4, bytes([0 if v is None else 2 - v])
+    if isinstance(v, int):
+        for code, fmt, low, high in ((5, "<h", -(1 << 15), 1 << 15), (6, "<H", 0, 1 << 16), (7, "<i", -(1 << 31), 1 << 31),
+                                     (8, "<I", 0, 1 << 32), (9, "<q", -(1 << 63), 1 << 63), (10, "<Q", 0, 1 << 64)):
+            if low <= v < high:
+                return code, struct.pack(fmt, v)
+    if isinstance(v, float):
+        return 11, struct.pack("<d", v)
+    if isinstance(v, str):
+        return 12, _json_length(len(v.encode())) + v.encode()
+    if isinstance(v, decimal.Decimal):
+        sign, digits, exponent = v.as_tuple()
+        number = int("".join(map(str, digits))) * (-1 if sign else 1)
+        precision = max(len(digits), -exponent)
+        raw = bytes([precision, -exponent]) + decimal_bytes(number, precision, -exponent)
+        return 15, bytes([246]) + _json_length(len(raw)) + raw
+    if isinstance(v, (dt.date, dt.timedelta)):
+        code = 12 if isinstance(v, dt.datetime) else 11 if isinstance(v, dt.timedelta) else 10
+        return 15, bytes([code, 8]) + _json_moment(v)
+    if isinstance(v, bytes):
+        return 15, bytes([252]) + _json_length(len(v)) + v
+    size, inline = (4, (4, 5, 6, 7, 8)) if wide else (2, (4, 5, 6))
+    keyed = isinstance(v, dict)
+    items = sorted(v.items(), key=lambda i: (len(i[0].encode()), i[0].encode())) if keyed else [(None, x) for x in v]
+    keys = [k.encode() for k, _ in items] if keyed else []
+    at = 2 * size + len(items) * (size + 1 + (size + 2) * keyed)
+    head, key_table, table, tail = b"", b"", b"", b"".join(keys)
+    for k in keys:
+        key_table += at.to_bytes(size, "little") + struct.pack("<H", len(k))
+        at += len(k)
+    for _, x in items:
+        code, raw = json_value(x, wide)
+        if code in inline:
+            table += bytes([code]) + raw.ljust(size, b"\0")
+        else:
+            table += bytes([code]) + at.to_bytes(size, "little")
+            tail += raw
+            at += len(raw)
+    head = len(items).to_bytes(size, "little") + at.to_bytes(size, "little")
+    return (0 if keyed else 2) + wide, head + key_table + table + tail
+
+
+def json_bytes(v, wide: bool = False) -> bytes:
+    code, raw = json_value(v, wide)
+    return bytes([code]) + raw
+
+
 def value_bytes(kind: str, v) -> bytes:
     code, meta, unsigned = column_type(kind)
     if isinstance(v, bytes) and code in (17, 18, 19):
@@ -365,6 +440,8 @@ def _order_packets(r, bad: bool) -> Iterator[tuple[int, bytes]]:
         yield 14, packet(99, b"?", stamp, at(14))
     if bad and k % 101 == 0:
         yield 15, packet(30, rows_body(100, 2, columns, [row[:-2]]), stamp, at(15))
+    if bad and k % 211 == 0:
+        yield 17, packet(39 + k % 2, b"\0" * 30, stamp, at(17))
     if bad and k % 103 == 0:
         yield 16, packet(30, rows_body(555, 2, columns, [row]), stamp, at(16))
 
@@ -406,6 +483,52 @@ def binlog_capture(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataF
     return o.mapInPandas(order_batches, schema).unionByName(groups.mapInPandas(customer_batches, schema))
 
 
+KINDS = [
+    ("k", "bigint", False), ("doc", "json", True), ("size", "enum", True), ("tags", "set", True), ("at6", "datetime2(6)", True),
+    ("ts3", "timestamp2(3)", True), ("t2", "time2(2)", True), ("old_ts", "timestamp", True),
+]
+
+
+def order_document(r) -> dict:
+    """Every kind of JSON value, nested, from one order."""
+    k = int(r.k)
+    return {
+        "k": k, "n": None, "ok": k % 2 == 0, "no": False, "s": f'\u00e9"{r.o_orderstatus}"\n', "f": k / 2, "neg": -k, "i32": 70_000 + k,
+        "big": (1 << 63) + k, "total": decimal.Decimal(int(r.cents)).scaleb(-2), "day": r.at.date(),
+        "at": r.at.to_pydatetime().replace(microsecond=k), "gone": dt.timedelta(seconds=-k), "raw": bytes([k % 256]),
+        "list": [k % 7, [None if k % 11 == 0 else r.o_orderpriority], {"d": {"e": [], "long": "x" * (k % 300)}}],
+    }
+
+
+def kinds_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under source ``my_kinds``: JSON in both sizes, enum, set, times with
+    fractions, and zero timestamps."""
+    names = lambda values: lenc(len(values)) + b"".join(lenc(len(v)) + v.encode() for v in values)
+    field = lambda code, value: bytes([code]) + lenc(len(value)) + value
+    extra = field(5, names(["red", "green", "blue"])) + field(6, names(["small", "large"]))
+    table = table_map_body(7, "shop", "kinds", KINDS, extra=extra)
+
+    def row(r) -> bytes:
+        k, micros = int(r.k), int(r.k) % 1000 * 1000 + 7
+        stamp = 0 if k % 3 == 0 else int(r.epoch)
+        return row_bytes(KINDS, [
+            k, None if k % 13 == 0 else json_bytes(order_document(r), wide=k % 5 == 0), k % 3, k % 8,
+            datetime2_bytes(r.at.to_pydatetime().replace(microsecond=micros), 6), timestamp2_bytes(stamp, micros if stamp else 0, 3),
+            time2_bytes(k % 2 == 1, k % 800, k % 60, 59, micros, 2), stamp,
+        ])
+
+    def batches(it):
+        for pdf in it:
+            found = []
+            for r in pdf.itertuples():
+                found.append((int(r.k) * 2 + 1, packet(TABLE_MAP, table, int(r.epoch), 100)))
+                found.append((int(r.k) * 2 + 2, packet(30, rows_body(7, 2, KINDS, [row(r)]), int(r.epoch), 200)))
+            yield pd.DataFrame({"source": "my_kinds", "seq": [s for s, _ in found], "packet": [p for _, p in found]})
+
+    o = orders(spark, sf_dir).select("k", "epoch", "at", "cents", "o_orderstatus", "o_orderpriority")
+    return o.mapInPandas(batches, "source STRING, seq BIGINT, packet BINARY")
+
+
 SHAPE_COLUMNS = [
     ("k", "bigint", False), ("name", "varchar(50)", True), ("cust", "bigint", True), ("total", "decimal(12,2)", True),
     ("status", "varchar(20)", True),

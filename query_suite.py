@@ -601,6 +601,51 @@ def mysql_temporals(spark, sf):
     )
 
 
+def kinds(spark, sf, ddl):
+    return mysql.table_rows(fixtures.kinds_capture(spark, sf), "shop.kinds", ddl)
+
+
+@query("binlog_json", rf"""WITH {ORDERS}, x AS (SELECT *, CASE WHEN k % 11 = 0 THEN 'null' ELSE '"' || o_orderpriority || '"' END AS p FROM o)
+       SELECT k, CASE WHEN k % 13 <> 0 THEN '{{"f": ' || CAST(k / 2 AS VARCHAR) || ', "k": ' || k || ', "n": null, "s": "é\"' || o_orderstatus || '\"\n", "at": "'
+       || {STAMP.format('t')} || printf('.%06d", "no": false, "ok": ', k) || (k % 2 = 0) || ', "big": ' || (9223372036854775808::HUGEINT + k)
+       || ', "day": "' || strftime(t, '%Y-%m-%d') || '", "i32": ' || (70000 + k) || ', "neg": ' || (-k) || ', "raw": "base64:type252:'
+       || base64(from_hex(printf('%02X', k % 256))) || '", "gone": "' || CASE WHEN k > 0 THEN '-' ELSE '' END || printf('%02d:%02d:%02d.000000", "list": [', k // 3600, k // 60 % 60, k % 60)
+       || (k % 7) || ', [' || p || '], {{"d": {{"e": [], "long": "' || repeat('x', CAST(k % 300 AS BIGINT)) || '"}}}}], "total": ' || {MONEY} || '}}' END AS doc,
+       CASE WHEN k % 13 <> 0 THEN k % 7 END AS first, CASE WHEN k % 13 <> 0 THEN CASE WHEN k % 5 = 0 THEN '01' ELSE '00' END END AS form FROM x""")
+def binlog_json(spark, sf):
+    """The text of each document, a value reached through a VARIANT, and the first
+    byte of its stored form."""
+    capture = fixtures.kinds_capture(spark, sf)
+    rows = mysql.table_rows(capture, "shop.kinds", "k BIGINT, doc STRING")
+    paths = mysql.table_rows(capture, "shop.kinds", "k BIGINT, doc VARIANT").select("k", F.variant_get("doc", "$.list[0]", "bigint").alias("first"))
+    raw = mysql.table_rows(capture, "shop.kinds", "k BIGINT, doc BINARY").select("k", F.hex(F.substring("doc", 1, 1)).alias("form"))
+    return rows.select("k", "doc").join(paths, "k").join(raw, "k")
+
+
+@query("binlog_enum_set", f"""WITH {ORDERS} SELECT k, CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN 'small' ELSE 'large' END AS size,
+       array_to_string(list_filter([CASE WHEN k % 2 = 1 THEN 'red' END, CASE WHEN k // 2 % 2 = 1 THEN 'green' END, CASE WHEN k // 4 % 2 = 1 THEN 'blue' END],
+                                   lambda x: x IS NOT NULL), ',') AS tags FROM o""")
+def binlog_enum_set(spark, sf):
+    return kinds(spark, sf, "k BIGINT, size STRING, tags STRING").select("k", "size", "tags")
+
+
+@query("binlog_fractions", f"""WITH {ORDERS} SELECT k, {STAMP.format('t')} || printf('.%06d', k % 1000 * 1000 + 7) AS at6,
+       CASE WHEN k % 3 <> 0 THEN {STAMP.format('t')} || printf('.%03d', k % 1000) END AS ts3, CASE WHEN k % 3 <> 0 THEN {STAMP.format('t')} END AS old_ts,
+       CASE WHEN k % 2 = 1 THEN -1 ELSE 1 END * (CAST(k % 800 * 3600 + k % 60 * 60 + 59 AS BIGINT) * 100 + k % 1000 // 10) AS t2,
+       CASE WHEN k % 3 = 0 THEN '0000-00-00 00:00:00.000' ELSE {STAMP.format('t')} || printf('.%03d+00:00', k % 1000) END AS ts3_text FROM o""")
+def binlog_fractions(spark, sf):
+    """Times with fractions, typed; a zero timestamp is null, and its text is kept."""
+    rows = kinds(spark, sf, "k BIGINT, at6 TIMESTAMP_NTZ, ts3 TIMESTAMP, t2 INTERVAL DAY TO SECOND, old_ts TIMESTAMP")
+    hundredths = F.expr("CAST(CAST(CAST(t2 AS INTERVAL SECOND) AS DECIMAL(18,6)) * 100 AS BIGINT)")
+    events = mysql.row_events(fixtures.kinds_capture(spark, sf)).select(
+        F.col("columns")[0]["value"]["i64"].alias("k"), F.col("columns")[5]["value"]["str"].alias("ts3_text")
+    )
+    return rows.select(
+        "k", F.date_format("at6", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at6"), F.date_format("ts3", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts3"),
+        text_time("old_ts").alias("old_ts"), hundredths.alias("t2"),
+    ).join(events, "k")
+
+
 @query("temporal_functions", f"""WITH {ORDERS} SELECT k, strftime(t, '%Y-%m-%d') AS d, {STAMP.format('t')} AS dt, k * 37 % 86400 AS tm,
        CAST(year(t) AS INTEGER) AS y, {STAMP.format('t')} AS ts FROM o""")
 def temporal_functions(spark, sf):
@@ -709,7 +754,8 @@ def typed_view(spark, sf):
        UNION ALL SELECT k * 20 + 13, 'server error packet' FROM o WHERE k % 499 = 0
        UNION ALL SELECT k * 20 + 14, 'unknown event type 99' FROM o WHERE k % 251 = 0
        UNION ALL SELECT k * 20 + 15, 'row event cut short' FROM o WHERE k % 101 = 0
-       UNION ALL SELECT k * 20 + 16, 'no table map before the row event' FROM o WHERE k % 103 = 0""")
+       UNION ALL SELECT k * 20 + 16, 'no table map before the row event' FROM o WHERE k % 103 = 0
+       UNION ALL SELECT k * 20 + 17, 'row changes not decoded' FROM o WHERE k % 211 = 0""")
 def packet_quarantine(spark, sf):
     return mysql.quarantined(fixtures.binlog_capture(spark, sf, bad=True)).select("seq", "error")
 

@@ -98,6 +98,8 @@ def _versions(verb: str) -> list[int]:
 
 INSERTS, UPDATES, DELETES = _versions("WRITE"), _versions("UPDATE"), _versions("DELETE")
 ROW_EVENTS = INSERTS + UPDATES + DELETES
+# Events that hold row changes in a form that is not decoded.
+UNDECODED_CHANGES = [EVENT_CODE["PARTIAL_UPDATE_ROWS_EVENT"], EVENT_CODE["TRANSACTION_PAYLOAD_EVENT"]]
 WITH_EXTRAS = [versions[2] for versions in (INSERTS, UPDATES, DELETES)]
 
 

@@ -17,8 +17,11 @@ from tidemark.operators.asof import FILE_STATE, Intervals
 BODY_AT = 21  # position of the body in the packet
 
 
-def _packet_error(checksum_len: int) -> Column:
+def _packet_error(checksum_len: int, changes: bool = False) -> Column:
+    """Why a packet cannot be read; with ``changes``, also why its row changes
+    cannot, although its header can."""
     p = F.col("packet")
+    unread = byte_is(p, 6, *names.UNDECODED_CHANGES) & F.lit(changes)
     size = F.length(p)
     return (
         F.when(p.isNull() | (size == 0), "empty packet")
@@ -28,6 +31,7 @@ def _packet_error(checksum_len: int) -> Column:
         .when(int_le(p, 11, 4) != size - 1, "packet cut short")
         .when(int_le(p, 6, 1) >= len(names.EVENT_TYPES),
               F.concat(F.lit("unknown event type "), int_le(p, 6, 1).cast("string")))
+        .when(unread, "row changes not decoded")
     )
 
 
@@ -39,10 +43,11 @@ def _is_type(*types: int) -> Column:
     return byte_is(F.col("packet"), 1, 0x00) & byte_is(F.col("packet"), 6, *types)
 
 
-def packet_quarantine(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
-    """Packets no header can be read from, with the reason."""
+def packet_quarantine(capture: DataFrame, checksum_len: int = 0, changes: bool = False) -> DataFrame:
+    """Packets no header can be read from, with the reason; with ``changes``, also
+    packets whose row changes have no decoder."""
     return capture.select(
-        "source", "seq", _packet_error(checksum_len).alias("error"), "packet"
+        "source", "seq", _packet_error(checksum_len, changes).alias("error"), "packet"
     ).filter(F.col("error").isNotNull())
 
 
@@ -61,16 +66,18 @@ def _fields(checksum_len: int) -> dict[str, Column]:
 
 
 def headers(
-    capture: DataFrame, on_error: str = "fail", checksum_len: int = 0, types: list[int] | None = None
+    capture: DataFrame, on_error: str = "fail", checksum_len: int = 0, types: list[int] | None = None,
+    changes: bool = False,
 ) -> DataFrame:
     """Event header fields, the body and the checksum bytes.
 
     ``types`` keeps only these event types, told apart by one byte before
     anything is decoded. With ``fail``, an unreadable packet stops the run
     whatever its type; the check and the choice of types are one filter, as
-    stacked filters would each evaluate the check again.
+    stacked filters would each evaluate the check again. With ``changes``, row
+    changes that no decoder reads are errors too.
     """
-    error, fields = _packet_error(checksum_len), _fields(checksum_len)
+    error, fields = _packet_error(checksum_len, changes), _fields(checksum_len)
     wanted = F.lit(True) if types is None else _is_type(*types)
     if on_error == "keep":
         marked = capture.filter(wanted).withColumn("error", error)
@@ -161,8 +168,9 @@ def table_id(body: Column) -> Column:
 def row_events(capture: DataFrame, on_error: str = "skip", checksum_len: int = 0) -> DataFrame:
     """Row events with op and table id; the rows stay packed in ``body``.
 
-    With ``fail``, any unreadable packet stops the run, whatever its type."""
-    events = headers(capture, on_error, checksum_len, names.ROW_EVENTS)
+    With ``fail``, any unreadable packet stops the run, whatever its type, and so
+    do row changes in a form that is not decoded."""
+    events = headers(capture, on_error, checksum_len, names.ROW_EVENTS, changes=True)
     return events.select(
         "source", "seq", "event_time", "log_position", "event_type",
         row_op(F.col("event_type")).alias("op"),

@@ -148,8 +148,11 @@ def _as_type(value: Column, to: T.DataType) -> Column:
         return F.coalesce(value["bytes"], value["str"].cast("binary"))
     if isinstance(to, T.BooleanType):
         return F.coalesce(value["str"].cast("boolean"), value["i64"] != 0, value["u64"] != 0)
+    if isinstance(to, T.VariantType):
+        return F.try_parse_json(value["str"])
     if isinstance(to, (T.DateType, T.TimestampNTZType, T.TimestampType)):
-        seconds = F.timestamp_seconds(value["u64"].cast("bigint"))
+        # zero seconds are the zero date
+        seconds = F.timestamp_seconds(F.nullif(value["u64"].cast("bigint"), F.lit(0)))
         return F.coalesce(value["str"].try_cast(name), seconds.cast(name))
     if isinstance(to, T.DayTimeIntervalType):
         return interval_from_text(value["str"])

@@ -15,10 +15,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.types import StructType
 
 from tidemark.functions.names import DELETES, SINK_TYPES, UPDATES, WITH_EXTRAS
+from tidemark.operators.binaryjson import json_texts
 from tidemark.operators.tablemap import ColumnDef, TableMap, parse_table_map
 
 VALUE = "STRUCT<u64: DECIMAL(20,0), i64: BIGINT, f64: DOUBLE, str: STRING, bytes: BINARY>"
@@ -170,13 +172,16 @@ def _time2_text(data, at, col):
 
 
 def _timestamp2_text(data, at, col):
-    """Server time is UTC, and says so."""
+    """Server time is UTC, and says so. Zero is the zero date, which has no zone."""
     seconds = _uint(data, at, 4, big=True).astype(np.int64)
     plain = np.datetime_as_string(seconds.astype("datetime64[s]"))
     text = _template(len(at), "0000-00-00 00:00:00", col, "+00:00")
     text[:, :19] = np.char.encode(np.char.replace(plain, "T", " "), "ascii").view(np.uint8).reshape(len(at), -1)
     _put_fraction(text, 19, _uint(data, at + 4, _fraction_bytes(col), big=True).astype(np.int64), col)
-    return text, np.zeros(len(at), np.int64)
+    zero = seconds == 0
+    text[zero, 6:] = text[zero, :-6]  # without the zone, at the end of its place
+    text[zero, 6:25] = np.frombuffer(b"0000-00-00 00:00:00", np.uint8)
+    return text, np.where(zero, 6, 0)
 
 
 def _enum_name(index: int, col: ColumnDef) -> str:
@@ -420,8 +425,9 @@ def _utf8_or_bytes(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
         return pa.array(values, pa.string()), broken
 
 
-def _values(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray) -> pa.Array:
-    """Value structs, row by row, of the given columns of an image."""
+def _values(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray, raw_json: bool = False) -> pa.Array:
+    """Value structs, row by row, of the given columns of an image. JSON is text
+    unless ``raw_json``, or unless it cannot be read."""
     kinds = np.array([SINK_TYPES[c.definition] for c in columns])
     present = ~image.null
 
@@ -440,11 +446,22 @@ def _values(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray) ->
     binary = np.array([c.is_binary for c in columns], bool)
     is_text = (np.isin(kinds, ["String", "Decimal", "Date", "Time"]) | stamped) & ~binary
     text, broken = _utf8_or_bytes(_slices(data, start, size, cells(is_text)))
-    raw = _slices(data, start, size, cells(np.isin(kinds, ["Bytes", "Json"]) | binary) | broken)
+    is_raw = cells((kinds == "Bytes") | binary & (kinds != "Json")) | broken
+    json = np.flatnonzero(cells(kinds == "Json"))
+    if len(json) and not raw_json:
+        found, unread = json_texts(data, start[json], size[json])
+        place = np.zeros(len(bits), np.int64)
+        place[json] = np.arange(len(json))
+        mine = np.zeros(len(bits), bool)
+        mine[json] = True
+        text = pc.coalesce(text, found.take(pa.array(place, mask=~mine)))
+        json = json[unread]
+    is_raw[json] = True
+    raw = _slices(data, start, size, is_raw)
     return pa.StructArray.from_arrays([u64, i64, f64, text, raw], fields=list(_VALUE))
 
 
-def _columns_array(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray) -> pa.Array:
+def _columns_array(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray, raw_json: bool) -> pa.Array:
     """List of column structs per row."""
     rows, count = image.null.shape
     tile = pa.array(np.tile(np.arange(count, dtype=np.int32), rows))
@@ -454,7 +471,7 @@ def _columns_array(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarr
         pa.array([SINK_TYPES[c.definition] for c in columns], pa.string()),
         pa.array([c.type_name for c in columns], pa.string()),
     ]
-    arrays = [a.take(tile) for a in fixed] + [_values(columns, image, data)]
+    arrays = [a.take(tile) for a in fixed] + [_values(columns, image, data, raw_json)]
     cols = pa.StructArray.from_arrays(arrays, fields=list(_COL))
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * count), cols)
 
@@ -465,11 +482,14 @@ class _Envelope:
     names = ["columns", "identity"]
     types = [pa.list_(_COL)] * 2
 
+    def __init__(self, raw_json: bool = False):
+        self.raw_json = raw_json
+
     def wants(self, op: str) -> bool:
         return True
 
     def arrays(self, op: str, columns: tuple[ColumnDef, ...], images: list[_Image], data: np.ndarray) -> list[pa.Array]:
-        built = [_columns_array(columns, image, data) for image in images]
+        built = [_columns_array(columns, image, data, self.raw_json) for image in images]
         nothing = pa.nulls(len(images[0].null), self.types[0])
         return [built[-1] if op != "delete" else nothing, built[0] if op != "insert" else nothing]
 
@@ -477,8 +497,8 @@ class _Envelope:
 class _Flat:
     """Chosen columns of one image, a value struct each, null if absent."""
 
-    def __init__(self, wanted: list[str], image: str):
-        self.wanted, self.image = wanted, image
+    def __init__(self, wanted: list[str], image: str, raw_json: list[str]):
+        self.wanted, self.image, self.raw_json = wanted, image, raw_json
         self.names = [f"_{i}" for i in range(len(wanted))]
         self.types = [_VALUE] * len(wanted)
 
@@ -490,7 +510,7 @@ class _Flat:
         at = {c.name: j for j, c in enumerate(columns)}
         rows = len(image.null)
         return [
-            _values((columns[at[n]],), image.column(at[n]), data) if n in at else pa.nulls(rows, _VALUE)
+            _values((columns[at[n]],), image.column(at[n]), data, n in self.raw_json) if n in at else pa.nulls(rows, _VALUE)
             for n in self.wanted
         ]
 
@@ -632,19 +652,22 @@ def _decoded(row_events: DataFrame, layout: _Envelope | _Flat, spark_types: list
     return row_events.select(*keep, "event_type", "body", "table_map").mapInArrow(decode, schema)
 
 
-def decode_rows(row_events: DataFrame) -> DataFrame:
+def decode_rows(row_events: DataFrame, raw_json: bool = False) -> DataFrame:
     """Row events with their table map, as one row per changed row.
 
     Input needs ``event_type, body, table_map``; all other columns pass through.
     Adds ``row_no`` within the event, ``op``, names, the after image as
     ``columns``, the before image as ``identity``, and ``error``: an event that
-    cannot be decoded gives one row with the reason and no images.
+    cannot be decoded gives one row with the reason and no images. JSON columns
+    arrive as text, or as stored with ``raw_json``.
     """
-    return _decoded(row_events, _Envelope(), [T.DataType.fromDDL(COLUMNS)] * 2)
+    return _decoded(row_events, _Envelope(raw_json), [T.DataType.fromDDL(COLUMNS)] * 2)
 
 
-def decode_columns(row_events: DataFrame, wanted: list[str], image: str = "columns") -> DataFrame:
+def decode_columns(
+    row_events: DataFrame, wanted: list[str], image: str = "columns", raw_json: list[str] | None = None
+) -> DataFrame:
     """As ``decode_rows``, but only the ``wanted`` columns of one image leave
     the decoder, as values ``_0, _1, ...``: a tenth of the data to hand over
-    when one table is read."""
-    return _decoded(row_events, _Flat(wanted, image), [T.DataType.fromDDL(VALUE)] * len(wanted))
+    when one table is read. JSON columns named in ``raw_json`` stay as stored."""
+    return _decoded(row_events, _Flat(wanted, image, raw_json or []), [T.DataType.fromDDL(VALUE)] * len(wanted))

@@ -56,12 +56,12 @@ def located_row_events(
 
 def decoded_rows(
     capture: DataFrame, state: LogState | None = None, tables: list[str] | None = None,
-    on_error: str = "fail", checksum_len: int = 0,
+    on_error: str = "fail", checksum_len: int = 0, raw_json: bool = False,
 ) -> DataFrame:
     state = state or log_state(capture, checksum_len)
     packets = "fail" if on_error == "fail" else "skip"
     packed = located_row_events(capture, state, tables, packets, checksum_len).drop("table_id", "map_seq")
-    return apply_on_error(decode_rows(packed), on_error)
+    return apply_on_error(decode_rows(packed, raw_json), on_error)
 
 
 def table_rows(
@@ -69,31 +69,33 @@ def table_rows(
     on_error: str = "fail", checksum_len: int = 0,
 ) -> DataFrame:
     """One table's rows with flat typed columns: ``typed_view`` of its row
-    events, without building the row events."""
+    events, without building the row events. A JSON column comes as text, as a
+    VARIANT or, asked for as BINARY, as it is stored."""
     if on_error not in ("fail", "skip"):
         raise ValueError("on_error must be fail or skip")
     state = state or log_state(capture, checksum_len)
     wanted = T.StructType.fromDDL(ddl)
     packed = located_row_events(capture, state, [table], on_error, checksum_len).drop("table_id", "map_seq")
-    rows = apply_on_error(decode_columns(packed, wanted.names, image), on_error)
+    raw_json = [f.name for f in wanted if isinstance(f.dataType, T.BinaryType)]
+    rows = apply_on_error(decode_columns(packed, wanted.names, image, raw_json), on_error)
     return typed_columns(with_cursor(rows), wanted)
 
 
 def quarantined(
     capture: DataFrame, state: LogState | None = None, tables: list[str] | None = None, checksum_len: int = 0
 ) -> DataFrame:
-    """What a ``skip`` run leaves out: unreadable packets and row events that
-    cannot be decoded, with the reason; ``source, seq`` lead to the packet."""
+    """What a ``skip`` run leaves out: unreadable packets, row changes of a kind
+    that is not decoded and row events that cannot be, with the reason; ``source, seq`` lead to the packet."""
     state = state or log_state(capture, checksum_len)
     rows = decoded_rows(capture, state, tables, "keep", checksum_len)
     failed = quarantine(rows).select("source", "seq", "error")
-    return binlog.packet_quarantine(capture, checksum_len).drop("packet").unionByName(failed)
+    return binlog.packet_quarantine(capture, checksum_len, changes=True).drop("packet").unionByName(failed)
 
 
 def row_events(
     capture: DataFrame, state: LogState | None = None, tables: list[str] | None = None,
-    on_error: str = "fail", checksum_len: int = 0,
+    on_error: str = "fail", checksum_len: int = 0, raw_json: bool = False,
 ) -> DataFrame:
     if on_error not in ("fail", "skip"):
         raise ValueError("on_error must be fail or skip")
-    return mysql_row_events(decoded_rows(capture, state, tables, on_error, checksum_len))
+    return mysql_row_events(decoded_rows(capture, state, tables, on_error, checksum_len, raw_json))
