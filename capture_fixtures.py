@@ -140,6 +140,104 @@ def raw_frames(capture: DataFrame) -> DataFrame:
     )
 
 
+PG_ORDERS = [
+    ("o_orderkey", 20, -1, 1), ("o_custkey", 20, -1, 0), ("o_orderstatus", 25, -1, 0), ("total", 1700, (15 << 16 | 2) + 4, 0),
+    ("o_orderdate", 1114, -1, 0), ("o_orderpriority", 25, -1, 0),
+]
+PG_CUSTOMER = [("c_custkey", 20, -1, 1), ("c_name", 1043, 29, 0), ("c_acctbal", 701, -1, 0), ("c_vip", 16, -1, 0)]
+ORDERS_PER_RELATION = 500
+
+
+def pg_relation(relation: int, schema: str, table: str, columns) -> bytes:
+    """``columns``: (name, type id, modifier, flags)."""
+    head = b"R" + struct.pack(">I", relation) + schema.encode() + b"\0" + table.encode() + b"\0d" + struct.pack(">H", len(columns))
+    return head + b"".join(bytes([f]) + n.encode() + b"\0" + struct.pack(">Ii", t, m) for n, t, m, f in columns)
+
+
+def pg_tuple(values) -> bytes:
+    """None is null, ``...`` an unchanged value."""
+    one = lambda v: b"n" if v is None else b"u" if v is ... else b"t" + struct.pack(">I", len(v.encode())) + v.encode()
+    return struct.pack(">H", len(values)) + b"".join(map(one, values))
+
+
+def pg_change(op: str, relation: int, new=None, old=None, whole: bool = False) -> bytes:
+    out = op.encode() + struct.pack(">I", relation)
+    if old is not None:
+        out += (b"O" if whole else b"K") + pg_tuple(old)
+    return out + (b"N" + pg_tuple(new) if new is not None else b"")
+
+
+def pg_frame(payload: bytes, start: int, end: int, clock: int) -> bytes:
+    return b"w" + struct.pack(">qqq", start, end, clock) + payload
+
+
+def pgoutput_capture(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataFrame:
+    """The changes of ``wal_capture`` as the server's own plugin sends them, raw
+    frames. A relation is sent again every ``ORDERS_PER_RELATION`` orders, each time
+    with its last two columns the other way round. Every tenth order's update sends
+    its priority as unchanged, every third's its old key."""
+
+    def order_frames(r):
+        k = int(r.k)
+        base, clock = 16777216 + 1024 * k, int(r.epoch) * 1_000_000 - EPOCH_SHIFT_US
+        turned = k // ORDERS_PER_RELATION % 2
+        columns = PG_ORDERS[:4] + PG_ORDERS[:3:-1] if turned else PG_ORDERS
+        order = [c[0] for c in columns]
+        values = {
+            "o_orderkey": str(k), "o_custkey": str(r.o_custkey), "o_orderstatus": r.o_orderstatus, "total": f"{int(r.cents) // 100}.{int(r.cents) % 100:02d}",
+            "o_orderdate": r.at.strftime("%Y-%m-%d %H:%M:%S"), "o_orderpriority": None if k % 11 == 0 else r.o_orderpriority,
+        }
+        image = lambda **new: [(values | new)[c] for c in order]
+        key = [str(k) if c == "o_orderkey" else None for c in order]
+        yield 0, b"B" + struct.pack(">qqI", base + 256, clock, k)
+        if k % ORDERS_PER_RELATION == 0:
+            yield 60, pg_relation(16384, "public", "orders", columns)
+            yield 61, pg_relation(16390, "public", "scratch", PG_ORDERS[:1])
+        yield 64, pg_change("I", 16384, image())
+        if k % 5 == 0:
+            new = image(o_orderstatus="X", **({"o_orderpriority": ...} if k % 10 == 0 else {}))
+            yield 128, pg_change("U", 16384, new, key if k % 3 == 0 else None)
+        if k % 7 == 0:
+            yield 192, pg_change("D", 16384, old=key)
+        yield 256, b"C\0" + struct.pack(">qqq", base + 256, base + 300, clock)
+        if k % 50 == 0:
+            yield 384, b"M\0" + struct.pack(">q", base) + b"hb\0" + struct.pack(">I", len(str(k))) + str(k).encode()
+        if k % 1000 == 0:
+            yield 400, b"T" + struct.pack(">IBII", 2, 0, 16384, 16390)
+        if bad and k % 997 == 0:
+            yield 416, pg_change("I", 16384, image())[:-1]
+        if bad and k % 499 == 0:
+            yield 420, b"Z"
+        if bad and k % 251 == 0:
+            yield 424, pg_change("I", 99, image())
+        if bad and k % 307 == 0:
+            yield 428, pg_change("I", 16384, image()[:-1])
+
+    def order_batches(batches):
+        for pdf in batches:
+            found = [
+                (base + slot, pg_frame(payload, base + slot, base + 512, int(r.epoch) * 1_000_000 - EPOCH_SHIFT_US))
+                for r in pdf.itertuples() for base in [16777216 + 1024 * int(r.k)] for slot, payload in order_frames(r)
+            ]
+            yield pd.DataFrame({"source": "pg_orders", "seq": [s for s, _ in found], "packet": [p for _, p in found]})
+
+    def customer_batches(batches):
+        for pdf in batches:
+            found = []
+            for c in pdf.itertuples():
+                lsn = 4096 + 64 * int(c.c_custkey)
+                values = [str(c.c_custkey), c.c_name, repr(float(c.c_acctbal)), "t" if c.c_custkey % 3 == 0 else "f"]
+                found.append((lsn, pg_frame(pg_change("I", 7, values), lsn, lsn + 32, 0)))
+            yield pd.DataFrame({"source": "pg_crm", "seq": [s for s, _ in found], "packet": [p for _, p in found]})
+
+    schema = "source STRING, seq BIGINT, packet BINARY"
+    o = orders(spark, sf_dir).select("k", "epoch", "at", "cents", "o_custkey", "o_orderstatus", "o_orderpriority")
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_acctbal")
+    relation = pg_frame(pg_relation(7, "crm", "customer", PG_CUSTOMER), 1, 33, 0)
+    first = spark.createDataFrame([("pg_crm", 1, relation)], schema)
+    return o.mapInPandas(order_batches, schema).unionByName(c.mapInPandas(customer_batches, schema)).unionByName(first)
+
+
 # --- MySQL ----------------------------------------------------------------
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import capture_fixtures as fixtures
 from tidemark.functions import names, positions, temporals
 from tidemark.functions.bytes import length_encoded
-from tidemark.operators import asof, binlog, envelope, positions as progress, tablemap, wal
+from tidemark.operators import asof, binlog, envelope, pgoutput as pgoutput_operator, positions as progress, tablemap, wal
 from tidemark.plans import mysql, postgres
 from tidemark.sources import captures
 
@@ -307,6 +307,73 @@ def pg_row_events(spark, sf):
     )
 
 
+def pgoutput(spark, sf, bad=False):
+    return captures.pgoutput_frames(fixtures.pgoutput_capture(spark, sf, bad))
+
+
+PGOUTPUT = WAL + """,
+po AS (SELECT source, k, t, seq, kind, action, start_lsn, end_lsn FROM f WHERE kind = 'w' AND action IN ('B', 'I', 'U', 'D', 'C', 'M', 'T')),
+pp AS (SELECT source, k, t, seq, action, CASE WHEN source = 'pg_crm' THEN 'crm' WHEN action IN ('I', 'U', 'D', 'T') THEN 'public' END AS s,
+              CASE WHEN source = 'pg_crm' THEN 'customer' WHEN action IN ('I', 'U', 'D', 'T') THEN 'orders' END AS tb FROM po
+       UNION ALL SELECT source, k, t, seq, action, 'public', 'scratch' FROM po WHERE action = 'T'
+       UNION ALL SELECT 'pg_orders', k, t, base + u.off, NULL, NULL, NULL FROM o, (VALUES (60), (61)) u(off) WHERE k % 500 = 0
+       UNION ALL SELECT 'pg_crm', NULL, NULL, 1, NULL, NULL, NULL)"""
+
+
+@query("pgoutput_decode", f"""WITH {PGOUTPUT} SELECT source, seq, action, s AS "schema", tb AS "table",
+       CAST(CASE WHEN source = 'pg_crm' THEN CASE action WHEN 'I' THEN 4 ELSE 0 END WHEN action = 'I' THEN 6
+            WHEN action = 'U' THEN CASE WHEN k % 10 = 0 THEN 5 ELSE 6 END ELSE 0 END AS INTEGER) AS n_columns,
+       CAST(CASE WHEN action IN ('U', 'D') THEN 1 ELSE 0 END AS INTEGER) AS n_identity, CASE WHEN action = 'M' THEN 'hb' END AS prefix,
+       CASE WHEN action = 'M' THEN CAST(k AS VARCHAR) END AS content, CASE WHEN action = 'B' THEN k END AS xid,
+       CASE WHEN action IN ('B', 'C') THEN {STAMP.format('t')} END AS commit_time FROM pp""")
+def pgoutput_decode(spark, sf):
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    return pgoutput_operator.decode_pgoutput(pgoutput(spark, sf)).select(
+        "source", "seq", "action", "schema", "table", size("columns").alias("n_columns"), size("identity").alias("n_identity"),
+        "prefix", "content", "xid", text_time("commit_time").alias("commit_time"),
+    )
+
+
+@query("pgoutput_row_events", f"""WITH {WAL}, c AS (
+       SELECT f.source, f.seq, f.action, c.image, c.name, c.type, c.kind,
+       CASE c.name WHEN 'o_orderkey' THEN CAST(f.k AS VARCHAR) WHEN 'o_custkey' THEN CAST(o.o_custkey AS VARCHAR)
+            WHEN 'o_orderstatus' THEN CASE f.action WHEN 'U' THEN 'X' ELSE o.o_orderstatus END
+            WHEN 'total' THEN {MONEY} WHEN 'o_orderdate' THEN {STAMP.format('o.t')}
+            ELSE CASE WHEN f.k % 11 <> 0 THEN o.o_orderpriority END END AS value
+       FROM f JOIN o ON f.k = o.k AND f.source = 'pg_orders' AND f.action IN ('I', 'U', 'D'),
+       (VALUES ('columns', 'o_orderkey', 'bigint', 'I64'), ('columns', 'o_custkey', 'bigint', 'I64'), ('columns', 'o_orderstatus', 'text', 'String'),
+               ('columns', 'total', 'numeric(15,2)', 'Decimal'), ('columns', 'o_orderdate', 'timestamp without time zone', 'Timestamp'),
+               ('columns', 'o_orderpriority', 'text', 'String'), ('identity', 'o_orderkey', 'bigint', 'I64')) c(image, name, type, kind)
+       WHERE CASE c.image WHEN 'columns' THEN f.action <> 'D' AND NOT (f.action = 'U' AND f.k % 10 = 0 AND c.name = 'o_orderpriority') ELSE f.action <> 'I' END
+       UNION ALL SELECT 'pg_crm', 4096 + 64 * c_custkey, 'I', 'columns', c.name, c.type, c.kind,
+       CASE c.name WHEN 'c_custkey' THEN CAST(c_custkey AS VARCHAR) WHEN 'c_name' THEN c_name
+            WHEN 'c_acctbal' THEN CAST(c_acctbal AS VARCHAR) ELSE CASE WHEN c_custkey % 3 = 0 THEN 'true' ELSE 'false' END END
+       FROM customer, (VALUES ('c_custkey', 'bigint', 'I64'), ('c_name', 'character varying(25)', 'String'), ('c_acctbal', 'double precision', 'F64'),
+                              ('c_vip', 'boolean', 'String')) c(name, type, kind))
+       SELECT source, seq, CASE action WHEN 'I' THEN 'insert' WHEN 'U' THEN 'update' ELSE 'delete' END AS op, image, name, type, kind, value FROM c""")
+def pgoutput_row_events(spark, sf):
+    """Every value of every image; equal to the wal2json events but for values sent
+    as unchanged, which have no column."""
+    events = postgres.pgoutput_row_events(pgoutput(spark, sf))
+    images = [
+        events.filter(F.col(c).isNotNull()).select("source", "seq", "op", F.lit(c).alias("image"), F.inline(c)) for c in ("columns", "identity")
+    ]
+    v = F.col("value")
+    text = F.coalesce(v["str"], v["i64"].cast("string"), v["f64"].cast("string"))
+    return images[0].unionByName(images[1]).select(
+        "source", "seq", "op", "image", "name", F.col("type_name").alias("type"), F.col("column_type").alias("kind"), text.alias("value")
+    )
+
+
+@query("pgoutput_quarantine", f"""WITH {ORDERS} SELECT base + 416 AS seq, 'message cut short' AS error FROM o WHERE k % 997 = 0
+       UNION ALL SELECT base + 420, 'unknown message 5A' FROM o WHERE k % 499 = 0
+       UNION ALL SELECT base + 424, 'no relation before the row message' FROM o WHERE k % 251 = 0
+       UNION ALL SELECT base + 428, 'column count differs from the relation' FROM o WHERE k % 307 = 0""")
+def pgoutput_quarantine(spark, sf):
+    decoded = pgoutput_operator.decode_pgoutput(pgoutput(spark, sf, bad=True), on_error="keep")
+    return decoded.filter("error IS NOT NULL").select("seq", "error")
+
+
 # --- MySQL: headers and simple events ------------------------------------------
 
 

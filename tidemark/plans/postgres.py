@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidemark.operators import asof
 from tidemark.operators.envelope import filter_tables, pg_event_rows, pg_row_events, pg_text_value, typed_columns
+from tidemark.operators.pgoutput import decode_pgoutput
 from tidemark.operators.wal import decode_wal
 
 
+def pgoutput_row_events(
+    frames: DataFrame, tables: list[str] | None = None, on_error: str = "fail", found: asof.Intervals | None = None
+) -> DataFrame:
+    """Row events from frames of the server's own output plugin
+    (``captures.pgoutput_frames``); the same as ``row_events`` of wal2json messages
+    of the same changes. Two reads: relation messages, then row messages."""
+    if on_error not in ("fail", "skip"):
+        raise ValueError("on_error must be fail or skip")
+    events = pg_row_events(decode_pgoutput(frames, found, on_error))
+    return filter_tables(events, tables) if tables else events
+
+
 def row_events(capture: DataFrame, tables: list[str] | None = None, on_error: str = "fail") -> DataFrame:
     """Works on batch and streaming captures alike."""
     if on_error not in ("fail", "skip"):

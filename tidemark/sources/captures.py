@@ -73,6 +73,16 @@ def wal_frames(frames: DataFrame) -> DataFrame:
     'w' carries start, end, clock and JSON; 'k' carries end, clock and the
     reply flag; integers are big-endian. Other or cut frames get kind null.
     """
+    return _frames(frames, lambda payload: utf8(payload).alias("message"))
+
+
+def pgoutput_frames(frames: DataFrame) -> DataFrame:
+    """As ``wal_frames``, where the server's own output plugin wrote the payload:
+    binary ``body`` in place of ``message``."""
+    return _frames(frames, lambda payload: payload.alias("body"))
+
+
+def _frames(frames: DataFrame, payload) -> DataFrame:
     p = F.col("packet")
     data = byte_is(p, 1, ord("w")) & (F.length(p) > 25)
     alive = byte_is(p, 1, ord("k")) & (F.length(p) == 18)
@@ -85,5 +95,5 @@ def wal_frames(frames: DataFrame) -> DataFrame:
         F.when(data, int_be(p, 18)).when(alive, int_be(p, 10)).alias("clock_us"),
         F.when(alive, byte_is(p, 18, 1)).alias("must_reply"),
         F.lit(None).cast("int").alias("timeline"),
-        F.when(data, utf8(slice_bytes(p, 26, F.length(p) - 25))).alias("message"),
+        payload(F.when(data, slice_bytes(p, 26, F.length(p) - 25))),
     )

@@ -95,7 +95,7 @@ def run_mysql(
         with _kept(mysql.decoded_rows(batch, state, tables, "keep", checksum_len)) as rows:
             _save(mysql_row_events(apply_on_error(rows, "skip")), out, "events", batch_id)
             bad_rows = quarantine(rows).select("source", "seq", "error")
-            bad_packets = binlog.packet_quarantine(batch, checksum_len).drop("packet")
+            bad_packets = binlog.packet_quarantine(batch, checksum_len, changes=True).drop("packet")
             _save(bad_packets.unionByName(bad_rows), out, "quarantine", batch_id)
         heads = binlog.with_rotate_fields(binlog.headers(batch, "skip", checksum_len))
         files = state.files.df.filter("hi IS NULL").select("source", F.col("log_file").alias("open_file"))
