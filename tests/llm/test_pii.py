@@ -73,6 +73,16 @@ def test_checksums_and_context(spark, documents):
     assert found[3][0].score > 0.6 > found[4][0].score
 
 
+def test_context_decides_on_added_kinds(spark, documents):
+    digest, iban = "9e107d9d372bb6826bd81d3542a419d6", "GB82 WEST 1234 5698 7654 32"
+    texts = [digest, f"the login key {digest}", f"{digest} is the server password", f"checksum {digest} of a file", f"pay to {iban}", iban,
+             f"a dummy {iban}", f"{iban} is a placeholder", f"a dummy card 4111 1111 1111 1111", "example token=abcdefgh1"]
+    found = {r.doc_id: [s.kind for s in r.spans] for r in pii.find(documents(list(enumerate(texts)))).collect()}
+    assert [found[i] for i in range(10)] == [[], ["key"], ["key"], [], ["iban"], ["iban"], [], [], ["card"], ["key"]]
+    masked = {r.doc_id: r.text for r in pii.redact(documents(list(enumerate(texts)))).collect()}
+    assert masked[6] == texts[6] and masked[1] == "the login key <KEY>" and masked[8] == "a dummy card <CARD>"
+
+
 def test_redact(spark, documents, awkward):
     rows = [(1, "mail a@b.com or 4111 1111 1111 1111, +1 (223) 555-1234."), (2, None), (3, "nothing"), (4, "😀 1.2.3.4 é")]
     out = {r.doc_id: r.text for r in pii.redact(documents(rows)).collect()}

@@ -1,8 +1,10 @@
 """Personal data in text, by patterns, checksums and context words.
 
 Column expressions only. Regular expressions propose spans, validators (Luhn,
-mod 97, octets, digit counts) confirm them, and words just before a span raise
-or lower its score.
+mod 97, octets, digit counts) confirm them, and words close to a span raise or
+lower its score. Base kinds stay whatever their score; added kinds go below
+KEEP_SCORE, so an IBAN beside words of an example is none, and a long hexadecimal
+number is a key only beside words that say so.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 KINDS = ("email", "ip", "card", "phone", "iban", "key")
 BASE = KINDS[:4]
 CONTEXT_CHARS = 40
-KEEP_SCORE = 0.3
+KEEP_SCORE = 0.5
 
 # The base patterns. A guard stands before each: a match starts
 # where a run starts or where the last match ended, which changes no match and
@@ -25,8 +27,9 @@ _PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "key": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?:password|token|secret|api_key)\x20?[=:]\x20?[\x22']?[0-9A-Za-z_-]{8,64})",
+    "key": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?:password|token|secret|api_key)\x20?[=:]\x20?[\x22']?[0-9A-Za-z_-]{8,64}|(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})(?![A-Za-z0-9]))",
 }
+_SURE_KEY = r"^(?:AKIA|password|token|secret|api_key)"
 _OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 # Cheap tests that a text holds anything worth a pattern.
 _HINTS = {
@@ -35,11 +38,12 @@ _HINTS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){15}",
     "phone": r"\+[0-9]",
     "iban": r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]",
-    "key": r"AKIA|[=:]\x20?[\x22']?[0-9A-Za-z_-]{8}",
+    "key": r"AKIA|[=:]\x20?[\x22']?[0-9A-Za-z_-]{8}|[0-9a-f]{32}",
 }
-_PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "key": 0.8}
+_PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.65, "key": 0.45}
+_SURE = 0.35  # more for a key that names itself
 _RAISE = r"(?i)\b(?:mail|contact|card|visa|pay|phone|call|tel|mobile|account|bank|iban|address|host|server|login|user|password|key|token)\b"
-_LOWER = r"(?i)\b(?:version|release|example|sample|dummy|section|build|order|isbn|total)\b"
+_LOWER = r"(?i)\b(?:fake|placeholder|checksum|digest|commit|version|release|example|sample|dummy|section|build|order|isbn|total)\b"
 
 
 @dataclass(frozen=True)
@@ -96,11 +100,15 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _score(kind: str, before: Column) -> Column:
-    """Prior of the kind, moved by context words in the characters before."""
-    raised = F.when(before.rlike(_RAISE), 0.1).otherwise(0.0)
-    lowered = F.when(before.rlike(_LOWER), 0.2).otherwise(0.0)
-    return F.least(F.lit(1.0), F.lit(_PRIOR[kind]) + raised - lowered)
+def _score(kind: str, match: Column, before: Column, after: Column) -> Column:
+    """Prior of the kind, moved by context words in the characters on both sides."""
+    near = lambda words: before.rlike(words) | after.rlike(words)
+    raised = F.when(near(_RAISE), 0.1).otherwise(0.0)
+    lowered = F.when(near(_LOWER), 0.2).otherwise(0.0)
+    prior = F.lit(_PRIOR[kind])
+    if kind == "key":
+        prior = prior + F.when(match.rlike(_SURE_KEY), _SURE).otherwise(0.0)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), prior + raised - lowered))
 
 
 _SPAN = "struct<kind:string,start:int,end:int,score:double>"
@@ -115,16 +123,20 @@ def _spans_of(kind: str, text: Column) -> Column:
     pattern = F.lit(_PATTERNS[kind])
     between = F.split(text, _PATTERNS[kind], -1)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    pairs = F.arrays_zip(between.alias("b"), matches.alias("m"))
+    # each match with what is before and after it, up to its neighbours
+    pairs = F.transform(
+        matches,
+        lambda m, i: F.struct(m.alias("m"), F.get(between, i).alias("b"), F.left(F.get(between, i + 1), F.lit(CONTEXT_CHARS)).alias("after")),
+    )
 
     def step(a: Column, p: Column) -> Column:
         start = a["at"] + F.length(p["b"])
-        end = start + F.coalesce(F.length(p["m"]), F.lit(0))
-        before = F.right(p["b"], F.lit(CONTEXT_CHARS))
-        span = F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), _score(kind, before).alias("score")
-        )
-        keep = p["m"].isNotNull() & _valid(kind, p["m"])
+        end = start + F.length(p["m"])
+        score = _score(kind, p["m"], F.right(p["b"], F.lit(CONTEXT_CHARS)), p["after"])
+        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
+        keep = _valid(kind, p["m"])
+        if kind not in BASE:
+            keep = keep & (score >= KEEP_SCORE)
         return F.struct(
             end.alias("at"),
             F.when(keep, F.concat(a["spans"], F.array(span))).otherwise(a["spans"]).alias("spans"),
@@ -139,7 +151,8 @@ def spans(text: Column, kinds: tuple[str, ...] = KINDS) -> Column:
     """All valid spans of a text: kind as listed, then start; an array of
     kind, start, end (exclusive, code points) and score. Null counts as empty.
 
-    Base kinds are leftmost and do not overlap within their kind. Spans of
+    Base kinds are leftmost and do not overlap within their kind; those that pass
+    their check all stay. Added kinds also need a score of KEEP_SCORE. Spans of
     different kinds may overlap.
     """
     whole = F.coalesce(text, F.lit(""))
@@ -152,13 +165,13 @@ def find(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
     return docs.withColumn(out, spans(F.col(text)))
 
 
-def redact(docs: DataFrame, text: str = "text", mask: Mask = Mask(), least_score: float = KEEP_SCORE) -> DataFrame:
-    """`docs` with every span of enough score replaced by its kind's mask.
+def redact(docs: DataFrame, text: str = "text", mask: Mask = Mask()) -> DataFrame:
+    """`docs` with every span that `find` gives replaced by its kind's mask.
 
     Of spans that overlap, the first stays, the longer one if they start
     together; what it covers is masked once. A null text stays null.
     """
-    found = F.filter(spans(F.col(text)), lambda s: s["score"] >= least_score)
+    found = spans(F.col(text))
     ordered = F.array_sort(F.transform(found, lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"])))
     whole = F.col(text)
     label = F.create_map(*[F.lit(v) for k in KINDS for v in (k, mask.of(k))])
