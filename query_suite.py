@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import capture_fixtures as fixtures
 from tidemark.functions import names, positions, temporals
 from tidemark.functions.bytes import length_encoded
-from tidemark.operators import asof, binlog, envelope, pgoutput as pgoutput_operator, positions as progress, tablemap, wal
+from tidemark.operators import asof, binlog, envelope, pgoutput as pgoutput_operator, positions as progress, tablemap, transactions as txn, wal
 from tidemark.plans import mysql, postgres
 from tidemark.sources import captures
 
@@ -374,6 +374,31 @@ def pgoutput_quarantine(spark, sf):
     return decoded.filter("error IS NOT NULL").select("seq", "error")
 
 
+TXN = ("txn_seq, txn_id, row_number() OVER (PARTITION BY source, txn_seq ORDER BY seq, row_no) - 1 AS txn_row, commit_seq, commit_time, txn_state")
+
+
+def flat_transactions(events):
+    return events.select("source", "seq", "row_no", "op", *txn.PLACE).withColumn("commit_time", text_time("commit_time"))
+
+
+@query("pg_transactions", f"""WITH {WAL}, r AS (SELECT source, seq, 0 AS row_no, CASE action WHEN 'I' THEN 'insert' WHEN 'U' THEN 'update' ELSE 'delete' END AS op,
+       base AS txn_seq, CAST(NULL AS VARCHAR) AS txn_id, base + 256 AS commit_seq, {STAMP.format('t')} AS commit_time, 'committed' AS txn_state
+       FROM f WHERE action IN ('I', 'U', 'D') AND source = 'pg_orders')
+       SELECT source, seq, row_no, op, {TXN} FROM r
+       UNION ALL SELECT 'pg_crm', 4096 + 64 * c_custkey, 0, 'insert', NULL, NULL, NULL, NULL, NULL, 'outside' FROM customer""")
+def pg_transactions(spark, sf):
+    return flat_transactions(postgres.transactions(wal.decode_wal(fixtures.wal_capture(spark, sf))))
+
+
+@query("pgoutput_transactions", f"""WITH {WAL}, r AS (SELECT source, seq, 0 AS row_no, CASE action WHEN 'I' THEN 'insert' WHEN 'U' THEN 'update' ELSE 'delete' END AS op,
+       base AS txn_seq, CAST(k AS VARCHAR) AS txn_id, base + 256 AS commit_seq, {STAMP.format('t')} AS commit_time, 'committed' AS txn_state
+       FROM f WHERE action IN ('I', 'U', 'D') AND source = 'pg_orders')
+       SELECT source, seq, row_no, op, {TXN} FROM r""")
+def pgoutput_transactions(spark, sf):
+    decoded = pgoutput_operator.decode_pgoutput(pgoutput(spark, sf))
+    return flat_transactions(txn.committed(postgres.transactions(decoded, ["public.orders"])))
+
+
 # --- MySQL: headers and simple events ------------------------------------------
 
 
@@ -752,6 +777,14 @@ def mysql_row_events(spark, sf):
                        F.col("cursor.pos").alias("log_position"), first.alias("first_value"))
 
 
+@query("mysql_transactions", f"""{MY_EVENTS}, r AS (SELECT source, seq, row_no, op, k * 20 + 3 AS txn_seq, CAST(k AS VARCHAR) AS txn_id, k * 20 + 11 AS commit_seq,
+       {STAMP.format('(SELECT t FROM o WHERE o.k = m.k)')} AS commit_time, 'committed' AS txn_state FROM m WHERE source = 'my_orders')
+       SELECT source, seq, row_no, op, {TXN} FROM r
+       UNION ALL SELECT source, seq, row_no, op, NULL, NULL, NULL, NULL, NULL, 'outside' FROM m WHERE source = 'my_crm'""")
+def mysql_transactions(spark, sf):
+    return flat_transactions(mysql.transactions(fixtures.binlog_capture(spark, sf)))
+
+
 @query("update_images", f"""{ORDER_ROWS} SELECT 'my_orders' AS source, k, o_orderstatus AS before, 'X' AS after FROM r WHERE op = 'update'
        UNION ALL SELECT 'pg_orders', k, NULL, 'X' FROM o WHERE k % 5 = 0""")
 def update_images(spark, sf):

@@ -87,6 +87,7 @@ TABLE_MAP = EVENT_CODE["TABLE_MAP_EVENT"]
 ROTATE = EVENT_CODE["ROTATE_EVENT"]
 FORMAT_DESCRIPTION = EVENT_CODE["FORMAT_DESCRIPTION_EVENT"]
 XID = EVENT_CODE["XID_EVENT"]
+QUERY = EVENT_CODE["QUERY_EVENT"]
 GTID = EVENT_CODE["GTID_EVENT"]
 ANONYMOUS_GTID = EVENT_CODE["ANONYMOUS_GTID_EVENT"]
 PREVIOUS_GTIDS = EVENT_CODE["PREVIOUS_GTIDS_EVENT"]

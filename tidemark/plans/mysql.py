@@ -15,6 +15,7 @@ from tidemark.operators import asof, binlog
 from tidemark.operators.envelope import mysql_row_events, table_matches, typed_columns, with_cursor
 from tidemark.operators.errors import apply_on_error, quarantine
 from tidemark.operators.rowcodec import decode_columns, decode_rows
+from tidemark.operators.transactions import binlog_marks, with_transactions
 
 
 @dataclass
@@ -99,3 +100,12 @@ def row_events(
     if on_error not in ("fail", "skip"):
         raise ValueError("on_error must be fail or skip")
     return mysql_row_events(decoded_rows(capture, state, tables, on_error, checksum_len, raw_json))
+
+
+def transactions(
+    capture: DataFrame, state: LogState | None = None, tables: list[str] | None = None,
+    on_error: str = "fail", checksum_len: int = 0,
+) -> DataFrame:
+    """Row events with their transaction; see ``with_transactions``. With ``tables``,
+    rows are numbered among those of the wanted tables."""
+    return with_transactions(row_events(capture, state, tables, on_error, checksum_len), binlog_marks(capture, checksum_len))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.operators import asof
 from tidemark.operators.envelope import filter_tables, pg_event_rows, pg_row_events, pg_text_value, typed_columns
 from tidemark.operators.pgoutput import decode_pgoutput
+from tidemark.operators.transactions import wal_marks, with_transactions
 from tidemark.operators.wal import decode_wal
 
 
@@ -50,3 +51,10 @@ def table_rows(
     for i in range(len(wanted)):
         found = found.withColumn(f"_{i}", pg_text_value(F.col(f"_{i}")))
     return typed_columns(found, wanted)
+
+
+def transactions(decoded: DataFrame, tables: list[str] | None = None) -> DataFrame:
+    """Row events of decoded messages (``decode_wal`` or ``decode_pgoutput``) with
+    their transaction; see ``with_transactions``."""
+    events = pg_row_events(decoded)
+    return with_transactions(filter_tables(events, tables) if tables else events, wal_marks(decoded))

@@ -7,7 +7,11 @@ once:
     events/batch_id=N      row events
     quarantine/batch_id=N  what could not be decoded, with the reason
     progress/batch_id=N    position per source after the batch
-    state/batch_id=N       MySQL only: table maps and files still in force
+    state/batch_id=N       table maps and files, or relations, still in force
+    held/batch_id=N        with transactions: rows of those still open
+    marks/batch_id=N       with transactions: their begin marks
+
+With ``transactions``, events appear with their transaction once it has ended.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import asof, binlog, positions, wal
+from tidemark.operators import asof, binlog, pgoutput, positions, transactions as txn, wal
 from tidemark.operators.envelope import filter_tables, mysql_row_events, pg_row_events
 from tidemark.operators.errors import apply_on_error, quarantine
 from tidemark.plans import mysql
@@ -41,6 +45,21 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
+def _save_events(events: DataFrame, marks: DataFrame | None, out: str, batch_id: int) -> None:
+    """Events as they come or, given marks, those whose transaction has ended; the
+    rest waits, with what earlier batches left waiting."""
+    if marks is None:
+        return _save(events, out, "events", batch_id)
+    if batch_id:
+        read = events.sparkSession.read
+        events = events.unionByName(read.schema(events.schema).parquet(f"{out}/held/batch_id={batch_id - 1}"))
+        marks = marks.unionByName(read.schema(txn.MARK).parquet(f"{out}/marks/batch_id={batch_id - 1}"))
+    with _kept(txn.with_transactions(events, marks)) as placed:
+        _save(txn.committed(placed), out, "events", batch_id)
+        _save(txn.held(placed, events.columns), out, "held", batch_id)
+        _save(txn.open_marks(marks), out, "marks", batch_id)
+
+
 def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool, every: str) -> StreamingQuery:
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return (
@@ -50,7 +69,7 @@ def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool, ever
 
 def run_postgres(
     frames: DataFrame, out: str, checkpoint: str, tables: list[str] | None = None,
-    available_now: bool = False, every: str = REPORT_EVERY,
+    available_now: bool = False, every: str = REPORT_EVERY, transactions: bool = False,
 ) -> StreamingQuery:
     """WAL frames to row events. ``available_now`` stops when caught up."""
 
@@ -58,16 +77,45 @@ def run_postgres(
         with _kept(wal.parsed_frames(batch)) as parsed:
             decoded = wal.decoded_frames(parsed, "keep")
             events = pg_row_events(apply_on_error(decoded, "skip"))
-            _save(filter_tables(events, tables) if tables else events, out, "events", batch_id)
+            wanted = filter_tables(events, tables) if tables else events
+            _save_events(wanted, txn.wal_marks(decoded) if transactions else None, out, batch_id)
             _save(wal.quarantined_frames(parsed), out, "quarantine", batch_id)
             _save(positions.wal_progress(decoded), out, "progress", batch_id)
 
     return _start(frames, handle, checkpoint, available_now, every)
 
 
+def run_pgoutput(
+    frames: DataFrame, out: str, checkpoint: str, tables: list[str] | None = None,
+    available_now: bool = False, every: str = REPORT_EVERY, transactions: bool = False,
+) -> StreamingQuery:
+    """Frames of the server's own plugin (``captures.pgoutput_frames``) to row events.
+
+    The relations in force at the end of a batch are saved and read by the next
+    one: one row for each relation of a source. Batches must arrive in ``seq``
+    order per source."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        with _kept(batch):
+            states = pgoutput.relation_states(batch)
+            if batch_id:
+                before = batch.sparkSession.read.schema(STATE).parquet(f"{out}/state/batch_id={batch_id - 1}")
+                states = states.unionByName(before.select(*states.columns))
+            found = pgoutput.relations(states)
+            _save(pgoutput.open_relations(found), out, "state", batch_id)
+            with _kept(pgoutput.decode_pgoutput(batch, found, "keep")) as decoded:
+                events = pg_row_events(apply_on_error(decoded, "skip"))
+                wanted = filter_tables(events, tables) if tables else events
+                _save_events(wanted, txn.wal_marks(decoded) if transactions else None, out, batch_id)
+                _save(quarantine(decoded).select("source", "seq", "error"), out, "quarantine", batch_id)
+                _save(positions.wal_progress(decoded), out, "progress", batch_id)
+
+    return _start(frames, handle, checkpoint, available_now, every)
+
+
 def run_mysql(
     packets: DataFrame, out: str, checkpoint: str, tables: list[str] | None = None,
-    available_now: bool = False, every: str = REPORT_EVERY, checksum_len: int = 0,
+    available_now: bool = False, every: str = REPORT_EVERY, checksum_len: int = 0, transactions: bool = False,
 ) -> StreamingQuery:
     """Binlog packets to row events.
 
@@ -93,7 +141,8 @@ def run_mysql(
         state = mysql.LogState(*asof.log_state_intervals(states))
         _save(asof.open_states(state.maps, state.files), out, "state", batch_id)
         with _kept(mysql.decoded_rows(batch, state, tables, "keep", checksum_len)) as rows:
-            _save(mysql_row_events(apply_on_error(rows, "skip")), out, "events", batch_id)
+            marks = txn.binlog_marks(batch, checksum_len) if transactions else None
+            _save_events(mysql_row_events(apply_on_error(rows, "skip")), marks, out, batch_id)
             bad_rows = quarantine(rows).select("source", "seq", "error")
             bad_packets = binlog.packet_quarantine(batch, checksum_len, changes=True).drop("packet")
             _save(bad_packets.unionByName(bad_rows), out, "quarantine", batch_id)
