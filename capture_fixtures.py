@@ -581,6 +581,56 @@ def binlog_capture(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataF
     return o.mapInPandas(order_batches, schema).unionByName(groups.mapInPandas(customer_batches, schema))
 
 
+SERVERS = [bytes([i + 1]) * 16 for i in range(3)]
+
+
+def gtid_of(k: int) -> tuple[int, int]:
+    """Server and number of an order's transaction; numbers have gaps."""
+    return k % 3, k // 3 + 1 + k // 1500 * 10
+
+
+def gtid_body(server: int, number: int, committed: int, sequence: int) -> bytes:
+    return b"\1" + SERVERS[server] + struct.pack("<qBqq", number, 2, committed, sequence)
+
+
+def previous_gtids_body(sets: dict[int, list[tuple[int, int]]]) -> bytes:
+    out = struct.pack("<q", len(sets))
+    for server, intervals in sets.items():
+        out += SERVERS[server] + struct.pack("<q", len(intervals)) + b"".join(struct.pack("<qq", *i) for i in intervals)
+    return out
+
+
+def query_body(text: str) -> bytes:
+    return struct.pack("<IIBHH", 1, 0, 4, 0, 3) + b"\0\0\0shop\0" + text.encode()
+
+
+def gtid_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under source ``my_gtids``, one transaction each from one of three
+    servers; every 40th is rolled back, every 90th anonymous. Each file starts with
+    the set of the ids before it."""
+
+    def packets(r):
+        k, stamp = int(r.k), int(r.epoch)
+        at = lambda slot: 200 + k % ORDERS_PER_FILE * 1000 + slot * 50
+        if k % ORDERS_PER_FILE == 0:
+            yield 0, rotate(file_name(k // ORDERS_PER_FILE))
+            blocks = range(0, k, 1500)
+            sets = {s: [(gtid_of(max(b, s) + (s - b) % 3)[1], (min(b + 1500, k) - 1 - s) // 3 + 2 + b // 1500 * 10) for b in blocks] for s in range(3)}
+            yield 2, packet(35, previous_gtids_body(sets if k else {}), stamp, at(2))
+        body = gtid_body(*gtid_of(k), k, k + 1)
+        yield 3, packet(34 if k % 90 == 0 else 33, body, stamp, at(3))
+        yield 4, packet(QUERY, query_body("BEGIN"), stamp, at(4))
+        yield 5, packet(QUERY, query_body(f"INSERT INTO t VALUES ({k})"), stamp, at(5))
+        yield 6, packet(QUERY, query_body("ROLLBACK"), stamp, at(6)) if k % 40 == 0 else packet(XID, struct.pack("<Q", k), stamp, at(6))
+
+    def batches(it):
+        for pdf in it:
+            found = [(int(r.k) * 10 + slot, p) for r in pdf.itertuples() for slot, p in packets(r)]
+            yield pd.DataFrame({"source": "my_gtids", "seq": [s for s, _ in found], "packet": [p for _, p in found]})
+
+    return orders(spark, sf_dir).select("k", "epoch").mapInPandas(batches, "source STRING, seq BIGINT, packet BINARY")
+
+
 KINDS = [
     ("k", "bigint", False), ("doc", "json", True), ("size", "enum", True), ("tags", "set", True), ("at6", "datetime2(6)", True),
     ("ts3", "timestamp2(3)", True), ("t2", "time2(2)", True), ("old_ts", "timestamp", True),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import capture_fixtures as fixtures
 from tidemark.functions import names, positions, temporals
 from tidemark.functions.bytes import length_encoded
-from tidemark.operators import asof, binlog, envelope, pgoutput as pgoutput_operator, positions as progress, tablemap, transactions as txn, wal
+from tidemark.operators import asof, binlog, envelope, gtids as gtid_operator, pgoutput as pgoutput_operator, positions as progress, tablemap, transactions as txn, wal
 from tidemark.plans import mysql, postgres
 from tidemark.sources import captures
 
@@ -485,6 +485,45 @@ def binlog_cursor_parse(spark, sf):
     )
 
 
+GTIDS = ORDERS + """,
+q AS (SELECT k, CASE k % 3 WHEN 0 THEN '01010101-0101-0101-0101-010101010101' WHEN 1 THEN '02020202-0202-0202-0202-020202020202'
+                ELSE '03030303-0303-0303-0303-030303030303' END AS server_uuid, k // 3 + 1 + k // 1500 * 10 AS gno FROM o)"""
+ISLANDS = "SELECT {0}, min(gno) AS lo, max(gno) + 1 AS hi FROM (SELECT *, gno - row_number() OVER (PARTITION BY {0} ORDER BY gno) AS i FROM {1}) GROUP BY {0}, i"
+
+
+@query("binlog_gtids", f"""WITH {GTIDS} SELECT 'gtid' AS kind, k * 10 + 3 AS seq, server_uuid, gno AS lo, gno + 1 AS hi, k AS last_committed FROM q WHERE k % 90 <> 0
+       UNION ALL SELECT 'previous', f.k * 10 + 2, s.server_uuid, s.lo, s.hi, NULL FROM (SELECT k FROM o WHERE k % 5000 = 0 AND k > 0) f,
+       LATERAL ({ISLANDS.format('server_uuid', '(SELECT * FROM q WHERE q.k < f.k)')}) s""")
+def binlog_gtids(spark, sf):
+    capture = fixtures.gtid_capture(spark, sf)
+    one = gtid_operator.gtids(capture).select(
+        F.lit("gtid").alias("kind"), "seq", "server_uuid", F.col("gno").alias("lo"), (F.col("gno") + 1).alias("hi"), "last_committed"
+    )
+    sets = gtid_operator.previous_gtids(capture).select(
+        F.lit("previous").alias("kind"), "seq", "server_uuid", "lo", "hi", F.lit(None).cast("bigint").alias("last_committed")
+    )
+    return one.unionByName(sets)
+
+
+@query("gtid_resume", f"""WITH {GTIDS}, p AS (SELECT k, k * 10 + slot AS seq, slot FROM o, (VALUES (0), (2), (3), (4), (5), (6)) u(slot) WHERE slot > 2 OR k % 5000 = 0)
+       SELECT p.seq FROM p JOIN q USING (k) WHERE slot < 3 OR k % 90 = 0
+       OR NOT (server_uuid LIKE '01%' AND (gno BETWEEN 1 AND 100 OR gno BETWEEN 105 AND 300) OR server_uuid LIKE '03%' AND gno BETWEEN 50 AND 400)""")
+def gtid_resume(spark, sf):
+    """Packets of transactions that a replica with a set of gaps does not have yet."""
+    capture = fixtures.gtid_capture(spark, sf)
+    have = "01010101-0101-0101-0101-010101010101:1-100:105-300, 03030303-0303-0303-0303-030303030303:50-200:201-400"
+    packets = binlog.headers(capture).select("source", "seq", F.lit(0).alias("row_no"))
+    return gtid_operator.gtid_resume(packets, capture, gtid_operator.parse_set(spark, have)).select("seq")
+
+
+@query("gtid_progress", f"""WITH {GTIDS}, d AS (SELECT server_uuid, gno FROM q WHERE k % 40 <> 0 AND k % 90 <> 0 UNION SELECT server_uuid, range FROM (SELECT DISTINCT server_uuid FROM q), range(1, 51))
+       SELECT 'my_gtids' AS source, * FROM ({ISLANDS.format('server_uuid', 'd')})""")
+def gtid_progress(spark, sf):
+    """The executed set after the capture, on top of an earlier one."""
+    before = spark.createDataFrame([("my_gtids", "-".join([f"0{i}" * 4, *[f"0{i}" * 2] * 3, f"0{i}" * 6]), 1, 51) for i in (1, 2, 3)], "source STRING, " + gtid_operator.SET)
+    return gtid_operator.gtid_progress(fixtures.gtid_capture(spark, sf), before)
+
+
 # --- MySQL: catalog and association --------------------------------------------
 
 VERSIONS = """
