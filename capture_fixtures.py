@@ -581,6 +581,30 @@ def binlog_capture(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataF
     return o.mapInPandas(order_batches, schema).unionByName(groups.mapInPandas(customer_batches, schema))
 
 
+BIG_STEP = 3_000_000
+
+
+def big_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under source ``my_big``, in files of several times 4 GiB: positions go
+    on by ``BIG_STEP`` an order and their headers wrap."""
+
+    def packets(r):
+        k = int(r.k)
+        number, place = divmod(k, ORDERS_PER_FILE)
+        if place == 0:
+            yield 0, rotate(file_name(number))
+        yield 1, packet(XID, struct.pack("<Q", k), int(r.epoch), (place + 1) * BIG_STEP % (1 << 32))
+        if place == ORDERS_PER_FILE - 1:
+            yield 2, last_rotate(file_name(number + 1), int(r.epoch), ((place + 1) * BIG_STEP + 50) % (1 << 32))
+
+    def batches(it):
+        for pdf in it:
+            found = [(int(r.k) * 3 + slot, p) for r in pdf.itertuples() for slot, p in packets(r)]
+            yield pd.DataFrame({"source": "my_big", "seq": [s for s, _ in found], "packet": [p for _, p in found]})
+
+    return orders(spark, sf_dir).select("k", "epoch").mapInPandas(batches, "source STRING, seq BIGINT, packet BINARY")
+
+
 SERVERS = [bytes([i + 1]) * 16 for i in range(3)]
 
 

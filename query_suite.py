@@ -147,14 +147,23 @@ def wal_resume(spark, sf):
     return progress.wal_resume(fixtures.wal_capture(spark, sf), {"pg_orders": cursor}).select("source", "seq", "start_lsn")
 
 
-@query("binlog_resume", f"WITH {BINLOG} SELECT source, seq, log_file, log_position, type AS event_type FROM ev "
-       "WHERE source <> 'my_orders' OR log_file > 'binlog.000000' OR log_position > 700550")
+BIG = f"""
+b AS (SELECT 'my_big' AS source, k * 3 + slot AS seq, printf('binlog.%06d', k // 5000) AS log_file, CASE slot WHEN 1 THEN 16 ELSE 4 END AS event_type,
+             CASE slot WHEN 0 THEN 0 ELSE (k % 5000 + 1) * CAST({fixtures.BIG_STEP} AS BIGINT) + CASE slot WHEN 2 THEN 50 ELSE 0 END END AS log_position
+      FROM o, (VALUES (0), (1), (2)) u(slot) WHERE slot = 1 OR (slot = 0 AND k % 5000 = 0) OR (slot = 2 AND k % 5000 = 4999))"""
+
+
+@query("binlog_resume", f"WITH {BINLOG}, {BIG} SELECT source, seq, log_file, log_position, type AS event_type FROM ev "
+       "WHERE source <> 'my_orders' OR log_file > 'binlog.000000' OR log_position > 700550 "
+       "UNION ALL SELECT source, seq, log_file, log_position, event_type FROM b WHERE log_file > 'binlog.000000' OR log_position > 4300000000")
 def binlog_resume(spark, sf):
-    capture, state = binlog_state(spark, sf)
-    cursors = {"my_orders": ("binlog.000000", 700550)}
-    packets = progress.packets_after(capture, state.files.df, cursors)
-    resumed = progress.after_binlog_cursor(asof.with_log_file(binlog.headers(packets), state.files), cursors)
-    return resumed.select("source", "seq", "log_file", "log_position", "event_type")
+    """From a position in each source, one of them past 4 GiB of its file."""
+    both = fixtures.binlog_capture(spark, sf).unionByName(fixtures.big_capture(spark, sf))
+    state = mysql.log_state(both, long_files=True)
+    cursors = {"my_orders": ("binlog.000000", 700550), "my_big": ("binlog.000000", 4_300_000_000)}
+    packets = progress.packets_after(both, state.files.df, cursors)
+    located = progress.with_full_position(asof.with_log_file(binlog.headers(packets), state.files), state.epochs)
+    return progress.after_binlog_cursor(located, cursors).select("source", "seq", "log_file", "log_position", "event_type")
 
 
 @query("latest_cursor", f"""WITH {WAL} SELECT source, CAST(NULL AS VARCHAR) AS log_file, max(end_lsn) AS position FROM f GROUP BY source
@@ -171,14 +180,17 @@ def latest_cursor(spark, sf):
 
 @query("until_cursor", f"""WITH {WAL} SELECT source, seq FROM f WHERE source <> 'pg_orders' OR COALESCE(start_lsn, end_lsn) <= 16777216 + 1024 * 900
        UNION ALL SELECT source, seq FROM (WITH {BINLOG} SELECT * FROM ev)
-       WHERE source <> 'my_orders' OR (log_file = 'binlog.000000' AND log_position <= 400500)""")
+       WHERE source <> 'my_orders' OR (log_file = 'binlog.000000' AND log_position <= 400500)
+       UNION ALL SELECT source, seq FROM (WITH {ORDERS}, {BIG} SELECT * FROM b) WHERE log_file = 'binlog.000000' AND log_position <= 4400000000""")
 def until_cursor(spark, sf):
     target = 16777216 + 1024 * 900
     frames = progress.wal_until(fixtures.wal_capture(spark, sf), {"pg_orders": target}).select("source", "seq")
-    capture, state = binlog_state(spark, sf)
-    targets = {"my_orders": ("binlog.000000", 400500)}
-    packets = progress.packets_until(capture, state.files.df, targets)
-    packets = progress.until_binlog_cursor(asof.with_log_file(binlog.headers(packets), state.files), targets)
+    both = fixtures.binlog_capture(spark, sf).unionByName(fixtures.big_capture(spark, sf))
+    state = mysql.log_state(both, long_files=True)
+    targets = {"my_orders": ("binlog.000000", 400500), "my_big": ("binlog.000000", 4_400_000_000)}
+    packets = progress.packets_until(both, state.files.df, targets)
+    located = progress.with_full_position(asof.with_log_file(binlog.headers(packets), state.files), state.epochs)
+    packets = progress.until_binlog_cursor(located, targets)
     return frames.unionByName(packets.select("source", "seq"))
 
 

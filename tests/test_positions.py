@@ -6,6 +6,7 @@ from tests.helpers import capture
 from tidemark.functions import positions as text
 from tidemark.operators import asof, binlog, positions
 from tidemark.plans import mysql
+from tidemark.sources import captures
 
 BIG = 4 + (1 << 32)
 
@@ -91,3 +92,27 @@ def test_wide_values(spark):
     assert row.c.log_position == 99999999999 and (row.w.tid, row.w.lsn) == (123456, 31) and row.bad is None
     rotates = binlog.rotates(two_files(spark)).collect()
     assert {r.seq: r.next_log_position for r in rotates} == {0: 4, 3: 4, 4: BIG}
+
+
+@pytest.mark.parametrize("bits", [(20, 32), (3, 6)])
+def test_positions_unwrap_in_log_order(spark, monkeypatch, bits):
+    """Files of several times 4 GiB, one that ends in the upper half, short ones."""
+    import random
+
+    rng = random.Random(5)
+    monkeypatch.setattr(asof, "COLLAPSE_BITS", bits)
+    packets, want, seq = [], [], 0
+    for number, size in enumerate([9 << 30, 3 << 30, 1 << 20, 13 << 30, 5 << 30]):
+        packets.append((seq, fx.rotate(f"bin.{number:06d}")))
+        want.append((seq, 0))
+        at = 4
+        while at < size:
+            seq += rng.choice([1, 1, 7])
+            at += rng.choice([100, 1 << 20, 200 << 20, 900 << 20])
+            packets.append((seq, fx.packet(fx.XID, b"\0" * 8, 1, at % (1 << 32) or 1)))
+            want.append((seq, at if at % (1 << 32) else at + 1))
+        seq += 1
+    capture = spark.createDataFrame([("s", s, p) for s, p in packets], captures.BINLOG_CAPTURE).repartition(4)
+    state = mysql.log_state(capture, long_files=True)
+    found = positions.with_full_position(binlog.headers(capture), state.epochs).orderBy("seq")
+    assert [(r.seq, r.log_position) for r in found.collect()] == want

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.names import DELETES, ROTATE, TABLE_MAP, UPDATES, XID
 from tidemark.functions.positions import binlog_order, file_number
-from tidemark.operators import binlog
+from tidemark.operators import asof, binlog
 
 # seq read back from the end of a source at first.
 TAIL = 1 << 12
@@ -106,7 +106,7 @@ def packets_until(capture: DataFrame, files: DataFrame, targets: dict[str, tuple
 def after_binlog_cursor(events: DataFrame, cursors: dict[str, tuple[str, int]]) -> DataFrame:
     """Events past ``(file, position)`` per source; ``events`` carry ``log_file``
     (see ``with_log_file``). A header position is the event's end, so the
-    comparison is strict. ``packets_after`` keeps older packets from being read."""
+    comparison is strict. Files over 4 GiB need ``with_full_position`` first. ``packets_after`` keeps older packets from being read."""
     keep = [
         (F.col("source") == source) & (_event_end() > _target(log_file, position))
         for source, (log_file, position) in cursors.items()
@@ -124,6 +124,40 @@ def until_binlog_cursor(events: DataFrame, targets: dict[str, tuple[str, int]])
     return events.filter(_any(keep) | ~F.col("source").isin(list(targets)))
 
 
+def position_epochs(capture: DataFrame, files: asof.Intervals, checksum_len: int = 0) -> asof.Intervals:
+    """How often the 32-bit header positions of a file have wrapped, by ``seq``.
+
+    Positions grow through a file, so the upper half of their range and the lower
+    one take turns, 2 GiB each: a wrap is a turn to the lower half. The turns are
+    change points like those of table maps, found by an aggregate per ``seq`` range;
+    only they and the file starts are then ordered along a source.
+    """
+    heads = binlog.headers(capture, "skip", checksum_len).filter("log_position > 0")
+    halves = heads.select("source", "seq", F.shiftright("log_position", 31).cast("int").alias("half"))
+    turns = asof.change_points(halves, ["source"], "half")
+    starts = files.df.select("source", F.col("lo").alias("seq"), F.lit(None).cast("int").alias("half"))
+    along = Window.partitionBy("source").orderBy("seq", F.col("half").asc_nulls_first())
+    started = F.col("half").isNull().cast("int")
+    both = turns.unionByName(starts).withColumn("file", F.sum(started).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = Window.partitionBy("source", "file").orderBy("seq", F.col("half").asc_nulls_first())
+    wrapped = (F.col("half") == 0) & (F.lag("half").over(inside) == 1)
+    counted = both.withColumn("wrap", F.coalesce(wrapped, F.lit(False)).cast("bigint")).withColumn(
+        "epoch", F.sum("wrap").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    # a file's start and its first turn may share a seq
+    points = counted.groupBy("source", "seq").agg(F.max_by("epoch", "half").alias("epoch"), F.max("epoch").alias("most"))
+    points = points.select("source", "seq", F.coalesce("epoch", "most").alias("epoch"))
+    return asof.measured(asof.intervals(points, ["source"], ["epoch"]), ["source"], ["epoch"])
+
+
+def with_full_position(events: DataFrame, epochs: asof.Intervals) -> DataFrame:
+    """``events`` with ``log_position`` as it would be without the 32-bit limit.
+    Events without a position of their own keep 0."""
+    wide = F.col("log_position") + F.shiftleft(F.coalesce("epoch", F.lit(0)).cast("bigint"), 32)
+    placed = asof.asof_join(events, epochs).withColumn("log_position", F.when(F.col("log_position") > 0, wide).otherwise(F.col("log_position")))
+    return placed.drop("epoch")
+
+
 def _event_end():
     return binlog_order(F.col("log_file"), F.col("log_position"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.operators import asof, binlog
 from tidemark.operators.envelope import mysql_row_events, table_matches, typed_columns, with_cursor
 from tidemark.operators.errors import apply_on_error, quarantine
+from tidemark.operators.positions import position_epochs, with_full_position
 from tidemark.operators.rowcodec import decode_columns, decode_rows
 from tidemark.operators.transactions import binlog_marks, with_transactions
 
@@ -24,10 +25,14 @@ class LogState:
 
     maps: asof.Intervals
     files: asof.Intervals
+    epochs: asof.Intervals | None = None
 
 
-def log_state(capture: DataFrame, checksum_len: int = 0) -> LogState:
-    return LogState(*asof.log_state_intervals(binlog.log_states(capture, checksum_len)))
+def log_state(capture: DataFrame, checksum_len: int = 0, long_files: bool = False) -> LogState:
+    """``long_files`` reads all headers once more, so that positions in files over
+    4 GiB come out whole."""
+    state = LogState(*asof.log_state_intervals(binlog.log_states(capture, checksum_len)))
+    return replace(state, epochs=position_epochs(capture, state.files, checksum_len)) if long_files else state
 
 
 def _wanted_maps(maps: asof.Intervals, tables: list[str]) -> asof.Intervals:
@@ -52,6 +57,7 @@ def located_row_events(
         events = events.filter(F.col("table_map").isNull() | F.col("wanted")).drop("wanted")
     else:
         events = asof.with_table_map(events, state.maps)
+    events = with_full_position(events, state.epochs) if state.epochs else events
     return asof.with_log_file(events, state.files)
 
 
