@@ -15,6 +15,9 @@ def exact(ids, x, q, k):
 def test_recall(spark, sf):
     frame = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
     x, ids = np.stack(frame.embedding).astype(float), frame.vec_id.to_numpy()
+    report = {}
+    ann.search(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("vec_id") % 20 == 0, report=report)
+    assert report["lists"] > 3 and 0 < report["share"] <= 1  # the index is in use at the given sizes
     found = {}
     for r in queries.op2_ann(spark, sf).collect():
         found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
@@ -31,13 +34,15 @@ def test_recall(spark, sf):
 
 @pytest.mark.parametrize("noise", [0.5, 20.0])  # clear clusters, and none
 def test_pruning_keeps_recall(spark, monkeypatch, noise):
+    report = {}
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(40, 24))
     x = (centres[rng.integers(0, 40, 6000)] + noise * rng.normal(size=(6000, 24))).astype(np.float32)
-    monkeypatch.setattr(ann, "LIST_ROWS", 40)
     monkeypatch.setattr(ann, "BLOCK_ROWS", 30)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
-    rows = ann.search(df, F.col("vec_id") % 50 == 0, 10).collect()
+    rows = ann.search(df, F.col("vec_id") % 50 == 0, 10, report=report).collect()
+    assert report["lists"] >= 40 and report["asked"] == 120 and report["postings"] >= 6000
+    assert noise > 1 or report["share"] < 0.5
     hits = 0
     for q in range(0, 6000, 50):
         want = {v for v, _ in exact(np.arange(6000), x.astype(float), q, 10)}

@@ -22,7 +22,9 @@ from tidemark.llm.common import saved
 NEIGHBOURS = 20
 # The clustering sees at most so many vectors; every vector is indexed.
 SAMPLE_ROWS = 20_000
-LIST_ROWS = 1024
+# Mean rows of a list: about the root of their number, so that finding lists and
+# reading them cost alike; never under LEAST_ROWS.
+LEAST_ROWS = 32
 MAX_LISTS = 4096
 BLOCK_ROWS = 4096
 LINKS = 16
@@ -197,7 +199,8 @@ def valid_vectors(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
 
 
 def search(
-    vectors: DataFrame, is_query, k: int = NEIGHBOURS, id_column: str = "vec_id", vector: str = "embedding"
+    vectors: DataFrame, is_query, k: int = NEIGHBOURS, id_column: str = "vec_id", vector: str = "embedding",
+    report: dict | None = None,
 ) -> DataFrame:
     """The k nearest found of each row for which `is_query` (over vec_id) holds:
     query_id, rank from 1, vec_id, score (inner product in double precision).
@@ -206,6 +209,9 @@ def search(
     are one entry of the index with their k + 1 smallest ids, which is all that a
     top k can need. A row that repeats counts once. See `valid_vectors` for rows
     that take no part; without any the result is empty. Other columns are left aside.
+
+    `report`, if given, is filled with the number of `lists`, of `postings` and of
+    `asked` vectors, and with `share`, the mean part of all postings that these read.
     """
     spark = vectors.sparkSession
     good = saved(valid_vectors(vectors, id_column, vector).distinct())
@@ -234,7 +240,8 @@ def search(
         x = x * (longest / np.sqrt((x**2).sum(axis=1, keepdims=True)))
         return np.concatenate([x, np.zeros((len(x), 1))], axis=1)
 
-    lists = int(min(MAX_LISTS, max(1, total // LIST_ROWS), max(1, len(points) // 4)))
+    rows = max(LEAST_ROWS, total**0.5)
+    lists = int(min(MAX_LISTS, max(1, total // rows), max(1, len(points) // 4)))
     index = build(lengthened(points), lists, longest)
     shared = spark.sparkContext.broadcast(dict(vars(index)))  # at most MAX_LISTS centroids
 
@@ -296,6 +303,12 @@ def search(
             spread(lambda x: _probes(Index(**filled.value), x, k + 1), aimed), f"list int, asked bigint, embedding {kind}"
         )
     )
+    if report is not None:
+        held = {r["list"]: r["count"] for r in probes.groupBy("list").count().collect()}  # at most MAX_LISTS
+        report["lists"], report["postings"] = len(index.centroids), int(index.sizes.sum())
+        report["asked"] = asked.count()
+        read = sum(n * int(index.sizes[i]) for i, n in held.items())
+        report["share"] = read / max(1, report["asked"] * report["postings"])
     blocks = F.broadcast(  # one row per list
         postings.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
     )
@@ -350,14 +363,17 @@ def search(
         return pa.Table.from_arrays([wanted.column("asked").combine_chunks(), hits], schema=schema)
 
     scored = left.groupBy("list", "block", "turn").cogroup(right.groupBy("list", "block", "turn"))
-    # a query gathers k + 1 hits from each block it reads; copies of a vector in
-    # several lists come out the same
+    # copies of a vector in several lists come out the same, and a vector stands in
+    # REPLICAS lists at most, so this many hold k + 1 vectors; tasks cut to them
+    # before rows move
+    nearest_first = Window.partitionBy("asked").orderBy("hit")
     hits = (
         scored.applyInArrow(score, "asked bigint, hits array<struct<far: double, vec_id: bigint>>")
+        .select("asked", F.explode("hits").alias("hit"))
+        .withColumn("_n", F.row_number().over(nearest_first))
+        .where(F.col("_n") <= (k + 1) * REPLICAS)
         .groupBy("asked")
-        .agg(F.flatten(F.collect_list("hits")).alias("hits"))
-        # a vector stands in REPLICAS lists at most, so this many hold k + 1 vectors
-        .select("asked", F.slice(F.sort_array("hits"), 1, (k + 1) * REPLICAS).alias("hits"))
+        .agg(F.sort_array(F.collect_list("hit")).alias("hits"))
         .select("asked", F.slice(F.array_distinct("hits"), 1, k + 1).alias("hits"))
     )
     order = F.filter("hits", lambda h: h["vec_id"] != F.col("query_id"))
