@@ -9,8 +9,10 @@ from tidemark.functions.positions import pg_clock
 from tidemark.operators.errors import apply_on_error
 
 _COLUMNS = "ARRAY<STRUCT<name: STRING, type: STRING, value: VARIANT>>"
-# VARIANT keeps numbers of up to 38 digits exact and rounds longer ones to a
-# double, which no shorter one becomes; those are set aside.
+# A number that is parsed loses its last zeros, and its digits beyond 38. Those of
+# type numeric are put in quotes first, so that their literal text stays. Quotes
+# inside a JSON string are escaped, so no string can look like this.
+_NUMERIC = r'("type"\s*:\s*"numeric(?:\([0-9, ]*\))?"\s*,\s*"value"\s*:\s*)(-?[0-9][0-9.eE+-]*)'
 MESSAGE = (
     f"action STRING, `schema` STRING, `table` STRING, columns {_COLUMNS}, identity {_COLUMNS}, "
     "transactional BOOLEAN, prefix STRING, content STRING, malformed STRING"
@@ -18,7 +20,8 @@ MESSAGE = (
 
 
 def _parsed(message: Column) -> Column:
-    return F.from_json(message, MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"})
+    exact = F.when(message.contains('"numeric'), F.regexp_replace(message, _NUMERIC, '$1"$2"')).otherwise(message)
+    return F.from_json(exact, MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"})
 
 
 def _message_error(m: Column) -> Column:
@@ -26,10 +29,6 @@ def _message_error(m: Column) -> Column:
     action = m["action"]
     missing = lambda *names: F.greatest(*[m[n].isNull() for n in names])
     unnamed = lambda c: F.exists(F.coalesce(m[c], F.array()), lambda x: x["name"].isNull() | x["type"].isNull())
-    rounded = lambda c: F.exists(
-        F.coalesce(m[c], F.array()),
-        lambda x: x["type"].startswith("numeric") & (F.schema_of_variant(x["value"]) == "DOUBLE"),
-    )
     return (
         F.when(m.isNull() | m["malformed"].isNotNull(), "malformed JSON")
         .when(action.isNull(), "missing action")
@@ -39,7 +38,6 @@ def _message_error(m: Column) -> Column:
         .when(action.isin("U", "D") & m["identity"].isNull(), "missing identity")
         .when((action == "M") & missing("transactional", "prefix", "content"), "missing message fields")
         .when(unnamed("columns") | unnamed("identity"), "column without name or type")
-        .when(rounded("columns") | rounded("identity"), "numeric of more than 38 digits")
     )
 
 
