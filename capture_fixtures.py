@@ -463,6 +463,16 @@ def row_bytes(columns, values) -> bytes:
     return out + b"".join(value_bytes(t, v) for (_, t, _), v in zip(columns, values) if v is not None)
 
 
+def partial_rows_body(table_id: int, columns, images) -> bytes:
+    """``images``: a list of dicts for each kind of image (before, after), whose
+    dicts all have the same keys."""
+    head = table_id.to_bytes(6, "little") + struct.pack("<H", 1) + struct.pack("<H", 2) + lenc(len(columns))
+    kept = [[c for c in columns if c[0] in kind[0]] for kind in images]
+    present = b"".join(bitmap([c[0] in kind[0] for c in columns]) for kind in images)
+    rows = [row_bytes(own, [row[c[0]] for c in own]) for row_set in zip(*images) for own, row in zip(kept, row_set)]
+    return head + present + b"".join(rows)
+
+
 def rows_body(table_id: int, version: int, columns, images: list[bytes], two_maps: bool = False) -> bytes:
     present = bitmap([1] * len(columns))
     extras = struct.pack("<H", 2) if version == 2 else b""
@@ -581,6 +591,33 @@ def binlog_capture(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataF
     return o.mapInPandas(order_batches, schema).unionByName(groups.mapInPandas(customer_batches, schema))
 
 
+PARTIAL = [("k", "bigint", False), ("status", "char(1)", True), ("total", "decimal(15,2)", True), ("note", "text", True), ("cust", "int", True)]
+
+
+def partial_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under source ``my_partial``: inserts without the note, updates by key of
+    one or two columns, deletes by key, and updates that leave out the note alone."""
+    table = table_map_body(9, "shop", "partial", PARTIAL)
+
+    def packets(r):
+        k, cust = int(r.k), int(r.o_custkey)
+        whole = {"k": k, "status": r.o_orderstatus, "total": int(r.cents), "cust": cust}
+        yield 1, packet(TABLE_MAP, table, int(r.epoch), 100)
+        yield 2, packet(30, partial_rows_body(9, PARTIAL, [[whole, whole | {"k": k + 1_000_000, "cust": None}]]), int(r.epoch), 200)
+        new = {"status": None} if k % 2 else {"total": -int(r.cents), "note": f"n{k}"}
+        yield 3, packet(31, partial_rows_body(9, PARTIAL, [[{"k": k}], [new]]), int(r.epoch), 300)
+        yield 4, packet(31, partial_rows_body(9, PARTIAL, [[whole], [whole | {"status": "Z"}]]), int(r.epoch), 400)
+        yield 5, packet(32, partial_rows_body(9, PARTIAL, [[{"k": k}]]), int(r.epoch), 500)
+
+    def batches(it):
+        for pdf in it:
+            found = [(int(r.k) * 10 + slot, p) for r in pdf.itertuples() for slot, p in packets(r)]
+            yield pd.DataFrame({"source": "my_partial", "seq": [s for s, _ in found], "packet": [p for _, p in found]})
+
+    o = orders(spark, sf_dir).select("k", "epoch", "cents", "o_custkey", "o_orderstatus")
+    return o.mapInPandas(batches, "source STRING, seq BIGINT, packet BINARY")
+
+
 BIG_STEP = 3_000_000
 
 

@@ -773,6 +773,23 @@ def binlog_json(spark, sf):
     return rows.select("k", "doc").join(paths, "k").join(raw, "k")
 
 
+@query("binlog_partial_images", f"""WITH {ORDERS}, r AS (SELECT k * 10 + slot AS seq, row_no, k, op, slot, o_orderstatus AS s, {MONEY} AS t, '-' || {MONEY} AS neg, o_custkey AS c
+       FROM o, (VALUES (2, 0, 'insert'), (2, 1, 'insert'), (3, 0, 'update'), (4, 0, 'update'), (5, 0, 'delete')) u(slot, row_no, op))
+       SELECT seq, row_no, op, 'columns' AS image, CASE WHEN slot = 2 THEN 'k=' || (k + row_no * 1000000) || ',status=' || s || ',total=' || t || ',cust=' || CASE row_no WHEN 0 THEN c::VARCHAR ELSE 'null' END
+            WHEN slot = 4 THEN 'k=' || k || ',status=Z,total=' || t || ',cust=' || c WHEN k % 2 = 1 THEN 'status=null' ELSE 'total=' || neg || ',note=n' || k END AS cells
+       FROM r WHERE op <> 'delete'
+       UNION ALL SELECT seq, row_no, op, 'identity', CASE WHEN slot = 4 THEN 'k=' || k || ',status=' || s || ',total=' || t || ',cust=' || c ELSE 'k=' || k END FROM r WHERE op <> 'insert'""")
+def binlog_partial_images(spark, sf):
+    """What each image holds: a column that is left out is not there, a null one is."""
+    events = mysql.row_events(fixtures.partial_capture(spark, sf))
+    v = lambda c: F.coalesce(c["value"]["str"], c["value"]["i64"].cast("string"), F.decode(c["value"]["bytes"], "UTF-8"), F.lit("null"))
+    cells = lambda image: F.array_join(F.transform(image, lambda c: F.concat(c["name"], F.lit("="), v(c))), ",")
+    images = [
+        events.filter(F.col(c).isNotNull()).select("seq", "row_no", "op", F.lit(c).alias("image"), cells(c).alias("cells")) for c in ("columns", "identity")
+    ]
+    return images[0].unionByName(images[1])
+
+
 @query("binlog_enum_set", f"""WITH {ORDERS} SELECT k, CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN 'small' ELSE 'large' END AS size,
        array_to_string(list_filter([CASE WHEN k % 2 = 1 THEN 'red' END, CASE WHEN k // 2 % 2 = 1 THEN 'green' END, CASE WHEN k // 4 % 2 = 1 THEN 'blue' END],
                                    lambda x: x IS NOT NULL), ',') AS tags FROM o""")

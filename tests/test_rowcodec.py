@@ -138,15 +138,24 @@ def test_unsupported_types_are_set_aside(spark):
             mysql.row_events(c).collect()
 
 
-def test_partial_images_and_wrong_counts_are_set_aside(spark):
+def test_partial_images_and_wrong_counts(spark):
     columns = [("id", "int", False), ("x", "int", True)]
     full = fx.rows_body(1, 2, columns, [fx.row_bytes(columns, [1, 2])])
-    partial = full.replace(b"\x02\x03", b"\x02\x01", 1)
+    partial = fx.partial_rows_body(1, columns, [[{"x": 7}, {"x": None}]])
+    longer = full.replace(b"\x02\x03", b"\x02\x01", 1)  # says less than it holds
+    nothing = full.replace(b"\x02\x03", b"\x02\x00", 1)
     other = fx.rows_body(1, 2, columns + [("y", "int", True)], [b"\0" * 13])
-    c = capture(spark, table_map(columns), fx.packet(30, partial), fx.packet(30, other), fx.packet(30, full))
-    assert mysql.row_events(c, on_error="skip").count() == 1
+    update = fx.partial_rows_body(1, columns, [[{"id": 4}], [{"x": 9}]])
+    c = capture(spark, table_map(columns), *[fx.packet(30, b) for b in (partial, longer, nothing, other, full)], fx.packet(31, update))
+    cells = lambda image: image and [(x.name, x.value and x.value.i64) for x in image]
+    rows = sorted((r.seq, r.row_no, cells(r["columns"]), cells(r.identity)) for r in mysql.row_events(c, on_error="skip").collect())
+    assert rows == [
+        (1, 0, [("x", 7)], None), (1, 1, [("x", None)], None), (5, 0, [("id", 1), ("x", 2)], None), (6, 0, [("x", 9)], [("id", 4)])
+    ]
     errors = {r.seq: r.error for r in mysql.quarantined(c).collect()}
-    assert errors == {1: "partial row image", 2: "column count differs from the table map"}
+    assert errors == {2: "row event cut short", 3: "row image without columns", 4: "column count differs from the table map"}
+    flat = mysql.table_rows(c, "db.t", "id INT, x INT", on_error="skip").select("seq", "id", "x").collect()
+    assert sorted(map(tuple, flat), key=str) == [(1, None, 7), (1, None, None), (5, 1, 2), (6, None, 9)]
 
 
 def test_rows_cut_anywhere_never_decode(spark):
@@ -215,7 +224,7 @@ def test_workers_need_no_copy_of_the_package(spark, tmp_path):
     import sys
 
     from pyspark import cloudpickle
-    from tidemark.operators import rowcodec
+    from tidemark.operators import pgoutput, rowcodec
 
     def decode(batches):
         for batch in merged(batches):
@@ -223,7 +232,7 @@ def test_workers_need_no_copy_of_the_package(spark, tmp_path):
 
     merged, decode_batch, layout = rowcodec._merged, rowcodec._decode_batch, rowcodec._Flat(["x"], "columns")
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    for i, fn in enumerate([decode, tablemap._parse_batches]):
+    for i, fn in enumerate([decode, tablemap._parse_batches, pgoutput._decoder(['tag'])]):
         (tmp_path / f"{i}.pkl").write_bytes(cloudpickle.dumps(fn))
         code = f"import pickle; list(pickle.load(open('{tmp_path}/{i}.pkl', 'rb'))(iter([])))"
         subprocess.run([sys.executable, "-c", code], cwd="/", check=True, timeout=120)

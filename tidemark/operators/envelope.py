@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.bytes import utf8
 from tidemark.functions.names import literal_map
-from tidemark.functions.positions import file_number
 from tidemark.functions.temporals import interval_from_text
 from tidemark.operators.asof import BROADCAST_ROWS
 
@@ -189,11 +188,6 @@ def typed_columns(values: DataFrame, wanted: T.StructType) -> DataFrame:
     return values.select(*_VIEW_KEYS, *casts)
 
 
-def event_order(cursor: Column) -> Column:
-    """Sort key of a cursor: MySQL files by number, then position."""
-    return F.struct(file_number(cursor["file"]), cursor["pos"])
-
-
 def _value_text(value: Column) -> Column:
     return F.coalesce(
         value["str"], value["i64"].cast("string"), value["u64"].cast("string"), value["f64"].cast("string"), F.hex(value["bytes"])

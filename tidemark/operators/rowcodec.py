@@ -34,7 +34,7 @@ _VALUE = pa.struct([("u64", _U64), ("i64", pa.int64()), ("f64", pa.float64()), (
 _COL = pa.struct([("name", pa.string()), ("is_nullable", pa.bool_()), ("column_type", pa.string()),
                   ("type_name", pa.string()), ("value", _VALUE)])
 
-CUT, COUNT, PARTIAL = "row event cut short", "column count differs from the table map", "partial row image"
+CUT, COUNT, EMPTY = "row event cut short", "column count differs from the table map", "row image without columns"
 
 
 def _uint(data: np.ndarray, at: np.ndarray, size: int, big: bool = False) -> np.ndarray:
@@ -248,8 +248,9 @@ class _Group:
         self.error[events] = why
         self.pos[events] = self.end[events]
 
-    def open(self, extras: bool, images: int) -> None:
-        """Read the event header; leaves ``pos`` at the first row."""
+    def open(self, extras: bool, images: int) -> np.ndarray:
+        """Read the event header; leaves ``pos`` at the first row. Which columns
+        each image of an event has: events x images x columns."""
         events = np.arange(len(self.pos))
         width = (len(self.columns) + 7) // 8
         self._skip(events, 8)
@@ -265,11 +266,14 @@ class _Group:
             self.fail(sel[count != len(self.columns)], COUNT)
             self._skip(sel[count == len(self.columns)], size)
         self.fail(ok[first == 0xFF], COUNT)
-        for _ in range(images):
+        present = np.ones((len(self.pos), images, len(self.columns)), bool)
+        for i in range(images):
             ok = self._fitting(self._good(), width)
-            bits = self._bitmap(self.pos[ok], width)
-            self._skip(ok[bits.all(axis=1)], width)
-            self.fail(ok[~bits.all(axis=1)], PARTIAL)
+            present[ok, i] = self._bitmap(self.pos[ok], self.columns)
+            self._skip(ok, width)
+        if len(self.columns):
+            self.fail(self._good()[~present[self._good()].any(axis=2).all(axis=1)], EMPTY)
+        return present
 
     def _good(self) -> np.ndarray:
         return np.flatnonzero(self.error == None)  # noqa: E711
@@ -286,15 +290,15 @@ class _Group:
         self.pos[events[fits]] += size[fits] if from_start else size
         self.fail(events[~fits], CUT)
 
-    def _bitmap(self, at: np.ndarray, width: int) -> np.ndarray:
-        raw = self.data[at[:, None] + np.arange(width)]
-        return np.unpackbits(raw, axis=1, bitorder="little")[:, : len(self.columns)].astype(bool)
+    def _bitmap(self, at: np.ndarray, columns: tuple[ColumnDef, ...]) -> np.ndarray:
+        raw = self.data[at[:, None] + np.arange((len(columns) + 7) // 8)]
+        return np.unpackbits(raw, axis=1, bitorder="little")[:, : len(columns)].astype(bool)
 
-    def _steps(self, bitmap: int) -> list[tuple[int, int]]:
+    def _steps(self, columns: tuple[ColumnDef, ...], bitmap: int) -> list[tuple[int, int]]:
         """How to pass a row with these nulls: fixed bytes, then the size of a
         length prefix (0 at the end)."""
         steps, fixed = [], 0
-        for j, col in enumerate(self.columns):
+        for j, col in enumerate(columns):
             if col.is_nullable and bitmap >> j & 1:
                 continue
             if col.definition in _PREFIXED:
@@ -304,23 +308,26 @@ class _Group:
                 fixed += self._width(col)
         return [*steps, (fixed, 0)]
 
-    def row_starts(self, images: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Event, number within it and start of every image of every whole row.
-        Events whose last row is cut fail as a whole."""
+    def row_starts(self, layouts: list[tuple[ColumnDef, ...]], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Event, number within it and start of every image of every whole row of
+        the chosen events, whose images have these columns. Events whose last row
+        is cut fail as a whole."""
         raw = self.data.tobytes()
-        width = (len(self.columns) + 7) // 8
-        plans: dict[bytes, list[tuple[int, int]]] = {}
+        images = len(layouts)
+        widths = [(len(columns) + 7) // 8 for columns in layouts]
+        plans: list[dict[bytes, list[tuple[int, int]]]] = [{} for _ in layouts]
         events, counts, starts, cut = [], [], [], []
-        for event in self._good().tolist():
+        for event in chosen.tolist():
             at, end = int(self.pos[event]), int(self.end[event])
-            before = len(starts)
-            while at < end and width:
+            before, image = len(starts), 0
+            while at < end and widths[image]:
                 starts.append(at)
-                bits = raw[at : at + width]
-                plan = plans.get(bits)
+                bits = raw[at : at + widths[image]]
+                plan = plans[image].get(bits)
                 if plan is None:
-                    plan = plans[bits] = self._steps(int.from_bytes(bits, "little"))
-                at += width
+                    plan = plans[image][bits] = self._steps(layouts[image], int.from_bytes(bits, "little"))
+                at += widths[image]
+                image = (image + 1) % images
                 for fixed, prefix in plan:
                     at += fixed
                     if prefix:
@@ -339,13 +346,12 @@ class _Group:
         number = np.arange(len(starts)) - np.repeat(np.cumsum(counts) - counts, counts)
         return np.repeat(np.array(events, np.int64), counts), number, np.array(starts, np.int64)
 
-    def read(self, pos: np.ndarray) -> _Image:
+    def read(self, pos: np.ndarray, columns: tuple[ColumnDef, ...]) -> _Image:
         """The images that start at ``pos``, column by column."""
-        image = _Image(len(pos), len(self.columns))
-        width = (len(self.columns) + 7) // 8
-        image.null = self._bitmap(pos, width) & np.array([c.is_nullable for c in self.columns], bool)
-        pos = pos + width
-        for j, col in enumerate(self.columns):
+        image = _Image(len(pos), len(columns))
+        image.null = self._bitmap(pos, columns) & np.array([c.is_nullable for c in columns], bool)
+        pos = pos + (len(columns) + 7) // 8
+        for j, col in enumerate(columns):
             rows = np.flatnonzero(~image.null[:, j])
             if not len(rows):
                 continue
@@ -488,8 +494,8 @@ class _Envelope:
     def wants(self, op: str) -> bool:
         return True
 
-    def arrays(self, op: str, columns: tuple[ColumnDef, ...], images: list[_Image], data: np.ndarray) -> list[pa.Array]:
-        built = [_columns_array(columns, image, data, self.raw_json) for image in images]
+    def arrays(self, op: str, layouts: list[tuple[ColumnDef, ...]], images: list[_Image], data: np.ndarray) -> list[pa.Array]:
+        built = [_columns_array(columns, image, data, self.raw_json) for columns, image in zip(layouts, images)]
         nothing = pa.nulls(len(images[0].null), self.types[0])
         return [built[-1] if op != "delete" else nothing, built[0] if op != "insert" else nothing]
 
@@ -497,7 +503,7 @@ class _Envelope:
 class _Flat:
     """Chosen columns of one image, a value struct each, null if absent."""
 
-    def __init__(self, wanted: list[str], image: str, raw_json: list[str]):
+    def __init__(self, wanted: list[str], image: str, raw_json: list[str] | tuple = ()):
         self.wanted, self.image, self.raw_json = wanted, image, raw_json
         self.names = [f"_{i}" for i in range(len(wanted))]
         self.types = [_VALUE] * len(wanted)
@@ -505,8 +511,8 @@ class _Flat:
     def wants(self, op: str) -> bool:
         return op != ("delete" if self.image == "columns" else "insert")
 
-    def arrays(self, op: str, columns: tuple[ColumnDef, ...], images: list[_Image], data: np.ndarray) -> list[pa.Array]:
-        image = images[-1] if self.image == "columns" else images[0]
+    def arrays(self, op: str, layouts: list[tuple[ColumnDef, ...]], images: list[_Image], data: np.ndarray) -> list[pa.Array]:
+        image, columns = (images[-1], layouts[-1]) if self.image == "columns" else (images[0], layouts[0])
         at = {c.name: j for j, c in enumerate(columns)}
         rows = len(image.null)
         return [
@@ -549,18 +555,29 @@ def _decode_group(group: _Group, events: _Events, extras: bool) -> Iterator[pa.R
         yield events.unusable(every, ["unsupported column type: " + ", ".join(unknown)] * len(every))
         return
     images = 2 if events.op == "update" else 1
-    group.open(extras, images)
-    of_event, number, starts = group.row_starts(images)
+    present = group.open(extras, images)
+    # images may leave columns out; events whose images have the same ones go together
+    good = group._good()
+    packed = np.packbits(present[good].reshape(len(good), images * len(group.columns)), axis=1)
+    shapes, which = np.unique(packed, axis=0, return_inverse=True) if len(good) else (packed, np.empty(0, np.int64))
+    found = []
+    for shape in range(len(shapes)):
+        chosen = good[which.ravel() == shape]
+        layouts = [tuple(c for c, there in zip(group.columns, present[chosen[0], i]) if there) for i in range(images)]
+        found.append((layouts, *group.row_starts(layouts, chosen)))
     bad = np.flatnonzero(group.error != None)  # noqa: E711
     if len(bad):
         yield events.unusable(bad, group.error[bad].tolist())
-    if not len(starts) or not events.layout.wants(events.op):
+    if not events.layout.wants(events.op):
         return
-    whole = [group.read(starts[i::images]) for i in range(images)]
-    text = np.concatenate([group.data, *group.scratch]) if group.scratch else group.data
-    arrays = events.layout.arrays(events.op, group.columns, whole, text)
-    rows = of_event[::images]
-    yield events.result(rows, number[::images] // images, arrays, pa.nulls(len(rows), pa.string()))
+    for layouts, of_event, number, starts in found:
+        if not len(starts):
+            continue
+        whole = [group.read(starts[i::images], layouts[i]) for i in range(images)]
+        text = np.concatenate([group.data, *group.scratch]) if group.scratch else group.data
+        arrays = events.layout.arrays(events.op, layouts, whole, text)
+        rows = of_event[::images]
+        yield events.result(rows, number[::images] // images, arrays, pa.nulls(len(rows), pa.string()))
 
 
 def _op(event_type: int) -> str:
@@ -657,7 +674,8 @@ def decode_rows(row_events: DataFrame, raw_json: bool = False) -> DataFrame:
 
     Input needs ``event_type, body, table_map``; all other columns pass through.
     Adds ``row_no`` within the event, ``op``, names, the after image as
-    ``columns``, the before image as ``identity``, and ``error``: an event that
+    ``columns``, the before image as ``identity`` (columns that an image leaves out
+    are not in it, unlike nulls), and ``error``: an event that
     cannot be decoded gives one row with the reason and no images. JSON columns
     arrive as text, or as stored with ``raw_json``.
     """
@@ -670,4 +688,4 @@ def decode_columns(
     """As ``decode_rows``, but only the ``wanted`` columns of one image leave
     the decoder, as values ``_0, _1, ...``: a tenth of the data to hand over
     when one table is read. JSON columns named in ``raw_json`` stay as stored."""
-    return _decoded(row_events, _Flat(wanted, image, raw_json or []), [T.DataType.fromDDL(VALUE)] * len(wanted))
+    return _decoded(row_events, _Flat(wanted, image, raw_json or ()), [T.DataType.fromDDL(VALUE)] * len(wanted))
