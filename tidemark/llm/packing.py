@@ -28,7 +28,7 @@ NNLS_STEPS = 150
 # Word pieces that the tokenizer reads as one string.
 PIECES_AT_ONCE = 2000
 # Word pieces whose ids one worker remembers: so many of late, as many before them.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 50_000
 
 # Printable ASCII and Latin-1 letters: here lower case, normal form and the
 # letter class are the same for the tokenizer and for Arrow.
