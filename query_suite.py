@@ -692,9 +692,24 @@ def flat_orders(df):
 ORDER_FLAT = "o_orderkey, o_custkey, {}, " + MONEY + " AS total, CASE WHEN k % 11 <> 0 THEN o_orderpriority END AS o_orderpriority"
 
 
-@query("binlog_inserts", f"{ORDER_ROWS} SELECT seq, {ORDER_FLAT.format('o_orderstatus')} FROM r WHERE op = 'insert'")
+@query("binlog_inserts", f"""{ORDER_ROWS} SELECT 'my_orders' AS source, seq, 0 AS row_no, o_orderkey AS key, o_custkey AS other, o_orderstatus AS status,
+       {MONEY} AS amount, CASE WHEN k % 11 <> 0 THEN o_orderpriority END AS label FROM r WHERE op = 'insert'
+       UNION ALL SELECT 'my_crm', c_custkey // 16 * 10 + 2, CAST(c_custkey % 16 AS INTEGER), c_custkey, CAST(c_nationkey AS BIGINT), c_mktsegment,
+       CAST(CAST(c_acctbal AS DECIMAL(15,2)) AS VARCHAR), c_name FROM customer""")
 def binlog_inserts(spark, sf):
-    return flat_orders(order_rows(spark, sf, "insert"))
+    """Every inserted row of both tables, single rows and many to an event."""
+    inserts = mysql.row_events(fixtures.binlog_capture(spark, sf)).filter("op = 'insert'")
+    views = [
+        envelope.typed_view(inserts, "shop.orders", ORDER_DDL).selectExpr(
+            "source", "seq", "row_no", "o_orderkey AS key", "o_custkey AS other", "o_orderstatus AS status",
+            "CAST(total AS STRING) AS amount", "o_orderpriority AS label",
+        ),
+        envelope.typed_view(inserts, "crm.customer", CUSTOMER_DDL).selectExpr(
+            "source", "seq", "row_no", "c_custkey AS key", "c_nationkey AS other", "c_mktsegment AS status",
+            "CAST(CAST(c_acctbal AS DECIMAL(15,2)) AS STRING) AS amount", "c_name AS label",
+        ),
+    ]
+    return views[0].unionByName(views[1])
 
 
 @query("binlog_updates", f"""{ORDER_ROWS} SELECT seq, {ORDER_FLAT.format("'X' AS o_orderstatus")}, o_orderstatus AS before_status FROM r WHERE op = 'update'""")
