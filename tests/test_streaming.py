@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import capture_fixtures as fx
 from tests.helpers import capture, inserts, table_map
-from tidemark.operators import wal
+from tidemark.operators import envelope, wal
 from tidemark.plans import mysql, postgres
 from tidemark.sources import captures
 from tidemark.streaming import jobs, sinks
@@ -123,3 +123,18 @@ def test_batch_sinks(spark, sf, tmp_path):
     assert {"key" in f for f in found if f["table"] == "orders"} == {True}
     assert len({str(f) for f in found if f["table"] == "orders"}) > 10
     assert {"key" in f for f in found if f["table"] == "customer"} == {False}
+
+
+def test_a_changed_key_leaves_a_tombstone(spark):
+    columns = [("id", "int", False), ("x", "int", True)]
+    image = lambda i, x: fx.row_bytes(columns, [i, x])
+    packets = [
+        table_map(columns), inserts(columns, [1, 5]),
+        fx.packet(31, fx.rows_body(1, 2, columns, [image(1, 5), image(2, 5)], True)),
+        fx.packet(31, fx.partial_rows_body(1, columns, [[{"id": 2}], [{"x": 6}]])),
+        fx.packet(32, fx.rows_body(1, 2, columns, [image(2, 6)])),
+    ]
+    keys = spark.createDataFrame([("db", "t", ["id"])], "schema string, table string, key_columns array<string>")
+    payload = envelope.kafka_payload(mysql.row_events(capture(spark, *packets)), keys).collect()
+    found = sorted((json.loads(r.value)["seq"] if r.value else -1, json.loads(r.key)["key"], json.loads(r.value)["op"] if r.value else None) for r in payload)
+    assert found == [(-1, ["1"], None), (1, ["1"], "insert"), (2, ["2"], "update"), (3, ["2"], "update"), (4, ["2"], "delete")]

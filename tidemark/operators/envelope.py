@@ -201,17 +201,26 @@ def kafka_payload(events: DataFrame, keys: DataFrame | None = None) -> DataFrame
     ``keys`` (``schema, table, key_columns``, one row per table, see
     ``tablemap.primary_keys``) puts the row's key values into the key, so that a
     hot table spreads over partitions and one row's events stay in order. An update
-    goes by the key it had before. Tables without a key go by their name.
+    that changes the key gives two records: a null value, a tombstone, under the
+    old key and the event under the new one, where later events of the row go too.
+    Tables without a key go by their name.
     """
     key = ["schema", "table"]
     if keys is None:
         return events.select(F.to_json(F.struct(*key)).alias("key"), F.to_json(F.struct(*ROW_EVENT)).alias("value"))
     small = keys.select(*key, "key_columns").limit(BROADCAST_ROWS + 1)
     hint = F.broadcast if small.count() <= BROADCAST_ROWS else lambda df: df
-    image = F.coalesce("identity", "columns")
-    of = lambda name: _value_text(F.get(F.filter(image, lambda c: c["name"] == name), F.lit(0))["value"])
+    of = lambda image: lambda name: _value_text(F.get(F.filter(image, lambda c: c["name"] == name), F.lit(0))["value"])
+    sent = lambda image, name: F.exists(image, lambda c: c["name"] == name)
+    before = F.coalesce("identity", "columns")
     named = events.join(hint(keys.select(*key, "key_columns")), key, "left")
-    with_key = named.withColumn("key_columns", F.transform("key_columns", of)).withColumnRenamed("key_columns", "_key")
-    return with_key.select(
-        F.to_json(F.struct(*key, F.col("_key").alias("key"))).alias("key"), F.to_json(F.struct(*ROW_EVENT)).alias("value")
+    # a key column that the new image leaves out keeps its value
+    new = lambda name: F.when(sent(F.col("columns"), name), of(F.col("columns"))(name)).otherwise(of(before)(name))
+    with_keys = named.withColumn("_old", F.transform("key_columns", of(before))).withColumn(
+        "_new", F.when(F.col("op") == "update", F.transform("key_columns", new)).otherwise(F.col("_old"))
     )
+    record = lambda key_values, value: F.struct(F.to_json(F.struct(*key, key_values.alias("key"))).alias("key"), value.alias("value"))
+    event = record(F.col("_new"), F.to_json(F.struct(*ROW_EVENT)))
+    tombstone = record(F.col("_old"), F.lit(None).cast("string"))
+    moved = F.col("key_columns").isNotNull() & ~F.col("_old").eqNullSafe(F.col("_new"))
+    return with_keys.select(F.inline(F.when(moved, F.array(tombstone, event)).otherwise(F.array(event))))
