@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.01"
 def test_queries_are_registered():
     names = set(entry.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert len(corpus_pipeline.STAGES) == 5
 
 
