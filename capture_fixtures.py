@@ -11,6 +11,7 @@ import datetime as dt
 import decimal
 import struct
 import sys
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -140,6 +141,35 @@ def raw_frames(capture: DataFrame) -> DataFrame:
     )
 
 
+BRANCH_ORDERS = 300
+
+
+def branch_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under ``pg_ha`` and ``pg_hb``, a failover every ``BRANCH_ORDERS``: the fork
+    lies ten orders back, every third time beyond the fork before it."""
+    k = F.col("k")
+    number = F.floor(k / BRANCH_ORDERS)
+    base = F.lit(16777216) + 1024 * (k - 10 * number - 310 * F.floor(number / 3))
+    insert = _message("I", "public.orders", [("o_orderkey", "bigint", k.cast("string"))])
+    no_text = F.lit(None).cast("string")
+    frames = [
+        (0, "t", (k % BRANCH_ORDERS == 0) & (number > 0), no_text, no_text.cast("bigint"), base),
+        (1, "w", F.lit(True), _message("B"), base, base + 512), (2, "w", F.lit(True), insert, base + 64, base + 512),
+        (3, "w", F.lit(True), _message("C"), base + 256, base + 512), (4, "k", k % 100 == 0, no_text, no_text.cast("bigint"), base + 512),
+    ]
+    entries = F.filter(F.array(*[
+        F.when(when, F.struct(F.lit(slot).alias("slot"), F.lit(kind).alias("kind"), message.alias("message"), start.alias("start_lsn"), end.alias("end_lsn")))
+        for slot, kind, when, message, start, end in frames
+    ]), lambda x: x.isNotNull())
+    clock = (F.col("epoch") * 1_000_000 - EPOCH_SHIFT_US).alias("clock_us")
+    source = F.explode(F.array(F.lit("pg_ha"), F.lit("pg_hb"))).alias("source")
+    return orders(spark, sf_dir).select("k", clock, F.inline(entries)).select("*", source).select(
+        "source", (k * 5 + F.col("slot")).alias("seq"), "kind", "start_lsn", "end_lsn", "clock_us",
+        F.when(F.col("kind") == "k", F.lit(False)).alias("must_reply"),
+        F.when(F.col("kind") == "t", number + 1).cast("int").alias("timeline"), "message",
+    )
+
+
 PG_ORDERS = [
     ("o_orderkey", 20, -1, 1), ("o_custkey", 20, -1, 0), ("o_orderstatus", 25, -1, 0), ("total", 1700, (15 << 16 | 2) + 4, 0),
     ("o_orderdate", 1114, -1, 0), ("o_orderpriority", 25, -1, 0),
@@ -618,6 +648,45 @@ def partial_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.mapInPandas(batches, "source STRING, seq BIGINT, packet BINARY")
 
 
+SUMS = [("k", "bigint", False), ("status", "char(1)", True)]
+SUM_ORDERS = 400
+
+
+def sealed(packet: bytes) -> bytes:
+    """A packet with its checksum, made by ``packet`` with four bytes in its place."""
+    return packet[:-4] + struct.pack("<I", zlib.crc32(packet[1:-4]))
+
+
+def checksum_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under source ``my_sums`` in files of ``SUM_ORDERS``, of which every other
+    one has checksums. Every 97th row event is damaged on its way."""
+    table = table_map_body(3, "shop", "sums", SUMS)
+
+    def packets(r):
+        k, stamp = int(r.k), int(r.epoch)
+        number, place = divmod(k, SUM_ORDERS)
+        on = number % 2 == 0
+        event = lambda kind, body, at: sealed(packet(kind, body, stamp, at, checksum=b"\0" * 4)) if on else packet(kind, body, stamp, at)
+        if place == 0:
+            # sent ahead of the file, as the file before it asks
+            ahead = packet(ROTATE, struct.pack("<Q", 4) + file_name(number).encode(), flags=32, checksum=b"" if on and number else b"\0" * 4)
+            yield 0, ahead if on and number else sealed(ahead)
+            body = struct.pack("<H50sIB", 4, b"8.0.36-fixture", stamp, 19) + bytes(range(41)) + bytes([on])
+            yield 1, sealed(packet(FORMAT, body, stamp, 4, checksum=b"\0" * 4))
+        yield 2, event(TABLE_MAP, table, 100)
+        row = event(30, rows_body(3, 2, SUMS, [row_bytes(SUMS, [k, r.o_orderstatus])]), 200)
+        cut = 5 if on else 1
+        yield 3, row[:-cut] + b"?" + row[len(row) - cut + 1 :] if k % 97 == 0 else row
+        yield 4, event(XID, struct.pack("<Q", k), 300)
+
+    def batches(it):
+        for pdf in it:
+            found = [(int(r.k) * 5 + slot, p) for r in pdf.itertuples() for slot, p in packets(r)]
+            yield pd.DataFrame({"source": "my_sums", "seq": [s for s, _ in found], "packet": [p for _, p in found]})
+
+    return orders(spark, sf_dir).select("k", "epoch", "o_orderstatus").mapInPandas(batches, "source STRING, seq BIGINT, packet BINARY")
+
+
 BIG_STEP = 3_000_000
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import capture_fixtures as fixtures
 from tidemark.functions import names, positions, temporals
 from tidemark.functions.bytes import length_encoded
-from tidemark.operators import asof, binlog, envelope, gtids as gtid_operator, pgoutput as pgoutput_operator, positions as progress, tablemap, transactions as txn, wal
+from tidemark.operators import asof, binlog, checksums, envelope, gtids as gtid_operator, pgoutput as pgoutput_operator, positions as progress, tablemap, timelines, transactions as txn, wal
 from tidemark.plans import mysql, postgres
 from tidemark.sources import captures
 
@@ -315,6 +315,31 @@ def wal_timeline(spark, sf):
     return progress.wal_timeline(fixtures.wal_capture(spark, sf))
 
 
+BRANCH = f"""n AS (SELECT k, k // 300 AS n, 16777216 + 1024 * (k - 10 * (k // 300) - 310 * (k // 900)) AS base FROM o),
+fork AS (SELECT n, base AS lsn FROM n WHERE k % 300 = 0 AND n > 0),
+line AS (SELECT n.n, (SELECT min(lsn) FROM fork WHERE fork.n > n.n) AS until_lsn FROM (SELECT DISTINCT n FROM n) n),
+b AS (SELECT source, k * 5 + slot AS seq, kind, CAST(n + 1 AS INTEGER) AS tid, until_lsn, CASE WHEN kind = 'w' THEN base + off ELSE base + 512 * (slot // 4) END AS lsn
+      FROM n JOIN line USING (n), (VALUES (0, 't', 0), (1, 'w', 0), (2, 'w', 64), (3, 'w', 256), (4, 'k', 0)) u(slot, kind, off),
+           (VALUES ('pg_ha'), ('pg_hb')) s(source) WHERE kind = 'w' OR (slot = 0 AND k % 300 = 0 AND n > 0) OR (slot = 4 AND k % 100 = 0)),
+branch AS (SELECT *, kind = 'w' AND coalesce(lsn >= until_lsn, false) AS abandoned FROM b)"""
+
+
+@query("wal_branch", f"WITH {ORDERS}, {BRANCH} SELECT source, seq, tid, until_lsn, abandoned FROM branch")
+def wal_branch(spark, sf):
+    """Each frame's timeline, and whether a failover left it behind."""
+    capture = fixtures.branch_capture(spark, sf)
+    return timelines.with_timeline(capture, timelines.timelines(capture)).select("source", "seq", "tid", "until_lsn", "abandoned")
+
+
+@query("wal_branch_resume", f"""WITH {ORDERS}, {BRANCH} SELECT source, seq, kind FROM branch WHERE NOT abandoned
+       AND lsn >= CASE source WHEN 'pg_ha' THEN 16777216 + 1024 * 400 + 64 ELSE (SELECT min(lsn) FROM fork WHERE n > 2) END""")
+def wal_branch_resume(spark, sf):
+    """From a position on the present branch, two switches back, and from one past
+    the fork where its timeline was left."""
+    cursors = {"pg_ha": (2, 16777216 + 1024 * 400 + 64), "pg_hb": (3, 16777216 + 1024 * 700)}
+    return timelines.branch_resume(fixtures.branch_capture(spark, sf), cursors).select("source", "seq", "kind")
+
+
 @query("pg_row_events", f"""WITH {WAL} SELECT source, seq,
        CASE action WHEN 'I' THEN 'insert' WHEN 'U' THEN 'update' ELSE 'delete' END AS op,
        CASE source WHEN 'pg_crm' THEN 'crm' ELSE 'public' END AS "schema", CASE source WHEN 'pg_crm' THEN 'customer' ELSE 'orders' END AS "table",
@@ -454,6 +479,28 @@ def binlog_format_desc(spark, sf):
     return found.withColumn("n_header_lengths", F.length("event_type_header_lengths")).drop("event_type_header_lengths")
 
 
+SUMS = """
+c AS (SELECT k, k // 400 AS n, slot, k * 5 + slot AS seq FROM o, (VALUES (0), (1), (2), (3), (4)) u(slot) WHERE slot > 1 OR k % 400 = 0)"""
+
+
+@query("binlog_checksums", f"""WITH {ORDERS}, {SUMS} SELECT seq, CASE WHEN slot = 1 OR (n % 2 = 0) = (slot > 0) OR n = 0 THEN 4 ELSE 0 END AS checksum_len,
+       CASE WHEN slot = 3 AND n % 2 = 0 AND k % 97 = 0 THEN 'checksum differs' END AS error FROM c""")
+def binlog_checksums(spark, sf):
+    """Every packet verified by the algorithm of its file."""
+    capture = fixtures.checksum_capture(spark, sf)
+    return checksums.with_checksums(capture, checksums.algorithms(capture)).select("seq", "checksum_len", "error")
+
+
+@query("binlog_checked_rows", f"""WITH {ORDERS} SELECT k, CASE WHEN k % 97 = 0 THEN '?' ELSE o_orderstatus END AS status, printf('binlog.%06d', k // 400) AS log_file
+       FROM o WHERE k % 97 <> 0 OR k // 400 % 2 = 1""")
+def binlog_checked_rows(spark, sf):
+    """Rows decoded once checksums are verified and taken off; a file without them
+    lets damage through."""
+    packets = checksums.plain_packets(fixtures.checksum_capture(spark, sf), on_error="skip")
+    rows = mysql.table_rows(packets, "shop.sums", "k BIGINT, status STRING")
+    return rows.select("k", "status", F.col("cursor.file").alias("log_file"))
+
+
 @query("binlog_xid", f"""WITH {BINLOG} SELECT source, seq, CAST(CASE WHEN source = 'my_orders' THEN k
        ELSE least(16, (SELECT count(*) FROM customer) - 16 * k) END AS VARCHAR) AS xid FROM ev WHERE type = 16""")
 def binlog_xid(spark, sf):
