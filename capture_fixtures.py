@@ -649,6 +649,42 @@ def partial_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SUMS = [("k", "bigint", False), ("status", "char(1)", True)]
+# column, collation id, codec, a phrase of that script
+CHARSET_TEXTS = [
+    ("latin1", 8, "cp1252", "na\u00efve \u20ac"), ("latin2", 27, "iso8859-2", "\u0142\u00f3d\u017a"), ("cp1251", 51, "cp1251", "\u0437\u0430\u043a\u0430\u0437"),
+    ("koi8r", 74, "koi8-r", "\u0446\u0435\u043d\u0430"), ("greek", 25, "iso8859-7", "\u03c4\u03b9\u03bc\u03ae"), ("hebrew", 16, "iso8859-8", "\u05e9\u05dc\u05d5\u05dd"),
+    ("cp850", 4, "cp850", "\u00fcber"), ("gbk", 28, "gbk", "\u8ba2\u5355"), ("big5", 1, "big5", "\u8a02\u55ae"), ("sjis", 13, "shift-jis", "\u6ce8\u6587"),
+    ("euckr", 19, "euc-kr", "\uc8fc\ubb38"), ("ucs2", 35, "utf-16-be", "\u03a9"), ("utf16le", 56, "utf-16-le", "\U0001f4e6"), ("utf32", 60, "utf-32-be", "\U0001f4e6"),
+    ("utf8mb4", 45, "utf-8", "\U0001f4e6"), ("t_latin1", 48, "cp1252", "caf\u00e9"), ("t_gbk", 87, "gbk", "\u4ef7"),
+]
+CHARSETS = [("k", "bigint", False), *[(n, "text" if n.startswith("t_") else "varchar(90)", True) for n, *_ in CHARSET_TEXTS], ("raw", "text", True), ("size", "enum", True)]
+
+
+def charset_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under source ``my_text``: each order's priority after a phrase, in many
+    charsets, a BLOB of the same bytes as one of them, and an enum named in latin1."""
+    field = lambda code, value: bytes([code]) + lenc(len(value)) + value
+    ids = [i for _, i, _, _ in CHARSET_TEXTS] + [63]
+    names = ["klein".encode(), "gr\u00f6\u00dfer".encode("cp1252")]
+    extra = field(3, b"".join(map(lenc, ids))) + field(6, lenc(2) + b"".join(lenc(len(n)) + n for n in names)) + field(10, lenc(8))
+    table = table_map_body(8, "shop", "texts", CHARSETS, extra=extra)
+
+    def row(r) -> bytes:
+        k = int(r.k)
+        said = [None if k % 17 == 0 else (phrase + r.o_orderpriority).encode(codec) for _, _, codec, phrase in CHARSET_TEXTS]
+        return row_bytes(CHARSETS, [k, *said, "caf\u00e9".encode("cp1252"), 1 + k % 2])
+
+    def batches(it):
+        for pdf in it:
+            found = []
+            for r in pdf.itertuples():
+                found.append((int(r.k) * 2 + 1, packet(TABLE_MAP, table, int(r.epoch), 100)))
+                found.append((int(r.k) * 2 + 2, packet(30, rows_body(8, 2, CHARSETS, [row(r)]), int(r.epoch), 200)))
+            yield pd.DataFrame({"source": "my_text", "seq": [s for s, _ in found], "packet": [p for _, p in found]})
+
+    return orders(spark, sf_dir).select("k", "epoch", "o_orderpriority").mapInPandas(batches, "source STRING, seq BIGINT, packet BINARY")
+
+
 SUM_ORDERS = 400
 
 

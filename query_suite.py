@@ -835,6 +835,23 @@ def binlog_json(spark, sf):
     return rows.select("k", "doc").join(paths, "k").join(raw, "k")
 
 
+TEXT_VALUES = ", ".join(f"('{name}', '{phrase}')" for name, _, _, phrase in fixtures.CHARSET_TEXTS)
+
+
+@query("binlog_charsets", f"""WITH {ORDERS} SELECT k, name, phrase || o_orderpriority AS value FROM o, (VALUES {TEXT_VALUES}) t(name, phrase) WHERE k % 17 <> 0
+       UNION ALL SELECT k, 'size', CASE WHEN k % 2 = 0 THEN 'klein' ELSE 'größer' END FROM o
+       UNION ALL SELECT k, 'raw', '636166E9' FROM o UNION ALL SELECT k, 'utf32_raw', '0001F4E6' || regexp_replace(hex(encode(o_orderpriority)), '(..)', '000000\\1', 'g') FROM o WHERE k % 17 <> 0""")
+def binlog_charsets(spark, sf):
+    """Text of every column by its charset, a BLOB as it is, and text as stored where
+    it is asked for as BINARY."""
+    capture = fixtures.charset_capture(spark, sf)
+    texts = [name for name, *_ in fixtures.CHARSET_TEXTS] + ["size"]
+    rows = mysql.table_rows(capture, "shop.texts", ", ".join(["k BIGINT", *(f"{n} STRING" for n in texts), "raw BINARY"]))
+    stored = mysql.table_rows(capture, "shop.texts", "k BIGINT, utf32 BINARY").select("k", F.lit("utf32_raw").alias("name"), F.hex("utf32").alias("value"))
+    cells = rows.withColumn("raw", F.hex("raw")).unpivot("k", [*texts, "raw"], "name", "value")
+    return cells.unionByName(stored).filter("value IS NOT NULL")
+
+
 @query("binlog_partial_images", f"""WITH {ORDERS}, r AS (SELECT k * 10 + slot AS seq, row_no, k, op, slot, o_orderstatus AS s, {MONEY} AS t, '-' || {MONEY} AS neg, o_custkey AS c
        FROM o, (VALUES (2, 0, 'insert'), (2, 1, 'insert'), (3, 0, 'update'), (4, 0, 'update'), (5, 0, 'delete')) u(slot, row_no, op))
        SELECT seq, row_no, op, 'columns' AS image, CASE WHEN slot = 2 THEN 'k=' || (k + row_no * 1000000) || ',status=' || s || ',total=' || t || ',cust=' || CASE row_no WHEN 0 THEN c::VARCHAR ELSE 'null' END

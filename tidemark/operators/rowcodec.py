@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.types import StructType
 
+from tidemark.functions.charsets import is_foreign, transcoded
 from tidemark.functions.names import DELETES, SINK_TYPES, UPDATES, WITH_EXTRAS
 from tidemark.operators.binaryjson import json_texts
 from tidemark.operators.tablemap import ColumnDef, TableMap, parse_table_map
@@ -431,10 +432,46 @@ def _utf8_or_bytes(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
         return pa.array(values, pa.string()), broken
 
 
-def _values(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray, raw_json: bool = False) -> pa.Array:
-    """Value structs, row by row, of the given columns of an image. JSON is text
-    unless ``raw_json``, or unless it cannot be read."""
-    kinds = np.array([SINK_TYPES[c.definition] for c in columns])
+@dataclass(frozen=True)
+class Forms:
+    """How values leave the decoder: JSON as stored, character columns as stored, and
+    TEXT columns as text."""
+
+    raw_json: bool = False
+    raw_text: bool = False
+    texts: bool = False
+
+    def column_type(self, col: ColumnDef) -> str:
+        """TEXT is told from BLOB by its charset."""
+        is_text = self.texts and col.definition == "blob" and col.charset not in (None, "binary")
+        return "String" if is_text else SINK_TYPES[col.definition]
+
+
+def _foreign_texts(columns, image: _Image, data: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Cells (row by row) of the columns ``which``, their values transcoded column by
+    column, and those that hold what their charset does not."""
+    cells, texts, broken = [np.zeros(0, np.int64)], [pa.nulls(0, pa.string())], [np.zeros(0, np.int64)]
+    for j in np.flatnonzero(which):
+        rows = np.flatnonzero(~image.null[:, j])
+        stored = _slices(data, image.start[rows, j], image.size[rows, j], np.ones(len(rows), bool))
+        text, unread = transcoded(stored, columns[j].charset)
+        cells.append(rows * len(columns) + j)
+        texts.append(text)
+        broken.append(cells[-1][unread])
+    return np.concatenate(cells), pa.concat_arrays(texts), np.concatenate(broken)
+
+
+def _put(text: pa.Array, cells: np.ndarray, found: pa.Array) -> pa.Array:
+    """``text`` with the ``found`` values in these cells, which are null in it."""
+    place, mine = np.zeros(len(text), np.int64), np.zeros(len(text), bool)
+    place[cells], mine[cells] = np.arange(len(cells)), True
+    return pc.coalesce(text, found.take(pa.array(place, mask=~mine)))
+
+
+def _values(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray, forms: Forms = Forms()) -> pa.Array:
+    """Value structs, row by row, of the given columns of an image. What cannot be
+    read as text stays bytes."""
+    kinds = np.array([forms.column_type(c) for c in columns])
     present = ~image.null
 
     def cells(mask):
@@ -449,35 +486,36 @@ def _values(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray, raw
     i64 = pa.Array.from_buffers(pa.int64(), len(bits), [_bitmap_buffer(cells(kinds == "I64")), pa.py_buffer(bits)])
     f64 = pa.Array.from_buffers(pa.float64(), len(bits), [_bitmap_buffer(cells(kinds == "F64")), pa.py_buffer(bits)])
     start, size = image.start.ravel(), image.size.ravel()
-    binary = np.array([c.is_binary for c in columns], bool)
-    is_text = (np.isin(kinds, ["String", "Decimal", "Date", "Time"]) | stamped) & ~binary
+    binary = np.array([c.is_binary or forms.raw_text and c.definition == "string" for c in columns], bool)
+    foreign = np.array([is_foreign(c.charset) for c in columns], bool) & (kinds == "String") & ~binary
+    is_text = (np.isin(kinds, ["String", "Decimal", "Date", "Time"]) | stamped) & ~binary & ~foreign
     text, broken = _utf8_or_bytes(_slices(data, start, size, cells(is_text)))
     is_raw = cells((kinds == "Bytes") | binary & (kinds != "Json")) | broken
+    if foreign.any():
+        where, found, unread = _foreign_texts(columns, image, data, foreign)
+        text = _put(text, where, found)
+        is_raw[unread] = True
     json = np.flatnonzero(cells(kinds == "Json"))
-    if len(json) and not raw_json:
+    if len(json) and not forms.raw_json:
         found, unread = json_texts(data, start[json], size[json])
-        place = np.zeros(len(bits), np.int64)
-        place[json] = np.arange(len(json))
-        mine = np.zeros(len(bits), bool)
-        mine[json] = True
-        text = pc.coalesce(text, found.take(pa.array(place, mask=~mine)))
+        text = _put(text, json, found)
         json = json[unread]
     is_raw[json] = True
     raw = _slices(data, start, size, is_raw)
     return pa.StructArray.from_arrays([u64, i64, f64, text, raw], fields=list(_VALUE))
 
 
-def _columns_array(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray, raw_json: bool) -> pa.Array:
+def _columns_array(columns: tuple[ColumnDef, ...], image: _Image, data: np.ndarray, forms: Forms) -> pa.Array:
     """List of column structs per row."""
     rows, count = image.null.shape
     tile = pa.array(np.tile(np.arange(count, dtype=np.int32), rows))
     fixed = [
         pa.array([c.name for c in columns], pa.string()),
         pa.array([c.is_nullable for c in columns], pa.bool_()),
-        pa.array([SINK_TYPES[c.definition] for c in columns], pa.string()),
+        pa.array([forms.column_type(c) for c in columns], pa.string()),
         pa.array([c.type_name for c in columns], pa.string()),
     ]
-    arrays = [a.take(tile) for a in fixed] + [_values(columns, image, data, raw_json)]
+    arrays = [a.take(tile) for a in fixed] + [_values(columns, image, data, forms)]
     cols = pa.StructArray.from_arrays(arrays, fields=list(_COL))
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * count), cols)
 
@@ -488,14 +526,14 @@ class _Envelope:
     names = ["columns", "identity"]
     types = [pa.list_(_COL)] * 2
 
-    def __init__(self, raw_json: bool = False):
-        self.raw_json = raw_json
+    def __init__(self, forms: Forms):
+        self.forms = forms
 
     def wants(self, op: str) -> bool:
         return True
 
     def arrays(self, op: str, layouts: list[tuple[ColumnDef, ...]], images: list[_Image], data: np.ndarray) -> list[pa.Array]:
-        built = [_columns_array(columns, image, data, self.raw_json) for columns, image in zip(layouts, images)]
+        built = [_columns_array(columns, image, data, self.forms) for columns, image in zip(layouts, images)]
         nothing = pa.nulls(len(images[0].null), self.types[0])
         return [built[-1] if op != "delete" else nothing, built[0] if op != "insert" else nothing]
 
@@ -503,8 +541,9 @@ class _Envelope:
 class _Flat:
     """Chosen columns of one image, a value struct each, null if absent."""
 
-    def __init__(self, wanted: list[str], image: str, raw_json: list[str] | tuple = ()):
-        self.wanted, self.image, self.raw_json = wanted, image, raw_json
+    def __init__(self, wanted: list[str], image: str, raw: list[str] | tuple = (), texts: list[str] | tuple = ()):
+        self.wanted, self.image = wanted, image
+        self.forms = {n: Forms(raw_json=n in raw, raw_text=n in raw, texts=n in texts) for n in wanted}
         self.names = [f"_{i}" for i in range(len(wanted))]
         self.types = [_VALUE] * len(wanted)
 
@@ -516,7 +555,7 @@ class _Flat:
         at = {c.name: j for j, c in enumerate(columns)}
         rows = len(image.null)
         return [
-            _values((columns[at[n]],), image.column(at[n]), data, n in self.raw_json) if n in at else pa.nulls(rows, _VALUE)
+            _values((columns[at[n]],), image.column(at[n]), data, self.forms[n]) if n in at else pa.nulls(rows, _VALUE)
             for n in self.wanted
         ]
 
@@ -669,7 +708,7 @@ def _decoded(row_events: DataFrame, layout: _Envelope | _Flat, spark_types: list
     return row_events.select(*keep, "event_type", "body", "table_map").mapInArrow(decode, schema)
 
 
-def decode_rows(row_events: DataFrame, raw_json: bool = False) -> DataFrame:
+def decode_rows(row_events: DataFrame, raw_json: bool = False, texts: bool = False) -> DataFrame:
     """Row events with their table map, as one row per changed row.
 
     Input needs ``event_type, body, table_map``; all other columns pass through.
@@ -677,15 +716,17 @@ def decode_rows(row_events: DataFrame, raw_json: bool = False) -> DataFrame:
     ``columns``, the before image as ``identity`` (columns that an image leaves out
     are not in it, unlike nulls), and ``error``: an event that
     cannot be decoded gives one row with the reason and no images. JSON columns
-    arrive as text, or as stored with ``raw_json``.
+    arrive as text, or as stored with ``raw_json``. Character columns are read by
+    their charset; TEXT columns stay bytes unless ``texts``.
     """
-    return _decoded(row_events, _Envelope(raw_json), [T.DataType.fromDDL(COLUMNS)] * 2)
+    return _decoded(row_events, _Envelope(Forms(raw_json=raw_json, texts=texts)), [T.DataType.fromDDL(COLUMNS)] * 2)
 
 
 def decode_columns(
-    row_events: DataFrame, wanted: list[str], image: str = "columns", raw_json: list[str] | None = None
+    row_events: DataFrame, wanted: list[str], image: str = "columns", raw: list[str] | None = None, texts: list[str] | None = None
 ) -> DataFrame:
     """As ``decode_rows``, but only the ``wanted`` columns of one image leave
     the decoder, as values ``_0, _1, ...``: a tenth of the data to hand over
-    when one table is read. JSON columns named in ``raw_json`` stay as stored."""
-    return _decoded(row_events, _Flat(wanted, image, raw_json or ()), [T.DataType.fromDDL(VALUE)] * len(wanted))
+    when one table is read. JSON and character columns named in ``raw`` stay as
+    stored; TEXT columns named in ``texts`` are text."""
+    return _decoded(row_events, _Flat(wanted, image, raw or (), texts or ()), [T.DataType.fromDDL(VALUE)] * len(wanted))

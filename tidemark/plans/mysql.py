@@ -63,12 +63,12 @@ def located_row_events(
 
 def decoded_rows(
     capture: DataFrame, state: LogState | None = None, tables: list[str] | None = None,
-    on_error: str = "fail", checksum_len: int = 0, raw_json: bool = False,
+    on_error: str = "fail", checksum_len: int = 0, raw_json: bool = False, texts: bool = False,
 ) -> DataFrame:
     state = state or log_state(capture, checksum_len)
     packets = "fail" if on_error == "fail" else "skip"
     packed = located_row_events(capture, state, tables, packets, checksum_len).drop("table_id", "map_seq")
-    return apply_on_error(decode_rows(packed, raw_json), on_error)
+    return apply_on_error(decode_rows(packed, raw_json, texts), on_error)
 
 
 def table_rows(
@@ -77,14 +77,16 @@ def table_rows(
 ) -> DataFrame:
     """One table's rows with flat typed columns: ``typed_view`` of its row
     events, without building the row events. A JSON column comes as text, as a
-    VARIANT or, asked for as BINARY, as it is stored."""
+    VARIANT or, asked for as BINARY, as it is stored; so do character columns, whose
+    text is read by their charset."""
     if on_error not in ("fail", "skip"):
         raise ValueError("on_error must be fail or skip")
     state = state or log_state(capture, checksum_len)
     wanted = T.StructType.fromDDL(ddl)
     packed = located_row_events(capture, state, [table], on_error, checksum_len).drop("table_id", "map_seq")
-    raw_json = [f.name for f in wanted if isinstance(f.dataType, T.BinaryType)]
-    rows = apply_on_error(decode_columns(packed, wanted.names, image, raw_json), on_error)
+    raw = [f.name for f in wanted if isinstance(f.dataType, T.BinaryType)]
+    texts = [f.name for f in wanted if isinstance(f.dataType, T.StringType)]
+    rows = apply_on_error(decode_columns(packed, wanted.names, image, raw, texts), on_error)
     return typed_columns(with_cursor(rows), wanted)
 
 
@@ -101,11 +103,11 @@ def quarantined(
 
 def row_events(
     capture: DataFrame, state: LogState | None = None, tables: list[str] | None = None,
-    on_error: str = "fail", checksum_len: int = 0, raw_json: bool = False,
+    on_error: str = "fail", checksum_len: int = 0, raw_json: bool = False, texts: bool = False,
 ) -> DataFrame:
     if on_error not in ("fail", "skip"):
         raise ValueError("on_error must be fail or skip")
-    return mysql_row_events(decoded_rows(capture, state, tables, on_error, checksum_len, raw_json))
+    return mysql_row_events(decoded_rows(capture, state, tables, on_error, checksum_len, raw_json, texts))
 
 
 def transactions(
