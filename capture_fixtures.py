@@ -15,6 +15,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -685,6 +686,43 @@ def charset_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders(spark, sf_dir).select("k", "epoch", "o_orderpriority").mapInPandas(batches, "source STRING, seq BIGINT, packet BINARY")
 
 
+def payload(events: list[bytes], zstd: bool = True, timestamp: int = 0, position: int = 0) -> bytes:
+    """Packets as one compressed transaction."""
+    inside = b"".join(e[1:] for e in events)
+    packed = pa.compress(inside, "zstd", asbytes=True) if zstd else inside
+    field = lambda code, n: bytes([code]) + lenc(len(lenc(n))) + lenc(n)
+    body = field(2, 0 if zstd else 255) + field(1, len(packed)) + field(3, len(inside)) + b"\0" + packed
+    return packet(40, body, timestamp, position)
+
+
+def payload_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under source ``my_packed``, one transaction each; every third is
+    compressed or at least packed, of which every seventh also updates. Every 33rd
+    packed one is damaged."""
+    table = packet(TABLE_MAP, table_map_body(3, "shop", "packed", SUMS))
+
+    def packets(r):
+        k, stamp = int(r.k), int(r.epoch)
+        row = lambda status: row_bytes(SUMS, [k, status])
+        insert = packet(30, rows_body(3, 2, SUMS, [row(r.o_orderstatus)]), stamp)
+        update = packet(31, rows_body(3, 2, SUMS, [row(r.o_orderstatus), row("X")], True), stamp)
+        xid = packet(XID, struct.pack("<Q", k), stamp)
+        yield 0, packet(33, gtid_body(*gtid_of(k), k, k + 1), stamp, 100 * k)
+        if k % 3 == 0:
+            events = [packet(QUERY, query_body("BEGIN"), stamp), table, insert, *([table, update] if k % 7 == 0 else []), xid]
+            whole = payload(events, k % 2 == 0, stamp, 100 * k + 50)
+            yield 1, packet(40, whole[20:-5], stamp, 100 * k + 50) if k % 33 == 0 else whole
+        else:
+            yield from enumerate([table, insert, xid], 1)
+
+    def batches(it):
+        for pdf in it:
+            found = [(int(r.k) * 4 + slot, p) for r in pdf.itertuples() for slot, p in packets(r)]
+            yield pd.DataFrame({"source": "my_packed", "seq": [s for s, _ in found], "packet": [p for _, p in found]})
+
+    return orders(spark, sf_dir).select("k", "epoch", "o_orderstatus").mapInPandas(batches, "source STRING, seq BIGINT, packet BINARY")
+
+
 SUM_ORDERS = 400
 
 

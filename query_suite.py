@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import capture_fixtures as fixtures
 from tidemark.functions import names, positions, temporals
 from tidemark.functions.bytes import length_encoded
-from tidemark.operators import asof, binlog, checksums, envelope, gtids as gtid_operator, pgoutput as pgoutput_operator, positions as progress, tablemap, timelines, transactions as txn, wal
+from tidemark.operators import asof, binlog, checksums, envelope, gtids as gtid_operator, payloads, pgoutput as pgoutput_operator, positions as progress, tablemap, timelines, transactions as txn, wal
 from tidemark.plans import mysql, postgres
 from tidemark.sources import captures
 
@@ -869,6 +869,26 @@ def binlog_partial_images(spark, sf):
     return images[0].unionByName(images[1])
 
 
+@query("binlog_payload", f"""WITH {ORDERS}, r AS (SELECT k, o_orderstatus AS s, k % 3 = 0 AS packed, op FROM o, (VALUES ('insert'), ('update')) u(op)
+       WHERE (op = 'insert' OR (k % 3 = 0 AND k % 7 = 0)) AND k % 33 <> 0)
+       SELECT k * 4 + CASE WHEN packed THEN 1 ELSE 2 END AS seq, op, k, CASE op WHEN 'update' THEN 'X' ELSE s END AS status, CASE WHEN packed THEN 100 * k + 50 ELSE 0 END AS log_position,
+       CAST(k AS VARCHAR) AS txn_id, CASE op WHEN 'update' THEN 1 ELSE 0 END AS txn_row, 'committed' AS txn_state, NULL AS error FROM r
+       UNION ALL SELECT k * 4 + 1, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'row changes not decoded' FROM o WHERE k % 33 = 0""")
+def binlog_payload(spark, sf):
+    """Rows of compressed and plain transactions with their place, and payloads that
+    cannot be read."""
+    capture = fixtures.payload_capture(spark, sf)
+    step = payloads.stride(capture)
+    packets = payloads.unpacked(capture, step)
+    value = lambda i, m: F.col("columns")[i]["value"][m]
+    rows = mysql.transactions(packets, on_error="skip").select(
+        F.expr(f"seq div {step}").alias("seq"), "op", value(0, "i64").alias("k"), value(1, "str").alias("status"), F.col("cursor.pos").alias("log_position"),
+        "txn_id", "txn_row", "txn_state",
+    )
+    lost = mysql.quarantined(packets).select(F.expr(f"seq div {step}").alias("seq"), "error")
+    return rows.unionByName(lost, allowMissingColumns=True)
+
+
 @query("binlog_enum_set", f"""WITH {ORDERS} SELECT k, CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN 'small' ELSE 'large' END AS size,
        array_to_string(list_filter([CASE WHEN k % 2 = 1 THEN 'red' END, CASE WHEN k // 2 % 2 = 1 THEN 'green' END, CASE WHEN k // 4 % 2 = 1 THEN 'blue' END],
                                    lambda x: x IS NOT NULL), ',') AS tags FROM o""")
