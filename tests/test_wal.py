@@ -165,3 +165,13 @@ def test_table_rows_equal_the_typed_view(spark, sf):
         fast = postgres.table_rows(capture, "public.orders", ddl, image, on_error="skip")
         assert slow.schema.simpleString() == fast.schema.simpleString()
         assert sorted(map(str, slow.collect())) == sorted(map(str, fast.collect()))
+
+
+def test_kafka_sources_over_partitions(spark):
+    schema = "key BINARY, topic STRING, partition INT, offset BIGINT, value BINARY"
+    rows = [(b"a", "t", 0, 1, b"x"), (b"a", "t", 1, 1, b"y"), (b"b", "t", 1, 2, b"z"), (b"b", "t", 1, 3, b"z"), (None, "t", 0, 4, b"n")]
+    records = spark.createDataFrame(rows, schema)
+    assert [tuple(r) for r in captures.spread_sources(records).collect()] == [("a", 2)]
+    apart = captures.from_kafka(records, by_partition=True).orderBy("source", "seq").collect()
+    assert [(r.source, r.seq) for r in apart] == [(None, 4), ("a@t/0", 1), ("a@t/1", 1), ("b@t/1", 2), ("b@t/1", 3)]
+    assert captures.spread_sources(records.limit(0)).count() == 0

@@ -47,24 +47,44 @@ def read_binlog_capture(
     return _read(spark, path, fmt, BINLOG_CAPTURE, streaming, options)
 
 
-def from_kafka(records: DataFrame) -> DataFrame:
+def from_kafka(records: DataFrame, by_partition: bool = False) -> DataFrame:
     """``source, seq, packet`` from Kafka records.
 
-    The record key names the source. One source must stay in one topic
-    partition, as the offset is taken for the arrival order.
+    The record key names the source and the offset is its order, which holds within
+    one partition only. A source that is written to several must be told apart by
+    ``by_partition``: then ``source`` is ``key@topic/partition``, and each partition
+    has an order, table maps and positions of its own. ``spread_sources`` finds such
+    sources.
     """
+    key = F.col("key").cast("string")
+    place = F.concat_ws("/", "topic", F.col("partition").cast("string"))
     return records.select(
-        F.col("key").cast("string").alias("source"),
+        (F.concat(key, F.lit("@"), place) if by_partition else key).alias("source"),
         F.col("offset").cast("bigint").alias("seq"),
         F.col("value").alias("packet"),
     )
 
 
-def read_kafka(spark: SparkSession, streaming: bool = True, **options) -> DataFrame:
+def spread_sources(records: DataFrame) -> DataFrame:
+    """``source, partitions`` of sources that span several partitions, whose offsets
+    give no order: empty if ``from_kafka`` may go by key alone. One partial aggregate
+    on three narrow columns."""
+    places = records.groupBy(F.col("key").cast("string").alias("source"), "topic", "partition").agg(F.lit(1).alias("_one"))
+    return places.groupBy("source").agg(F.count("*").alias("partitions")).filter("partitions > 1")
+
+
+def read_kafka(spark: SparkSession, streaming: bool = True, by_partition: bool = False, **options) -> DataFrame:
     """Kafka topic of raw packets. Needs Spark's Kafka package on the class path;
-    ``startingOffsets=latest`` starts at the current end."""
+    ``startingOffsets=latest`` starts at the current end. A batch whose sources span
+    partitions raises unless ``by_partition``; streams cannot look ahead and go by it
+    where that may be."""
     reader = spark.readStream if streaming else spark.read
-    return from_kafka(reader.format("kafka").options(**options).load())
+    records = reader.format("kafka").options(**options).load()
+    if not streaming and not by_partition:
+        spread = spread_sources(records).select("source").limit(5).collect()
+        if spread:
+            raise ValueError(f"sources in several partitions: {', '.join(str(r['source']) for r in spread)}")
+    return from_kafka(records, by_partition)
 
 
 def wal_frames(frames: DataFrame) -> DataFrame:
