@@ -1,8 +1,13 @@
+from collections import Counter
+
 import __spark_entry__ as entry
 import corpus_pipeline
 import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tests.llm.conftest import CLASHING
 from tidemark.llm import decontamination, jaccard, pii, queries
 
 SF = "/root/testdata/sf0.01"
@@ -45,3 +50,48 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 800
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def mixed(spark, awkward):
+    """Given documents among awkward rows, nulls in every column and clashing names."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    odd = spark.createDataFrame([(*r[:2], None, None, None) for r in awkward], docs.schema)
+    return docs.unionByName(odd).withColumns({k: F.lit(v) for k, v in CLASHING.items()}).cache()
+
+
+def rows_of(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_awkward_rows_in_every_stage(spark, mixed):
+    """Stages take nulls, empty, long and repeated texts and keep columns they do not use."""
+    before = rows_of(mixed)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, mixed, SMALL)
+        assert out.columns == mixed.columns, name
+        if name != "PII":
+            after = rows_of(out)
+            assert not after - before, name
+            if name != "quality classifier":
+                # texts without shingles are like no other; of repeated rows one stays
+                odd = {r: n for r, n in after.items() if r[2] is None and r[3] is None}
+                repeats = 1 if name == "n-gram Jaccard join" else 2
+                assert sum(odd.values()) == 8 + repeats and max(odd.values()) == repeats, name
+        else:
+            masked = out.select("doc_id", "text", "n_chars").collect()
+            assert len(masked) == sum(before.values())
+            assert Counter(r.doc_id for r in masked) == Counter(r[0] for r in before.elements())
+            assert all((r.text is None and r.n_chars is None) or r.n_chars == len(r.text) for r in masked)
+    packed = corpus_pipeline.STAGES[-1][1](spark, mixed, SMALL).collect()
+    assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(r[0] for r in before.elements())
+    assert {r.length for r in packed if r.doc_id in (1, 2, 8)} >= {1}
+
+
+def test_no_documents(spark, mixed):
+    """No stage needs a row."""
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, mixed.limit(0), SMALL).count() == 0, name
