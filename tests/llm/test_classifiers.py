@@ -176,3 +176,13 @@ def test_grams_stay_inside_words():
     texts = pa.array(["Some words, some MORE words!", "x", "äö"])
     for (used, count), s in zip(langid.bags(texts), langid.scores(texts, model)):
         assert np.allclose((model.table[used] * count[:, None]).sum(axis=0) / count.sum(), s)
+
+
+def test_no_language_is_left_out(spark, documents):
+    """More languages than once fitted in, the rarest of one document; samples shrink."""
+    word = lambda i: chr(0x4E00 + i % 50) + chr(0x4F00 + i // 50)
+    rows = [(i * 3 + j, " ".join([word(i)] * 6), f"l{i:03d}", "s") for i in range(250) for j in range(3 if i else 30)]
+    docs = documents(rows)
+    model = langid.fit(docs)
+    assert len(model.languages) == len({r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1}) > 200
+    assert set(langid.fit(docs, total=500).languages) == set(model.languages)

@@ -25,10 +25,10 @@ UNDETERMINED = "und"
 BUCKETS = 1 << 14
 DIMENSION = 16
 GRAMS = (1, 2, 3, 4)
-# At most so many documents of each language are used to fit, and so many
-# languages, the commonest first.
+# At most so many documents of each language are used to fit, and fewer where all
+# languages together would exceed the second figure; no language is left out.
 FIT_ROWS = 600
-MAX_LANGUAGES = 200
+FIT_TOTAL = 120_000
 EPOCHS = 6
 RATE = 0.5
 # Accepted predictions should be right this often on the rows kept apart.
@@ -158,21 +158,24 @@ def calibrate(model: Model, logits: np.ndarray, y: np.ndarray) -> None:
     model.threshold = float(p.max(axis=1)[order][enough[-1]]) if len(enough) else 1.0
 
 
-def fit(docs: DataFrame, limit: int = FIT_ROWS) -> Model | None:
-    """Learn from at most `limit` documents of each of the commonest languages,
-    outside the held-out fold; None if there is no language to learn."""
+def fit(docs: DataFrame, limit: int = FIT_ROWS, total: int = FIT_TOTAL) -> Model | None:
+    """Learn every language from at most `limit` of its documents and about `total` of
+    all, outside the held-out fold; None if there is no language to learn. Null texts,
+    languages and ids teach nothing; repeated rows count as often as they come. The
+    model holds a number for each language and bucket, 128 KB a language."""
     known = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull()
         & F.col("text").isNotNull()
         & F.coalesce(fold("doc_id", FOLDS) != HELD_OUT_FOLD, F.lit(False))
     )
-    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not top:
+    found = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # a row for each language
+    if not found:
         return None
+    limit = max(1, min(limit, total // len(found)))
     # about `limit` rows of each language by hash, then exactly at most that many
-    share = F.create_map(*[F.lit(v) for r in top for v in (r["lang"], min(1.0, 1.3 * limit / r["count"]))])
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, max(1.3 * limit, limit + 30) / r["count"])) for r in found], "lang string, _share double")
     luck = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) / 1_000_000
-    sample = known.where(luck < share[F.col("lang")])
+    sample = known.join(F.broadcast(shares), "lang").where(luck < F.col("_share")).drop("_share")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +195,7 @@ def fit(docs: DataFrame, limit: int = FIT_ROWS) -> Model | None:
         .mapInArrow(run, f"lang string, doc_id {kind}, used array<int>, count array<float>")
         .toArrow()  # bounded: rows per language and buckets per row
     )
-    languages = [r["lang"] for r in top]
+    languages = [r["lang"] for r in found]
     code = {l: i for i, l in enumerate(languages)}
     order = np.lexsort((np.array([str(x) for x in rows.column("doc_id").to_pylist()]), np.zeros(rows.num_rows)))
     lang = rows.column("lang").to_pylist()
