@@ -91,3 +91,19 @@ def test_row_events_are_not_shuffled(spark, sf):
     main = plan.split("BroadcastExchange")[0]
     assert "Exchange hashpartitioning" not in main.replace("BroadcastExchange", "")
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_states_that_alternate_slowly_are_not_sorted(spark, monkeypatch):
+    """Versions of a table take turns every 100,000 seq: the aggregate alone finds where."""
+    sorted_within = []
+    drop = asof._drop_repeats
+
+    def recorded(states, keys, value, within=None):
+        sorted_within.append(str(within))
+        return drop(states, keys, value, within)
+
+    monkeypatch.setattr(asof, "_drop_repeats", recorded)
+    states = spark.range(0, 2_000_000, 100).selectExpr("'s' AS source", "id AS seq", "id div 100000 % 2 AS state")
+    points = asof.change_points(states, ["source"], "state").collect()
+    assert sorted(r.seq for r in points) == list(range(0, 2_000_000, 100_000))
+    assert not any(str(asof._bucket(asof.COLLAPSE_BITS[0])) == w for w in sorted_within)

@@ -19,8 +19,10 @@ from tidemark.functions.bytes import utf8
 BROADCAST_BYTES = 64 << 20
 BROADCAST_ROWS = 500_000
 
-# log2 of the seq ranges over which repeats are collapsed, smallest first.
-COLLAPSE_BITS = (20, 32)
+# log2 of the seq ranges over which repeats are collapsed, smallest first. The first
+# should hold many states but few changes: a range that goes back to an earlier value
+# is read again and sorted.
+COLLAPSE_BITS = (16, 24, 32)
 
 # Buckets without intervals over which a shuffled join spreads settled events.
 SPREAD = 4096
