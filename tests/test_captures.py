@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import capture_fixtures as fx
@@ -107,3 +108,50 @@ def test_capture_is_made_once(spark, tmp_path, monkeypatch, name, capture):
     monkeypatch.setattr(query_suite.fixtures, capture, counted)
     entry.queries()[name](spark, folder).collect()
     assert made.value == rows
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["pgoutput_row_events", "binlog_partial_images"])
+def test_images_come_from_one_decode(spark, tmp_path, name):
+    folder = tables(tmp_path, list(range(60)))
+    assert plan(entry.queries()[name](spark, folder)).count("MapInArrow") == 1
+
+
+def test_records_are_read_once(spark, tmp_path):
+    folder = tables(tmp_path, list(range(60)))
+    text = plan(entry.queries()["kafka_payload"](spark, folder))
+    assert text.count("from_json(StructField(source") == 1 and "get_json_object" not in text
+
+
+def test_views_decode_their_own_table(spark, tmp_path):
+    folder = tables(tmp_path, list(range(60)))
+    assert plan(entry.queries()["binlog_inserts"](spark, folder)).count("wanted") >= 2
+
+
+@pytest.mark.parametrize("name, module, decode", [
+    ("pgoutput_transactions", "pgoutput_operator", "decode_pgoutput"), ("pg_transactions", "wal", "decode_wal"),
+])
+def test_transactions_decode_once(spark, tmp_path, monkeypatch, name, module, decode):
+    folder = tables(tmp_path, list(range(60)))
+    seen, operator = spark.sparkContext.accumulator(0), getattr(query_suite, module)
+    once = getattr(operator, decode)
+
+    def counted(*args):
+        df = once(*args)
+        where = F.udf(lambda seq: seen.add(1) or seq, "bigint").asNondeterministic()
+        return df.withColumn("seq", where("seq"))
+
+    frames = {"pg_transactions": fx.wal_capture, "pgoutput_transactions": fx.pgoutput_capture}[name](spark, folder).count()
+    monkeypatch.setattr(operator, decode, counted)
+    rows = entry.queries()[name](spark, folder).collect()
+    # a truncate is one row for each of its tables
+    assert rows and seen.value < 1.5 * frames
+
+
+def test_event_queries_compile_their_checks(spark, tmp_path):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    entry.queries()["binlog_headers"](spark, tables(tmp_path, list(range(3))))
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000

@@ -20,14 +20,19 @@ MARK = "source STRING, seq BIGINT, mark STRING, id STRING, at TIMESTAMP"
 PLACE = ["txn_seq", "txn_id", "txn_row", "commit_seq", "commit_time", "txn_state"]
 
 
-def wal_marks(decoded: DataFrame) -> DataFrame:
-    """Begin and commit marks of decoded WAL messages of either plugin. The id is the
-    transaction's xid where the plugin sends it."""
+def wal_mark(decoded: DataFrame) -> Column:
+    """A begin or commit message as ``struct(mark, seq, id, at)``; null on others. The
+    id is the transaction's xid where the plugin sends it."""
     has = lambda name: name in decoded.columns
     xid = F.col("xid").cast("string") if has("xid") else F.lit(None).cast("string")
     at = F.coalesce("commit_time", "event_time") if has("commit_time") else F.col("event_time")
-    marks = decoded.filter(F.col("action").isin("B", "C"))
-    return marks.select("source", "seq", F.col("action_kind").alias("mark"), xid.alias("id"), at.alias("at"))
+    return F.when(F.col("action").isin("B", "C"), F.struct(F.col("action_kind").alias("mark"), "seq", xid.alias("id"), at.alias("at")))
+
+
+def wal_marks(decoded: DataFrame) -> DataFrame:
+    """Begin and commit marks of decoded WAL messages of either plugin."""
+    marks = decoded.select("source", wal_mark(decoded).alias("m")).filter("m IS NOT NULL")
+    return marks.select("source", "m.seq", "m.mark", "m.id", "m.at")
 
 
 def _says(word: str) -> Column:
@@ -52,10 +57,10 @@ def binlog_marks(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
     return events.select("source", "seq", mark.alias("mark"), xid.alias("id"), F.col("event_time").alias("at")).filter("mark IS NOT NULL")
 
 
-def _bucketed(rows: DataFrame, bucket_rows: int) -> DataFrame:
+def _bucketed(rows: DataFrame, bucket_rows: int, places: DataFrame) -> DataFrame:
     """Rows with ``_bucket``: equal ranges of ``seq``, as many for each source as its
-    rows need."""
-    extent = rows.groupBy("source").agg(F.min("seq").alias("_lo"), F.max("seq").alias("_hi"), F.count("*").alias("_n"))
+    ``places`` need."""
+    extent = places.groupBy("source").agg(F.min("seq").alias("_lo"), F.max("seq").alias("_hi"), F.count("*").alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(bucket_rows)) + 1
     extent = asof.materialise(extent.select("source", "_lo", F.ceil(width).cast("bigint").alias("_width")))
     few = extent.limit(asof.BROADCAST_ROWS + 1).count() <= asof.BROADCAST_ROWS
@@ -72,11 +77,18 @@ def with_transactions(events: DataFrame, marks: DataFrame, bucket_rows: int = BU
     unfinished (the next one begins first) and outside (null ``txn_seq``). A source
     without marks has all rows outside.
     """
-    columns = events.columns
-    event = events.select("source", "seq", F.col("row_no").alias("_row_no"), F.struct(*columns).alias("_event"))
+    event = events.select("source", "seq", F.col("row_no").alias("_row_no"), F.struct(*events.columns).alias("_event"))
     mark = F.struct("mark", "seq", "id", "at")
     only_marks = marks.select("source", "seq", F.lit(0).alias("_row_no"), mark.alias("_mark"))
-    both = _bucketed(event.unionByName(only_marks, allowMissingColumns=True), bucket_rows)
+    return placed_rows(event.unionByName(only_marks, allowMissingColumns=True), bucket_rows=bucket_rows)
+
+
+def placed_rows(rows: DataFrame, places: DataFrame | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``with_transactions`` of rows and marks that come from one read: ``source, seq,
+    _row_no`` with ``_event`` (a struct of all its columns) or ``_mark``. ``rows`` are gone
+    over twice, once to see how many there are; ``places`` (``source, seq`` of at least
+    all of them) tells it without making them."""
+    both = _bucketed(rows, bucket_rows, rows if places is None else places)
     up = Window.partitionBy("source", "_bucket").orderBy("seq", "_row_no")
     upto = up.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # the same rows backwards: frames that reach to the end cost a pass for each row
