@@ -3,9 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import capture_fixtures as fx
-from tidemark.operators import gtids
+from tests.test_captures import tables
+from tidemark.operators import binlog, gtids
 from tidemark.sources import captures
 
 
@@ -56,3 +58,32 @@ def test_cut_and_empty_bodies(spark):
     assert found == [(0, "01", 1, 5), (0, "03", 1, 2), (0, "03", 9, 12)]
     assert gtids.gtids(capture).collect() == []
     assert gtids.gtid_progress(capture).collect() == []
+
+
+def test_ids_before_an_order():
+    """The same, an interval at a time."""
+    number = lambda k: fx.gtid_of(k)[1]
+    for k in (5000, 10000, 54_000_000):
+        blocks = range(0, k, 1500)
+        for s, found in fx._ids_before(k).items():
+            assert found.tolist() == [[number(max(b, s) + (s - b) % 3), (min(b + 1500, k) - 1 - s) // 3 + 2 + b // 1500 * 10] for b in blocks]
+    assert fx._ids_before(0) == {}
+
+
+def test_marks_and_ids_come_from_one_read(spark, tmp_path):
+    """Events, marks, and the count of both: no packet is read more than three times."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    made = fx.gtid_capture(spark, tables(tmp_path, list(range(60)))).collect()
+    capture = spark.createDataFrame(made, captures.BINLOG_CAPTURE).mapInArrow(counted, captures.BINLOG_CAPTURE)
+    events = binlog.headers(capture).select("source", "seq", F.lit(0).alias("row_no"))
+    have = gtids.parse_set(spark, "01010101-0101-0101-0101-010101010101:1-5")
+    found = {r.seq for r in gtids.gtid_resume(events, capture, have, places=capture).collect()}
+    # order 0 is anonymous
+    assert found == {r.seq for r in made} - {k * 10 + slot for k in (3, 6, 9, 12) for slot in (3, 4, 5, 6)}
+    assert seen.value <= 3 * len(made)

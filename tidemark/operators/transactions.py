@@ -42,45 +42,57 @@ def _says(word: str) -> Column:
     return is_query & (slice_bytes(F.col("body"), F.length("body") - len(tail) + 1, len(tail)) == F.lit(tail))
 
 
-def binlog_marks(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
-    """Gtid events begin a transaction; an xid event or a COMMIT ends it, as does a
-    ROLLBACK. The id is the xid."""
-    types = [names.GTID, names.ANONYMOUS_GTID, names.XID, names.QUERY]
-    events = binlog.headers(capture, "skip", checksum_len, types)
+MARK_TYPES = [names.GTID, names.ANONYMOUS_GTID, names.XID, names.QUERY]
+
+
+def binlog_mark() -> tuple[Column, Column]:
+    """The mark that an event is, null on others, and the xid that ends a transaction."""
     is_xid = (F.col("event_type") == names.XID) & (F.length("body") >= 8)
     mark = (
         F.when(F.col("event_type").isin(names.GTID, names.ANONYMOUS_GTID), "begin")
         .when(is_xid | _says("COMMIT"), "commit")
         .when(_says("ROLLBACK"), "rollback")
     )
-    xid = F.when(is_xid, uint64_le(F.col("body"), 1)).cast("string")
+    return mark, F.when(is_xid, uint64_le(F.col("body"), 1)).cast("string")
+
+
+def binlog_marks(capture: DataFrame, checksum_len: int = 0) -> DataFrame:
+    """Gtid events begin a transaction; an xid event or a COMMIT ends it, as does a
+    ROLLBACK. The id is the xid."""
+    events = binlog.headers(capture, "skip", checksum_len, MARK_TYPES)
+    mark, xid = binlog_mark()
     return events.select("source", "seq", mark.alias("mark"), xid.alias("id"), F.col("event_time").alias("at")).filter("mark IS NOT NULL")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A materialised table, sent to every executor where it has few rows."""
+    few = df.limit(asof.BROADCAST_ROWS + 1).count() <= asof.BROADCAST_ROWS
+    return F.broadcast(df) if few else df
+
+
 def _bucketed(rows: DataFrame, bucket_rows: int, places: DataFrame) -> DataFrame:
     """Rows with ``_bucket``: equal ranges of ``seq``, as many for each source as its
     ``places`` need."""
     extent = places.groupBy("source").agg(F.min("seq").alias("_lo"), F.max("seq").alias("_hi"), F.count("*").alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(bucket_rows)) + 1
     extent = asof.materialise(extent.select("source", "_lo", F.ceil(width).cast("bigint").alias("_width")))
-    few = extent.limit(asof.BROADCAST_ROWS + 1).count() <= asof.BROADCAST_ROWS
-    joined = rows.join(F.broadcast(extent) if few else extent, "source")
+    joined = rows.join(_small(extent), "source")
     return joined.withColumn("_bucket", F.floor((F.col("seq") - F.col("_lo")) / F.col("_width"))).drop("_lo", "_width")
 
 
-def with_transactions(events: DataFrame, marks: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def with_transactions(events: DataFrame, marks: DataFrame, bucket_rows: int = BUCKET_ROWS, places: DataFrame | None = None) -> DataFrame:
     """``events`` (``source, seq, row_no, ...``) with the transaction of each row.
 
     ``txn_seq`` is the ``seq`` of its begin mark, ``txn_id`` its id, ``txn_row`` the
     row's number in it from 0, ``commit_seq`` and ``commit_time`` those of its end,
     and ``txn_state`` one of committed, rolled back, open (no end mark yet),
     unfinished (the next one begins first) and outside (null ``txn_seq``). A source
-    without marks has all rows outside.
+    without marks has all rows outside. ``places`` is that of ``placed_rows``.
     """
     event = events.select("source", "seq", F.col("row_no").alias("_row_no"), F.struct(*events.columns).alias("_event"))
     mark = F.struct("mark", "seq", "id", "at")
     only_marks = marks.select("source", "seq", F.lit(0).alias("_row_no"), mark.alias("_mark"))
-    return placed_rows(event.unionByName(only_marks, allowMissingColumns=True), bucket_rows=bucket_rows)
+    return placed_rows(event.unionByName(only_marks, allowMissingColumns=True), places, bucket_rows)
 
 
 def placed_rows(rows: DataFrame, places: DataFrame | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -118,7 +130,8 @@ def placed_rows(rows: DataFrame, places: DataFrame | None = None, bucket_rows: i
         .withColumn("_follow", F.last("_first", ignorenulls=True).over(backwards))
         .select("source", "_bucket", "_carry", "_carry_rows", "_follow")
     )
-    found = placed.filter(is_row).join(carried, ["source", "_bucket"])
+    # far fewer than rows, which need not move for them
+    found = placed.filter(is_row).join(_small(asof.materialise(carried)), ["source", "_bucket"])
     own = F.col("_before").isNotNull()
     begin, end = F.coalesce("_before", "_carry"), F.coalesce("_next", "_follow")
     number = F.when(own, F.col("_rows") - F.col("_rows_at")).otherwise(F.col("_rows") + F.col("_carry_rows")) - 1
