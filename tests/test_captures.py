@@ -155,3 +155,18 @@ def test_event_queries_compile_their_checks(spark, tmp_path):
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     entry.queries()["binlog_headers"](spark, tables(tmp_path, list(range(3))))
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_tasks_grow_with_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fx, "ROWS_PER_TASK", 2, raising=False)
+    assert fx.orders(spark, tables(tmp_path, list(range(60)))).rdd.getNumPartitions() == 30
+
+
+def test_big_packets_are_packets():
+    keys, stamp = [0, 1431, 4999, 9999], 7
+    at = lambda k: (k % 5000 + 1) * fx.BIG_STEP
+    want = {k * 3 + 1: fx.packet(fx.XID, k.to_bytes(8, "little"), stamp, at(k) % (1 << 32)) for k in keys}
+    want |= {0: fx.rotate("binlog.000000")}
+    want |= {k * 3 + 2: fx.last_rotate(f"binlog.{k // 5000 + 1:06d}", stamp, (at(k) + 50) % (1 << 32)) for k in (4999, 9999)}
+    found = fx._big_packets(pa.RecordBatch.from_pydict({"k": keys, "epoch": [stamp] * len(keys)}))
+    assert dict(zip(found["seq"].to_pylist(), found["packet"].to_pylist())) == want
