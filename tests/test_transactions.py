@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import capture_fixtures as fx
 from tests.test_streaming import cut, finish
-from tidemark.operators import pgoutput, transactions, wal
+from tidemark.operators import asof, pgoutput, transactions, wal
 from tidemark.plans import mysql, postgres
 from tidemark.sources import captures
 from tidemark.streaming import jobs
@@ -112,3 +112,22 @@ def test_wal2json_and_pgoutput_agree(spark, sf):
     theirs = postgres.row_events(fx.wal_capture(spark, sf))
     assert changes(mine) == changes(theirs)
     assert wal.decode_wal(fx.wal_capture(spark, sf)).columns[-1] == "action_kind"
+
+def test_rows_are_not_kept(spark, monkeypatch):
+    """Only what stands for a range of rows is written, also with long transactions."""
+    events = [("a", seq, n, "x") for seq in range(1, 800) if seq % 100 for n in range(2)]
+    marks = [("a", seq, "begin" if seq % 200 == 0 else "commit", None, None) for seq in range(0, 801, 100)]
+    marks = [m for m in marks if m[1] not in (100, 200, 300)]
+    kept, materialise = [], asof.materialise
+    monkeypatch.setattr(asof, "materialise", lambda df: kept.append(df.count()) or materialise(df))
+    found = transactions.with_transactions(spark.createDataFrame(events, EVENT), spark.createDataFrame(marks, transactions.MARK), 50)
+    assert sorted(map(tuple, found.collect()), key=str) == plain(events, marks)
+    assert kept and max(kept) < len(events) / 10
+
+
+def test_rows_move_with_what_is_asked_for(spark, sf, tmp_path):
+    fx.pgoutput_capture(spark, sf).write.parquet(f"{tmp_path}/in")
+    frames = captures.pgoutput_frames(captures.read_binlog_capture(spark, f"{tmp_path}/in"))
+    found = postgres.transactions(pgoutput.decode_pgoutput(frames), ["public.orders"], frames).select("seq", *transactions.PLACE)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "is_nullable" not in plan

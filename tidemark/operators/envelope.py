@@ -85,31 +85,17 @@ def _unhex(text: Column) -> Column:
 def pg_event_rows(decoded: DataFrame) -> DataFrame:
     """Inserts, updates and deletes among decoded WAL messages; messages,
     truncates, transaction marks, keepalives and timeline rows give nothing."""
-    return _pg_fields(decoded.filter(is_pg_row()))
-
-
-def is_pg_row() -> Column:
-    return F.col("action").isin("I", "U", "D")
-
-
-def _pg_fields(decoded: DataFrame, *more: str) -> DataFrame:
-    return decoded.select(
+    return decoded.filter(F.col("action").isin("I", "U", "D")).select(
         "source", "seq", F.lit(0).alias("row_no"), F.col("action_kind").alias("op"), "schema", "table",
         "columns", "identity",
         F.struct(F.lit(None).cast("string").alias("file"), F.col("start_lsn").alias("pos")).alias("cursor"),
-        "event_time", *more,
+        "event_time",
     )
 
 
 def pg_row_events(decoded: DataFrame) -> DataFrame:
     """Decoded WAL messages in the shared schema."""
-    return pg_shared(decoded.filter(is_pg_row()))
-
-
-def pg_shared(messages: DataFrame, *more: str) -> DataFrame:
-    """Any decoded messages in the shared schema, with ``more`` of their columns; what
-    is no row change has no images."""
-    return _pg_fields(messages, *more).withColumns({
+    return pg_event_rows(decoded).withColumns({
         "columns": F.when(F.col("op") != "delete", _pg_columns(F.col("columns"))),
         "identity": F.when(F.col("op") != "insert", _pg_columns(F.col("identity"))),
     })

@@ -2,9 +2,10 @@
 
 A log holds transactions one after the other: a begin mark, rows, an end mark. Each
 row belongs to the mark before it and ends with the one after it. Rows are dealt
-into buckets of ``seq`` with a bounded mean number of rows, ordered inside, and
-what lies beyond a bucket comes from one summary row for each. So neither a source
-nor a long transaction is ever one task.
+into buckets of ``seq`` with a bounded mean number of rows, which begin with a mark
+wherever there is one, and ordered inside; what lies beyond a bucket comes from the
+marks, which are few columns, and for long transactions from counts. So neither a source
+nor a long transaction is ever one task, and no row is kept on disk.
 """
 
 from __future__ import annotations
@@ -70,14 +71,72 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
-def _bucketed(rows: DataFrame, bucket_rows: int, places: DataFrame) -> DataFrame:
-    """Rows with ``_bucket``: equal ranges of ``seq``, as many for each source as its
-    ``places`` need."""
-    extent = places.groupBy("source").agg(F.min("seq").alias("_lo"), F.max("seq").alias("_hi"), F.count("*").alias("_n"))
-    width = (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(bucket_rows)) + 1
-    extent = asof.materialise(extent.select("source", "_lo", F.ceil(width).cast("bigint").alias("_width")))
-    joined = rows.join(_small(extent), "source")
-    return joined.withColumn("_bucket", F.floor((F.col("seq") - F.col("_lo")) / F.col("_width"))).drop("_lo", "_width")
+def _ranges(places: DataFrame, bucket_rows: int) -> DataFrame:
+    """Equal ranges of ``seq``, as many for each source as its places need: ``source,
+    _lo, _width, _count``. A place may stand for several ``rows``."""
+    rows = F.sum("rows") if "rows" in places.columns else F.count("*")
+    extent = places.filter("seq IS NOT NULL").groupBy("source").agg(F.min("seq").alias("_lo"), F.max("seq").alias("_hi"), rows.alias("_n"))
+    count = F.ceil(F.col("_n") / F.lit(bucket_rows))
+    width = F.ceil((F.col("_hi") - F.col("_lo")) / count + 1)
+    return asof.materialise(extent.select("source", "_lo", width.cast("bigint").alias("_width"), count.cast("bigint").alias("_count")))
+
+
+def _in_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    at = F.floor((F.col("seq") - F.col("_lo")) / F.col("_width"))
+    place = F.greatest(F.lit(0), F.least(at, F.col("_count") - 1))
+    return rows.join(_small(ranges), "source").withColumn("_range", F.when(F.col("seq").isNotNull(), place)).drop("_lo", "_width", "_count")
+
+
+def _joints(marks: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Each range with its first and last mark, the last one before it (``_carry``, in
+    the range ``_from``), the next one after it (``_follow``) and the bucket of the rows
+    ahead of its first mark (``_lead``). Those join the bucket of the range before, which
+    its marks begin, so that rows are numbered inside; where that range has no marks, and
+    a transaction goes through all of it, they are one of their own (``_alone``)."""
+    mark = F.struct("mark", "seq", "id", "at")
+    own = _in_ranges(marks, ranges).groupBy("source", "_range").agg(F.min_by(mark, "seq").alias("_first"), F.max_by(mark, "seq").alias("_last"))
+    every = ranges.select("source", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_count") - 1)).alias("_range"))
+    # one row for each range
+    before = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("source").orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    joints = (
+        every.join(own, ["source", "_range"], "left")
+        .withColumn("_carry", F.last("_last", ignorenulls=True).over(before))
+        .withColumn("_from", F.last(F.when(F.col("_first").isNotNull(), F.col("_range")), ignorenulls=True).over(before))
+        .withColumn("_follow", F.last("_first", ignorenulls=True).over(after))
+        .withColumn("_alone", ~F.coalesce(F.col("_from") == F.col("_range") - 1, F.lit(False)))
+    )
+    return asof.materialise(joints.withColumn("_lead", F.when(F.col("_alone"), 2 * F.col("_range") - 1).otherwise(2 * F.col("_range") - 2)))
+
+
+def _bucketed(rows: DataFrame, ranges: DataFrame, joints: DataFrame) -> DataFrame:
+    """Rows with ``_bucket``, which begins with a mark or is ``_alone``."""
+    lookup = joints.select("source", "_range", F.col("_first.seq").alias("_starts"), "_lead")
+    found = _in_ranges(rows, ranges).join(_small(lookup), ["source", "_range"])
+    bucket = F.when(F.col("seq") >= F.col("_starts"), 2 * F.col("_range")).otherwise(F.col("_lead"))
+    return found.withColumn("_bucket", bucket).drop("_range", "_starts", "_lead")
+
+
+def _carried(events: DataFrame, ranges: DataFrame, joints: DataFrame) -> DataFrame:
+    """What each bucket takes from others: the mark it begins under, the rows since
+    that one and the mark after it. Only the rows of transactions that are longer than
+    a range are counted for it."""
+    opened = joints.filter(F.col("_first").isNotNull()).select(
+        "source", (2 * F.col("_range")).alias("_bucket"), F.lit(None).cast(joints.schema["_carry"].dataType).alias("_carry"), "_follow"
+    )
+    alone = joints.filter("_alone").select("source", F.col("_lead").alias("_bucket"), "_carry", F.coalesce("_first", "_follow").alias("_follow"))
+    carried = opened.unionByName(alone)
+    long = joints.filter("_alone AND _carry.mark = 'begin'")
+    if long.isEmpty():
+        return carried.withColumn("_carry_rows", F.lit(0).cast("bigint"))
+    begun = long.select("source", "_from", (2 * F.col("_from")).alias("_bucket"), F.col("_carry.seq").alias("_after")).distinct()
+    parts = begun.unionByName(long.select("source", "_from", F.col("_lead").alias("_bucket"), F.lit(None).cast("bigint").alias("_after")))
+    inside = _bucketed(events.select("source", "seq"), ranges, joints).join(_small(asof.materialise(parts)), ["source", "_bucket"])
+    counts = inside.filter("_after IS NULL OR seq >= _after").groupBy("source", "_bucket").agg(F.count("*").alias("_n"))
+    since = Window.partitionBy("source", "_from").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    summed = parts.join(counts, ["source", "_bucket"], "left").withColumn("_carry_rows", F.sum(F.coalesce("_n", F.lit(0))).over(since))
+    summed = summed.filter("_after IS NULL").select("source", "_bucket", "_carry_rows")
+    return carried.join(summed, ["source", "_bucket"], "left")
 
 
 def with_transactions(events: DataFrame, marks: DataFrame, bucket_rows: int = BUCKET_ROWS, places: DataFrame | None = None) -> DataFrame:
@@ -87,54 +146,38 @@ def with_transactions(events: DataFrame, marks: DataFrame, bucket_rows: int = BU
     row's number in it from 0, ``commit_seq`` and ``commit_time`` those of its end,
     and ``txn_state`` one of committed, rolled back, open (no end mark yet),
     unfinished (the next one begins first) and outside (null ``txn_seq``). A source
-    without marks has all rows outside. ``places`` is that of ``placed_rows``.
-    """
-    event = events.select("source", "seq", F.col("row_no").alias("_row_no"), F.struct(*events.columns).alias("_event"))
-    mark = F.struct("mark", "seq", "id", "at")
-    only_marks = marks.select("source", "seq", F.lit(0).alias("_row_no"), mark.alias("_mark"))
-    return placed_rows(event.unionByName(only_marks, allowMissingColumns=True), places, bucket_rows)
+    without marks has all rows outside.
 
-
-def placed_rows(rows: DataFrame, places: DataFrame | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``with_transactions`` of rows and marks that come from one read: ``source, seq,
-    _row_no`` with ``_event`` (a struct of all its columns) or ``_mark``. ``rows`` are gone
-    over twice, once to see how many there are; ``places`` (``source, seq`` of at least
-    all of them) tells it without making them."""
-    both = _bucketed(rows, bucket_rows, rows if places is None else places)
-    up = Window.partitionBy("source", "_bucket").orderBy("seq", "_row_no")
+    Marks are gone over first, to see where buckets may begin; then rows move once, with
+    those of their columns that are asked for, and nothing of them is kept.
+    ``places`` (``source, seq`` of at least all of both, and ``rows`` where one stands
+    for several) tells how many there are; without it, events are made once more for that.
+    """
+    if places is None:
+        places = events.select("source", "seq").unionByName(marks.select("source", "seq"))
+    ranges = _ranges(places, bucket_rows)
+    joints = _joints(marks, ranges)
+    carried = asof.materialise(_carried(events, ranges, joints))
+    is_row = F.col("_is_row")
+    rows = events.withColumn("_row_no", F.col("row_no")).withColumn("_is_row", F.lit(True))
+    only_marks = marks.select("source", "seq", F.lit(0).alias("_row_no"), F.lit(False).alias("_is_row"), F.struct("mark", "seq", "id", "at").alias("_mark"))
+    both = _bucketed(rows.unionByName(only_marks, allowMissingColumns=True), ranges, joints)
+    up = Window.partitionBy("source", "_bucket").orderBy("seq", "_row_no", "_is_row")
     upto = up.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # the same rows backwards: frames that reach to the end cost a pass for each row
-    down = Window.partitionBy("source", "_bucket").orderBy(F.desc("seq"), F.desc("_row_no"))
+    down = Window.partitionBy("source", "_bucket").orderBy(F.desc("seq"), F.desc("_row_no"), F.desc("_is_row"))
     from_here = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    is_row = F.col("_event").isNotNull()
-    placed = asof.materialise(
+    placed = (
         both.withColumn("_next", F.last("_mark", ignorenulls=True).over(from_here))
         .withColumn("_rows", F.sum(is_row.cast("bigint")).over(upto))
         .withColumn("_before", F.last("_mark", ignorenulls=True).over(upto))
         .withColumn("_rows_at", F.last(F.when(~is_row, F.col("_rows")), ignorenulls=True).over(upto))
     )
-    summary = placed.groupBy("source", "_bucket").agg(
-        F.max("_rows").alias("_n"),
-        F.max(F.when(~is_row, F.col("_rows"))).alias("_at_last"),
-        F.max_by("_mark", F.when(~is_row, F.col("seq"))).alias("_last"),
-        F.min_by("_mark", F.when(~is_row, F.col("seq"))).alias("_first"),
-    )
-    # one row for each bucket
-    ordered = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    backwards = Window.partitionBy("source").orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    total = F.coalesce(F.sum("_n").over(ordered), F.lit(0))
-    carried = (
-        summary.withColumn("_total", total)
-        .withColumn("_carry", F.last("_last", ignorenulls=True).over(ordered))
-        .withColumn("_carry_rows", F.col("_total") - F.last(F.col("_total") + F.col("_at_last"), ignorenulls=True).over(ordered))
-        .withColumn("_follow", F.last("_first", ignorenulls=True).over(backwards))
-        .select("source", "_bucket", "_carry", "_carry_rows", "_follow")
-    )
     # far fewer than rows, which need not move for them
-    found = placed.filter(is_row).join(_small(asof.materialise(carried)), ["source", "_bucket"])
+    found = placed.filter(is_row).join(_small(carried), ["source", "_bucket"])
     own = F.col("_before").isNotNull()
     begin, end = F.coalesce("_before", "_carry"), F.coalesce("_next", "_follow")
-    number = F.when(own, F.col("_rows") - F.col("_rows_at")).otherwise(F.col("_rows") + F.col("_carry_rows")) - 1
+    number = F.when(own, F.col("_rows") - F.col("_rows_at")).otherwise(F.col("_rows") + F.coalesce("_carry_rows", F.lit(0))) - 1
     inside = F.coalesce(F.col("_begin.mark") == "begin", F.lit(False))
     ended = inside & F.col("_end.mark").isin("commit", "rollback")
     state = (
@@ -142,7 +185,7 @@ def placed_rows(rows: DataFrame, places: DataFrame | None = None, bucket_rows: i
         .when(F.col("_end.mark") == "rollback", "rolled back").otherwise("unfinished")
     )
     return found.withColumn("_begin", begin).withColumn("_end", end).withColumn("_number", number).select(
-        "_event.*",
+        *events.columns,
         F.when(inside, F.col("_begin.seq")).alias("txn_seq"),
         F.when(inside, F.coalesce("_begin.id", F.when(ended, F.col("_end.id")))).alias("txn_id"),
         F.when(inside, F.col("_number")).alias("txn_row"),

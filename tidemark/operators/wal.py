@@ -87,6 +87,18 @@ def decoded_frames(parsed: DataFrame, on_error: str = "fail") -> DataFrame:
     return apply_on_error(decoded, on_error)
 
 
+def mark_messages(capture: DataFrame) -> DataFrame:
+    """Begin and commit messages with what marks a transaction, from a parse of their
+    action alone: ``source, seq, event_time, action, action_kind``."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
+    parsed = F.from_json("message", "action STRING, malformed STRING", options)
+    m = capture.filter("kind = 'w'").select("source", "seq", "clock_us", F.explode(F.array(parsed)).alias("m"))
+    action = F.col("m.action")
+    return m.filter(F.col("m.malformed").isNull() & action.isin("B", "C")).select(
+        "source", "seq", pg_clock(F.col("clock_us")).alias("event_time"), action.alias("action"), action_kind(action).alias("action_kind")
+    )
+
+
 def wal_quarantine(capture: DataFrame) -> DataFrame:
     """Bad frames with their reason and the untouched message."""
     return quarantined_frames(_with_message(capture))

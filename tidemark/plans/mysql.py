@@ -18,6 +18,9 @@ from tidemark.operators.positions import position_epochs, with_full_position
 from tidemark.operators.rowcodec import decode_columns, decode_rows
 from tidemark.operators.transactions import binlog_marks, with_transactions
 
+# Fewer bytes than most rows have: how many rows a packet may hold.
+ROW_BYTES = 64
+
 
 @dataclass
 class LogState:
@@ -116,4 +119,7 @@ def transactions(
 ) -> DataFrame:
     """Row events with their transaction; see ``with_transactions``. With ``tables``,
     rows are numbered among those of the wanted tables."""
-    return with_transactions(row_events(capture, state, tables, on_error, checksum_len), binlog_marks(capture, checksum_len))
+    rows = F.greatest(F.lit(1), F.expr(f"length(packet) div {ROW_BYTES}"))
+    places = capture.select("source", "seq", rows.alias("rows"))
+    events = row_events(capture, state, tables, on_error, checksum_len)
+    return with_transactions(events, binlog_marks(capture, checksum_len), places=places)

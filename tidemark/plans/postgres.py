@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.operators import asof
-from tidemark.operators.envelope import ROW_EVENT, filter_tables, is_pg_row, pg_event_rows, pg_row_events, pg_shared, pg_text_value, table_matches, typed_columns
+from tidemark.operators import asof, pgoutput, wal
+from tidemark.operators.envelope import filter_tables, pg_event_rows, pg_row_events, pg_text_value, typed_columns
 from tidemark.operators.pgoutput import decode_pgoutput
-from tidemark.operators.transactions import placed_rows, wal_mark
+from tidemark.operators.transactions import wal_marks, with_transactions
 from tidemark.operators.wal import decode_wal
 
 
@@ -53,13 +53,17 @@ def table_rows(
     return typed_columns(found, wanted)
 
 
+def mark_messages(frames: DataFrame) -> DataFrame:
+    """Begin and commit messages of frames of either plugin."""
+    return pgoutput.mark_messages(frames) if "body" in frames.columns else wal.mark_messages(frames)
+
+
 def transactions(decoded: DataFrame, tables: list[str] | None = None, frames: DataFrame | None = None) -> DataFrame:
     """Row events of decoded messages (``decode_wal`` or ``decode_pgoutput``) with
-    their transaction; see ``with_transactions``. Rows and marks come from one read;
-    with the ``frames`` they were decoded from, nothing is decoded to be counted."""
-    wanted = is_pg_row() & table_matches(F.col("schema"), F.col("table"), tables) if tables else is_pg_row()
-    marked = decoded.withColumn("_row", F.coalesce(wanted, F.lit(False))).withColumn("_mark", wal_mark(decoded))
-    rows = pg_shared(marked.filter("_row OR _mark IS NOT NULL"), "_row", "_mark").select(
-        "source", "seq", F.col("row_no").alias("_row_no"), F.when(F.col("_row"), F.struct(*ROW_EVENT)).alias("_event"), "_mark"
-    )
-    return placed_rows(rows, None if frames is None else frames.filter("kind = 'w'").select("source", "seq"))
+    their transaction; see ``with_transactions``. With the ``frames`` they were decoded
+    from, marks are read from these, and nothing is decoded to be counted."""
+    events = pg_row_events(decoded)
+    events = filter_tables(events, tables) if tables else events
+    if frames is None:
+        return with_transactions(events, wal_marks(decoded))
+    return with_transactions(events, wal_marks(mark_messages(frames)), places=frames.filter("kind = 'w'").select("source", "seq"))
