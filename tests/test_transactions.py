@@ -131,3 +131,13 @@ def test_rows_move_with_what_is_asked_for(spark, sf, tmp_path):
     found = postgres.transactions(pgoutput.decode_pgoutput(frames), ["public.orders"], frames).select("seq", *transactions.PLACE)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "is_nullable" not in plan
+
+
+def test_relation_messages_are_kept_once(spark):
+    """A relation that goes to and fro has many intervals, and two messages."""
+    columns = lambda turn: [(f"column_{i}", 25, -1, 0) for i in (range(200), range(199, -1, -1))[turn]]
+    messages = [fx.pg_frame(fx.pg_relation(9, "s", "t", columns(i % 2)), i, i, 0) for i in range(60)]
+    frames = captures.pgoutput_frames(spark.createDataFrame([("p", i, m) for i, m in enumerate(messages)], captures.BINLOG_CAPTURE))
+    found = pgoutput.relations(pgoutput.relation_states(frames))
+    assert (found.rows, found.value_rows) == (60, 2) and found.bytes < 60 * 200
+    assert [r.state for r in pgoutput.open_relations(found).collect()] == [messages[-1][25:]]

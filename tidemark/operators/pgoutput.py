@@ -101,15 +101,18 @@ def relation_states(frames: DataFrame) -> DataFrame:
 
 
 def relations(states: DataFrame) -> asof.Intervals:
-    """Which relation message was in force per source and relation id."""
-    points = asof.change_points(states, KEYS, "state")
-    return asof.measured(asof.intervals(points, KEYS, ["state"]), KEYS, ["state"])
+    """Which relation message was in force per source and relation id. Messages are
+    kept once, by digest, as a server sends the same ones again and again."""
+    digest = F.unhex(F.md5("state"))
+    points = asof.change_points(states.withColumn("state", digest), KEYS, "state").withColumnRenamed("state", asof.DIGEST)
+    bodies = asof.materialise(states.groupBy(digest.alias(asof.DIGEST)).agg(F.min("state").alias("state")))
+    return asof.with_values(asof.measured(asof.intervals(points, KEYS, [asof.DIGEST]), KEYS, [asof.DIGEST]), bodies)
 
 
 def open_relations(iv: asof.Intervals) -> DataFrame:
     """The relations in force at the end, in the shape of ``relation_states``: one
     row for each relation of a source."""
-    return iv.df.filter("hi IS NULL").select(*KEYS, F.col("lo").alias("seq"), "state")
+    return iv.whole().filter("hi IS NULL").select(*KEYS, F.col("lo").alias("seq"), "state")
 
 
 def _native(frames: DataFrame) -> DataFrame:
@@ -153,6 +156,13 @@ def _native(frames: DataFrame) -> DataFrame:
     ).withColumnRenamed("row", "body").withColumn("table_id", F.explode("ids")).drop("ids")
 
 
+def mark_messages(frames: DataFrame) -> DataFrame:
+    """Begin and commit messages with what marks a transaction, as ``decode_pgoutput``
+    gives them, which need no relation."""
+    marks = _native(frames).filter(F.col("tag").isin("B", "C") & F.col("error").isNull())
+    return marks.select("source", "seq", "event_time", F.col("tag").alias("action"), action_kind(F.col("tag")).alias("action_kind"), "xid", "commit_time")
+
+
 class _Tuples:
     """One tuple of each event: marks and places of its values, column by column.
     Events whose tuple does not fit are marked as failed."""
