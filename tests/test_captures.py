@@ -4,9 +4,11 @@ give, keys of any size have one, and a query makes its capture once."""
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -165,3 +167,41 @@ def test_big_packets_are_packets():
     want |= {k * 3 + 2: fx.last_rotate(f"binlog.{k // 5000 + 1:06d}", stamp, (at(k) + 50) % (1 << 32)) for k in (4999, 9999)}
     found = fx._big_packets(pa.RecordBatch.from_pydict({"k": keys, "epoch": [stamp] * len(keys)}))
     assert dict(zip(found["seq"].to_pylist(), found["packet"].to_pylist())) == want
+
+def test_documents_are_json_bytes():
+    """Whole columns of JSON give what single documents give, at every size of number."""
+    keys = [*KEYS, -5, 1, 130, 255, 299, 32_767, 32_768, 65_535, 65_536, 2_147_413_648, (1 << 32) - 1, 1 << 32, 1 << 40]
+    cents = [0, 7, -1, 99, 100, 12_345, -987_654_321, 10**14, 10**17, *range(1, len(keys) - 8)]
+    at = [dt.datetime(1992 + i % 7, 1 + i % 12, 1 + i % 28, i % 24, i % 60, i % 60) for i in range(len(keys))]
+    priority = [None if i % 4 == 3 else "é" * (i * 40) for i in range(len(keys))]
+    status = ["O" if i % 5 else None for i in range(len(keys))]
+    batch = pa.RecordBatch.from_pydict({
+        "k": keys, "cents": cents, "at": pa.array(at, pa.timestamp("us")), "o_orderstatus": pa.array(status, pa.string()), "o_orderpriority": pa.array(priority, pa.string()),
+    })
+    rows = [SimpleNamespace(**r | {"at": pd.Timestamp(r["at"])}) for r in batch.to_pylist()]
+    for wide in (False, True):
+        assert fx.order_documents(batch, wide).to_pylist() == [fx.json_bytes(fx.order_document(r), wide) for r in rows]
+
+
+def test_kinds_are_row_bytes():
+    at = [dt.datetime(1995, 3, 1 + i % 28, i % 24, i % 60, i % 60) for i in range(40)]
+    keys = list(range(0, 4000, 100))
+    batch = pa.RecordBatch.from_pydict({
+        "k": keys, "epoch": [1_000_000 + k for k in keys], "cents": [k + 5 for k in keys], "at": pa.array(at, pa.timestamp("us")),
+        "o_orderstatus": ["O"] * 40, "o_orderpriority": ["5-LOW"] * 40,
+    })
+    found = dict(zip(*(c.to_pylist() for c in fx._kinds_packets(batch, b"table").columns[1:])))
+    for r in batch.to_pylist():
+        k, micros, stamp = r["k"], r["k"] % 1000 * 1000 + 7, r["epoch"] if r["k"] % 3 else 0
+        document = fx.json_bytes(fx.order_document(SimpleNamespace(**r | {"at": pd.Timestamp(r["at"])})), k % 5 == 0) if k % 13 else None
+        row = fx.row_bytes(fx.KINDS, [
+            k, document, k % 3, k % 8, fx.datetime2_bytes(r["at"].replace(microsecond=micros), 6), fx.timestamp2_bytes(stamp, micros if stamp else 0, 3),
+            fx.time2_bytes(k % 2 == 1, k % 800, k % 60, 59, micros, 2), stamp,
+        ])
+        assert found[k * 2 + 1] == fx.packet(fx.TABLE_MAP, b"table", r["epoch"], 100)
+        assert found[k * 2 + 2] == fx.packet(30, fx.rows_body(7, 2, fx.KINDS, [row]), r["epoch"], 200)
+
+
+def test_captures_of_kinds_are_made_by_whole_columns(spark, tmp_path):
+    made = plan(fx.kinds_capture(spark, tables(tmp_path, [1])))
+    assert "MapInArrow" in made and "MapInPandas" not in made
